@@ -25,7 +25,10 @@ READ_OPTIONS = {
     "escape": '"',
     "multiLine": "true",
     "mode": "FAILFAST",
-    "nullValue": "",
+    # The parser hands back ``nullValue`` for an unquoted empty field and
+    # ``emptyValue`` for ``""``; a NUL sentinel keeps the two apart (with
+    # ``nullValue=""`` both would read as NULL).
+    "nullValue": "\u0000",
     "emptyValue": "",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
