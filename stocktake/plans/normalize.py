@@ -94,7 +94,22 @@ def build_inventory(raw: DataFrame, party: DataFrame) -> DataFrame:
 
 # --- status tables ------------------------------------------------------------
 
-def build_pricing(raw: DataFrame, inventory: DataFrame) -> DataFrame:
+def _restrict_to_inventory(rows: DataFrame, inventory: DataFrame | None) -> DataFrame:
+    """``WHERE title_id IN (SELECT title_id FROM inventory)``.
+
+    ``inventory=None`` means "the inventory built from this same staging
+    frame": :func:`build_inventory` keeps every row with a non-NULL id (its
+    lookups are left joins), so its id set is exactly the non-NULL staging ids
+    and the semi-join reduces to ``title_id IS NOT NULL`` -- the same rows
+    without shuffling both sides. Pass a stored inventory table to get the
+    general left-semi join.
+    """
+    if inventory is None:
+        return rows.where(F.col("title_id").isNotNull())
+    return restrict_to(rows, inventory, "title_id", "title_id")
+
+
+def build_pricing(raw: DataFrame, inventory: DataFrame | None = None) -> DataFrame:
     """Prices as decimals; free when all three amounts are 0, else the raw flag."""
     base = clean.blank_decimal("baseamount")
     final = clean.blank_decimal("finalamount")
@@ -105,10 +120,10 @@ def build_pricing(raw: DataFrame, inventory: DataFrame) -> DataFrame:
     rows = raw.select(F.col("id").cast("long").alias("title_id"), base.alias("base_amount"),
                       final.alias("final_amount"), amount.alias("amount"),
                       F.col("currency"), is_free.alias("is_free"))
-    return restrict_to(rows, inventory, "title_id", "title_id")
+    return _restrict_to_inventory(rows, inventory)
 
 
-def build_rating(raw: DataFrame, inventory: DataFrame) -> DataFrame:
+def build_rating(raw: DataFrame, inventory: DataFrame | None = None) -> DataFrame:
     rows = raw.select(
         F.col("id").cast("long").alias("title_id"),
         clean.blank_decimal("overallavgrating").alias("overall_avg_rating"),
@@ -116,10 +131,11 @@ def build_rating(raw: DataFrame, inventory: DataFrame) -> DataFrame:
         clean.blank_int("reviewscount").alias("reviews_count"),
         clean.text_flag("isreviewable").alias("is_reviewable"),
         clean.blank_int("reviewpages").alias("review_pages"))
-    return restrict_to(rows, inventory, "title_id", "title_id")
+    return _restrict_to_inventory(rows, inventory)
 
 
-def build_discount_status(raw: DataFrame, promotion: DataFrame, inventory: DataFrame) -> DataFrame:
+def build_discount_status(raw: DataFrame, promotion: DataFrame,
+                          inventory: DataFrame | None = None) -> DataFrame:
     """Discount rows for titles whose trimmed promo id names a promotion.
 
     ``is_discounted``: a positive percentage, else the trimmed raw flag, else
@@ -137,14 +153,14 @@ def build_discount_status(raw: DataFrame, promotion: DataFrame, inventory: DataF
                       is_discounted.alias("is_discounted"))
     rows = lookup_key(rows, promotion, "_promo", "promo_name", "promo_id", "promo_id",
                       how="inner")
-    rows = restrict_to(rows, inventory, "title_id", "title_id")
+    rows = _restrict_to_inventory(rows, inventory)
     return rows.select("title_id", "promo_id", "discount_percentage", "discount_difference",
                        "is_discounted")
 
 
 # --- bridges ------------------------------------------------------------------
 
-def build_title_genre(raw: DataFrame, genre: DataFrame, inventory: DataFrame,
+def build_title_genre(raw: DataFrame, genre: DataFrame, inventory: DataFrame | None = None,
                       ids_unique: bool = True) -> DataFrame:
     """(title, genre) pairs from the list text, matched on the folded name.
 
@@ -157,11 +173,11 @@ def build_title_genre(raw: DataFrame, genre: DataFrame, inventory: DataFrame,
     rows = raw.select(F.col("id").cast("long").alias("title_id"),
                       F.explode(items).alias("_name"))
     rows = lookup_key(rows, genre, "_name", "genre_name", "genre_id", "genre_id", how="inner")
-    rows = restrict_to(rows, inventory, "title_id", "title_id").select("title_id", "genre_id")
+    rows = _restrict_to_inventory(rows, inventory).select("title_id", "genre_id")
     return rows if ids_unique else rows.dropDuplicates(["title_id", "genre_id"])
 
 
-def build_title_os(raw: DataFrame, os_platform: DataFrame, inventory: DataFrame,
+def build_title_os(raw: DataFrame, os_platform: DataFrame, inventory: DataFrame | None = None,
                    ids_unique: bool = True) -> DataFrame:
     """(title, os) pairs from the JSON-ish OS lists; blank lists are skipped."""
     src = F.col("supportedoperatingsystems")
@@ -170,7 +186,7 @@ def build_title_os(raw: DataFrame, os_platform: DataFrame, inventory: DataFrame,
     rows = lists.select(F.col("id").cast("long").alias("title_id"),
                         F.explode(items).alias("_name"))
     rows = lookup_key(rows, os_platform, "_name", "os_name", "os_id", "os_id", how="inner")
-    rows = restrict_to(rows, inventory, "title_id", "title_id").select("title_id", "os_id")
+    rows = _restrict_to_inventory(rows, inventory).select("title_id", "os_id")
     return rows if ids_unique else rows.dropDuplicates(["title_id", "os_id"])
 
 
@@ -190,13 +206,13 @@ class Catalog:
         "os_platform": lambda c: build_os_platform(c.raw),
         "genre": lambda c: build_genre(c.raw),
         "promotion": lambda c: build_promotion(c.raw),
-        "pricing": lambda c: build_pricing(c.raw, c["inventory"]),
-        "rating": lambda c: build_rating(c.raw, c["inventory"]),
-        "discount_status": lambda c: build_discount_status(c.raw, c["promotion"], c["inventory"]),
-        "title_genre": lambda c: build_title_genre(c.raw, c["genre"], c["inventory"],
-                                                   c.ids_unique),
-        "title_os": lambda c: build_title_os(c.raw, c["os_platform"], c["inventory"],
-                                             c.ids_unique),
+        # Status tables and bridges restrict to the inventory built from the
+        # same staging frame (inventory=None, see _restrict_to_inventory).
+        "pricing": lambda c: build_pricing(c.raw),
+        "rating": lambda c: build_rating(c.raw),
+        "discount_status": lambda c: build_discount_status(c.raw, c["promotion"]),
+        "title_genre": lambda c: build_title_genre(c.raw, c["genre"], None, c.ids_unique),
+        "title_os": lambda c: build_title_os(c.raw, c["os_platform"], None, c.ids_unique),
     }
     names = tuple(_BUILD)
 
