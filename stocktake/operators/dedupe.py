@@ -45,13 +45,20 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: str) -> Data
     return existing.select(key).unionByName(fresh)
 
 
-def append_with_keys(existing: DataFrame, incoming: DataFrame, name_col: str,
-                     key_col: str) -> DataFrame:
-    """Insert-if-absent for a keyed dimension: new names get dense keys after
-    the current maximum, existing names keep theirs."""
+def fresh_keys(existing: DataFrame, incoming: DataFrame, name_col: str,
+               key_col: str) -> DataFrame:
+    """Names of ``incoming`` not yet in ``existing``, keyed densely after the
+    current maximum key (the rows an insert-if-absent would add)."""
     fresh = (incoming.select(name_col).where(F.col(name_col).isNotNull()).distinct()
              .join(existing.select(name_col), name_col, "left_anti"))
     top = existing.agg(F.max(key_col)).first()[0] or 0  # one scalar
     keyed = dense_keys(fresh, name_col, key_col)
-    keyed = keyed.select((F.col(key_col) + F.lit(top)).alias(key_col), F.col(name_col))
-    return existing.select(key_col, name_col).unionByName(keyed)
+    return keyed.select((F.col(key_col) + F.lit(top)).alias(key_col), F.col(name_col))
+
+
+def append_with_keys(existing: DataFrame, incoming: DataFrame, name_col: str,
+                     key_col: str) -> DataFrame:
+    """Insert-if-absent for a keyed dimension: new names get dense keys after
+    the current maximum, existing names keep theirs."""
+    return existing.select(key_col, name_col).unionByName(
+        fresh_keys(existing, incoming, name_col, key_col))

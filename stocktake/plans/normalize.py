@@ -15,24 +15,29 @@ staging table is scanned column-pruned. Dimensions are checkpointed by
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
 from ..functions import clean
 from ..operators.dedupe import entity_from_columns
 from ..operators.joins import lookup_key, restrict_to
 from ..operators.keys import dense_keys
+from ..schemas import TABLE_SCHEMAS
 from ..sources.static import product_type
 
 
 # --- dimensions ---------------------------------------------------------------
+# Each dimension is "distinct names" + dense keys; the name extraction is kept
+# separate so the incremental (streaming) load can reuse it per micro-batch.
 
-def build_party(raw: DataFrame) -> DataFrame:
+def party_names(raw: DataFrame) -> DataFrame:
     """Developers and publishers merged into one party list (names not trimmed)."""
-    names = entity_from_columns(raw, ["developer", "publisher"], "name")
-    return dense_keys(names, "name", "party_id")
+    return entity_from_columns(raw, ["developer", "publisher"], "name")
 
 
-def build_os_platform(raw: DataFrame) -> DataFrame:
+def os_names(raw: DataFrame) -> DataFrame:
     """Distinct items of the JSON-ish OS lists, case and spacing kept.
 
     Rows whose list is NULL, blank or ``[]`` are skipped; NULL items are
@@ -41,26 +46,52 @@ def build_os_platform(raw: DataFrame) -> DataFrame:
     src = F.col("supportedoperatingsystems")
     lists = raw.select(src).where(src.isNotNull() & (F.trim(src) != "[]") & (F.trim(src) != ""))
     items = lists.select(F.explode(clean.json_list_items(src)).alias("os_name"))
-    names = items.where(F.col("os_name").isNotNull()).distinct()
-    return dense_keys(names, "os_name", "os_id")
+    return items.where(F.col("os_name").isNotNull()).distinct()
 
 
-def build_genre(raw: DataFrame) -> DataFrame:
+def genre_names(raw: DataFrame) -> DataFrame:
     """Distinct genre names from bare list text, trimmed and lower-cased."""
     src = F.col("genres")
     lists = raw.select(src).where(src.isNotNull() & ~F.trim(src).isin("", "[]"))
     items = lists.select(F.explode(clean.text_list_items(src)).alias("item"))
-    names = (items.where(F.col("item").isNotNull() & (F.trim(F.col("item")) != ""))
-             .select(clean.fold_name("item").alias("genre_name")).distinct())
-    return dense_keys(names, "genre_name", "genre_id")
+    return (items.where(F.col("item").isNotNull() & (F.trim(F.col("item")) != ""))
+            .select(clean.fold_name("item").alias("genre_name")).distinct())
 
 
-def build_promotion(raw: DataFrame) -> DataFrame:
+def promo_names(raw: DataFrame) -> DataFrame:
     """Distinct trimmed promotion ids (blank ones skipped)."""
-    src = F.col("promoid")
-    names = (raw.select(F.trim(src).alias("promo_name"))
-             .where(F.col("promo_name").isNotNull() & (F.col("promo_name") != "")).distinct())
-    return dense_keys(names, "promo_name", "promo_id")
+    return (raw.select(F.trim(F.col("promoid")).alias("promo_name"))
+            .where(F.col("promo_name").isNotNull() & (F.col("promo_name") != "")).distinct())
+
+
+# dimension -> (name extractor, name column, key column)
+DIMENSION_SPECS = {
+    "party": (party_names, "name", "party_id"),
+    "os_platform": (os_names, "os_name", "os_id"),
+    "genre": (genre_names, "genre_name", "genre_id"),
+    "promotion": (promo_names, "promo_name", "promo_id"),
+}
+
+
+def build_dimension(raw: DataFrame, name: str) -> DataFrame:
+    names, name_col, key_col = DIMENSION_SPECS[name]
+    return dense_keys(names(raw), name_col, key_col)
+
+
+def build_party(raw: DataFrame) -> DataFrame:
+    return build_dimension(raw, "party")
+
+
+def build_os_platform(raw: DataFrame) -> DataFrame:
+    return build_dimension(raw, "os_platform")
+
+
+def build_genre(raw: DataFrame) -> DataFrame:
+    return build_dimension(raw, "genre")
+
+
+def build_promotion(raw: DataFrame) -> DataFrame:
+    return build_dimension(raw, "promotion")
 
 
 # --- core entity --------------------------------------------------------------
@@ -192,6 +223,12 @@ def build_title_os(raw: DataFrame, os_platform: DataFrame, inventory: DataFrame
 
 # --- everything ---------------------------------------------------------------
 
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Project to the declared columns, in order, cast to the declared types
+    (a no-op projection when the builder already produced them)."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 class Catalog:
     """Lazily built table set: each table is built on first use, once.
 
@@ -223,7 +260,7 @@ class Catalog:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            self._built[name] = self._BUILD[name](self)
+            self._built[name] = conform(self._BUILD[name](self), TABLE_SCHEMAS[name])
         return self._built[name]
 
     def __contains__(self, name: str) -> bool:
@@ -233,11 +270,20 @@ class Catalog:
         return [(n, self[n]) for n in self.names]
 
 
-def normalize(raw: DataFrame, ids_unique: bool = True) -> dict[str, DataFrame]:
+DIMENSIONS = ("party", "os_platform", "genre", "promotion")
+
+
+def normalize(raw: DataFrame, ids_unique: bool = True, parallelism: int = 4) -> dict[str, DataFrame]:
     """Build all eleven typed tables from the staging frame.
 
     The staging frame should be Parquet-backed (see
     :func:`stocktake.sources.csv_stage.stage_to_parquet`): it is read by
-    several builders, each pruned to its columns.
+    several builders, each pruned to its columns. The four keyed dimensions
+    are independent, so their (eager, checkpointed) key jobs are submitted
+    concurrently and share the cluster.
     """
-    return dict(Catalog(raw, ids_unique).items())
+    cat = Catalog(raw, ids_unique)
+    if parallelism > 1:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            list(pool.map(cat.__getitem__, DIMENSIONS))
+    return dict(cat.items())

@@ -7,6 +7,8 @@ what they need and never pre-load whole tables.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -27,7 +29,20 @@ def read_tables(spark: SparkSession, base_dir: str, names) -> dict[str, DataFram
     return {n: read_table(spark, base_dir, n) for n in names}
 
 
-def write_tables(tables: dict[str, DataFrame], base_dir: str, mode: str = "overwrite") -> None:
-    """Write each table to ``base_dir/<name>.parquet`` (idempotent overwrite)."""
-    for name, df in tables.items():
+def write_tables(tables: dict[str, DataFrame], base_dir: str, mode: str = "overwrite",
+                 parallelism: int = 4) -> None:
+    """Write each table to ``base_dir/<name>.parquet`` (idempotent overwrite).
+
+    Independent tables are written by concurrent jobs so small tables do not
+    leave the cluster idle while a large one finishes.
+    """
+    def write(item):
+        name, df = item
         df.write.mode(mode).parquet(table_path(base_dir, name))
+
+    if parallelism <= 1:
+        for item in tables.items():
+            write(item)
+        return
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        list(pool.map(write, tables.items()))
