@@ -43,8 +43,11 @@ def median_by_party(t: Tables, role: str = "developer", min_titles: int = 5) ->
     rated = t["rating"].select("title_id", "overall_avg_rating") \
         .where(F.col("overall_avg_rating").isNotNull())
     rows = inv.join(party, "_party").join(rated, "title_id")
+    # Ratings are decimal(18,4) on a fixed scale, so a group has a bounded
+    # number of distinct values: the single running count per group suffices.
     out = grouped_percentile(rows, [f"{role}_name"], "overall_avg_rating", 0.5,
-                             alias="median_rating", count_alias="catalog_presence")
+                             alias="median_rating", count_alias="catalog_presence",
+                             method="window")
     return at_least(out, "catalog_presence", min_titles) \
         .orderBy(*_desc("median_rating", "catalog_presence"))
 

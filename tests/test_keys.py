@@ -47,3 +47,22 @@ def test_hash_keys_unique(spark):
     df = _names(spark, 500)
     keyed = hash_keys(df, "name", "k")
     assert keyed.count() == keyed.select("k").distinct().count()
+
+
+def test_percentile_methods_agree_on_skewed_groups(spark):
+    from stocktake.operators.aggregates import grouped_percentile
+    rnd = random.Random(11)
+    rows = [("hot", float(rnd.randint(0, 5000))) for _ in range(6000)]
+    rows += [(f"g{i % 40}", float(rnd.randint(0, 50))) for i in range(800)]
+    rows += [("hot", None), ("nulls", None), (None, 3.0), (None, 4.0)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    for frac in (0.5, 0.25, 0.9):
+        split = {r.k: (r.n, r.p) for r in grouped_percentile(
+            df, ["k"], "v", frac, "p", "n", method="split", num_partitions=6).collect()}
+        window = {r.k: (r.n, r.p) for r in grouped_percentile(
+            df, ["k"], "v", frac, "p", "n", method="window").collect()}
+        builtin = {r.k: r.p for r in df.groupBy("k").agg(
+            F.percentile("v", frac).alias("p")).collect() if r.p is not None}
+        assert split == window
+        assert {k: p for k, (_, p) in split.items()} == builtin
+        assert "nulls" not in split and split["hot"][0] == 6000
