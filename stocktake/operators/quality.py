@@ -48,17 +48,25 @@ def _metric(name: str, metric: str, value_df: DataFrame, col: str) -> DataFrame:
 
 def _table_metrics(name: str, df: DataFrame, tables: dict[str, DataFrame],
                    primary: dict, unique: dict, not_null: dict, refs: list) -> list[DataFrame]:
-    """One-row metric frames (table, metric, value) for one table."""
-    out = [_metric(name, "row_count", df.agg(F.count(F.lit(1)).alias("v")), "v")]
+    """One-row metric frames (table, metric, value) for one table.
+
+    Row count and NULL violations come from a single aggregation pass; each
+    key check is one grouped aggregate and each reference one anti-join.
+    """
+    nn_cols = list(dict.fromkeys(not_null.get(name, []) + primary.get(name, [])))
+    nulls = (reduce(lambda a, b: a + b,
+                    [F.count(F.when(F.col(c).isNull(), F.lit(1))) for c in nn_cols])
+             if nn_cols else F.lit(0))
+    pair = F.explode(F.array(
+        F.struct(F.lit("row_count").alias("metric"), F.count(F.lit(1)).cast("long").alias("value")),
+        F.struct(F.lit("null_violations").alias("metric"), nulls.cast("long").alias("value"))))
+    basic = df.agg(pair.alias("m"))
+    out = [basic.select(F.lit(name).alias("table_name"), F.col("m.metric").alias("metric"),
+                        F.col("m.value").alias("value"))]
     for keys in [primary.get(name, [])] + ([unique[name]] if name in unique else []):
         if keys:
             dups = duplicate_keys(df, keys).agg(F.sum("occurrences").alias("v"))
             out.append(_metric(name, "duplicate_key_rows", dups, "v"))
-    nn_cols = list(dict.fromkeys(not_null.get(name, []) + primary.get(name, [])))
-    if nn_cols:
-        total = reduce(lambda a, b: a + b,
-                       [F.count(F.when(F.col(c).isNull(), F.lit(1))) for c in nn_cols])
-        out.append(_metric(name, "null_violations", df.agg(total.alias("v")), "v"))
     for child, fk, parent, pk in refs:
         if child == name and parent in tables:
             dangling = orphans(df, fk, tables[parent], pk).agg(F.count(F.lit(1)).alias("v"))

@@ -46,3 +46,37 @@ def write_tables(tables: dict[str, DataFrame], base_dir: str, mode: str = "overw
         return
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         list(pool.map(write, tables.items()))
+
+
+# Tables keyed by title. Saved bucketed on ``title_id`` with one common bucket
+# count, the title-level joins of the reports (inventory x rating x pricing,
+# bridges x inventory) read co-partitioned buckets and need no shuffle.
+TITLE_BUCKETED = ("inventory", "pricing", "rating", "discount_status", "title_genre",
+                  "title_os")
+
+
+def save_tables(tables: dict[str, DataFrame], database: str, num_buckets: int,
+                bucket_key: str = "title_id", bucketed=TITLE_BUCKETED,
+                parallelism: int = 4) -> None:
+    """Save tables to the session catalog (``database.name``); the title-keyed
+    ones bucketed and sorted on ``bucket_key``.
+
+    Size ``num_buckets`` so that one bucket of the largest table is a few
+    hundred MB; every title-keyed table must use the same count.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+
+    def save(item):
+        name, df = item
+        writer = df.write.mode("overwrite").format("parquet")
+        if name in bucketed:
+            writer = writer.bucketBy(num_buckets, bucket_key).sortBy(bucket_key)
+        writer.saveAsTable(f"{database}.{name}")
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        list(pool.map(save, tables.items()))
+
+
+def load_saved_tables(spark: SparkSession, database: str, names) -> dict[str, DataFrame]:
+    return {n: spark.table(f"{database}.{n}") for n in names}

@@ -17,6 +17,7 @@ def spark():
                .config("spark.ui.enabled", "false")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.local.dir", scratch)
+               .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     # Tests own their checkpoint folder only when the session has none.

@@ -59,3 +59,19 @@ def test_no_cartesian_product_in_any_registered_query(spark):
             continue
         plan = _plan(fn(spark, SF_SMALL))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_bucketed_title_tables_join_without_shuffle(spark):
+    from stocktake.sources.tables import load_saved_tables, save_tables
+    cat = Catalog(raw_frame(spark))
+    save_tables(dict(cat.items()), "plan_check", num_buckets=4)
+    saved = load_saved_tables(spark, "plan_check", cat.names)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = _plan(analytics.era_quality(saved))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan
+    assert "hashpartitioning(title_id" not in plan
+    assert analytics.era_quality(saved).count() == analytics.era_quality(cat).count()
