@@ -30,8 +30,15 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
+    from pyspark.sql import types as T
     df = QUERIES[name](spark, SF_SMALL)
     cols = df.columns
+    # Plan shape: no cartesian product or nested-loop join anywhere.
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    # Decimal results are reported as DOUBLE (see registry.DECIMAL_AS_DOUBLE).
+    if name != "a1_csv_stage":
+        assert not any(isinstance(f.dataType, T.DecimalType) for f in df.schema.fields)
     srows = [tuple(r) for r in df.collect()]
     cur = duck.execute(SQL[name])
     dcols = [d[0] for d in cur.description]
@@ -45,3 +52,4 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["developer_name", "catalog_presence", "median_rating"]
     assert df.count() >= 0
+

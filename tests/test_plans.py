@@ -52,15 +52,6 @@ def test_static_dimension_is_broadcast(written):
     assert "Broadcast" in _plan(analytics.type_contribution(written))
 
 
-def test_no_cartesian_product_in_any_registered_query(spark):
-    registry.load_all()
-    for name, fn in registry.QUERIES.items():
-        if name == "a1_csv_stage":
-            continue
-        plan = _plan(fn(spark, SF_SMALL))
-        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
-
-
 def test_bucketed_title_tables_join_without_shuffle(spark):
     from stocktake.sources.tables import load_saved_tables, save_tables
     cat = Catalog(raw_frame(spark))
