@@ -25,6 +25,7 @@ from ..operators.dedupe import entity_from_columns
 from ..operators.joins import lookup_key, restrict_to
 from ..operators.keys import dense_keys
 from ..schemas import TABLE_SCHEMAS
+from ..session import checkpoint_dir
 from ..sources.static import product_type
 
 
@@ -283,6 +284,7 @@ def normalize(raw: DataFrame, ids_unique: bool = True, parallelism: int = 4) ->
     concurrently and share the cluster.
     """
     cat = Catalog(raw, ids_unique)
+    checkpoint_dir(raw.sparkSession)  # resolve once, before any concurrent job
     if parallelism > 1:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             list(pool.map(cat.__getitem__, DIMENSIONS))
