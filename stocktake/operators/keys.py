@@ -6,28 +6,47 @@ ever funnelling the names through one task:
 1. ``distinct`` (partial aggregation map-side, one hash exchange);
 2. range-partition the *distinct* names and sort inside each partition;
 3. checkpoint to the shared folder, which pins the range boundaries and the
-   row order so every later read (and any re-execution after an executor
+   row order, so every later read (and any re-execution after an executor
    loss) sees the same layout;
 4. position inside the partition from ``monotonically_increasing_id`` (its
    low 33 bits are the row number within the partition);
-5. per-partition row counts -> running offsets. That table has one row per
-   partition, so it is bounded by the partition count and safe to broadcast.
+5. per-partition row counts and name bytes (one small row per partition, the
+   same step ``RDD.zipWithIndex`` runs) give each partition's key offset; the
+   offsets go back into the plan as a literal array indexed by partition.
+
+The measured size also decides the join strategy for the dimension: at or
+under the session's ``spark.sql.autoBroadcastJoinThreshold`` the result
+carries a broadcast hint (a proven bound, not an estimate), above it the
+dimension joins by sort-merge with AQE's skew handling.
 
-The only single-partition step runs over that bounded offsets table.
 ``hash_keys`` is the lookup-free alternative (stable across runs, not dense).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from itertools import accumulate
+
+from pyspark.sql import DataFrame, functions as F
 
 from ..session import checkpoint_dir
 
 _ROW_BITS = 33
+_KEY_BYTES = 8  # the bigint key stored next to each name
+
+
+def _broadcast_limit(spark) -> int:
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    text = str(raw).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+             "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if text.endswith(suffix) and text[: -len(suffix)].strip().lstrip("-").isdigit():
+            return int(text[: -len(suffix)]) * units[suffix]
+    return int(text)
 
 
 def dense_keys(df: DataFrame, name_col: str, key_col: str,
-               num_partitions: int | None = None) -> DataFrame:
+               num_partitions: int | None = None, allow_broadcast: bool = True) -> DataFrame:
     """Return ``(key_col, name_col)`` with one dense key per distinct non-NULL name."""
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -37,16 +56,26 @@ def dense_keys(df: DataFrame, name_col: str, key_col: str,
     ranged = (names.repartitionByRange(num_partitions, F.col(name_col))
               .sortWithinPartitions(name_col)
               .checkpoint(eager=True))
-    pid = F.spark_partition_id().cast("long")
-    positioned = ranged.select(
-        F.col(name_col),
-        pid.alias("_pid"),
-        (F.monotonically_increasing_id() - F.shiftleft(pid, _ROW_BITS)).alias("_pos"))
-    counts = positioned.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (positioned.join(F.broadcast(offsets), "_pid")
-            .select((F.col("_off") + F.col("_pos") + F.lit(1)).alias(key_col), F.col(name_col)))
+    pid = F.spark_partition_id()
+    stats = (ranged.groupBy(pid.alias("_pid"))
+             .agg(F.count(F.lit(1)).alias("_n"), F.sum(F.octet_length(name_col)).alias("_b"))
+             .collect())  # one row per partition
+    n_parts = ranged.rdd.getNumPartitions()
+    counts = [0] * n_parts
+    name_bytes = 0
+    for row in stats:
+        counts[row["_pid"]] = row["_n"]
+        name_bytes += row["_b"] or 0
+    offsets = [0] + list(accumulate(counts))[:-1]
+    offset = F.element_at(F.array(*[F.lit(o) for o in offsets]), pid + 1)
+    position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), _ROW_BITS)
+    keyed = ranged.select((offset + position + F.lit(1)).cast("long").alias(key_col),
+                          F.col(name_col))
+    size = name_bytes + _KEY_BYTES * sum(counts)
+    limit = _broadcast_limit(spark)
+    if allow_broadcast and 0 <= limit and size <= limit:
+        return F.broadcast(keyed)
+    return keyed
 
 
 def hash_keys(df: DataFrame, name_col: str, key_col: str) -> DataFrame:

@@ -37,10 +37,23 @@ def test_dense_keys_plan_has_no_single_partition_over_names(spark):
     df = _names(spark, 200)
     keyed = dense_keys(df, "name", "k", num_partitions=4)
     plan = keyed._jdf.queryExecution().executedPlan().toString()
-    # The only single-partition step is the window over per-partition counts,
-    # which sits under the broadcast of the offsets table.
-    assert plan.count("SinglePartition") <= 1
-    assert "BroadcastExchange" in plan
+    # Offsets come from per-partition counts: no single-partition step at all.
+    assert "SinglePartition" not in plan and "Window" not in plan
+
+
+def test_dense_keys_broadcast_only_under_measured_threshold(spark):
+    df = _names(spark, 300)
+    small = dense_keys(df, "name", "k", num_partitions=3)
+    probe = df.select(F.col("name").alias("n2"))
+    joined = probe.join(small, probe["n2"] == small["name"])
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")  # bytes
+        big = dense_keys(df, "name", "k", num_partitions=3)
+        assert "ResolvedHint" not in big._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_hash_keys_unique(spark):
