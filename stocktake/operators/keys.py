@@ -60,7 +60,8 @@ def dense_keys(df: DataFrame, name_col: str, key_col: str,
     stats = (ranged.groupBy(pid.alias("_pid"))
              .agg(F.count(F.lit(1)).alias("_n"), F.sum(F.octet_length(name_col)).alias("_b"))
              .collect())  # one row per partition
-    n_parts = ranged.rdd.getNumPartitions()
+    # Empty partitions are absent from the stats and hold no rows to key.
+    n_parts = max([row["_pid"] for row in stats], default=0) + 1
     counts = [0] * n_parts
     name_bytes = 0
     for row in stats:

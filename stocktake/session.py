@@ -50,7 +50,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     gets a private temporary folder; a cluster session without it is an error,
     because a machine-local folder is not visible to other executors.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
