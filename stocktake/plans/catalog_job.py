@@ -26,11 +26,12 @@ from .normalize import Catalog, normalize
 
 
 def run(spark: SparkSession, csv_path: str, out_dir: str, strict: bool = True,
-        database: str | None = None, num_buckets: int = 0, multiline: bool = True) -> dict:
+        database: str | None = None, num_buckets: int = 0, multiline: bool = True,
+        keys: str = "dense") -> dict:
     out_dir = out_dir.rstrip("/")
     raw = csv_stage.stage_to_parquet(spark, csv_path, tables.table_path(out_dir, "raw"),
                                      multiline=multiline)
-    built = normalize(raw)
+    built = normalize(raw, keys=keys)
     if database:
         tables.save_tables(built, database, num_buckets or int(
             spark.conf.get("spark.sql.shuffle.partitions")))
@@ -57,12 +58,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--database", help="save tables to this catalog database, bucketed")
     ap.add_argument("--buckets", type=int, default=0, help="bucket count for title tables")
     ap.add_argument("--no-strict", action="store_true", help="report violations, do not fail")
+    ap.add_argument("--keys", choices=["dense", "hash"], default="dense",
+                    help="dense surrogate keys (joins) or hash keys (no dimension joins)")
     ap.add_argument("--single-line", action="store_true",
                     help="no field holds a newline: files are split across tasks")
     args = ap.parse_args(argv)
     spark = build_session()
     run(spark, args.csv, args.out, strict=not args.no_strict, database=args.database,
-        num_buckets=args.buckets, multiline=not args.single_line)
+        num_buckets=args.buckets, multiline=not args.single_line, keys=args.keys)
 
 
 if __name__ == "__main__":

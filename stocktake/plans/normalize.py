@@ -17,13 +17,13 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from ..functions import clean
 from ..operators.dedupe import entity_from_columns
 from ..operators.joins import lookup_key, restrict_to
-from ..operators.keys import dense_keys
+from ..operators.keys import dense_keys, hash_keys
 from ..schemas import TABLE_SCHEMAS
 from ..session import checkpoint_dir
 from ..sources.static import product_type
@@ -74,34 +74,53 @@ DIMENSION_SPECS = {
 }
 
 
-def build_dimension(raw: DataFrame, name: str) -> DataFrame:
+KEY_MODES = ("dense", "hash")
+
+
+def build_dimension(raw: DataFrame, name: str, keys: str = "dense") -> DataFrame:
+    """Distinct names with keys: ``dense`` (1..N in name order, looked up by
+    the fact builders) or ``hash`` (``xxhash64(name)``, computed in place by
+    the fact builders, so they need no join; the quality job's key check
+    catches a collision)."""
     names, name_col, key_col = DIMENSION_SPECS[name]
+    if keys == "hash":
+        return hash_keys(names(raw), name_col, key_col)
+    if keys != "dense":
+        raise ValueError(f"keys must be one of {KEY_MODES}")
     return dense_keys(names(raw), name_col, key_col)
 
 
-def build_party(raw: DataFrame) -> DataFrame:
-    return build_dimension(raw, "party")
+def name_key(name) -> Column:
+    """The ``hash`` key of a name (NULL stays NULL)."""
+    c = F.col(name) if isinstance(name, str) else name
+    return F.when(c.isNotNull(), F.xxhash64(c))
+
 
+def build_party(raw: DataFrame, keys: str = "dense") -> DataFrame:
+    return build_dimension(raw, "party", keys)
 
-def build_os_platform(raw: DataFrame) -> DataFrame:
-    return build_dimension(raw, "os_platform")
 
+def build_os_platform(raw: DataFrame, keys: str = "dense") -> DataFrame:
+    return build_dimension(raw, "os_platform", keys)
 
-def build_genre(raw: DataFrame) -> DataFrame:
-    return build_dimension(raw, "genre")
 
+def build_genre(raw: DataFrame, keys: str = "dense") -> DataFrame:
+    return build_dimension(raw, "genre", keys)
 
-def build_promotion(raw: DataFrame) -> DataFrame:
-    return build_dimension(raw, "promotion")
+
+def build_promotion(raw: DataFrame, keys: str = "dense") -> DataFrame:
+    return build_dimension(raw, "promotion", keys)
 
 
 # --- core entity --------------------------------------------------------------
 
-def build_inventory(raw: DataFrame, party: DataFrame) -> DataFrame:
+def build_inventory(raw: DataFrame, party: DataFrame | None, keys: str = "dense") -> DataFrame:
     """Typed titles with publisher and developer looked up in ``party``.
 
     One row in, one row out: ``party.name`` is unique, and a name without a
-    party gives a NULL key (left lookup).
+    party gives a NULL key (left lookup). With ``keys="hash"`` the keys are
+    computed from the names in place (every non-NULL name is a party by
+    construction), so no join is needed and ``party`` may be None.
     """
     typed = raw.where(F.col("id").isNotNull()).select(
         F.col("id").cast("long").alias("title_id"),
@@ -117,8 +136,12 @@ def build_inventory(raw: DataFrame, party: DataFrame) -> DataFrame:
         F.col("developer"),
         F.col("type").cast("int").alias("type_id"),
     )
-    typed = lookup_key(typed, party, "publisher", "name", "party_id", "publisher_id")
-    typed = lookup_key(typed, party, "developer", "name", "party_id", "developer_id")
+    if keys == "hash":
+        typed = typed.withColumn("publisher_id", name_key("publisher")) \
+                     .withColumn("developer_id", name_key("developer"))
+    else:
+        typed = lookup_key(typed, party, "publisher", "name", "party_id", "publisher_id")
+        typed = lookup_key(typed, party, "developer", "name", "party_id", "developer_id")
     return typed.select("title_id", "title", "slug", "release_date", "age_limit", "is_game",
                         "is_movie", "buyable", "support_url", "publisher_id", "developer_id",
                         "type_id")
@@ -166,8 +189,8 @@ def build_rating(raw: DataFrame, inventory: DataFrame | None = None) -> DataFram
     return _restrict_to_inventory(rows, inventory)
 
 
-def build_discount_status(raw: DataFrame, promotion: DataFrame,
-                          inventory: DataFrame | None = None) -> DataFrame:
+def build_discount_status(raw: DataFrame, promotion: DataFrame | None,
+                          inventory: DataFrame | None = None, keys: str = "dense") -> DataFrame:
     """Discount rows for titles whose trimmed promo id names a promotion.
 
     ``is_discounted``: a positive percentage, else the trimmed raw flag, else
@@ -183,8 +206,14 @@ def build_discount_status(raw: DataFrame, promotion: DataFrame,
                       F.trim(F.col("promoid")).alias("_promo"),
                       pct.alias("discount_percentage"), diff.alias("discount_difference"),
                       is_discounted.alias("is_discounted"))
-    rows = lookup_key(rows, promotion, "_promo", "promo_name", "promo_id", "promo_id",
-                      how="inner")
+    if keys == "hash":
+        # The inner join keeps exactly the rows whose trimmed id is a promotion
+        # name, i.e. non-blank ones.
+        rows = rows.where(F.col("_promo").isNotNull() & (F.col("_promo") != "")) \
+                   .withColumn("promo_id", name_key("_promo"))
+    else:
+        rows = lookup_key(rows, promotion, "_promo", "promo_name", "promo_id", "promo_id",
+                          how="inner")
     rows = _restrict_to_inventory(rows, inventory)
     return rows.select("title_id", "promo_id", "discount_percentage", "discount_difference",
                        "is_discounted")
@@ -192,8 +221,9 @@ def build_discount_status(raw: DataFrame, promotion: DataFrame,
 
 # --- bridges ------------------------------------------------------------------
 
-def build_title_genre(raw: DataFrame, genre: DataFrame, inventory: DataFrame | None = None,
-                      ids_unique: bool = True) -> DataFrame:
+def build_title_genre(raw: DataFrame, genre: DataFrame | None,
+                      inventory: DataFrame | None = None, ids_unique: bool = True,
+                      keys: str = "dense") -> DataFrame:
     """(title, genre) pairs from the list text, matched on the folded name.
 
     Items are folded and de-duplicated inside each row before the explode, so
@@ -204,20 +234,30 @@ def build_title_genre(raw: DataFrame, genre: DataFrame, inventory: DataFrame | N
     items = F.array_distinct(F.transform(clean.text_list_items("genres"), clean.fold_name))
     rows = raw.select(F.col("id").cast("long").alias("title_id"),
                       F.explode(items).alias("_name"))
-    rows = lookup_key(rows, genre, "_name", "genre_name", "genre_id", "genre_id", how="inner")
+    if keys == "hash":
+        # Every non-blank folded item is a genre name by construction.
+        rows = rows.where(F.col("_name") != "").withColumn("genre_id", name_key("_name"))
+    else:
+        rows = lookup_key(rows, genre, "_name", "genre_name", "genre_id", "genre_id",
+                          how="inner")
     rows = _restrict_to_inventory(rows, inventory).select("title_id", "genre_id")
     return rows if ids_unique else rows.dropDuplicates(["title_id", "genre_id"])
 
 
-def build_title_os(raw: DataFrame, os_platform: DataFrame, inventory: DataFrame | None = None,
-                   ids_unique: bool = True) -> DataFrame:
+def build_title_os(raw: DataFrame, os_platform: DataFrame | None,
+                   inventory: DataFrame | None = None, ids_unique: bool = True,
+                   keys: str = "dense") -> DataFrame:
     """(title, os) pairs from the JSON-ish OS lists; blank lists are skipped."""
     src = F.col("supportedoperatingsystems")
     lists = raw.where(src.isNotNull() & (F.trim(src) != ""))
     items = F.array_distinct(clean.json_list_items(src))
     rows = lists.select(F.col("id").cast("long").alias("title_id"),
                         F.explode(items).alias("_name"))
-    rows = lookup_key(rows, os_platform, "_name", "os_name", "os_id", "os_id", how="inner")
+    if keys == "hash":
+        # Every non-NULL item of a non-blank list is a platform name.
+        rows = rows.where(F.col("_name").isNotNull()).withColumn("os_id", name_key("_name"))
+    else:
+        rows = lookup_key(rows, os_platform, "_name", "os_name", "os_id", "os_id", how="inner")
     rows = _restrict_to_inventory(rows, inventory).select("title_id", "os_id")
     return rows if ids_unique else rows.dropDuplicates(["title_id", "os_id"])
 
@@ -238,27 +278,39 @@ class Catalog:
     """
 
     _BUILD = {
-        "party": lambda c: build_party(c.raw),
+        "party": lambda c: build_party(c.raw, c.keys),
         "product_type": lambda c: product_type(c.raw.sparkSession),
-        "inventory": lambda c: build_inventory(c.raw, c["party"]),
-        "os_platform": lambda c: build_os_platform(c.raw),
-        "genre": lambda c: build_genre(c.raw),
-        "promotion": lambda c: build_promotion(c.raw),
+        "inventory": lambda c: build_inventory(c.raw, c._dim("party"), c.keys),
+        "os_platform": lambda c: build_os_platform(c.raw, c.keys),
+        "genre": lambda c: build_genre(c.raw, c.keys),
+        "promotion": lambda c: build_promotion(c.raw, c.keys),
         # Status tables and bridges restrict to the inventory built from the
         # same staging frame (inventory=None, see _restrict_to_inventory).
         "pricing": lambda c: build_pricing(c.raw),
         "rating": lambda c: build_rating(c.raw),
-        "discount_status": lambda c: build_discount_status(c.raw, c["promotion"]),
-        "title_genre": lambda c: build_title_genre(c.raw, c["genre"], None, c.ids_unique),
-        "title_os": lambda c: build_title_os(c.raw, c["os_platform"], None, c.ids_unique),
+        "discount_status": lambda c: build_discount_status(c.raw, c._dim("promotion"), None,
+                                                           c.keys),
+        "title_genre": lambda c: build_title_genre(c.raw, c._dim("genre"), None, c.ids_unique,
+                                                   c.keys),
+        "title_os": lambda c: build_title_os(c.raw, c._dim("os_platform"), None, c.ids_unique,
+                                             c.keys),
     }
     names = tuple(_BUILD)
 
-    def __init__(self, raw: DataFrame, ids_unique: bool = True):
+    def __init__(self, raw: DataFrame, ids_unique: bool = True, keys: str = "dense"):
+        """``keys``: ``dense`` surrogate keys (looked up by joins) or ``hash``
+        keys (computed in place: the fact tables need no dimension join)."""
+        if keys not in KEY_MODES:
+            raise ValueError(f"keys must be one of {KEY_MODES}")
         self.raw = raw
         self.ids_unique = ids_unique
+        self.keys = keys
         self._built: dict[str, DataFrame] = {}
 
+    def _dim(self, name: str) -> DataFrame | None:
+        """The dimension a fact builder looks keys up in (none needed for hash keys)."""
+        return None if self.keys == "hash" else self[name]
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
             self._built[name] = conform(self._BUILD[name](self), TABLE_SCHEMAS[name])
@@ -274,7 +326,8 @@ class Catalog:
 DIMENSIONS = ("party", "os_platform", "genre", "promotion")
 
 
-def normalize(raw: DataFrame, ids_unique: bool = True, parallelism: int = 4) -> dict[str, DataFrame]:
+def normalize(raw: DataFrame, ids_unique: bool = True, parallelism: int = 4,
+              keys: str = "dense") -> dict[str, DataFrame]:
     """Build all eleven typed tables from the staging frame.
 
     The staging frame should be Parquet-backed (see
@@ -283,7 +336,7 @@ def normalize(raw: DataFrame, ids_unique: bool = True, parallelism: int = 4) ->
     are independent, so their (eager, checkpointed) key jobs are submitted
     concurrently and share the cluster.
     """
-    cat = Catalog(raw, ids_unique)
+    cat = Catalog(raw, ids_unique, keys)
     checkpoint_dir(raw.sparkSession)  # resolve once, before any concurrent job
     if parallelism > 1:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
