@@ -17,12 +17,12 @@ under the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.dedupe import fresh_keys
-from ..plans.normalize import DIMENSION_SPECS
+from ..plans.normalize import DIMENSION_SPECS, name_key
 from ..schemas import RAW_SCHEMA, TABLE_SCHEMAS
 from ..session import checkpoint_dir
 from ..sources.csv_stage import READ_OPTIONS
@@ -37,20 +37,30 @@ def _stored(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def merge_dimensions(batch: DataFrame, tables_dir: str,
-                     dimensions: tuple[str, ...] = tuple(DIMENSION_SPECS)) -> None:
-    """Insert-if-absent of one batch's names into the stored dimension tables."""
+                     dimensions: tuple[str, ...] = tuple(DIMENSION_SPECS),
+                     keys: str = "dense") -> None:
+    """Insert-if-absent of one batch's names into the stored dimension tables.
+
+    ``keys="dense"`` numbers new names after the stored maximum;
+    ``keys="hash"`` keys them by ``xxhash64(name)``, which needs no maximum.
+    """
     spark = batch.sparkSession
     for name in dimensions:
         names, name_col, key_col = DIMENSION_SPECS[name]
         path = table_path(tables_dir, name)
         existing = _stored(spark, path, name)
-        fresh = fresh_keys(existing, names(batch), name_col, key_col)
+        if keys == "hash":
+            fresh = (names(batch).join(existing.select(name_col), name_col, "left_anti")
+                     .select(name_key(name_col).alias(key_col), F.col(name_col)))
+        else:
+            fresh = fresh_keys(existing, names(batch), name_col, key_col)
         fresh.select(key_col, name_col).write.mode("append").parquet(path)
 
 
 def start_listing_stream(spark: SparkSession, source_dir: str, tables_dir: str,
                          name: str = "listing", available_now: bool = True,
-                         max_files_per_trigger: int | None = None) -> StreamingQuery:
+                         max_files_per_trigger: int | None = None,
+                         keys: str = "dense") -> StreamingQuery:
     """Watch ``source_dir`` for listing CSV files; stage and merge each batch."""
     reader = spark.readStream.schema(RAW_SCHEMA).options(**READ_OPTIONS)
     if max_files_per_trigger:
@@ -62,7 +72,7 @@ def start_listing_stream(spark: SparkSession, source_dir: str, tables_dir: str,
         batch = batch.persist()
         try:
             batch.write.mode("append").parquet(bronze)
-            merge_dimensions(batch, tables_dir)
+            merge_dimensions(batch, tables_dir, keys=keys)
         finally:
             batch.unpersist()
 

@@ -54,3 +54,14 @@ def test_replayed_batch_adds_nothing(spark):
     merge_dimensions(batch, out)
     party = spark.read.parquet(table_path(out, "party"))
     assert party.count() == 4 and party.select("name").distinct().count() == 4
+
+
+def test_replayed_batch_adds_nothing_hash_keys(spark):
+    from pyspark.sql import functions as F
+    out = scratch_path(spark, "merge-hash")
+    batch = raw_frame(spark)
+    merge_dimensions(batch, out, keys="hash")
+    merge_dimensions(batch, out, keys="hash")
+    party = spark.read.parquet(table_path(out, "party"))
+    assert party.count() == 4
+    assert party.where(F.col("party_id") != F.xxhash64("name")).count() == 0
