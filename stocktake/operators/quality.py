@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from .joins import exclude
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -28,8 +29,7 @@ def null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose non-NULL ``fk`` has no parent (NULL references are allowed)."""
-    keys = parent.select(F.col(pk).alias("_pk"))
-    return child.where(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("_pk"), "left_anti")
+    return exclude(child.where(F.col(fk).isNotNull()), parent, fk, pk)
 
 
 _REPORT_SCHEMA = T.StructType([
