@@ -26,7 +26,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
     On a cluster pass ``master=None`` and let ``spark-submit`` decide; the
     shuffle partition count should then be sized to the data (about
-    128-256 MB of shuffle output per partition), not to the core count.
+    128-256 MB of shuffle output per partition), not to the core count, and
+    ``spark.sql.files.maxPartitionBytes`` (default 128 MB) bounds each scan
+    task; AQE coalesces small shuffle partitions and splits skewed ones.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:

@@ -67,3 +67,18 @@ def test_platform_breadth(cat):
 def test_all_reports_run(cat):
     for name, report in analytics.REPORTS.items():
         assert report(cat).columns, name
+
+
+def test_order_desc_nulls_first(spark):
+    from stocktake.plans import registry
+    from tests.conftest import SF_SMALL
+    registry.load_all()
+    df = registry.QUERIES["f_order_nulls_first"](spark, SF_SMALL)
+    import re
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"returned_qty#\d+ DESC NULLS FIRST", plan)
+    qty = [r.returned_qty for r in df.collect()]
+    nulls = [q for q in qty if q is None]
+    assert qty[:len(nulls)] == nulls                      # NULLs (if any) come first
+    rest = qty[len(nulls):]
+    assert rest == sorted(rest, reverse=True)             # then descending
