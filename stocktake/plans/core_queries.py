@@ -51,7 +51,7 @@ _STAGE_EXTRA = {
 def _a1_sql() -> str:
     cols = []
     for c in schemas.RAW_COLUMNS:
-        typ = "INTEGER" if c in ("id", "type") else "VARCHAR"
+        typ = {"id": "BIGINT", "type": "INTEGER"}.get(c, "VARCHAR")
         expr = f"x.{c}" if c in LISTING_COLUMNS else _STAGE_EXTRA.get(c, "NULL")
         cols.append(f"CAST({expr} AS {typ}) AS {c}")
     inner = listing_sql().replace("SELECT\n", "SELECT p_partkey, p_name, p_brand,\n", 1)
@@ -64,7 +64,7 @@ def a1_csv_stage(spark: SparkSession, base: str) -> DataFrame:
     under the declared staging schema."""
     src = listing(spark, base)
     part = _t(spark, base, "part").select("p_partkey", "p_name", "p_brand")
-    extra = part.select(F.col("p_partkey").cast("int").alias("_id"),
+    extra = part.select(F.col("p_partkey").alias("_id"),
                         *[F.expr(e).alias(n) for n, e in _STAGE_EXTRA.items()])
     wide = src.join(extra, src["id"] == extra["_id"], "left")
     cols = [(F.col(c) if c in wide.columns else F.lit(None)).cast(f.dataType).alias(c)

@@ -23,7 +23,7 @@ _W1 = "split_part(p_name, ' ', 1)"
 _W2 = "split_part(p_name, ' ', 2)"
 
 LISTING_COLUMNS: dict[str, str] = {
-    "id": "CAST(p_partkey AS INT)",
+    "id": "CAST(p_partkey AS BIGINT)",
     "developer": f"""CASE WHEN p_partkey % 11 = 0 THEN NULL
         WHEN p_partkey % 13 = 0 THEN ' ' || {_DEV} ELSE {_DEV} END""",
     "publisher": f"""CASE WHEN p_partkey % 17 = 0 THEN NULL

@@ -26,10 +26,12 @@ RAW_COLUMNS = [
     "dateglobal", "datereleasedate",
 ]
 
-_RAW_INT = {"id", "type"}
+# ``id`` is widened from the source's INTEGER to bigint (title ids of a
+# 100 TB listing exceed 2^31); ``type`` stays an integer code.
+_RAW_TYPES = {"id": T.LongType(), "type": T.IntegerType()}
 
 RAW_SCHEMA = T.StructType([
-    T.StructField(name, T.IntegerType() if name in _RAW_INT else T.StringType(),
+    T.StructField(name, _RAW_TYPES.get(name, T.StringType()),
                   nullable=name not in ("id", "title"))
     for name in RAW_COLUMNS
 ])
