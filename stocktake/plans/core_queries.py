@@ -164,11 +164,9 @@ GROUP BY dim.priority_id, dim.name""")
 def c2_computed_key_join(spark, base):
     src = _t(spark, base, "orders").select("o_orderkey", F.expr(_PADDED_PRIORITY).alias("prio"))
     dim = dense_keys(src.select(F.trim("prio").alias("name")), "name", "priority_id")
-    rows = lookup_key(src, dim, F.trim(F.col("prio")), "name", "priority_id", "priority_id",
-                      how="inner")
-    rows = rows.join(dim.select("priority_id", F.col("name").alias("priority_name")),
-                     "priority_id")
-    return rows.groupBy("priority_id", "priority_name").agg(
+    # Inner join on a computed key: the trimmed text equals the dimension name.
+    rows = src.join(dim, F.trim(F.col("prio")) == F.col("name"))
+    return rows.groupBy("priority_id", F.col("name").alias("priority_name")).agg(
         F.count("o_orderkey").alias("order_count"))
 
 
