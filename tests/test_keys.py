@@ -79,3 +79,13 @@ def test_percentile_methods_agree_on_skewed_groups(spark):
         assert split == window
         assert {k: p for k, (_, p) in split.items()} == builtin
         assert "nulls" not in split and split["hot"][0] == 6000
+
+
+def test_approx_percentile_close_to_exact(spark):
+    from stocktake.operators.aggregates import approx_percentile, grouped_percentile
+    df = spark.range(0, 20001).select((F.col("id") % 3).alias("k"),
+                                      F.col("id").cast("double").alias("v"))
+    exact = {r.k: r.p for r in grouped_percentile(df, ["k"], "v", 0.5, "p").collect()}
+    approx = {r.k: r.p for r in df.groupBy("k").agg(approx_percentile("v").alias("p")).collect()}
+    for k in exact:
+        assert abs(exact[k] - approx[k]) <= 0.01 * 20000

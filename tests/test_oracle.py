@@ -36,6 +36,12 @@ def test_query_matches_oracle(spark, duck, name):
     # Plan shape: no cartesian product or nested-loop join anywhere.
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    # A single-partition exchange may only carry partial aggregates (one row
+    # per task), never unaggregated rows.
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "SinglePartition" in line:
+            assert "partial_" in lines[i + 1], lines[i + 1]
     # Decimal results are reported as DOUBLE (see registry.DECIMAL_AS_DOUBLE).
     if name != "a1_csv_stage":
         assert not any(isinstance(f.dataType, T.DecimalType) for f in df.schema.fields)
