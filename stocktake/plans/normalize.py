@@ -11,6 +11,18 @@ Dependency order (every table is a pure function of the staging frame):
 Each builder projects only the staging columns it needs first, so a Parquet
 staging table is scanned column-pruned. Dimensions are checkpointed by
 :func:`~stocktake.operators.keys.dense_keys`, which also cuts their lineage.
+
+Two key modes (``Catalog(raw, keys=...)``):
+
+* ``dense`` (default): keys 1..N in name order; the fact builders look them
+  up with joins (broadcast when the measured dimension is small, otherwise
+  sort-merge with AQE skew splitting).
+* ``hash``: ``xxhash64(name)``; the fact builders compute keys in place, so
+  inventory, discount status and the bridges need no join and no shuffle.
+
+Restricting the status tables and bridges to inventory's titles is a filter
+when inventory comes from the same staging frame (see
+:func:`_restrict_to_inventory`).
 """
 
 from __future__ import annotations
