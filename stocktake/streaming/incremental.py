@@ -4,14 +4,16 @@ The source loads its dimensions with insert-if-absent semantics (``ON CONFLICT
 DO NOTHING``): names already present keep their key, new names are added. As
 a stream, every micro-batch of newly arrived CSV files is
 
-1. appended to the Parquet staging (bronze) table, and
+1. written to the Parquet staging (bronze) table as its own ``epoch=<id>``
+   partition (overwritten if the batch is replayed), and
 2. merged into each keyed dimension table: the batch's distinct names,
    anti-joined with the stored dimension, get dense keys after its current
    maximum and are appended.
 
-Step 2 is idempotent: a re-run of the same batch finds its names already
-stored and appends nothing, so a retried micro-batch (after an executor or
-driver loss) cannot create duplicate names. The stream's own checkpoint lives
+Both steps are idempotent: a re-run of the same batch rewrites its own
+staging partition, and finds its names already stored and appends nothing,
+so a retried micro-batch (after an executor or driver loss) creates neither
+duplicate rows nor duplicate names. The stream's own checkpoint lives
 under the shared ``spark.checkpoint.dir``.
 """
 
@@ -57,6 +59,20 @@ def merge_dimensions(batch: DataFrame, tables_dir: str,
         fresh.select(key_col, name_col).write.mode("append").parquet(path)
 
 
+def process_batch(batch: DataFrame, epoch_id: int, tables_dir: str,
+                  keys: str = "dense") -> None:
+    """Stage one micro-batch and merge its dimension names (idempotent)."""
+    bronze = table_path(tables_dir, "raw")
+    batch = batch.persist()
+    try:
+        # One folder per micro-batch, overwritten on replay: a batch re-run
+        # after a failure replaces its own rows instead of adding them again.
+        batch.write.mode("overwrite").parquet(f"{bronze}/epoch={epoch_id}")
+        merge_dimensions(batch, tables_dir, keys=keys)
+    finally:
+        batch.unpersist()
+
+
 def start_listing_stream(spark: SparkSession, source_dir: str, tables_dir: str,
                          name: str = "listing", available_now: bool = True,
                          max_files_per_trigger: int | None = None,
@@ -66,15 +82,9 @@ def start_listing_stream(spark: SparkSession, source_dir: str, tables_dir: str,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.csv(source_dir)
-    bronze = table_path(tables_dir, "raw")
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            batch.write.mode("append").parquet(bronze)
-            merge_dimensions(batch, tables_dir, keys=keys)
-        finally:
-            batch.unpersist()
+        process_batch(batch, epoch_id, tables_dir, keys)
 
     ckpt = f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}"
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", ckpt)

@@ -65,3 +65,14 @@ def test_replayed_batch_adds_nothing_hash_keys(spark):
     party = spark.read.parquet(table_path(out, "party"))
     assert party.count() == 4
     assert party.where(F.col("party_id") != F.xxhash64("name")).count() == 0
+
+
+def test_replayed_micro_batch_is_idempotent(spark):
+    from stocktake.streaming.incremental import process_batch
+    out = scratch_path(spark, "replay")
+    batch = raw_frame(spark)
+    process_batch(batch, 0, out)
+    process_batch(batch, 0, out)          # the same epoch again, as after a failure
+    process_batch(raw_frame(spark, ROWS[:2]), 1, out)
+    assert spark.read.parquet(table_path(out, "raw")).count() == len(ROWS) + 2
+    assert spark.read.parquet(table_path(out, "party")).count() == 4
