@@ -8,7 +8,7 @@ SQL, with surrogate keys as ``row_number()`` in name order (the order
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import analytics
 from .listing import listing, listing_sql
@@ -316,3 +316,59 @@ def flagship(spark: SparkSession, base_dir: str) -> DataFrame:
 
 
 __all__ = ["CATALOG_CTES", "M_SQL", "catalog", "flagship"]
+
+
+# --- hash-key mode, compared key-free -------------------------------------------
+# Hash keys cannot be recomputed by the oracle, so these checks resolve every
+# foreign key of a hash-keyed fact table back to its dimension name; the SQL
+# twin does the same over its dense-keyed chain. Equal results mean the
+# in-place hash keys point at the right dimension rows.
+
+def _hash_catalog(spark: SparkSession, base_dir: str) -> Catalog:
+    return Catalog(listing(spark, base_dir), keys="hash")
+
+
+def _names_view(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, name: str,
+                alias: str, how: str = "inner") -> DataFrame:
+    """Replace ``fact_key`` by the dimension name it points at."""
+    d = dim.select(F.col(dim_key).alias("_k"), F.col(name).alias(alias))
+    return fact.join(d, fact[fact_key] == d["_k"], how).drop("_k", fact_key)
+
+
+@register("l3_inventory_hash", CATALOG_CTES + """SELECT i.title_id, pp.name AS publisher_name,
+  pd.name AS developer_name
+FROM inventory i
+LEFT JOIN party pp ON i.publisher_id = pp.party_id
+LEFT JOIN party pd ON i.developer_id = pd.party_id""")
+def l3_inventory_hash(spark, base_dir):
+    cat = _hash_catalog(spark, base_dir)
+    party = cat["party"]
+    inv = cat["inventory"].select("title_id", "publisher_id", "developer_id")
+    inv = _names_view(inv, party, "publisher_id", "party_id", "name", "publisher_name", "left")
+    return _names_view(inv, party, "developer_id", "party_id", "name", "developer_name", "left")
+
+
+@register("l9_discount_status_hash", CATALOG_CTES + """SELECT d.title_id, p.promo_name,
+  CAST(d.discount_percentage AS DOUBLE) AS discount_percentage, d.is_discounted
+FROM discount_status d JOIN promotion p ON d.promo_id = p.promo_id""")
+def l9_discount_status_hash(spark, base_dir):
+    cat = _hash_catalog(spark, base_dir)
+    ds = cat["discount_status"].select(
+        "title_id", "promo_id", F.col("discount_percentage").cast("double"), "is_discounted")
+    return _names_view(ds, cat["promotion"], "promo_id", "promo_id", "promo_name", "promo_name")
+
+
+@register("l10_title_genre_hash", CATALOG_CTES + """SELECT tg.title_id, g.genre_name
+FROM title_genre tg JOIN genre g ON tg.genre_id = g.genre_id""")
+def l10_title_genre_hash(spark, base_dir):
+    cat = _hash_catalog(spark, base_dir)
+    return _names_view(cat["title_genre"], cat["genre"], "genre_id", "genre_id", "genre_name",
+                       "genre_name")
+
+
+@register("l11_title_os_hash", CATALOG_CTES + """SELECT t.title_id, o.os_name
+FROM title_os t JOIN os_platform o ON t.os_id = o.os_id""")
+def l11_title_os_hash(spark, base_dir):
+    cat = _hash_catalog(spark, base_dir)
+    return _names_view(cat["title_os"], cat["os_platform"], "os_id", "os_id", "os_name",
+                       "os_name")
