@@ -17,6 +17,9 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    # Delete reliable checkpoints (dense keys, split percentiles) once their
+    # frames are garbage-collected, so the shared folder does not grow per job.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
