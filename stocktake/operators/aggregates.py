@@ -57,6 +57,8 @@ def grouped_percentile(df: DataFrame, keys: list[str], value: "str | Column",
     Groups whose values are all NULL do not appear. ``count_alias`` adds the
     number of non-NULL values per group (no extra pass).
     """
+    if not 0.0 <= fraction <= 1.0:
+        raise ValueError("fraction must be within [0, 1]")
     v = _c(value).cast("double")
     freq = (df.where(v.isNotNull())
             .groupBy(*[F.col(k) for k in keys], v.alias("_v"))

@@ -3,6 +3,7 @@ single-partition exchange over the names."""
 
 import random
 
+import pytest
 from pyspark.sql import Window, functions as F
 
 from stocktake.operators.keys import dense_keys, hash_keys
@@ -89,3 +90,10 @@ def test_approx_percentile_close_to_exact(spark):
     approx = {r.k: r.p for r in df.groupBy("k").agg(approx_percentile("v").alias("p")).collect()}
     for k in exact:
         assert abs(exact[k] - approx[k]) <= 0.01 * 20000
+
+
+def test_percentile_rejects_bad_fraction(spark):
+    from stocktake.operators.aggregates import grouped_percentile
+    df = spark.createDataFrame([("a", 1.0)], "k string, v double")
+    with pytest.raises(ValueError):
+        grouped_percentile(df, ["k"], "v", 1.5)
