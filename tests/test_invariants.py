@@ -44,3 +44,12 @@ def test_one_row_in_one_row_out(spark):
     assert cat["pricing"].count() == n
     assert cat["rating"].count() == n
     assert cat["inventory"].select("title_id").distinct().count() == n
+
+
+def test_keys_and_references_clean_after_normalise(spark):
+    from stocktake.operators import quality
+    raw = listing(spark, SF_SMALL)
+    cat = Catalog(raw)
+    report = quality.load_report({"raw": raw, **dict(cat.items())})
+    quality.assert_clean(report)
+    assert report.where("row_count = 0").count() == 0
