@@ -1,6 +1,6 @@
 """End-to-end batch job: stage the listing CSV, normalise, check, write, report.
 
-    spark-submit -m stocktake.plans.catalog_job --csv s3://.../listing/ --out s3://.../catalog
+    spark-submit --py-files stocktake.zip submit_catalog_job.py --csv s3://.../listing/ --out s3://.../catalog
 
 Steps (each output is overwritten, so a rerun is idempotent):
 
