@@ -68,7 +68,8 @@ def dense_keys(df: DataFrame, name_col: str, key_col: str,
         counts[row["_pid"]] = row["_n"]
         name_bytes += row["_b"] or 0
     offsets = [0] + list(accumulate(counts))[:-1]
-    offset = F.element_at(F.array(*[F.lit(o) for o in offsets]), pid + 1)
+    # One array literal (a single plan node, even for many thousand partitions).
+    offset = F.element_at(F.lit(offsets).cast("array<bigint>"), pid + 1)
     position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), _ROW_BITS)
     keyed = ranged.select((offset + position + F.lit(1)).cast("long").alias(key_col),
                           F.col(name_col))
