@@ -9,8 +9,10 @@ from tests.conftest import SF_SMALL
 import __spark_entry__ as entry  # noqa: E402
 from tools.oracle_check import TABLES, _rows
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+from stocktake.plans import registry  # noqa: E402
+
+registry.load_all()
+QUERIES, SQL = registry.QUERIES, registry.ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
@@ -54,6 +56,10 @@ def test_query_matches_oracle(spark, duck, name):
     assert _rows(cols, srows) == _rows(cols, drows)
 
 
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["publisher_name", "catalog_presence", "median_rating"]
