@@ -93,3 +93,58 @@ WHERE rank <= 5
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stocktake.llm.fingerprints import edited_pairs
     return edited_pairs(table(spark, sf_dir, "documents"))
+
+
+@register
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stocktake.llm.minhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), n=2, percent=80)
+
+
+ORACLE_SQL["op3_minhash_near_dedup"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN list_filter([array_to_string(w, ' ')], lambda x: x <> '')
+                               ELSE [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] END) AS s
+  FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM items a JOIN items b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.b) AS component_id, s.doc_id = min(r.b) AS kept
+FROM sets s JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.s
+"""
+
+
+@register
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stocktake.llm.substring_dedup import dedup_substrings
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_substrings(docs, n=35).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+ORACLE_SQL["op9_substring_dedup"] = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+spots AS (
+  SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+windows AS (
+  SELECT doc_id, i, w[i] AS word,
+         CASE WHEN i + 34 <= len(w) THEN array_to_string(w[i:i + 34], ' ') END AS win FROM spots),
+counted AS (
+  SELECT doc_id, i, word, win IS NOT NULL AND count(*) OVER (PARTITION BY win) > 1 AS repeated FROM windows),
+marked AS (
+  SELECT doc_id, i, word, coalesce(bool_or(repeated) OVER (
+           PARTITION BY doc_id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), false) AS gone
+  FROM counted)
+SELECT d.doc_id, count(m.i) AS n_words, count(m.i) FILTER (WHERE gone) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN marked m ON m.doc_id = d.doc_id GROUP BY d.doc_id
+"""
