@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stocktake.llm.common import table
+from stocktake.llm.common import id_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -148,3 +148,23 @@ SELECT d.doc_id, count(m.i) AS n_words, count(m.i) FILTER (WHERE gone) AS n_remo
        sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM documents d LEFT JOIN marked m ON m.doc_id = d.doc_id GROUP BY d.doc_id
 """
+
+
+@register
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stocktake.llm.language_id import fit, identify
+    docs = table(spark, sf_dir, "documents")
+    fold = F.coalesce(id_mod(F.col("doc_id"), 3) == 1, F.lit(False))
+    model = fit(docs, ~fold)
+    found = identify(docs, model)
+    return found.select("doc_id", fold.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+@register
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stocktake.llm.quality import fit, score
+    docs = table(spark, sf_dir, "documents")
+    fold = F.coalesce(id_mod(F.col("doc_id"), 5) == 0, F.lit(False))
+    model = fit(docs, table(spark, sf_dir, "labels"), "quality", ~fold)
+    return (score(docs, model)
+            .select("doc_id", fold.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")))
