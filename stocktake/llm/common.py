@@ -111,9 +111,13 @@ def rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int
     return (sums[ends] - sums[starts]) * inverse[starts]
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and the n + 1 word offsets of the n texts."""
-    inside = ~SPACE[data]
+def word_bounds(data: np.ndarray, offsets: np.ndarray,
+                gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and the n + 1 word offsets of the n texts.
+
+    ``gap`` marks the bytes that belong to no word.
+    """
+    inside = ~gap[data]
     first = np.ones(len(data) + 1, bool)  # is the byte before this one no part of the same word
     first[1:] = ~np.append(inside[:-1], False) if len(data) else True
     first[offsets] = True
@@ -128,8 +132,13 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every word of the texts, and the word offsets of the texts."""
     starts, ends, at = word_bounds(data, offsets)
+    return hash_spans(data, starts, ends), at
+
+
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes of each span."""
     h = rolling(BYTE_VALUE[data], starts, ends)
-    return mix64(h + (ends - starts).astype(np.uint64)), at
+    return mix64(h + (ends - starts).astype(np.uint64))
 
 
 def window_hashes(words: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +147,3 @@ def window_hashes(words: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray
     starts = np.repeat(at[:-1] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
     return mix64(rolling(words, starts, starts + n, BASE ^ (n << 8))), starts
 
-
-def arrow_rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[f.name], type=f.type, from_pandas=False) for f in schema], schema=schema)
