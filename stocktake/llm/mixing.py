@@ -15,9 +15,9 @@ window: ranks fall into ``BUCKETS`` ranges whose sums come from a grouped
 aggregate, and only rows of the range where the target lies are sorted.
 
 Defined results: a NULL or empty text has size 0, takes 0 words and stays in the
-result; NULL is a source of its own, last in order; a NULL id draws like an
-empty one; rows that agree in id and size are exchangeable. An empty table
-gives no rows.
+report; NULL is a source of its own, last in order; a NULL id draws like an
+empty one; rows of a source that agree in id and size are taken alike. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -64,45 +64,88 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, max
     return src.select("source", "source_size", "n_docs", target.alias("target"))
 
 
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    """``docs`` with its id, source, size and random number under names of this module."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return (docs.withColumn("__id", F.col(id_col)).withColumn("__source", F.col(source_col))
+            .withColumn("__size", F.regexp_count(text, F.lit(WORD)).cast("bigint"))
+            .withColumn("__u", uniform(F.col(id_col), seed)))
+
+
+def _ranked(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows with their source's row of ``plan``, the rank key, its range and its order.
+
+    The key is q / (1 + q) of the Pareto ratio q = u / (1 - u) / odds: the same
+    order, within (0, 1].
+    """
+    odds = (F.when(F.col("mean_size") > 0,
+                   F.col("part") / (1 - F.col("part")) * F.col("__size") / F.nullif(F.col("mean_size"), F.lit(0.0)))
+            .otherwise(0.0))
+    u = F.col("__u")
+    return (rows.join(plan, F.col("__source").eqNullSafe(F.col("s")))
+            .withColumn("__key", u / (u + odds * (1 - u)))
+            .withColumn("__bucket", F.least(F.floor(F.col("__key") * BUCKETS), F.lit(BUCKETS - 1)).cast("int"))
+            .withColumn("__order", F.struct("__key", "__id", "__size")))
+
+
+def mix_plan(rows: DataFrame, weights: tuple[int, ...], share: float, max_repeats: int) -> DataFrame:
+    """One row per source: its targets and where its order is cut.
+
+    ``rows`` is a narrow table of __id, __source, __size and __u.
+    """
+    size = F.nullif(F.col("source_size"), F.lit(0))
+    src = cut_lineage(
+        source_targets(rows.select(F.col("__source").alias("source"), F.col("__size").alias("size")), weights, share, max_repeats)
+        .withColumn("certain", F.coalesce(F.floor(F.col("target") / size), F.lit(0)).cast("bigint"))
+        .withColumn("rest", F.col("target") - F.col("certain") * F.col("source_size"))
+        .withColumn("part", F.coalesce(F.col("rest") / size, F.lit(0.0)))
+        .withColumn("mean_size", F.col("source_size") / F.col("n_docs"))
+        .withColumnRenamed("source", "s"))
+    ranked = _ranked(rows, src)
+    upto = F.sum("words").over(W.partitionBy("__source").orderBy("__bucket").rowsBetween(W.unboundedPreceding, W.currentRow))
+    edge = (ranked.groupBy("__source", "__bucket").agg(F.sum("__size").alias("words"), F.first("rest").alias("rest"))
+            .withColumn("upto", upto).where(F.col("upto") >= F.col("rest"))
+            .groupBy("__source").agg(F.min(F.struct("__bucket", (F.col("upto") - F.col("words")).alias("before"))).alias("e"))
+            .select(F.col("__source").alias("edge_s"), F.col("e.__bucket").alias("edge"), F.col("e.before").alias("before")))
+    # Only the range where the target lies is sorted.
+    in_edge = ranked.join(edge, F.col("__source").eqNullSafe(F.col("edge_s")) & (F.col("__bucket") == F.col("edge")))
+    ahead = (F.col("before") - F.col("__size")
+             + F.sum("__size").over(W.partitionBy("__source").orderBy("__order").rowsBetween(W.unboundedPreceding, W.currentRow)))
+    cut = (in_edge.withColumn("ahead", ahead).where(F.col("ahead") + F.col("__size") / 2 <= F.col("rest"))
+           .groupBy("__source").agg(F.max("__order").alias("cut")).withColumnRenamed("__source", "cut_s"))
+    return cut_lineage(src.join(edge, F.col("s").eqNullSafe(F.col("edge_s")), "left")
+                       .join(cut, F.col("s").eqNullSafe(F.col("cut_s")), "left")
+                       .select("s", "source_size", "target", "certain", "rest", "part", "mean_size", "edge", "cut"))
+
+
+def _with_copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    sampled = ((F.col("rest") > 0)
+               & (F.col("edge").isNull() | (F.col("__bucket") < F.col("edge"))
+                  | ((F.col("__bucket") == F.col("edge")) & F.coalesce(F.col("__order") <= F.col("cut"), F.lit(False)))))
+    return _ranked(rows, plan).withColumn("__copies", F.col("certain") + sampled.cast("bigint"))
+
+
+def _narrow(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    return cut_lineage(_sized(docs, id_col, text_col, source_col, seed).select("__id", "__source", "__size", "__u"))
+
+
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, max_repeats: int = 2,
                 seed: int = 0, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source") -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken for every document."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    sizes = cut_lineage(docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-        F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("size")))
-    # One row per source, kept so that its small windows run once.
-    src = cut_lineage(source_targets(sizes, weights, share, max_repeats)
-           .withColumn("certain", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0))))
-                       .otherwise(0).cast("bigint"))
-           .withColumn("rest", F.col("target") - F.col("certain") * F.col("source_size"))
-           .withColumn("part", F.coalesce(F.col("rest") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0)))
-           .withColumn("mean_size", F.col("source_size") / F.col("n_docs"))
-           .withColumnRenamed("source", "s"))
-    odds = F.when(F.col("mean_size") > 0, F.col("part") / (1 - F.col("part")) * F.col("size") / F.nullif(F.col("mean_size"), F.lit(0.0))).otherwise(0.0)
-    u = F.col("u")
-    rows = (sizes.withColumn("u", uniform(F.col("doc_id"), seed))
-            .join(src, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-            .withColumn("odds", odds)
-            # q / (1 + q) of the Pareto ratio q = u / (1 - u) / odds: the same order, within (0, 1]
-            .withColumn("rank_key", u / (u + F.col("odds") * (1 - u)))
-            .withColumn("bucket", F.least(F.floor(F.col("rank_key") * BUCKETS), F.lit(BUCKETS - 1)).cast("int")))
-    sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
-    edge = (sums.withColumn("upto", F.sum("words").over(W.partitionBy("source").orderBy("bucket")
-                                                        .rowsBetween(W.unboundedPreceding, W.currentRow)))
-            .where(F.col("upto") >= F.col("rest"))
-            .groupBy("source").agg(F.min(F.struct("bucket", (F.col("upto") - F.col("words")).alias("before"))).alias("e"))
-            .select(F.col("source").alias("s"), F.col("e.bucket").alias("edge"), F.col("e.before").alias("before")))
-    placed = rows.join(edge, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    # At the edge the order decides; NULL edge: the whole source is needed.
-    order = W.partitionBy("source").orderBy("rank_key", F.col("doc_id").asc_nulls_last(), "size")
-    at_edge = (placed.where("bucket = edge")
-               .withColumn("ahead", F.col("before") + F.sum("size").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("size"))
-               .withColumn("sampled", (F.col("ahead") + F.col("size") / 2 <= F.col("rest")) & (F.col("rest") > 0)))
-    rest = (placed.where("edge IS NULL OR bucket <> edge")
-            .withColumn("sampled", (F.col("rest") > 0) & F.coalesce(F.col("bucket") < F.col("edge"), F.lit(True))))
-    keep = ["doc_id", "source", "size", "source_size", "target",
-            (F.col("certain") + F.col("sampled").cast("bigint")).alias("copies")]
-    return (at_edge.select(*keep).unionByName(rest.select(*keep))
-            .withColumn("taken", F.col("copies") * F.col("size")))
+    rows = _narrow(docs, id_col, text_col, source_col, seed)
+    return (_with_copies(rows, mix_plan(rows, weights, share, max_repeats))
+            .select(F.col("__id").alias("doc_id"), F.col("__source").alias("source"), F.col("__size").alias("size"),
+                    "source_size", "target", F.col("__copies").alias("copies"),
+                    (F.col("__copies") * F.col("__size")).alias("taken")))
+
+
+def mixed_rows(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, max_repeats: int = 2,
+               seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken. Texts stay where they are."""
+    plan = mix_plan(_narrow(docs, id_col, text_col, source_col, seed), weights, share, max_repeats)
+    # The row travels as one struct, so its columns clash with none of the plan.
+    sized = (_sized(docs, id_col, text_col, source_col, seed)
+             .select(F.struct(*docs.columns).alias("__row"), "__id", "__source", "__size", "__u"))
+    return (_with_copies(sized, plan).where("__copies > 0")
+            .select("__row", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select("__row.*"))

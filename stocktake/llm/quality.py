@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stocktake.llm.common import SPACE, arrow_text, mix64, row_blocks, word_hashes
 
@@ -125,14 +126,16 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, learn_from: Column,
     return train([(np.frombuffer(b, np.int32), np.frombuffer(s, np.float32), int(label == 1)) for _, label, b, s in rows])
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) of every row."""
+def with_score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text") -> DataFrame:
+    """``docs`` with a column score; one of that name is replaced."""
     table, bias = model
-    kind = docs.schema[id_col].dataType.simpleString()
+    docs = docs.drop("score")
+    at_text = docs.columns.index(text_col)
+    names = [*docs.columns, "score"]
 
     def run(batches):
         for batch in batches:
-            data, offsets = arrow_text(batch.column(1))
+            data, offsets = arrow_text(batch.column(at_text))
             out = np.zeros(batch.num_rows)
             for low, high in row_blocks(offsets):
                 total, count = np.zeros(high - low), np.zeros(high - low)
@@ -141,7 +144,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_i
                     total += sums[at[1:]] - sums[at[:-1]]
                     count += np.diff(at)
                 out[low:high] = total / np.maximum(count, 1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(out + bias, -60, 60))))], names=[id_col, "score"])
+            score = pa.array(1 / (1 + np.exp(-np.clip(out + bias, -60, 60))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, score], names=names)
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, score double")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))

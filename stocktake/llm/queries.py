@@ -25,8 +25,7 @@ def register(fn):
 @register
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stocktake.llm.mixing import mix_sources
-    return (mix_sources(table(spark, sf_dir, "documents"))
-            .select("doc_id", "size", "source_size", "target", "taken"))
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 ORACLE_SQL["op5_source_mix"] = r"""
@@ -59,7 +58,7 @@ ranked AS (
   SELECT d.doc_id, d.size, s.source_size, s.target, s.certain, s.rest,
          sum(d.size) OVER (PARTITION BY s.source ORDER BY
            d.u / (d.u + CASE WHEN mean_size > 0 THEN part / (1 - part) * d.size / mean_size ELSE 0.0 END * (1 - d.u)),
-           d.doc_id NULLS LAST, d.size ROWS UNBOUNDED PRECEDING) - d.size AS ahead
+           d.doc_id NULLS FIRST, d.size ROWS UNBOUNDED PRECEDING) - d.size AS ahead
   FROM docs d JOIN split s ON d.source IS NOT DISTINCT FROM s.source)
 SELECT doc_id, size, source_size, target,
        (size * (certain + CASE WHEN rest > 0 AND ahead + size / 2 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken
@@ -162,11 +161,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from stocktake.llm.quality import fit, score
+    from stocktake.llm.quality import fit, with_score
     docs = table(spark, sf_dir, "documents")
     fold = F.coalesce(id_mod(F.col("doc_id"), 5) == 0, F.lit(False))
     model = fit(docs, table(spark, sf_dir, "labels"), "quality", ~fold)
-    return (score(docs, model)
+    return (with_score(docs.select("doc_id", "text"), model)
             .select("doc_id", fold.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")))
 
 
