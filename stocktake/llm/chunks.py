@@ -70,7 +70,7 @@ def add_up(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def collapse(batches):
     """Per task: a text once, its later copies as counts without text."""
     seen: set[bytes] = set()
-    for batch in batches:
+    for batch in (b.slice(low, 1000) for b in batches for low in range(0, b.num_rows, 1000)):
         digests = batch.column(1).to_pylist()
         copies: dict[bytes, int] = {}
         first: list[int] = []

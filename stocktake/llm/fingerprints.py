@@ -102,16 +102,20 @@ def edited_pairs(docs: DataFrame, k: int = SKETCH_SIZE, id_col: str = "doc_id",
     The edited form replaces the last third of the code points by the first as
     many of the next document in descending id.
     """
-    base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # Under one new name and filter on both sides of the joins below, the texts are shuffled once.
+    every = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    base = every.where("id IS NOT NULL")
     third = F.floor(F.length("text") / 3).cast("int")
-    need = base.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(third).alias("need"))
-    links = need.join(next_ids(need.select("doc_id")), "doc_id")
+    need = base.groupBy("id").agg(F.max(third).alias("need"))
+    links = need.withColumnRenamed("id", "doc_id").join(next_ids(need.select(F.col("id").alias("doc_id"))), "doc_id")
     # Each document hands its first code points and its sketch to the one before it.
-    given = (base.join(links.select(F.col("doc_id").alias("target"), "need", F.col("next_id").alias("doc_id")), "doc_id")
+    given = (base.join(links.select(F.col("doc_id").alias("target"), "need", F.col("next_id").alias("id")), "id")
              .select("target", F.struct(F.expr("substring(text, 1, need)").alias("head"),
                                         sketch(F.col("text"), k).alias("sketch")).alias("nxt"))
              .groupBy("target").agg(F.min("nxt").alias("nxt")))
-    rows = (base.join(given.withColumnRenamed("target", "doc_id"), "doc_id", "left")
+    paired = base.join(given.withColumnRenamed("target", "id"), "id", "left")
+    unplaced = every.where("id IS NULL").withColumn("nxt", F.lit(None).cast(paired.schema["nxt"].dataType))
+    rows = (paired.unionByName(unplaced).withColumnRenamed("id", "doc_id")
             .withColumn("n_chars", F.length("text").cast("bigint"))
             .withColumn("third", third)
             .withColumn("edited", F.concat(F.expr("substring(text, 1, cast(n_chars AS int) - third)"),

@@ -28,7 +28,7 @@ from stocktake.llm.common import LOWER, WORD, mix64, window_hashes, word_hashes
 
 # The factors after one step back, two, and three.
 BACKOFF = (0.4, 0.16, 0.064)
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 3 << 20
 
 
 def ngram_items(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
