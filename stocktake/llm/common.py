@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stocktake.session import checkpoint_dir
+from stocktake.session import scratch_path
 
 #: A word of the contracts: a run without space, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -23,9 +23,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder of the session and go on from the files.
+
+    Unlike a checkpoint, a written table has its true size, so an iteration's
+    joins are planned from what is left, not from a product of old estimates.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Bits of the filter below, as words of 64: a table of at most so many rows.
+FILTER_WORDS = 1 << 17
+
+
+def _filter_place(id_col: Column) -> Column:
+    return F.pmod(F.xxhash64(id_col), F.lit(64 * FILTER_WORDS))
+
+
+def split_by_ids(rows: DataFrame, ids: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` that may be among ``ids`` (one column) and rows that surely are not.
+
+    A bitmap of the hashed ids, a broadcast table of at most ``FILTER_WORDS``
+    small rows, sorts out the others in place, so only the first part need be
+    shuffled for an exact join. With very many ids it sorts out less and less.
+    """
+    place = _filter_place(F.col(id_col))
+    bits = (ids.select(_filter_place(F.col(ids.columns[0])).alias("p"))
+            .groupBy(F.shiftright("p", 6).alias("__word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 AS int))")).alias("__mask")))
+    marked = (rows.withColumn("__word", F.shiftright(place, 6)).withColumn("__bit", (place % 64).cast("int"))
+              .join(F.broadcast(bits), "__word", "left")
+              .withColumn("__hit", F.coalesce(F.getbit("__mask", "__bit") == 1, F.lit(False))))
+    drop = ["__word", "__bit", "__mask", "__hit"]
+    return marked.where("__hit").drop(*drop), marked.where("NOT __hit").drop(*drop)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

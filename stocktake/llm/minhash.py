@@ -9,12 +9,13 @@ coordinate with a probability equal to the sets' resemblance, with concentration
 as for independent permutations.
 
 Documents with equal sets form a class at once, by a digest of the set. Classes
-whose sketches agree in a band share a bucket. A bucket's leader is compared with
-its members on full sets, links are contracted into components, and only buckets
-that still hold several components go on, with more leaders in each round, until
-none is left: no pair of a bucket with members in different components stays
-unconfirmed, and no bucket is expanded into its pairs while its members already
-belong together.
+whose sketches agree in a band share a bucket. A bucket's leader is compared with its
+members on full sets and links are contracted into components. Only buckets that
+still hold several components go on, led by their members outside the largest
+one, until none is left: no pair of a bucket with members in different
+components stays undecided, and members that already belong together are not
+compared. Before texts are fetched, sizes and parities of the sets rule out pairs
+that cannot be similar, without loss.
 
 With 40 bands of 6 rows a pair at the threshold of 0.8 shares no bucket with a
 probability of 6e-6, less above it.
@@ -36,13 +37,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stocktake.llm.common import (LOWER, arrow_text, cut_lineage, mix64, rolling, row_blocks, window_hashes,
-                                  word_hashes)
+from stocktake.llm.common import (LOWER, arrow_text, cut_lineage, mix64, rolling, row_blocks, split_by_ids,
+                                  window_hashes, word_hashes)
 from stocktake.llm.components import components
 
 BANDS, ROWS = 40, 6
-#: Leaders of a bucket in the first round, and the factor to the next.
-FIRST_LEADERS, MORE_LEADERS = 1, 16
+#: Leaders of a bucket per round after the first.
+LEADERS = 256
+#: Words of 64 bits of the parities by which pairs are ruled out.
+PARITY_WORDS = 16
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> Iterator[np.ndarray]:
@@ -89,63 +92,90 @@ def fill_sketch(elements: np.ndarray, t: int) -> np.ndarray:
 
 
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()),
-                     ("bands", pa.list_(pa.int64()))])
+                     ("bands", pa.list_(pa.int64())), ("parity", pa.list_(pa.int64()))])
+
+
+def parity_bits(elements: np.ndarray) -> np.ndarray:
+    """How often each of 64 * PARITY_WORDS hash places is taken by the set, modulo 2."""
+    place = (elements >> np.uint64(17)).astype(np.int64) % (64 * PARITY_WORDS)
+    return np.packbits(np.bincount(place, minlength=64 * PARITY_WORDS).astype(np.uint8) & 1).view(np.int64)
 
 
 def sketches(docs: DataFrame, n: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Set size, set digest and band hashes of each row (columns doc_id, text)."""
+    """Set size, set digest, band hashes and parities of each row (columns doc_id, text)."""
     t = bands * rows
     salt = mix64(np.arange(1, t + 1, dtype=np.uint64))
 
     def run(batches):
         for batch in batches:
             data, offsets = arrow_text(batch.column(1))
-            size, k1, k2, found = [], [], [], []
+            size, k1, k2, found, parity = [], [], [], [], []
             for low, high in row_blocks(offsets):
                 own = offsets[low:high + 1] - offsets[low]
                 for s in shingle_sets(data[offsets[low]:offsets[high]], own, n):
                     size.append(len(s))
                     if not len(s):
-                        k1.append(None), k2.append(None), found.append(None)
+                        for column in (k1, k2, found, parity):
+                            column.append(None)
                         continue
+                    parity.append(parity_bits(s))
                     k1.append(int(mix64(s).sum().view(np.int64)))
                     k2.append(int(mix64(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum().view(np.int64)))
                     h = (fill_sketch(s, t) + salt) * (salt | np.uint64(1))
                     found.append(mix64(mix64(h).reshape(bands, rows).sum(axis=1)).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
-                 pa.array(found, pa.list_(pa.int64()))], schema=_SCHEMA)
-
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>")
+                 pa.array(found, pa.list_(pa.int64())), pa.array(parity, pa.list_(pa.int64()))], schema=_SCHEMA)
 
+    return docs.mapInArrow(
+        run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, parity array<long>")
 
-def full_sets(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, elements) of each row."""
-    def run(batches):
-        for batch in batches:
-            data, offsets = arrow_text(batch.column(1))
-            for low, high in row_blocks(offsets):
-                own = offsets[low:high + 1] - offsets[low]
-                sets = [s.view(np.int64) for s in shingle_sets(data[offsets[low]:offsets[high]], own, n)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[low:high], pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "elements"])
-
-    return docs.mapInArrow(run, "doc_id long, elements array<long>")
 
+def _can_link(percent: int) -> Column:
+    """Rules out, without loss, pairs (n, parity) and (an, aparity) below the similarity.
 
-def _can_link(a: Column, b: Column, percent: int) -> Column:
-    """The size bound: sets too different in size cannot reach the similarity."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+    Sizes must be near enough, and the sets may differ in at most
+    (100 - percent) / (100 + percent) of the sum of their sizes; the places where
+    their parities differ are never more than the elements in which the sets do.
+    """
+    differ = F.aggregate(F.zip_with("parity", "aparity", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    return ((F.least("n", "an") * 100 >= F.greatest("n", "an") * percent)
+            & (differ * (100 + percent) <= (F.col("n") + F.col("an")) * (100 - percent)))
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
+    """The pairs (a, b) whose full sets reach the similarity.
+
+    Texts travel rather than sets, being smaller; a task keeps the sets of the
+    texts that it met last.
+    """
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = full_sets(docs.join(wanted, "doc_id", "left_semi"), n)
-    both = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("sa")), "a")
-            .join(sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("sb")), "b")
-            .withColumn("common", F.size(F.array_intersect("sa", "sb"))))
-    return both.where(F.col("common") * 100 >= (F.size("sa") + F.size("sb") - F.col("common")) * percent).select("a", "b")
+    maybe, _ = split_by_ids(docs, wanted, "doc_id")
+    # Under a new name, so that Spark shuffles the texts once for both joins.
+    texts = maybe.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
+    both = (pairs.join(texts.select(F.col("id").alias("a"), F.col("body").alias("at")), "a")
+            .join(texts.select(F.col("id").alias("b"), F.col("body").alias("bt")), "b").select("a", "b", "at", "bt"))
+
+    def run(batches):
+        known: dict[str, np.ndarray] = {}
+
+        def elements(text: str) -> np.ndarray:
+            if text not in known:
+                if len(known) >= 64:
+                    known.clear()
+                data = np.frombuffer(text.encode(), np.uint8)
+                known[text] = next(shingle_sets(data, np.array([0, len(data)]), n))
+            return known[text]
+
+        for batch in batches:
+            linked = []
+            for a, b in zip(batch.column(2), batch.column(3)):
+                x, y = elements(a.as_py()), elements(b.as_py())
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                linked.append(common * 100 >= (len(x) + len(y) - common) * percent)
+            yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
+
+    return both.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
@@ -154,34 +184,42 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     drawn = cut_lineage(sketches(docs, n, bands, rows))
     classes = (drawn.where("n_shingles > 0").groupBy("k1", "k2")
-               .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+               .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"),
+                    F.first("bands").alias("bands"), F.first("parity").alias("parity"))
                .where("node IS NOT NULL"))
-    spread = (classes.select("node", "n", F.posexplode("bands"))
-              .select("node", "n", F.xxhash64("pos", "col").alias("bucket")))
+    spread = (classes.select("node", "k1", F.posexplode("bands"))
+              .select("node", "k1", F.xxhash64("pos", "col").alias("bucket")))
     shared = (spread.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket"))
-    live = cut_lineage(spread.join(shared, "bucket"))
-    links, found, leaders = None, None, FIRST_LEADERS
+    live = cut_lineage(spread.join(shared, "bucket").join(classes.select("node", "k1", "n", "parity"), ["node", "k1"])
+                       .select("bucket", "node", "n", "parity"))
+    first = live.groupBy("bucket").agg(F.min("node").alias("node"))
+    lead = live.join(first, ["bucket", "node"])
+    links, found = None, None
     while True:
-        by_bucket = W.partitionBy("bucket").orderBy("node")
-        lead = (live.withColumn("k", F.row_number().over(by_bucket)).where(F.col("k") <= leaders)
-                .select("bucket", F.col("node").alias("a"), F.col("n").alias("an"), *([F.col("c").alias("ac")] if found is not None else [])))
-        pairs = live.join(lead, "bucket").where((F.col("a") != F.col("node")) & _can_link(F.col("n"), F.col("an"), percent))
+        asked = lead.select("bucket", F.col("node").alias("a"), F.col("n").alias("an"), F.col("parity").alias("aparity"),
+                            *([] if found is None else [F.col("c").alias("ac")]))
+        pairs = live.join(asked, "bucket").where((F.col("a") != F.col("node")) & _can_link(percent))
         if found is not None:
             pairs = pairs.where("c <> ac")
         pairs = cut_lineage(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
-        new = confirmed(pairs, docs, n, percent)
-        links = cut_lineage(new if links is None else links.unionByName(new))
-        found = components(links)
+        new = cut_lineage(confirmed(pairs, docs, n, percent))
+        if links is None or not new.isEmpty():
+            links = new if links is None else links.unionByName(new)
+            found = components(links)
         # A bucket whose members are all in one component is settled; its leaders have met all members.
-        rest = (live.join(lead.select("bucket", F.col("a").alias("node")), ["bucket", "node"], "left_anti")
-                .select("bucket", "node", "n").join(found, "node", "left")
+        rest = (live.join(lead.select("bucket", "node"), ["bucket", "node"], "left_anti")
+                .select("bucket", "node", "n", "parity").join(found, "node", "left")
                 .withColumn("c", F.coalesce("component", "node")).drop("component"))
-        open_ = (rest.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high"))
-                 .where("low <> high").select("bucket"))
-        live = cut_lineage(rest.join(open_, "bucket"))
+        main = (rest.groupBy("bucket", "c").agg(F.count("*").alias("k"))
+                .groupBy("bucket").agg(F.max(F.struct("k", "c")).alias("main"), F.count("*").alias("parts"))
+                .where("parts > 1").select("bucket", F.col("main.c").alias("main")))
+        live = cut_lineage(rest.join(main, "bucket"))
         if live.isEmpty():
             break
-        leaders *= MORE_LEADERS
+        # Members outside a bucket's largest component lead next: the others need no comparison with each other.
+        by_bucket = W.partitionBy("bucket").orderBy("node")
+        lead = (live.where("c <> main").withColumn("k", F.row_number().over(by_bucket))
+                .where(F.col("k") <= LEADERS).drop("k"))
     groups = (classes.select("k1", "k2", "node").join(found, "node", "left")
               .select("k1", "k2", F.coalesce("component", "node").alias("component")))
     component = F.coalesce("component", "doc_id")
