@@ -23,11 +23,6 @@ def blank_to_null(col) -> Column:
     return F.nullif(_c(col), F.lit(""))
 
 
-def is_blank(col) -> Column:
-    """True when the text is empty after trimming spaces (NULL stays NULL)."""
-    return F.trim(_c(col)) == F.lit("")
-
-
 def non_blank(col) -> Column:
     """Not NULL and not empty after trimming spaces."""
     c = _c(col)
@@ -49,30 +44,75 @@ def trimmed_text_flag(col, true_text: str = "t") -> Column:
 
 # --- numbers and dates --------------------------------------------------------
 
+# Stored amounts keep 28 digits, ten of them fractional; conversions are done wider.
+AMOUNT_PRECISION, AMOUNT_SCALE = 28, 10
+_WIDE = T.DecimalType(38, 18)
+
+
+def _strict_cast(c: Column, kind: T.DataType, what: str) -> Column:
+    """Cast that fails on bad text whatever the session's ANSI setting."""
+    value = c.try_cast(kind)
+    return F.when(c.isNotNull() & value.isNull(),
+                  F.raise_error(F.concat(F.lit(f"not {what}: "), c.cast("string")))).otherwise(value)
+
+
 def to_int(col) -> Column:
     """Strict text-to-integer cast; surrounding spaces are allowed, ``'12.0'`` fails."""
-    return _c(col).cast(T.IntegerType())
+    return _strict_cast(_c(col), T.IntegerType(), "an integer")
 
 
 def blank_int(col) -> Column:
     """``NULLIF(x, '')::INTEGER``."""
-    return blank_to_null(col).cast(T.IntegerType())
+    return to_int(blank_to_null(col))
+
+
+def loses_digits(col, precision: int = AMOUNT_PRECISION, scale: int = AMOUNT_SCALE) -> Column:
+    """True where numeric text has digits that the stored type cannot hold."""
+    c = blank_to_null(col)
+    stored = c.try_cast(T.DecimalType(precision, scale))
+    return F.coalesce(c.try_cast(_WIDE) != stored, F.lit(False)) | F.coalesce(
+        c.rlike(r"\.\d{18}\d*[1-9]") | (stored.isNull() & c.try_cast("double").isNotNull()), F.lit(False))
 
 
-def blank_decimal(col, precision: int = 18, scale: int = 4) -> Column:
-    """``NULLIF(x, '')::NUMERIC`` with a declared precision and scale."""
-    return blank_to_null(col).cast(T.DecimalType(precision, scale))
+def blank_decimal(col, precision: int = AMOUNT_PRECISION, scale: int = AMOUNT_SCALE, strict: bool = True) -> Column:
+    """``NULLIF(x, '')::NUMERIC`` with a declared precision and scale.
+
+    ``strict`` fails on text that is no number and on numbers with more digits
+    than the type holds; otherwise the first give NULL and the others are rounded
+    (:func:`loses_digits` counts them).
+    """
+    c = blank_to_null(col)
+    kind = T.DecimalType(precision, scale)
+    if not strict:
+        return c.try_cast(kind)
+    return (F.when(loses_digits(c, precision, scale), F.raise_error(F.concat(F.lit("digits would be lost: "), c)))
+            .otherwise(_strict_cast(c, kind, "a number")))
 
 
-def guarded_decimal(col, precision: int = 18, scale: int = 4,
-                    sentinels: tuple[str, ...] = ("TRUE", "FALSE")) -> Column:
+def guarded_text(col, sentinels: tuple[str, ...] = ("TRUE", "FALSE")) -> Column:
+    """Text without the boolean words (any case), which become NULL."""
+    c = _c(col)
+    return F.when(~F.coalesce(F.upper(c).isin(*sentinels), F.lit(False)), c)
+
+
+def guarded_decimal(col, precision: int = AMOUNT_PRECISION, scale: int = AMOUNT_SCALE,
+                    sentinels: tuple[str, ...] = ("TRUE", "FALSE"), strict: bool = True) -> Column:
     """Numeric text that may hold boolean words: those (any case) become NULL.
 
     The guard sits in front of the strict cast, so ``'FALSE'`` never reaches it.
     """
-    c = _c(col)
-    return (F.when(F.upper(c).isin(*sentinels), F.lit(None).cast(T.DecimalType(precision, scale)))
-            .otherwise(blank_decimal(c, precision, scale)))
+    return blank_decimal(guarded_text(col, sentinels), precision, scale, strict)
+
+
+def free_title(base: Column, final: Column, amount: Column, flag) -> Column:
+    """Free when all three amounts are zero, else when the flag text says so."""
+    zero = (base == 0) & (final == 0) & (amount == 0)
+    return F.coalesce(zero, F.lit(False)) | text_flag(flag)
+
+
+def discounted(percentage: Column, flag) -> Column:
+    """Discounted by a positive percentage, else when the padded flag text says so."""
+    return F.coalesce(percentage > 0, F.lit(False)) | trimmed_text_flag(flag)
 
 
 def epoch_seconds_to_timestamp(col) -> Column:
@@ -81,11 +121,10 @@ def epoch_seconds_to_timestamp(col) -> Column:
     Computed as epoch + interval so the result does not depend on the session
     time zone (the source stores the UTC wall clock).
     """
-    c = _c(col)
-    secs = c.cast(T.LongType()).cast(T.DecimalType(18, 6))
+    secs = _strict_cast(blank_to_null(col), T.LongType(), "an epoch in seconds")
     epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
-    return F.when(c.isNotNull() & (c != F.lit("")),
-                  epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs))
+    days = F.floor(secs / 86400).cast("int")
+    return epoch + F.make_dt_interval(days, F.lit(0), F.lit(0), F.pmod(secs, F.lit(86400)).cast("decimal(18,6)"))
 
 
 # --- list-like text -----------------------------------------------------------
@@ -104,11 +143,17 @@ def pylist_to_json(col) -> Column:
 def json_list_items(col, strict: bool = True) -> Column:
     """Parse list-like text into ``array<string>`` via JSON.
 
-    ``strict`` raises on malformed text (FAILFAST) instead of silently giving
-    NULL. Numbers inside the list come back as text. Empty text gives NULL.
+    ``strict`` raises on malformed text (FAILFAST), text after the list included,
+    instead of giving NULL. Numbers inside the list come back as text. Empty
+    text gives NULL.
     """
-    options = {"mode": "FAILFAST"} if strict else {}
-    return F.from_json(pylist_to_json(col), T.ArrayType(T.StringType()), options)
+    # In brackets of its own, the text must be exactly one JSON value.
+    text = F.concat(F.lit("["), pylist_to_json(col), F.lit("]"))
+    lists = F.from_json(text, T.ArrayType(T.ArrayType(T.StringType())), {"mode": "FAILFAST" if strict else "PERMISSIVE"})
+    more = F.size(lists) > 1
+    if strict:
+        return F.when(more, F.raise_error(F.concat(F.lit("not one list: "), text))).otherwise(F.get(lists, F.lit(0)))
+    return F.when(~more, F.get(lists, F.lit(0)))
 
 
 def strip_list_brackets(col) -> Column:

@@ -25,11 +25,8 @@ def distinct_items(df: DataFrame, items: Column, alias: str) -> DataFrame:
 def entity_from_columns(df: DataFrame, cols: list[str], alias: str = "name") -> DataFrame:
     """Merge the non-NULL values of several columns into one distinct entity
     list (e.g. developers and publishers into parties)."""
-    parts = [df.select(F.col(c).alias(alias)).where(F.col(alias).isNotNull()) for c in cols]
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part)
-    return merged.distinct()
+    items = df.select(F.explode(F.array(*[F.col(c) for c in cols])).alias(alias))
+    return items.where(F.col(alias).isNotNull()).distinct()
 
 
 def distinct_pairs(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -48,11 +48,11 @@ def with_required_categories(spark: SparkSession, categories: list[str], label:
                              zero_fill: list[str] = ()) -> DataFrame:
     """Completeness skeleton: every required category appears once, joined to
     the aggregate; counts in ``zero_fill`` become 0 where the category had no
-    rows, the other metrics stay NULL."""
+    rows, the other metrics stay NULL. Categories that the list lacks are kept."""
     skeleton = static_table(spark, [(c,) for c in categories],
                             T.StructType([T.StructField(label, T.StringType(), False)]))
-    joined = skeleton.join(aggregated, skeleton[label] == aggregated[agg_label], "left")
-    cols = [skeleton[label]]
+    joined = skeleton.join(aggregated, skeleton[label] == aggregated[agg_label], "full")
+    cols = [F.coalesce(skeleton[label], aggregated[agg_label]).alias(label)]
     for name in aggregated.columns:
         if name == agg_label:
             continue

@@ -10,15 +10,10 @@ ever funnelling the names through one task:
    loss) sees the same layout;
 4. position inside the partition from ``monotonically_increasing_id`` (its
    low 33 bits are the row number within the partition);
-5. per-partition row counts and name bytes (one small row per partition, the
+5. per-partition row counts (one small row per partition, the
    same step ``RDD.zipWithIndex`` runs) give each partition's key offset; the
    offsets go back into the plan as a literal array indexed by partition.
 
-The measured size also decides the join strategy for the dimension: at or
-under the session's ``spark.sql.autoBroadcastJoinThreshold`` the result
-carries a broadcast hint (a proven bound, not an estimate), above it the
-dimension joins by sort-merge with AQE's skew handling.
-
 ``hash_keys`` is the lookup-free alternative (stable across runs, not dense).
 """
 
@@ -31,22 +26,10 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import checkpoint_dir
 
 _ROW_BITS = 33
-_KEY_BYTES = 8  # the bigint key stored next to each name
-
-
-def _broadcast_limit(spark) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    text = str(raw).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-             "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if text.endswith(suffix) and text[: -len(suffix)].strip().lstrip("-").isdigit():
-            return int(text[: -len(suffix)]) * units[suffix]
-    return int(text)
 
 
 def dense_keys(df: DataFrame, name_col: str, key_col: str,
-               num_partitions: int | None = None, allow_broadcast: bool = True) -> DataFrame:
+               num_partitions: int | None = None) -> DataFrame:
     """Return ``(key_col, name_col)`` with one dense key per distinct non-NULL name."""
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -58,25 +41,19 @@ def dense_keys(df: DataFrame, name_col: str, key_col: str,
               .checkpoint(eager=True))
     pid = F.spark_partition_id()
     stats = (ranged.groupBy(pid.alias("_pid"))
-             .agg(F.count(F.lit(1)).alias("_n"), F.sum(F.octet_length(name_col)).alias("_b"))
+             .agg(F.count(F.lit(1)).alias("_n"))
              .collect())  # one row per partition
     # Empty partitions are absent from the stats and hold no rows to key.
     n_parts = max([row["_pid"] for row in stats], default=0) + 1
     counts = [0] * n_parts
-    name_bytes = 0
     for row in stats:
         counts[row["_pid"]] = row["_n"]
-        name_bytes += row["_b"] or 0
     offsets = [0] + list(accumulate(counts))[:-1]
     # One array literal (a single plan node, even for many thousand partitions).
     offset = F.element_at(F.lit(offsets).cast("array<bigint>"), pid + 1)
     position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), _ROW_BITS)
     keyed = ranged.select((offset + position + F.lit(1)).cast("long").alias(key_col),
                           F.col(name_col))
-    size = name_bytes + _KEY_BYTES * sum(counts)
-    limit = _broadcast_limit(spark)
-    if allow_broadcast and 0 <= limit and size <= limit:
-        return F.broadcast(keyed)
     return keyed
 
 

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas
+from ..functions import clean
 from .joins import exclude
 
 
@@ -32,46 +32,41 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     return exclude(child.where(F.col(fk).isNotNull()), parent, fk, pk)
 
 
-_REPORT_SCHEMA = T.StructType([
-    T.StructField("table_name", T.StringType(), False),
-    T.StructField("row_count", T.LongType(), False),
-    T.StructField("duplicate_key_rows", T.LongType(), False),
-    T.StructField("null_violations", T.LongType(), False),
-    T.StructField("orphan_rows", T.LongType(), False),
-])
+def _key_metrics(name: str, df: DataFrame, keys: list[str], required: list[str], rows: bool) -> DataFrame:
+    """One grouped pass over a key: rows that share it and, with ``rows``, the
+    row count and the NULLs in required columns."""
+    nulls = reduce(lambda a, b: a + b, [F.when(F.col(c).isNull(), 1).otherwise(0) for c in required], F.lit(0))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(nulls).alias("nulls"))
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys])
+    return per_key.agg(
+        F.sum("n" if rows else F.lit(0)).alias("row_count"),
+        F.sum(F.when((F.col("n") > 1) & known, F.col("n"))).alias("duplicate_key_rows"),
+        F.sum("nulls" if rows else F.lit(0)).alias("null_violations"),
+        F.lit(0).alias("orphan_rows")).select(F.lit(name).alias("table_name"), "*")
 
 
-def _metric(name: str, metric: str, value_df: DataFrame, col: str) -> DataFrame:
-    return value_df.select(F.lit(name).alias("table_name"), F.lit(metric).alias("metric"),
-                           F.coalesce(F.col(col), F.lit(0)).cast("long").alias("value"))
+def _reference_metrics(name: str, df: DataFrame, refs: list, tables: dict[str, DataFrame]) -> DataFrame:
+    """One pass over a child: rows whose non-NULL references lack their parent."""
+    rows = df.select(*dict.fromkeys(fk for _, fk, _, _ in refs))
+    missing = F.lit(0)
+    for i, (_, fk, parent, pk) in enumerate(refs):
+        known = tables[parent].select(F.col(pk).alias(f"_p{i}")).distinct()
+        rows = rows.join(known, F.col(fk) == F.col(f"_p{i}"), "left")
+        missing = missing + F.when(F.col(fk).isNotNull() & F.col(f"_p{i}").isNull(), 1).otherwise(0)
+    return rows.agg(F.lit(0).alias("row_count"), F.lit(0).alias("duplicate_key_rows"), F.lit(0).alias("null_violations"),
+                    F.sum(missing).alias("orphan_rows")).select(F.lit(name).alias("table_name"), "*")
 
 
 def _table_metrics(name: str, df: DataFrame, tables: dict[str, DataFrame],
                    primary: dict, unique: dict, not_null: dict, refs: list) -> list[DataFrame]:
-    """One-row metric frames (table, metric, value) for one table.
-
-    Row count and NULL violations come from a single aggregation pass; each
-    key check is one grouped aggregate and each reference one anti-join.
-    """
-    nn_cols = list(dict.fromkeys(not_null.get(name, []) + primary.get(name, [])))
-    nulls = (reduce(lambda a, b: a + b,
-                    [F.count(F.when(F.col(c).isNull(), F.lit(1))) for c in nn_cols])
-             if nn_cols else F.lit(0))
-    pair = F.explode(F.array(
-        F.struct(F.lit("row_count").alias("metric"), F.count(F.lit(1)).cast("long").alias("value")),
-        F.struct(F.lit("null_violations").alias("metric"), nulls.cast("long").alias("value"))))
-    basic = df.agg(pair.alias("m"))
-    out = [basic.select(F.lit(name).alias("table_name"), F.col("m.metric").alias("metric"),
-                        F.col("m.value").alias("value"))]
-    for keys in [primary.get(name, [])] + ([unique[name]] if name in unique else []):
-        if keys:
-            dups = duplicate_keys(df, keys).agg(F.sum("occurrences").alias("v"))
-            out.append(_metric(name, "duplicate_key_rows", dups, "v"))
-    for child, fk, parent, pk in refs:
-        if child == name and parent in tables:
-            dangling = orphans(df, fk, tables[parent], pk).agg(F.count(F.lit(1)).alias("v"))
-            out.append(_metric(name, "orphan_rows", dangling, "v"))
-    return out
+    """One-row metric frames for one table: a pass per key, and one for all references."""
+    keys = primary.get(name) or unique.get(name) or list(df.columns)
+    required = list(dict.fromkeys(not_null.get(name, []) + primary.get(name, [])))
+    out = [_key_metrics(name, df, keys, required, True)]
+    if name in unique and unique[name] != keys:
+        out.append(_key_metrics(name, df, unique[name], [], False))
+    own = [r for r in refs if r[0] == name and r[2] in tables]
+    return out + ([_reference_metrics(name, df, own, tables)] if own else [])
 
 
 def load_report(tables: dict[str, DataFrame], primary: dict | None = None,
@@ -86,24 +81,36 @@ def load_report(tables: dict[str, DataFrame], primary: dict | None = None,
     parts = [m for name, df in tables.items()
              for m in _table_metrics(name, df, tables, primary, unique, not_null, refs)]
     metrics = reduce(DataFrame.unionByName, parts)
+    return metrics.groupBy("table_name").agg(*[
+        F.coalesce(F.sum(m), F.lit(0)).cast("long").alias(m)
+        for m in ("row_count", "duplicate_key_rows", "null_violations", "orphan_rows")])
+
 
-    def pick(metric: str):
-        return F.coalesce(F.sum(F.when(F.col("metric") == metric, F.col("value"))),
-                          F.lit(0)).cast("long").alias(metric)
+def conversion_report(df: DataFrame, amounts: list[str] = (), lists: list[str] = ()) -> DataFrame:
+    """One row per text column: amounts that lose digits, text that is rejected
+    (NULL in the non-strict mode), and NULL items that list columns drop.
 
-    return metrics.groupBy("table_name").agg(
-        pick("row_count"), pick("duplicate_key_rows"), pick("null_violations"),
-        pick("orphan_rows"))
+    One pass over ``df``.
+    """
+    parts = []
+    for c in amounts:
+        text = clean.blank_to_null(c)
+        parts.append((c, F.count(F.when(clean.loses_digits(c), 1)),
+                      F.count(F.when(text.isNotNull() & text.try_cast("double").isNull(), 1)), F.lit(0)))
+    for c in lists:
+        items = clean.json_list_items(c, strict=False)
+        parts.append((c, F.lit(0), F.count(F.when(clean.non_blank(c) & items.isNull(), 1)),
+                      F.coalesce(F.sum(F.size(F.filter(items, lambda x: x.isNull()))), F.lit(0))))
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), lost.cast("long").alias("lost_digits"),
+                              bad.cast("long").alias("rejected"), nulls.cast("long").alias("null_items"))
+                     for c, lost, bad, nulls in parts])
+    return df.agg(rows.alias("r")).select(F.inline("r"))
 
 
 def assert_clean(report: DataFrame) -> None:
     """Fail the job when any table has a key, NULL or reference violation."""
     bad = report.where((F.col("duplicate_key_rows") > 0) | (F.col("null_violations") > 0)
                        | (F.col("orphan_rows") > 0))
-    rows = bad.limit(20).collect()
+    rows = bad.collect()  # one row per table at most
     if rows:
         raise ValueError(f"data-quality violations: {[r.asDict() for r in rows]}")
-
-
-def empty_report(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], _REPORT_SCHEMA)

@@ -27,8 +27,8 @@ def _desc(*cols: str):
 
 
 def _sum_decimal(col: str):
-    # SUM of decimal(18,4) kept exact; widened so 100 TB of prices cannot overflow.
-    return F.sum(F.col(col)).cast("decimal(38,4)")
+    # The addends are widened, so a sum keeps ten fractional digits and has room for 28 others.
+    return F.sum(F.col(col).cast("decimal(38,10)"))
 
 
 def _sum_long(col: str):
@@ -42,14 +42,13 @@ def median_by_party(t: Tables, role: str = "developer", min_titles: int = 5) ->
     party = t["party"].select(F.col("party_id").alias("_party"), F.col("name").alias(f"{role}_name"))
     rated = t["rating"].select("title_id", "overall_avg_rating") \
         .where(F.col("overall_avg_rating").isNotNull())
-    rows = inv.join(party, "_party").join(rated, "title_id")
-    # Ratings are decimal(18,4) on a fixed scale, so a group has a bounded
-    # number of distinct values: the single running count per group suffices.
-    out = grouped_percentile(rows, [f"{role}_name"], "overall_avg_rating", 0.5,
-                             alias="median_rating", count_alias="catalog_presence",
-                             method="window")
-    return at_least(out, "catalog_presence", min_titles) \
-        .orderBy(*_desc("median_rating", "catalog_presence"))
+    # Titles meet their ratings first (no shuffle where both are bucketed), then
+    # frequencies per party key; names come last, for the parties that remain.
+    rows = inv.where(F.col("_party").isNotNull()).join(rated, "title_id")
+    out = at_least(grouped_percentile(rows, ["_party"], "overall_avg_rating", 0.5, alias="median_rating",
+                                      count_alias="catalog_presence"), "catalog_presence", min_titles)
+    return (out.join(party, "_party").select(f"{role}_name", "catalog_presence", "median_rating")
+            .orderBy(*_desc("median_rating", "catalog_presence")))
 
 
 def era_quality(t: Tables) -> DataFrame:
@@ -71,11 +70,12 @@ def age_by_genre(t: Tables, min_titles: int = 5) -> DataFrame:
     """Mean age limit per genre (a title counts once per genre it has)."""
     inv = t["inventory"].select("title_id", "age_limit") \
         .where(F.col("age_limit").isNotNull() & (F.col("age_limit") > 0))
-    rows = inv.join(t["title_genre"], "title_id").join(t["genre"], "genre_id")
-    out = rows.groupBy("genre_name").agg(
+    rows = inv.join(t["title_genre"], "title_id")
+    out = at_least(rows.groupBy("genre_id").agg(
         F.count("title_id").alias("title_count"),
-        mean("age_limit").alias("avg_age_limit"))
-    return at_least(out, "title_count", min_titles).orderBy(*_desc("avg_age_limit"))
+        mean("age_limit").alias("avg_age_limit")), "title_count", min_titles)
+    return (out.join(t["genre"], "genre_id").select("genre_name", "title_count", "avg_age_limit")
+            .orderBy(*_desc("avg_age_limit")))
 
 
 def reviews_by_age_tier(t: Tables) -> DataFrame:
@@ -157,12 +157,14 @@ def currency_price(t: Tables) -> DataFrame:
 def promo_effect(t: Tables, min_titles: int = 10) -> DataFrame:
     rated = t["rating"].select("title_id", "reviews_count") \
         .where(F.col("reviews_count").isNotNull())
-    rows = (t["promotion"].join(t["discount_status"], "promo_id").join(rated, "title_id"))
-    out = rows.groupBy("promo_name").agg(
+    rows = t["discount_status"].join(rated, "title_id")
+    out = at_least(rows.groupBy("promo_id").agg(
         F.count("title_id").alias("titles_in_promotion"),
         mean("discount_percentage").alias("avg_discount_depth"),
-        _sum_long("reviews_count").alias("total_reviews_driven"))
-    return at_least(out, "titles_in_promotion", min_titles).orderBy(*_desc("total_reviews_driven"))
+        _sum_long("reviews_count").alias("total_reviews_driven")), "titles_in_promotion", min_titles)
+    return (out.join(t["promotion"], "promo_id")
+            .select("promo_name", "titles_in_promotion", "avg_discount_depth", "total_reviews_driven")
+            .orderBy(*_desc("total_reviews_driven")))
 
 
 def platform_breadth(t: Tables) -> DataFrame:

@@ -2,47 +2,54 @@
 
     spark-submit --py-files stocktake.zip submit_catalog_job.py --csv s3://.../listing/ --out s3://.../catalog
 
-Steps (each output is overwritten, so a rerun is idempotent):
+Steps (a rerun is idempotent; nothing is published before it is checked):
 
-1. ``<out>/raw.parquet``: the CSV folder staged under the 51-column schema;
-2. ``<out>/<table>.parquet``: the eleven normalised tables (or catalog tables,
-   bucketed on ``title_id``, with ``--database``);
-3. the load report, and the job fails on any key, NULL or reference
-   violation (``--no-strict`` only prints the report);
-4. ``<out>/reports/<name>.parquet``: the thirteen reports.
+1. the CSV folder is staged under the 51-column schema in a folder of this run,
+   ``<out>/_staging-<token>``, and its ids are checked;
+2. the eleven normalised tables are written there too, and the load report over
+   them is published; with any key, NULL or reference violation the job fails
+   here and leaves the tables of the last good run (``--no-strict`` goes on);
+3. ``<out>/<table>.parquet`` (or catalog tables, bucketed on ``title_id``, with
+   ``--database``): the checked tables, published by copying;
+4. ``<out>/reports/<name>.parquet``: the thirteen reports. The staging folder goes.
 """
 
 from __future__ import annotations
 
 import argparse
+import os
 
 from pyspark.sql import SparkSession
 
 from ..operators import quality
-from ..session import build_session
+from ..session import build_session, remove_path
 from ..sources import csv_stage, tables
 from . import analytics
 from .normalize import Catalog, normalize
 
 
 def run(spark: SparkSession, csv_path: str, out_dir: str, strict: bool = True,
-        database: str | None = None, num_buckets: int = 0, multiline: bool = True,
-        keys: str = "dense") -> dict:
+        database: str | None = None, num_buckets: int = 0, *, multiline: bool,
+        keys: str = "hash") -> dict:
     out_dir = out_dir.rstrip("/")
-    raw = csv_stage.stage_to_parquet(spark, csv_path, tables.table_path(out_dir, "raw"),
-                                     multiline=multiline)
-    built = normalize(raw, keys=keys)
-    if database:
-        tables.save_tables(built, database, num_buckets or int(
-            spark.conf.get("spark.sql.shuffle.partitions")))
-        stored = tables.load_saved_tables(spark, database, Catalog.names)
-    else:
-        tables.write_tables(built, out_dir)
-        stored = tables.read_tables(spark, out_dir, Catalog.names)
-    report = quality.load_report({"raw": raw, **stored})
-    report.write.mode("overwrite").parquet(f"{out_dir}/load_report.parquet")
-    if strict:
-        quality.assert_clean(spark.read.parquet(f"{out_dir}/load_report.parquet"))
+    staging = f"{out_dir}/_staging-{os.urandom(6).hex()}"
+    try:
+        raw = csv_stage.stage_to_parquet(spark, csv_path, tables.table_path(staging, "raw"), multiline=multiline)
+        repeated = not quality.duplicate_keys(raw, ["id"]).isEmpty()
+        tables.write_tables(normalize(raw, ids_unique=not repeated, keys=keys), staging)
+        staged = {"raw": raw, **tables.read_tables(spark, staging, Catalog.names)}
+        quality.load_report(staged).write.mode("overwrite").parquet(f"{out_dir}/load_report.parquet")
+        if strict:
+            quality.assert_clean(spark.read.parquet(f"{out_dir}/load_report.parquet"))
+        if database:
+            tables.save_tables({n: staged[n] for n in Catalog.names}, database, num_buckets or int(
+                spark.conf.get("spark.sql.shuffle.partitions")))
+            stored = tables.load_saved_tables(spark, database, Catalog.names)
+        else:
+            tables.write_tables(staged, out_dir)
+            stored = tables.read_tables(spark, out_dir, Catalog.names)
+    finally:
+        remove_path(spark, staging)
     written = {}
     for name, build in analytics.REPORTS.items():
         path = f"{out_dir}/reports/{name}.parquet"
@@ -58,8 +65,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--database", help="save tables to this catalog database, bucketed")
     ap.add_argument("--buckets", type=int, default=0, help="bucket count for title tables")
     ap.add_argument("--no-strict", action="store_true", help="report violations, do not fail")
-    ap.add_argument("--keys", choices=["dense", "hash"], default="dense",
-                    help="dense surrogate keys (joins) or hash keys (no dimension joins)")
+    ap.add_argument("--keys", choices=["dense", "hash"], default="hash",
+                    help="hash keys (no dimension joins; collisions fail the report) or dense surrogate keys")
     ap.add_argument("--single-line", action="store_true",
                     help="no field holds a newline: files are split across tasks")
     args = ap.parse_args(argv)

@@ -1,9 +1,8 @@
 """Registered checks for the normalised tables (L*) and the reports (M*).
 
 Input: the staging listing derived from ``part``/``nation``/``lineitem``
-(:mod:`stocktake.plans.listing`). The DuckDB twin rebuilds the same chain in
-SQL, with surrogate keys as ``row_number()`` in name order (the order
-:func:`~stocktake.operators.keys.dense_keys` produces).
+(:mod:`stocktake.plans.listing`). The DuckDB twin answers each of them directly
+from the listing, without the tables and joins in between.
 """
 
 from __future__ import annotations
@@ -15,120 +14,35 @@ from .listing import listing, listing_sql
 from .normalize import Catalog
 from .registry import register
 
-_JSON_ITEMS = ("from_json(replace(replace(trim({c}), '''', '\"'), '\"\"', '\"'), "
-               "'[\"VARCHAR\"]')")
-_TEXT_ITEMS = (r"regexp_split_to_array(replace(replace(replace(trim({c}), '[', ''), ']', ''), "
-               r"'''', ''), ',\s*')")
-
-
-def _dec(expr: str) -> str:
-    return f"CAST(NULLIF({expr}, '') AS DECIMAL(18,4))"
-
-
-def _guarded(expr: str) -> str:
-    return f"CASE WHEN upper({expr}) IN ('TRUE', 'FALSE') THEN NULL ELSE {_dec(expr)} END"
-
-
-CATALOG_CTES = f"""WITH raw AS (
+# The twin needs none of the tables: a title is one listing row, so every table
+# and report follows from one typed view of the listing. Amounts have a type of
+# their own, wider than the tables'.
+CATALOG_CTES = rf"""WITH listing AS (
 {listing_sql()}
 ),
-party AS (
-  SELECT CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS party_id, name
-  FROM (SELECT developer AS name FROM raw WHERE developer IS NOT NULL
-        UNION SELECT publisher FROM raw WHERE publisher IS NOT NULL) u
-),
-product_type AS (
-  SELECT CAST(type_id AS INTEGER) AS type_id, type_name
-  FROM (VALUES (1, 'Game'), (2, 'Bundle'), (3, 'DLC')) v(type_id, type_name)
-),
-inventory AS (
-  SELECT CAST(r.id AS BIGINT) AS title_id, r.title, r.slug,
-    CASE WHEN r.globalreleasedate IS NOT NULL AND r.globalreleasedate <> ''
-         THEN make_timestamp(CAST(r.globalreleasedate AS BIGINT) * 1000000) END AS release_date,
-    CAST(r.agelimit AS INTEGER) AS age_limit,
-    CASE WHEN r.isgame = 't' THEN TRUE ELSE FALSE END AS is_game,
-    CASE WHEN r.ismovie = 't' THEN TRUE ELSE FALSE END AS is_movie,
-    CASE WHEN r.buyable = 't' THEN TRUE ELSE FALSE END AS buyable,
-    r.supporturl AS support_url,
-    pp.party_id AS publisher_id, pd.party_id AS developer_id,
-    CAST(r.type AS INTEGER) AS type_id
-  FROM raw r
-  LEFT JOIN party pp ON r.publisher = pp.name
-  LEFT JOIN party pd ON r.developer = pd.name
-  WHERE r.id IS NOT NULL
-),
-os_platform AS (
-  SELECT CAST(row_number() OVER (ORDER BY os_name) AS BIGINT) AS os_id, os_name
-  FROM (SELECT DISTINCT os_name FROM (
-          SELECT unnest({_JSON_ITEMS.format(c='supportedoperatingsystems')}) AS os_name
-          FROM raw
-          WHERE supportedoperatingsystems IS NOT NULL
-            AND trim(supportedoperatingsystems) <> '[]'
-            AND trim(supportedoperatingsystems) <> '') x
-        WHERE os_name IS NOT NULL) d
-),
-genre AS (
-  SELECT CAST(row_number() OVER (ORDER BY genre_name) AS BIGINT) AS genre_id, genre_name
-  FROM (SELECT DISTINCT trim(lower(item)) AS genre_name FROM (
-          SELECT unnest({_TEXT_ITEMS.format(c='genres')}) AS item
-          FROM raw WHERE genres IS NOT NULL AND trim(genres) NOT IN ('', '[]')) x
-        WHERE item IS NOT NULL AND trim(item) <> '') d
-),
-promotion AS (
-  SELECT CAST(row_number() OVER (ORDER BY promo_name) AS BIGINT) AS promo_id, promo_name
-  FROM (SELECT DISTINCT trim(promoid) AS promo_name FROM raw
-        WHERE promoid IS NOT NULL AND trim(promoid) <> '') d
-),
-pricing AS (
-  SELECT CAST(r.id AS BIGINT) AS title_id,
-    {_dec('r.baseamount')} AS base_amount,
-    {_dec('r.finalamount')} AS final_amount,
-    {_dec('r.amount')} AS amount,
-    r.currency,
-    CASE WHEN {_dec('r.baseamount')} = 0 AND {_dec('r.finalamount')} = 0
-              AND {_dec('r.amount')} = 0 THEN TRUE
-         WHEN r.isfree = 't' THEN TRUE ELSE FALSE END AS is_free
-  FROM raw r WHERE r.id IN (SELECT title_id FROM inventory)
-),
-rating AS (
-  SELECT CAST(r.id AS BIGINT) AS title_id,
-    {_dec('r.overallavgrating')} AS overall_avg_rating,
-    {_dec('r.filteredavgrating')} AS filtered_avg_rating,
-    CAST(NULLIF(r.reviewscount, '') AS INTEGER) AS reviews_count,
-    CASE WHEN r.isreviewable = 't' THEN TRUE ELSE FALSE END AS is_reviewable,
-    CAST(NULLIF(r.reviewpages, '') AS INTEGER) AS review_pages
-  FROM raw r WHERE r.id IN (SELECT title_id FROM inventory)
-),
-discount_status AS (
-  SELECT CAST(r.id AS BIGINT) AS title_id, p.promo_id,
-    {_guarded('r.discountpercentage')} AS discount_percentage,
-    {_guarded('r.discountdifference')} AS discount_difference,
-    CASE WHEN ({_guarded('r.discountpercentage')}) > 0 THEN TRUE
-         WHEN trim(r.isdiscounted) = 't' THEN TRUE ELSE FALSE END AS is_discounted
-  FROM raw r JOIN promotion p ON trim(r.promoid) = p.promo_name
-  WHERE r.id IN (SELECT title_id FROM inventory)
-),
-title_genre AS (
-  SELECT DISTINCT CAST(x.id AS BIGINT) AS title_id, g.genre_id
-  FROM (SELECT id, unnest({_TEXT_ITEMS.format(c='genres')}) AS item FROM raw) x
-  JOIN genre g ON g.genre_name = trim(lower(x.item))
-  WHERE x.id IN (SELECT title_id FROM inventory)
-),
-title_os AS (
-  SELECT DISTINCT CAST(x.id AS BIGINT) AS title_id, o.os_id
-  FROM (SELECT id, unnest({_JSON_ITEMS.format(c='supportedoperatingsystems')}) AS item
-        FROM raw
-        WHERE supportedoperatingsystems IS NOT NULL AND trim(supportedoperatingsystems) <> '') x
-  JOIN os_platform o ON o.os_name = x.item
-  WHERE x.id IN (SELECT title_id FROM inventory)
+typed AS (
+  SELECT id AS title_id, * EXCLUDE (id),
+    epoch_ms(1000 * TRY_CAST(globalreleasedate AS BIGINT)) AS released,
+    agelimit::INTEGER AS age, coalesce(ismovie, '') = 't' AS movie,
+    CAST(nullif(baseamount, '') AS DECIMAL(38,12)) AS base,
+    CAST(nullif(finalamount, '') AS DECIMAL(38,12)) AS final,
+    CAST(nullif(amount, '') AS DECIMAL(38,12)) AS paid,
+    CAST(nullif(overallavgrating, '') AS DECIMAL(38,12)) AS stars,
+    CAST(nullif(filteredavgrating, '') AS DECIMAL(38,12)) AS filtered_stars,
+    nullif(reviewscount, '')::INTEGER AS reviews,
+    CAST(nullif(regexp_replace(discountpercentage, '^(true|false)$', '', 'i'), '') AS DECIMAL(38,12)) AS off,
+    CAST(nullif(regexp_replace(discountdifference, '^(true|false)$', '', 'i'), '') AS DECIMAL(38,12)) AS off_by,
+    nullif(trim(promoid), '') AS promo,
+    coalesce(ltrim(rtrim(supporturl)), '') IN ('', 'N/A', 'none', 'TBD') AS unsupported,
+    [x FOR x IN list_distinct([trim(lower(y)) FOR y IN regexp_split_to_array(
+       translate(trim(genres), '[]''', ''), ',\s*')]) IF x <> ''] AS tags,
+    [x FOR x IN list_distinct([trim(y, ' "''') FOR y IN string_split(
+       regexp_extract(trim(supportedoperatingsystems), '^\[(.*)\]$', 1), ',')]) IF x <> ''] AS systems
+  FROM listing
 )
 """
 
 
-def _avg(expr: str) -> str:
-    return f"CAST(SUM({expr}) AS DOUBLE) / COUNT({expr})"
-
-
 def catalog(spark: SparkSession, base_dir: str) -> Catalog:
     return Catalog(listing(spark, base_dir))
 
@@ -139,14 +53,53 @@ def _table_query(name: str):
     return run
 
 
-_L_TABLES = [
-    ("l1_party", "party"), ("l2_product_type", "product_type"), ("l3_inventory", "inventory"),
-    ("l4_os_platform", "os_platform"), ("l5_genre", "genre"), ("l6_promotion", "promotion"),
-    ("l7_pricing", "pricing"), ("l8_rating", "rating"), ("l9_discount_status", "discount_status"),
-    ("l10_title_genre", "title_genre"), ("l11_title_os", "title_os"),
-]
-for _qname, _table in _L_TABLES:
-    register(_qname, CATALOG_CTES + f"SELECT * FROM {_table}")(_table_query(_table))
+#: Keys are ranks in name order, so a fact's key is the rank of its own name.
+L_SQL = {
+    "l1_party": """SELECT DISTINCT dense_rank() OVER (ORDER BY name) AS party_id, name
+FROM (SELECT unnest([developer, publisher]) AS name FROM typed) WHERE name IS NOT NULL""",
+    "l2_product_type": """SELECT k::INTEGER AS type_id, ['Game', 'Bundle', 'DLC'][k] AS type_name
+FROM (SELECT unnest(range(1, 4)) AS k)""",
+    "l3_inventory": """SELECT title_id, any_value(title) AS title, any_value(slug) AS slug,
+  any_value(released) AS release_date, any_value(age) AS age_limit,
+  bool_or(coalesce(isgame, '') = 't') AS is_game, bool_or(movie) AS is_movie,
+  bool_or(coalesce(buyable, '') = 't') AS buyable, any_value(supporturl) AS support_url,
+  max(k) FILTER (WHERE role = 'publisher') AS publisher_id,
+  max(k) FILTER (WHERE role = 'developer') AS developer_id, any_value(type) AS type_id
+FROM (SELECT *, CASE WHEN name IS NOT NULL THEN dense_rank() OVER (ORDER BY name NULLS LAST) END AS k
+      FROM (SELECT *, unnest(['developer', 'publisher']) AS role, unnest([developer, publisher]) AS name FROM typed))
+GROUP BY title_id""",
+    "l4_os_platform": """SELECT DISTINCT dense_rank() OVER (ORDER BY os_name) AS os_id, os_name
+FROM (SELECT unnest(systems) AS os_name FROM typed)""",
+    "l5_genre": """SELECT DISTINCT dense_rank() OVER (ORDER BY genre_name) AS genre_id, genre_name
+FROM (SELECT unnest(tags) AS genre_name FROM typed)""",
+    "l6_promotion": """SELECT DISTINCT dense_rank() OVER (ORDER BY promo) AS promo_id, promo AS promo_name
+FROM typed WHERE promo IS NOT NULL""",
+    "l7_pricing": """SELECT title_id, base AS base_amount, final AS final_amount, paid AS amount, currency,
+  coalesce(greatest(abs(base), abs(final), abs(paid)) = 0 AND base + final + paid IS NOT NULL, false)
+    OR coalesce(isfree, '') = 't' AS is_free
+FROM typed""",
+    "l8_rating": """SELECT title_id, stars AS overall_avg_rating, filtered_stars AS filtered_avg_rating,
+  reviews AS reviews_count, coalesce(isreviewable, '') = 't' AS is_reviewable,
+  nullif(reviewpages, '')::INTEGER AS review_pages
+FROM typed""",
+    "l9_discount_status": """SELECT title_id, dense_rank() OVER (ORDER BY promo) AS promo_id,
+  off AS discount_percentage, off_by AS discount_difference,
+  coalesce(off, 0) > 0 OR coalesce(trim(isdiscounted), '') = 't' AS is_discounted
+FROM typed WHERE promo IS NOT NULL""",
+    "l10_title_genre": """SELECT title_id, dense_rank() OVER (ORDER BY name) AS genre_id
+FROM (SELECT title_id, unnest(tags) AS name FROM typed)""",
+    "l11_title_os": """SELECT title_id, dense_rank() OVER (ORDER BY name) AS os_id
+FROM (SELECT title_id, unnest(systems) AS name FROM typed)""",
+}
+
+#: The tables by name, for checks over the whole set.
+TABLE_CTES = CATALOG_CTES + "".join(f", {q.partition('_')[2]} AS ({sql})\n" for q, sql in L_SQL.items())
+
+# The product types are a fixed list, which reads no table: no query of their own.
+for _qname, _sql in L_SQL.items():
+    if _qname == "l2_product_type":
+        continue
+    register(_qname, CATALOG_CTES + _sql)(_table_query(_qname.partition("_")[2]))
 
 
 def _report_query(report):
@@ -155,137 +108,56 @@ def _report_query(report):
     return run
 
 
-_MEDIAN_SQL = """SELECT p.name AS {role}_name, COUNT(t.title_id) AS catalog_presence,
-  quantile_cont(CAST(r.overall_avg_rating AS DOUBLE), 0.5) AS median_rating
-FROM inventory t
-JOIN party p ON t.{role}_id = p.party_id
-JOIN rating r ON t.title_id = r.title_id
-WHERE r.overall_avg_rating IS NOT NULL
-GROUP BY p.name
-HAVING COUNT(t.title_id) >= 5"""
+def _mean(expr: str) -> str:
+    return f"sum({expr})::DOUBLE / nullif(count({expr}), 0)"
+
+
+def _median_sql(role: str) -> str:
+    return f"""SELECT {role} AS {role}_name, count(*) AS catalog_presence, median(stars::DOUBLE) AS median_rating
+FROM typed WHERE stars IS NOT NULL AND {role} IS NOT NULL GROUP BY ALL HAVING count(*) > 4"""
+
 
 M_SQL = {
-    "m1_median_by_party": _MEDIAN_SQL.format(role="developer"),
-    "m2_median_by_publisher": _MEDIAN_SQL.format(role="publisher"),
-    "m3_era_quality": f"""SELECT
-  CASE WHEN t.release_date < CAST(DATE '2010-01-01' AS TIMESTAMP) THEN 'Classic (Pre-2010)'
-       ELSE 'Modern (2010+)' END AS game_era,
-  COUNT(t.title_id) AS titles_in_group,
-  {_avg('r.overall_avg_rating')} AS avg_quality_rating,
-  {_avg('p.base_amount')} AS avg_base_price
-FROM inventory t
-JOIN rating r ON t.title_id = r.title_id
-LEFT JOIN pricing p ON t.title_id = p.title_id
-WHERE r.overall_avg_rating IS NOT NULL
-GROUP BY 1""",
-    "m4_age_by_genre": f"""SELECT g.genre_name, COUNT(t.title_id) AS title_count,
-  {_avg('t.age_limit')} AS avg_age_limit
-FROM inventory t
-JOIN title_genre tg ON t.title_id = tg.title_id
-JOIN genre g ON tg.genre_id = g.genre_id
-WHERE t.age_limit IS NOT NULL AND t.age_limit > 0
-GROUP BY g.genre_name
-HAVING COUNT(t.title_id) >= 5""",
-    "m5_reviews_by_age_tier": """SELECT
-  CASE WHEN t.age_limit = 0 THEN '0 (No Restriction/Unknown)'
-       WHEN t.age_limit <= 12 THEN '1-12 (Child/Pre-Teen)'
-       WHEN t.age_limit BETWEEN 13 AND 16 THEN '13-16 (Teen)'
-       WHEN t.age_limit >= 17 THEN '17+ (Mature Audience)'
-       ELSE 'N/A' END AS age_restriction_group,
-  COUNT(t.title_id) AS game_count,
-  CAST(SUM(r.reviews_count) AS BIGINT) AS total_reviews_sum
-FROM inventory t JOIN rating r ON t.title_id = r.title_id
-WHERE t.age_limit IS NOT NULL AND r.reviews_count IS NOT NULL
-GROUP BY 1""",
-    "m6_type_contribution": """SELECT pt.type_name AS product_category,
-  COUNT(t.title_id) AS catalog_count,
-  CAST(SUM(r.reviews_count) AS BIGINT) AS total_reviews_proxy,
-  CAST(SUM(p.base_amount) AS DECIMAL(38,4)) AS total_base_amount_proxy
-FROM inventory t
-JOIN product_type pt ON t.type_id = pt.type_id
-LEFT JOIN rating r ON t.title_id = r.title_id
-LEFT JOIN pricing p ON t.title_id = p.title_id
-GROUP BY pt.type_name""",
-    "m7_content_groups": """SELECT
-  CASE WHEN t.is_movie = TRUE THEN 'Movie Content'
-       WHEN pt.type_name = 'Bundle' THEN 'Bundle (Package)'
-       WHEN pt.type_name = 'DLC' THEN 'DLC/Add-on Content'
-       WHEN pt.type_name = 'Game' THEN 'Full Game Title'
-       ELSE 'Other/Unknown Content' END AS content_type_group,
-  COUNT(t.title_id) AS titles_in_group,
-  CAST(SUM(p.base_amount) AS DECIMAL(38,4)) AS total_base_amount_value
-FROM inventory t
-JOIN product_type pt ON t.type_id = pt.type_id
-LEFT JOIN pricing p ON t.title_id = p.title_id
-GROUP BY 1""",
-    "m8_free_vs_paid": f"""SELECT
-  CASE WHEN p.is_free = TRUE THEN 'Free-to-Play (F2P)'
-       WHEN p.is_free = FALSE THEN 'Paid/Premium Title'
-       ELSE 'Unknown/Unlisted Price' END AS revenue_model,
-  COUNT(t.title_id) AS title_count,
-  {_avg('r.overall_avg_rating')} AS avg_user_rating,
-  CAST(SUM(r.reviews_count) AS BIGINT) AS total_reviews_sum
-FROM inventory t
-JOIN pricing p ON t.title_id = p.title_id
-JOIN rating r ON t.title_id = r.title_id
-WHERE r.overall_avg_rating IS NOT NULL
-GROUP BY 1""",
-    "m9_release_price": f"""SELECT
-  CASE WHEN t.release_date >= CAST(DATE '2023-06-01' AS TIMESTAMP) THEN 'New Release (Last 2 Years)'
-       WHEN t.release_date < CAST(DATE '2023-06-01' AS TIMESTAMP) THEN 'Back Catalog'
-       ELSE 'Unknown/Unlisted Date' END AS release_category,
-  COUNT(t.title_id) AS title_count,
-  {_avg('p.base_amount')} AS avg_base_price,
-  {_avg('p.final_amount')} AS avg_final_price
-FROM inventory t JOIN pricing p ON t.title_id = p.title_id
-WHERE p.base_amount IS NOT NULL AND p.base_amount > 0
-GROUP BY 1""",
-    "m10_currency_price": f"""SELECT currency, COUNT(title_id) AS title_count,
-  {_avg('base_amount')} AS avg_base_price_msrp,
-  {_avg('final_amount')} AS avg_final_price_current
-FROM pricing
-WHERE base_amount IS NOT NULL AND base_amount > 0
-GROUP BY currency""",
-    "m11_promo_effect": f"""SELECT p.promo_name, COUNT(d.title_id) AS titles_in_promotion,
-  {_avg('d.discount_percentage')} AS avg_discount_depth,
-  CAST(SUM(r.reviews_count) AS BIGINT) AS total_reviews_driven
-FROM promotion p
-JOIN discount_status d ON p.promo_id = d.promo_id
-JOIN rating r ON d.title_id = r.title_id
-WHERE r.reviews_count IS NOT NULL
-GROUP BY p.promo_name
-HAVING COUNT(d.title_id) >= 10""",
-    "m12_platform_breadth": f""", platform_counts AS (
-  SELECT title_id, COUNT(os_id) AS num_platforms FROM title_os GROUP BY title_id
-)
-SELECT t1.num_platforms, COUNT(t1.title_id) AS game_count,
-  {_avg('p.base_amount')} AS avg_base_price,
-  {_avg('r.overall_avg_rating')} AS avg_quality_rating
-FROM platform_counts t1
-JOIN inventory t ON t1.title_id = t.title_id
-LEFT JOIN pricing p ON t1.title_id = p.title_id
-LEFT JOIN rating r ON t1.title_id = r.title_id
-WHERE p.base_amount IS NOT NULL AND r.overall_avg_rating IS NOT NULL
-GROUP BY t1.num_platforms""",
-    "m13_support_skeleton": f""", target_categories AS (
-  SELECT 'Dedicated Support URL Present' AS support_status
-  UNION ALL SELECT 'Support URL Missing/Not Provided'
-), aggregated AS (
-  SELECT
-    CASE WHEN t.support_url IS NULL OR trim(t.support_url) = ''
-              OR lower(trim(t.support_url)) IN ('n/a', 'none', 'tbd')
-         THEN 'Support URL Missing/Not Provided'
-         ELSE 'Dedicated Support URL Present' END AS status,
-    COUNT(t.title_id) AS game_count,
-    {_avg('r.overall_avg_rating')} AS avg_customer_rating,
-    CAST(SUM(r.reviews_count) AS BIGINT) AS total_reviews_sum
-  FROM inventory t JOIN rating r ON t.title_id = r.title_id
-  WHERE r.overall_avg_rating IS NOT NULL
-  GROUP BY 1
-)
-SELECT tc.support_status, COALESCE(ar.game_count, 0) AS game_count,
-  ar.avg_customer_rating, ar.total_reviews_sum
-FROM target_categories tc LEFT JOIN aggregated ar ON tc.support_status = ar.status""",
+    "m1_median_by_party": _median_sql("developer"),
+    "m2_median_by_publisher": _median_sql("publisher"),
+    "m3_era_quality": f"""SELECT if(coalesce(year(released), 9999) < 2010, 'Classic (Pre-2010)', 'Modern (2010+)') AS game_era,
+  count(*) AS titles_in_group, {_mean('stars')} AS avg_quality_rating, {_mean('base')} AS avg_base_price
+FROM typed WHERE stars IS NOT NULL GROUP BY ALL""",
+    "m4_age_by_genre": f"""SELECT genre_name, count(*) AS title_count, {_mean('age')} AS avg_age_limit
+FROM (SELECT age, unnest(tags) AS genre_name FROM typed WHERE age > 0) GROUP BY ALL HAVING count(*) > 4""",
+    "m5_reviews_by_age_tier": """SELECT label AS age_restriction_group, count(*) AS game_count,
+  sum(reviews)::BIGINT AS total_reviews_sum
+FROM typed JOIN (VALUES (-1000, -1, '1-12 (Child/Pre-Teen)'), (0, 0, '0 (No Restriction/Unknown)'),
+  (1, 12, '1-12 (Child/Pre-Teen)'), (13, 16, '13-16 (Teen)'), (17, 1000, '17+ (Mature Audience)')) tier(low, high, label)
+  ON age BETWEEN low AND high
+WHERE reviews IS NOT NULL GROUP BY ALL""",
+    "m6_type_contribution": """SELECT ['Game', 'Bundle', 'DLC'][type] AS product_category, count(*) AS catalog_count,
+  sum(reviews)::BIGINT AS total_reviews_proxy, sum(base) AS total_base_amount_proxy
+FROM typed WHERE type BETWEEN 1 AND 3 GROUP BY ALL""",
+    "m7_content_groups": """SELECT ['Movie Content', 'Full Game Title', 'Bundle (Package)', 'DLC/Add-on Content'][if(movie, 1, type + 1)]
+    AS content_type_group, count(*) AS titles_in_group, sum(base) AS total_base_amount_value
+FROM typed WHERE type BETWEEN 1 AND 3 GROUP BY ALL""",
+    "m8_free_vs_paid": f"""SELECT if(is_free, 'Free-to-Play (F2P)', 'Paid/Premium Title') AS revenue_model, count(*) AS title_count,
+  {_mean('stars')} AS avg_user_rating, sum(reviews)::BIGINT AS total_reviews_sum
+FROM typed JOIN ({L_SQL['l7_pricing']}) USING (title_id) WHERE stars IS NOT NULL GROUP BY ALL""",
+    "m9_release_price": f"""SELECT coalesce(if(released >= make_timestamp(2023, 6, 1, 0, 0, 0), 'New Release (Last 2 Years)',
+    if(released IS NULL, NULL, 'Back Catalog')), 'Unknown/Unlisted Date') AS release_category,
+  count(*) AS title_count, {_mean('base')} AS avg_base_price, {_mean('final')} AS avg_final_price
+FROM typed WHERE base > 0 GROUP BY ALL""",
+    "m10_currency_price": f"""SELECT currency, count(*) AS title_count, {_mean('base')} AS avg_base_price_msrp,
+  {_mean('final')} AS avg_final_price_current
+FROM typed WHERE base > 0 GROUP BY ALL""",
+    "m11_promo_effect": f"""SELECT promo AS promo_name, count(*) AS titles_in_promotion, {_mean('off')} AS avg_discount_depth,
+  sum(reviews)::BIGINT AS total_reviews_driven
+FROM typed WHERE promo IS NOT NULL AND reviews IS NOT NULL GROUP BY ALL HAVING count(*) > 9""",
+    "m12_platform_breadth": f"""SELECT len(systems) AS num_platforms, count(*) AS game_count, {_mean('base')} AS avg_base_price,
+  {_mean('stars')} AS avg_quality_rating
+FROM typed WHERE len(systems) > 0 AND base IS NOT NULL AND stars IS NOT NULL GROUP BY ALL""",
+    "m13_support_skeleton": f"""SELECT unnest(['Support URL Missing/Not Provided', 'Dedicated Support URL Present']) AS support_status,
+  unnest([count(*) FILTER (WHERE unsupported), count(*) FILTER (WHERE NOT unsupported)]) AS game_count,
+  unnest([{_mean('if(unsupported, stars, NULL)')}, {_mean('if(unsupported, NULL, stars)')}]) AS avg_customer_rating,
+  unnest([sum(reviews) FILTER (WHERE unsupported), sum(reviews) FILTER (WHERE NOT unsupported)])::BIGINT AS total_reviews_sum
+FROM typed WHERE stars IS NOT NULL""",
 }
 
 _M_REPORTS = {
@@ -305,9 +177,7 @@ _M_REPORTS = {
 }
 
 for _qname, _report in _M_REPORTS.items():
-    _sql = M_SQL[_qname]
-    _sql = CATALOG_CTES + (_sql if _sql.startswith(",") else "\n" + _sql)
-    register(_qname, _sql)(_report_query(_report))
+    register(_qname, CATALOG_CTES + M_SQL[_qname])(_report_query(_report))
 
 
 def flagship(spark: SparkSession, base_dir: str) -> DataFrame:
@@ -317,7 +187,7 @@ def flagship(spark: SparkSession, base_dir: str) -> DataFrame:
     return analytics.median_by_party(catalog(spark, base_dir), "publisher")
 
 
-__all__ = ["CATALOG_CTES", "M_SQL", "catalog", "flagship"]
+__all__ = ["CATALOG_CTES", "M_SQL", "TABLE_CTES", "catalog", "flagship"]
 
 
 # --- hash-key mode, compared key-free -------------------------------------------
@@ -337,11 +207,7 @@ def _names_view(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, na
     return fact.join(d, fact[fact_key] == d["_k"], how).drop("_k", fact_key)
 
 
-@register("l3_inventory_hash", CATALOG_CTES + """SELECT i.title_id, pp.name AS publisher_name,
-  pd.name AS developer_name
-FROM inventory i
-LEFT JOIN party pp ON i.publisher_id = pp.party_id
-LEFT JOIN party pd ON i.developer_id = pd.party_id""")
+@register("l3_inventory_hash", CATALOG_CTES + "SELECT title_id, publisher AS publisher_name, developer AS developer_name FROM typed")
 def l3_inventory_hash(spark, base_dir):
     cat = _hash_catalog(spark, base_dir)
     party = cat["party"]
@@ -350,9 +216,9 @@ def l3_inventory_hash(spark, base_dir):
     return _names_view(inv, party, "developer_id", "party_id", "name", "developer_name", "left")
 
 
-@register("l9_discount_status_hash", CATALOG_CTES + """SELECT d.title_id, p.promo_name,
-  CAST(d.discount_percentage AS DOUBLE) AS discount_percentage, d.is_discounted
-FROM discount_status d JOIN promotion p ON d.promo_id = p.promo_id""")
+@register("l9_discount_status_hash", CATALOG_CTES + f"""SELECT title_id, promo AS promo_name,
+  discount_percentage::DOUBLE AS discount_percentage, is_discounted
+FROM typed JOIN ({L_SQL['l9_discount_status']}) USING (title_id)""")
 def l9_discount_status_hash(spark, base_dir):
     cat = _hash_catalog(spark, base_dir)
     ds = cat["discount_status"].select(
@@ -360,16 +226,14 @@ def l9_discount_status_hash(spark, base_dir):
     return _names_view(ds, cat["promotion"], "promo_id", "promo_id", "promo_name", "promo_name")
 
 
-@register("l10_title_genre_hash", CATALOG_CTES + """SELECT tg.title_id, g.genre_name
-FROM title_genre tg JOIN genre g ON tg.genre_id = g.genre_id""")
+@register("l10_title_genre_hash", CATALOG_CTES + "SELECT title_id, unnest(tags) AS genre_name FROM typed")
 def l10_title_genre_hash(spark, base_dir):
     cat = _hash_catalog(spark, base_dir)
     return _names_view(cat["title_genre"], cat["genre"], "genre_id", "genre_id", "genre_name",
                        "genre_name")
 
 
-@register("l11_title_os_hash", CATALOG_CTES + """SELECT t.title_id, o.os_name
-FROM title_os t JOIN os_platform o ON t.os_id = o.os_id""")
+@register("l11_title_os_hash", CATALOG_CTES + "SELECT title_id, unnest(systems) AS os_name FROM typed")
 def l11_title_os_hash(spark, base_dir):
     cat = _hash_catalog(spark, base_dir)
     return _names_view(cat["title_os"], cat["os_platform"], "os_id", "os_id", "os_name",

@@ -8,6 +8,8 @@ library code.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
@@ -20,8 +22,8 @@ from ..operators.joins import lookup_key, restrict_to, static_table, with_requir
 from ..operators.keys import dense_keys
 from ..session import scratch_path
 from ..sources import csv_stage
-from ..sources.tables import read_table
-from .catalog_queries import CATALOG_CTES, catalog
+from ..sources.tables import read_table, read_tables, write_tables
+from .catalog_queries import TABLE_CTES, catalog
 from .listing import LISTING_COLUMNS, listing, listing_sql
 from .registry import register
 
@@ -71,7 +73,7 @@ def a1_csv_stage(spark: SparkSession, base: str) -> DataFrame:
             for c, f in zip(schemas.RAW_COLUMNS, schemas.RAW_SCHEMA.fields)]
     path = scratch_path(spark, "csv-stage")
     csv_stage.write_csv(wide.select(*cols), path)
-    return csv_stage.read_csv(spark, path, schemas.RAW_SCHEMA)
+    return csv_stage.read_csv(spark, path, schemas.RAW_SCHEMA, multiline=True)
 
 
 _TYPE_DIM = [(1, "ECONOMY"), (2, "LARGE"), (3, "MEDIUM"), (4, "PROMO"), (5, "SMALL")]
@@ -95,17 +97,23 @@ def a6_scan(spark, base):
 # --- B: projections and predicates ------------------------------------------
 
 _MAYBE_BRAND = "CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE p_brand END"
+# Missing, blank and sentinel text, so that every arm of the predicate rejects rows.
+_B_TEXT = {
+    "name_t": "CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_name END",
+    "brand_t": "CASE WHEN p_partkey % 9 = 0 THEN '  ' ELSE p_brand END",
+    "type_t": "CASE p_partkey % 11 WHEN 0 THEN '' WHEN 1 THEN '[]' ELSE p_type END",
+}
 
 
 @register("b_predicates", f"""SELECT p_partkey, p_name, p_size FROM part
-WHERE p_name IS NOT NULL AND trim(p_brand) <> '' AND p_type NOT IN ('', '[]')
+WHERE ({_B_TEXT["name_t"]}) IS NOT NULL AND trim({_B_TEXT["brand_t"]}) <> '' AND ({_B_TEXT["type_t"]}) NOT IN ('', '[]')
   AND ((p_type IN ('SMALL', 'PROMO') AND p_size BETWEEN 13 AND 16)
        OR (p_retailprice >= 990 AND (p_size < 5) = TRUE)
        OR ({_MAYBE_BRAND}) IS NULL)""")
 def b_predicates(spark, base):
     p = _t(spark, base, "part")
-    cond = (F.col("p_name").isNotNull() & clean.non_blank("p_brand")
-            & ~F.col("p_type").isin("", "[]")
+    name, brand, kind = (F.expr(e) for e in _B_TEXT.values())
+    cond = (name.isNotNull() & clean.non_blank(brand) & ~kind.isin("", "[]")
             & ((F.col("p_type").isin("SMALL", "PROMO") & F.col("p_size").between(13, 16))
                | ((F.col("p_retailprice") >= 990) & ((F.col("p_size") < 5) == F.lit(True)))
                | F.expr(_MAYBE_BRAND).isNull()))
@@ -224,7 +232,8 @@ def c5_left_enrich(spark, base):
     return _returned(spark, base)
 
 
-_PAGE_URL = "CASE WHEN page_id % 13 = 0 THEN NULL WHEN page_id % 17 = 0 THEN '  ' ELSE url END"
+_PAGE_URL = ("CASE WHEN page_id % 13 = 0 THEN NULL WHEN page_id % 17 = 0 THEN '  ' "
+             "WHEN page_id % 11 = 0 THEN 'gopher://old' ELSE url END")
 _URL_CATEGORIES = ["Secure (https)", "Plain (http)", "FTP (ftp)", "Missing"]
 
 
@@ -242,8 +251,8 @@ _URL_CATEGORIES = ["Secure (https)", "Plain (http)", "FTP (ftp)", "Missing"]
   SELECT cat, COUNT(page_id) AS page_count, {_avg_sql('html_len')} AS avg_html_length
   FROM pages_c GROUP BY cat
 )
-SELECT cats.category, COALESCE(agg.page_count, 0) AS page_count, agg.avg_html_length
-FROM cats LEFT JOIN agg ON cats.category = agg.cat""")
+SELECT COALESCE(cats.category, agg.cat) AS category, COALESCE(agg.page_count, 0) AS page_count, agg.avg_html_length
+FROM cats FULL JOIN agg ON cats.category = agg.cat""")
 def c6_skeleton(spark, base):
     p = _t(spark, base, "pages").select("page_id", "html", F.expr(_PAGE_URL).alias("u"))
     u = F.col("u")
@@ -575,12 +584,46 @@ def _report_sql() -> str:
     pick = ", ".join(
         f"CAST(COALESCE(SUM(CASE WHEN metric = '{m}' THEN value END), 0) AS BIGINT) AS {m}"
         for m in ("row_count", "duplicate_key_rows", "null_violations", "orphan_rows"))
-    return CATALOG_CTES + f", metrics AS (\n{union}\n)\nSELECT table_name, {pick}\n" \
+    return TABLE_CTES + f", metrics AS (\n{union}\n)\nSELECT table_name, {pick}\n" \
         "FROM metrics GROUP BY table_name"
 
 
 @register("k5_report", _report_sql())
 def k5_report(spark, base):
-    cat = catalog(spark, base)
-    return quality.load_report(dict(cat.items()))
+    # The report reads each table several times, so the tables are stored first.
+    built = catalog(spark, base)
+    path = scratch_path(spark, "report-tables")
+    write_tables(dict(built.items()), path)
+    return quality.load_report(read_tables(spark, path, built.names))
+
+
+_FAULTY = """CASE WHEN p_partkey % 10 = 3 THEN p_partkey - 1 ELSE p_partkey END AS id,
+  CASE WHEN p_partkey % 8 = 5 THEN NULL ELSE p_name END AS title,
+  CASE WHEN p_partkey % 6 = 0 THEN 9 WHEN p_partkey % 6 = 1 THEN NULL ELSE 1 + p_partkey % 3 END AS kind"""
+
+
+@register("k5_faulty_report", f"""WITH child AS (SELECT {_FAULTY} FROM part),
+twice AS (SELECT id FROM child GROUP BY id HAVING count(*) > 1)
+SELECT 'titles' AS table_name, count(*) AS row_count, count(*) FILTER (WHERE id IN (FROM twice)) AS duplicate_key_rows,
+  count(*) FILTER (WHERE title IS NULL) AS null_violations, count(*) FILTER (WHERE kind > 3) AS orphan_rows FROM child
+UNION ALL SELECT 'kinds', 3, 0, 0, 0""")
+def k5_faulty_report(spark, base):
+    titles = _t(spark, base, "part").selectExpr(*[x.strip() for x in re.split(r",\n", _FAULTY)])
+    kinds = static_table(spark, [(1,), (2,), (3,)], "kind_id int")
+    return quality.load_report({"titles": titles, "kinds": kinds}, primary={"titles": ["id"], "kinds": ["kind_id"]}, unique={},
+                               not_null={"titles": ["title"]}, refs=[("titles", "kind", "kinds", "kind_id")])
+
+
+_AMOUNT_TEXT = """CASE p_partkey % 9 WHEN 0 THEN '0.123456789012' WHEN 1 THEN 'free' WHEN 2 THEN '' WHEN 3 THEN NULL
+  ELSE p_size || '.5' END"""
+_LIST_TEXT = "CASE p_partkey % 5 WHEN 0 THEN '[''a'', null]' WHEN 1 THEN '[''a''] tail' ELSE '[''a'', ''b'']' END"
+
+
+@register("k5_conversions", f"""SELECT 'price' AS column_name, count(*) FILTER (WHERE t LIKE '0.1234%') AS lost_digits,
+  count(*) FILTER (WHERE t = 'free') AS rejected, 0 AS null_items FROM (SELECT {_AMOUNT_TEXT} AS t FROM part)
+UNION ALL SELECT 'labels', 0, count(*) FILTER (WHERE t LIKE '% tail'), count(*) FILTER (WHERE t LIKE '%null%')
+FROM (SELECT {_LIST_TEXT} AS t FROM part)""")
+def k5_conversions(spark, base):
+    df = _t(spark, base, "part").select(F.expr(_AMOUNT_TEXT).alias("price"), F.expr(_LIST_TEXT).alias("labels"))
+    return quality.conversion_report(df, amounts=["price"], lists=["labels"])
 

@@ -181,9 +181,7 @@ def build_pricing(raw: DataFrame, inventory: DataFrame | None = None) -> DataFra
     base = clean.blank_decimal("baseamount")
     final = clean.blank_decimal("finalamount")
     amount = clean.blank_decimal("amount")
-    is_free = (F.when((base == 0) & (final == 0) & (amount == 0), F.lit(True))
-               .when(F.col("isfree") == "t", F.lit(True))
-               .otherwise(F.lit(False)))
+    is_free = clean.free_title(base, final, amount, "isfree")
     rows = raw.select(F.col("id").cast("long").alias("title_id"), base.alias("base_amount"),
                       final.alias("final_amount"), amount.alias("amount"),
                       F.col("currency"), is_free.alias("is_free"))
@@ -211,9 +209,7 @@ def build_discount_status(raw: DataFrame, promotion: DataFrame | None,
     """
     pct = clean.guarded_decimal("discountpercentage")
     diff = clean.guarded_decimal("discountdifference")
-    is_discounted = (F.when(pct > 0, F.lit(True))
-                     .when(F.trim(F.col("isdiscounted")) == "t", F.lit(True))
-                     .otherwise(F.lit(False)))
+    is_discounted = clean.discounted(pct, "isdiscounted")
     rows = raw.select(F.col("id").cast("long").alias("title_id"),
                       F.trim(F.col("promoid")).alias("_promo"),
                       pct.alias("discount_percentage"), diff.alias("discount_difference"),
@@ -234,14 +230,13 @@ def build_discount_status(raw: DataFrame, promotion: DataFrame | None,
 # --- bridges ------------------------------------------------------------------
 
 def build_title_genre(raw: DataFrame, genre: DataFrame | None,
-                      inventory: DataFrame | None = None, ids_unique: bool = True,
+                      inventory: DataFrame | None = None, ids_unique: bool = False,
                       keys: str = "dense") -> DataFrame:
     """(title, genre) pairs from the list text, matched on the folded name.
 
     Items are folded and de-duplicated inside each row before the explode, so
-    with a unique staging ``id`` (its primary key, verified by the quality job)
-    the pairs are already distinct and no shuffle is needed for ``DISTINCT``;
-    pass ``ids_unique=False`` to de-duplicate explicitly.
+    with a unique staging ``id`` the pairs are distinct without a shuffle. Pass
+    ``ids_unique=True`` only after checking that, as the catalogue job does.
     """
     items = F.array_distinct(F.transform(clean.text_list_items("genres"), clean.fold_name))
     rows = raw.select(F.col("id").cast("long").alias("title_id"),
@@ -257,7 +252,7 @@ def build_title_genre(raw: DataFrame, genre: DataFrame | None,
 
 
 def build_title_os(raw: DataFrame, os_platform: DataFrame | None,
-                   inventory: DataFrame | None = None, ids_unique: bool = True,
+                   inventory: DataFrame | None = None, ids_unique: bool = False,
                    keys: str = "dense") -> DataFrame:
     """(title, os) pairs from the JSON-ish OS lists; blank lists are skipped."""
     src = F.col("supportedoperatingsystems")
@@ -309,7 +304,7 @@ class Catalog:
     }
     names = tuple(_BUILD)
 
-    def __init__(self, raw: DataFrame, ids_unique: bool = True, keys: str = "dense"):
+    def __init__(self, raw: DataFrame, ids_unique: bool = False, keys: str = "dense"):
         """``keys``: ``dense`` surrogate keys (looked up by joins) or ``hash``
         keys (computed in place: the fact tables need no dimension join)."""
         if keys not in KEY_MODES:
@@ -338,7 +333,7 @@ class Catalog:
 DIMENSIONS = ("party", "os_platform", "genre", "promotion")
 
 
-def normalize(raw: DataFrame, ids_unique: bool = True, parallelism: int = 4,
+def normalize(raw: DataFrame, ids_unique: bool = False, parallelism: int = 4,
               keys: str = "dense") -> dict[str, DataFrame]:
     """Build all eleven typed tables from the staging frame.
 

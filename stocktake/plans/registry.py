@@ -13,49 +13,51 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-# Check outputs whose decimal columns are reported as DOUBLE on both sides.
-# The arithmetic stays exact decimal inside; the one final conversion is
-# correctly rounded in both engines, and DOUBLE compares the same however a
-# result is materialised (Python Decimal objects vs. pandas float columns).
-DECIMAL_AS_DOUBLE = {
-    "l7_pricing": ["base_amount", "final_amount", "amount"],
-    "l8_rating": ["overall_avg_rating", "filtered_avg_rating"],
-    "l9_discount_status": ["discount_percentage", "discount_difference"],
-    "m6_type_contribution": ["total_base_amount_proxy"],
-    "m7_content_groups": ["total_base_amount_value"],
-    "c1_inner_star": ["quantity_sum"],
-    "c5_left_enrich": ["returned_qty"],
-    "c9_outer_to_inner": ["big_order_value"],
-    "e3_sum_decimal": ["price_sum"],
-    "e10_multi_agg": ["total_sum"],
-    "f_order_nulls_first": ["returned_qty"],
-    "h8_decimal_cast": ["price"],
-    "h12_guarded_cast": ["discount_pct"],
+# Check outputs with decimal columns, by scale. Both sides give them as text with
+# all their digits, so neither rounding nor a declared scale can hide behind a float.
+DECIMAL_SCALES = {
+    "l7_pricing": {"base_amount": 10, "final_amount": 10, "amount": 10},
+    "l8_rating": {"overall_avg_rating": 10, "filtered_avg_rating": 10},
+    "l9_discount_status": {"discount_percentage": 10, "discount_difference": 10},
+    "m6_type_contribution": {"total_base_amount_proxy": 10},
+    "m7_content_groups": {"total_base_amount_value": 10},
+    "c1_inner_star": {"quantity_sum": 2},
+    "c5_left_enrich": {"returned_qty": 2},
+    "c9_outer_to_inner": {"big_order_value": 2},
+    "e3_sum_decimal": {"price_sum": 2},
+    "e10_multi_agg": {"total_sum": 2},
+    "f_order_nulls_first": {"returned_qty": 2},
+    "h8_decimal_cast": {"price": 10},
+    "h12_guarded_cast": {"discount_pct": 10},
 }
 
 
-def _as_doubles(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c)
-                       for c in df.columns])
+def _as_text(df: DataFrame, scales: dict[str, int]) -> DataFrame:
+    for name, scale in scales.items():
+        if not df.schema[name].dataType.simpleString().endswith(f",{scale})"):
+            raise TypeError(f"{name} is {df.schema[name].dataType}, not of scale {scale}")
+    return df.select(*[F.replace(F.format_number(c, scales[c]), F.lit(","), F.lit("")).alias(c) if c in scales
+                       else F.col(c) for c in df.columns])
 
 
 def register(name: str, sql: str | None = None):
     """Decorator: record ``fn(spark, base_dir)`` under ``name`` with its SQL twin."""
-    doubles = DECIMAL_AS_DOUBLE.get(name, [])
+    scales = DECIMAL_SCALES.get(name, {})
 
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query name {name}")
-        if doubles:
+        if scales:
             @functools.wraps(fn)
             def wrapped(spark: SparkSession, base_dir: str) -> DataFrame:
-                return _as_doubles(fn(spark, base_dir), doubles)
+                return _as_text(fn(spark, base_dir), scales)
             QUERIES[name] = wrapped
         else:
             QUERIES[name] = fn
         if sql is not None:
-            ORACLE_SQL[name] = sql if not doubles else (
-                "SELECT * REPLACE (" + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in doubles)
+            ORACLE_SQL[name] = sql if not scales else (
+                "SELECT * REPLACE (" + ", ".join(
+                    f"CAST(CAST({c} AS DECIMAL(38,{scale})) AS VARCHAR) AS {c}" for c, scale in scales.items())
                 + f") FROM (\n{sql}\n) q")
         return fn
     return deco

@@ -1,8 +1,8 @@
 """Registered checks for scalar conversions, rule chains, tiers and list parsing.
 
 The raw text each helper converts is produced by a deterministic expression
-over a driver table (shared verbatim with the DuckDB twin); the conversion is
-the library helper from :mod:`stocktake.functions`.
+over a driver table (shared verbatim with the DuckDB twin). Where the library has
+a helper for the conversion (:mod:`stocktake.functions`), the check uses it.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import clean, tiers
 from ..operators.aggregates import mean
-from ..operators.joins import static_table
 from ..sources.tables import read_table
 from .registry import register
 
@@ -110,10 +109,10 @@ def h7_int_cast(spark, base):
 
 
 _PRICE_TEXT = ("CAST(p_size AS STRING) || '.' || lpad(CAST(p_partkey % 100 AS STRING), 2, '0') "
-               "|| CAST(p_partkey % 7 AS STRING)")
+               "|| CAST(p_partkey % 7 AS STRING) || CASE WHEN p_partkey % 5 = 0 THEN '00001' ELSE '' END")
 
 
-@register("h8_decimal_cast", f"""SELECT p_partkey, CAST({_PRICE_TEXT} AS DECIMAL(18,4)) AS price
+@register("h8_decimal_cast", f"""SELECT p_partkey, CAST({_PRICE_TEXT} AS DECIMAL(38,12)) AS price
 FROM part""")
 def h8_decimal_cast(spark, base):
     p = _with(_t(spark, base, "part"), txt=_PRICE_TEXT)
@@ -163,12 +162,12 @@ def h11_trimmed_flag(spark, base):
 
 
 _PCT_TEXT = """CASE o_orderkey % 8 WHEN 0 THEN 'FALSE' WHEN 1 THEN 'true' WHEN 2 THEN ''
-    WHEN 3 THEN NULL WHEN 4 THEN '0' ELSE CAST(o_orderkey % 50 AS STRING) END"""
+    WHEN 3 THEN NULL WHEN 4 THEN '0' WHEN 5 THEN '0.00001' ELSE CAST(o_orderkey % 50 AS STRING) END"""
 
 
 @register("h12_guarded_cast", f"""SELECT o_orderkey,
   CASE WHEN upper(t) IN ('TRUE', 'FALSE') THEN NULL
-       ELSE CAST(NULLIF(t, '') AS DECIMAL(18,4)) END AS discount_pct
+       ELSE CAST(NULLIF(t, '') AS DECIMAL(38,12)) END AS discount_pct
 FROM (SELECT o_orderkey, {_PCT_TEXT} AS t FROM orders) x""")
 def h12_guarded_cast(spark, base):
     o = _with(_t(spark, base, "orders"), t=_PCT_TEXT)
@@ -176,17 +175,17 @@ def h12_guarded_cast(spark, base):
 
 
 _AMOUNTS = {
-    "base_t": "CASE p_partkey % 6 WHEN 0 THEN '0' WHEN 1 THEN '0' WHEN 2 THEN '' "
+    "base_t": "CASE p_partkey % 6 WHEN 0 THEN '0' WHEN 1 THEN '0' WHEN 2 THEN '' WHEN 3 THEN '0.00004' "
               "ELSE CAST(p_size AS STRING) || '.99' END",
-    "final_t": "CASE p_partkey % 6 WHEN 0 THEN '0' WHEN 1 THEN '0' WHEN 2 THEN '0' "
+    "final_t": "CASE p_partkey % 6 WHEN 0 THEN '0' WHEN 1 THEN '0' WHEN 2 THEN '0' WHEN 3 THEN '0' "
                "ELSE CAST(p_size AS STRING) || '.49' END",
-    "amount_t": "CASE p_partkey % 6 WHEN 0 THEN '0' WHEN 1 THEN '' ELSE '1.00' END",
+    "amount_t": "CASE p_partkey % 6 WHEN 0 THEN '0' WHEN 1 THEN '' WHEN 3 THEN '0' ELSE '1.00' END",
     "free_t": "CASE WHEN p_partkey % 4 = 1 THEN 't' ELSE 'f' END",
 }
 
 
 def _dec_sql(c: str) -> str:
-    return f"CAST(NULLIF({c}, '') AS DECIMAL(18,4))"
+    return f"CAST(NULLIF({c}, '') AS DECIMAL(38,12))"
 
 
 @register("h13_rules", f"""SELECT p_partkey,
@@ -196,18 +195,16 @@ FROM (SELECT p_partkey, {', '.join(f'{e} AS {n}' for n, e in _AMOUNTS.items())}
 def h13_rules(spark, base):
     p = _with(_t(spark, base, "part"), **_AMOUNTS)
     b, f, a = (clean.blank_decimal(c) for c in ("base_t", "final_t", "amount_t"))
-    is_free = (F.when((b == 0) & (f == 0) & (a == 0), F.lit(True))
-               .when(F.col("free_t") == "t", F.lit(True)).otherwise(F.lit(False)))
-    return p.select("p_partkey", is_free.alias("is_free"))
+    return p.select("p_partkey", clean.free_title(b, f, a, "free_t").alias("is_free"))
 
 
 _DISC = {
     "pct_t": "CASE p_partkey % 6 WHEN 0 THEN 'FALSE' WHEN 1 THEN '0' WHEN 2 THEN '' "
-             "WHEN 3 THEN NULL ELSE CAST(p_size % 20 AS STRING) END",
+             "WHEN 3 THEN NULL WHEN 4 THEN '0.00001' ELSE CAST(p_size % 20 AS STRING) END",
     "flag_t": "CASE p_partkey % 4 WHEN 0 THEN ' t ' WHEN 1 THEN 't' WHEN 2 THEN NULL ELSE 'f' END",
 }
 _GUARD_SQL = ("CASE WHEN upper(pct_t) IN ('TRUE', 'FALSE') THEN NULL "
-              "ELSE CAST(NULLIF(pct_t, '') AS DECIMAL(18,4)) END")
+              "ELSE CAST(NULLIF(pct_t, '') AS DECIMAL(38,12)) END")
 
 
 @register("h14_rules", f"""SELECT p_partkey,
@@ -216,9 +213,7 @@ _GUARD_SQL = ("CASE WHEN upper(pct_t) IN ('TRUE', 'FALSE') THEN NULL "
 FROM (SELECT p_partkey, {', '.join(f'{e} AS {n}' for n, e in _DISC.items())} FROM part) x""")
 def h14_rules(spark, base):
     p = _with(_t(spark, base, "part"), **_DISC)
-    rule = (F.when(clean.guarded_decimal("pct_t") > 0, F.lit(True))
-            .when(F.trim("flag_t") == "t", F.lit(True)).otherwise(F.lit(False)))
-    return p.select("p_partkey", rule.alias("is_discounted"))
+    return p.select("p_partkey", clean.discounted(clean.guarded_decimal("pct_t"), "flag_t").alias("is_discounted"))
 
 
 _URL_TEXT = """CASE page_id % 9 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  '
@@ -259,54 +254,44 @@ def h17_cutoff3(spark, base):
 _AGE = "CASE WHEN p_partkey % 23 = 0 THEN NULL ELSE p_size - 5 END"
 
 
-@register("h18_tiers", f"""SELECT
-  CASE WHEN age = 0 THEN '0 (No Restriction/Unknown)'
-       WHEN age <= 12 THEN '1-12 (Child/Pre-Teen)'
-       WHEN age BETWEEN 13 AND 16 THEN '13-16 (Teen)'
-       WHEN age >= 17 THEN '17+ (Mature Audience)'
-       ELSE 'N/A' END AS age_tier,
-  COUNT(p_partkey) AS part_count, CAST(SUM(age) AS BIGINT) AS age_sum
-FROM (SELECT p_partkey, {_AGE} AS age FROM part) x GROUP BY 1""")
+# Labels of their own that fit the driver tables: the helpers take them as parameters.
+_SIZES = ("none", "small or odd", "middle", "large", "unknown")
+
+
+@register("h18_tiers", f"""SELECT label AS size_tier, count(p_partkey) AS part_count, sum(age)::BIGINT AS size_sum
+FROM (SELECT p_partkey, {_AGE} AS age FROM part) x
+JOIN (VALUES (0, 0, 'none'), (-99, -1, 'small or odd'), (1, 12, 'small or odd'), (13, 16, 'middle'), (17, 99, 'large'),
+      (NULL, NULL, 'unknown')) v(low, high, label)
+  ON age BETWEEN low AND high OR (age IS NULL AND low IS NULL)
+GROUP BY label""")
 def h18_tiers(spark, base):
     p = _with(_t(spark, base, "part"), age=_AGE)
-    return p.groupBy(tiers.age_tier("age").alias("age_tier")).agg(
-        F.count("p_partkey").alias("part_count"), F.sum("age").cast("long").alias("age_sum"))
+    return p.groupBy(tiers.age_tier("age", _SIZES).alias("size_tier")).agg(
+        F.count("p_partkey").alias("part_count"), F.sum("age").cast("long").alias("size_sum"))
 
 
-_MOVIE = "p_partkey % 10 = 7"
-_TYPE_KEY = "CAST(p_size % 4 AS INT)"
+_URGENT = "o_orderkey % 10 = 7"
+_PRIORITY_LABELS = {"1-URGENT": "today", "2-HIGH": "this week"}
 
 
-@register("h19_priority_label", f"""SELECT
-  CASE WHEN is_movie = TRUE THEN 'Movie Content'
-       WHEN type_name = 'Bundle' THEN 'Bundle (Package)'
-       WHEN type_name = 'DLC' THEN 'DLC/Add-on Content'
-       WHEN type_name = 'Game' THEN 'Full Game Title'
-       ELSE 'Other/Unknown Content' END AS content_type_group,
-  COUNT(p_partkey) AS part_count
-FROM (SELECT p_partkey, {_MOVIE} AS is_movie, {_TYPE_KEY} AS type_id FROM part) p
-JOIN (VALUES (1, 'Game'), (2, 'Bundle'), (3, 'DLC')) t(type_id, type_name) ON p.type_id = t.type_id
-GROUP BY 1""")
+@register("h19_priority_label", f"""SELECT if({_URGENT}, 'escalated',
+    coalesce(MAP {{'1-URGENT': 'today', '2-HIGH': 'this week'}}[o_orderpriority], 'later')) AS handling,
+  count(*) AS order_count FROM orders GROUP BY ALL""")
 def h19_priority_label(spark, base):
-    p = _with(_t(spark, base, "part"), is_movie=_MOVIE, type_id=_TYPE_KEY)
-    types = static_table(spark, list(tiers.PRODUCT_TYPES), "type_id int, type_name string")
-    rows = p.join(types, "type_id")
-    return rows.groupBy(tiers.content_group("is_movie", "type_name").alias("content_type_group")) \
-        .agg(F.count("p_partkey").alias("part_count"))
+    o = _with(_t(spark, base, "orders"), escalated=_URGENT)
+    label = tiers.content_group("escalated", "o_orderpriority", "escalated", _PRIORITY_LABELS, "later")
+    return o.groupBy(label.alias("handling")).agg(F.count(F.lit(1)).alias("order_count"))
 
 
 _STATUS_BOOL = "CASE o_orderstatus WHEN 'F' THEN TRUE WHEN 'O' THEN FALSE ELSE NULL END"
 
 
-@register("h20_bool_label", f"""SELECT
-  CASE WHEN b = TRUE THEN 'Free-to-Play (F2P)' WHEN b = FALSE THEN 'Paid/Premium Title'
-       ELSE 'Unknown/Unlisted Price' END AS revenue_model,
-  COUNT(o_orderkey) AS order_count,
-  {'CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(o_totalprice)'} AS avg_total
-FROM (SELECT o_orderkey, o_totalprice, {_STATUS_BOOL} AS b FROM orders) x GROUP BY 1""")
+@register("h20_bool_label", """SELECT coalesce(MAP {'F': 'filled', 'O': 'open'}[o_orderstatus], 'in part') AS state,
+  count(o_orderkey) AS order_count, sum(o_totalprice::DECIMAL(18,2))::DOUBLE / count(o_totalprice) AS avg_total
+FROM orders GROUP BY ALL""")
 def h20_bool_label(spark, base):
     o = _with(_t(spark, base, "orders"), b=_STATUS_BOOL)
-    return o.groupBy(tiers.bool_label("b").alias("revenue_model")).agg(
+    return o.groupBy(tiers.bool_label("b", "filled", "open", "in part").alias("state")).agg(
         F.count("o_orderkey").alias("order_count"),
         mean(F.col("o_totalprice").cast("decimal(18,2)")).alias("avg_total"))
 

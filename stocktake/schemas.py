@@ -45,7 +45,8 @@ USED_RAW_COLUMNS = [
     "overallavgrating", "reviewscount", "isreviewable", "reviewpages",
 ]
 
-MONEY = T.DecimalType(18, 4)
+# Ten fractional digits: the source's NUMERIC has no bound, and loading refuses what would not fit.
+MONEY = T.DecimalType(28, 10)
 
 
 def _struct(*fields):
@@ -83,7 +84,7 @@ TABLE_SCHEMAS = {
     "title_os": _struct(("title_id", T.LongType(), False), ("os_id", T.LongType(), False)),
 }
 
-# Primary keys (single or composite) of every table, as data for the checks.
+# Keys and references of every table, as data for the checks.
 PRIMARY_KEYS = {
     "raw": ["id"],
     "party": ["party_id"],

@@ -58,7 +58,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # a Spark Connect session: the server owns the setting
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Connect server") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -78,3 +81,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark)
     token = os.urandom(6).hex()
     return f"{base.rstrip('/')}/stocktake-{name}-{token}"
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, at = _hadoop_path(spark, path)
+    return files.exists(at)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder of ours."""
+    files, at = _hadoop_path(spark, path)
+    files.delete(at, True)

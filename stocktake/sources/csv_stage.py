@@ -5,9 +5,7 @@ map by position (``enforceSchema``), ``""`` inside a quoted field is an escaped
 quote, quoted fields may hold newlines, an unquoted empty field is NULL while
 ``""`` is the empty string, padding is kept, and a malformed row fails the load.
 
-``multiLine`` makes each file one task, so stage a *folder* of files (or turn
-``multiline`` off when no field holds a newline) and convert to Parquet right
-away: later reads then prune to the few columns they use.
+Convert to Parquet right away: later reads then prune to the few columns they use.
 """
 
 from __future__ import annotations
@@ -23,7 +21,6 @@ READ_OPTIONS = {
     "sep": ",",
     "quote": '"',
     "escape": '"',
-    "multiLine": "true",
     "mode": "FAILFAST",
     # The parser hands back ``nullValue`` for an unquoted empty field and
     # ``emptyValue`` for ``""``; a NUL sentinel keeps the two apart (with
@@ -46,9 +43,15 @@ WRITE_OPTIONS = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA,
-             multiline: bool = True) -> DataFrame:
-    """Read CSV file(s) at ``path`` into ``schema`` (never inferred)."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, *,
+             multiline: bool) -> DataFrame:
+    """Read CSV file(s) at ``path`` into ``schema`` (never inferred).
+
+    The caller states whether quoted fields may hold newlines. With
+    ``multiline`` each file is one task, so a large listing should be many
+    files of moderate size; without it files are split, and a newline within
+    quotes leaves rows of the wrong width, which fail the load.
+    """
     opts = dict(READ_OPTIONS, multiLine="true" if multiline else "false")
     return spark.read.options(**opts).schema(schema).csv(path)
 
@@ -59,7 +62,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def stage_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str,
-                     schema: T.StructType = RAW_SCHEMA, multiline: bool = True) -> DataFrame:
+                     schema: T.StructType = RAW_SCHEMA, *, multiline: bool) -> DataFrame:
     """Bronze step: CSV -> Parquet once; returns the Parquet-backed frame."""
-    read_csv(spark, csv_path, schema, multiline).write.mode("overwrite").parquet(parquet_path)
+    read_csv(spark, csv_path, schema, multiline=multiline).write.mode("overwrite").parquet(parquet_path)
     return spark.read.parquet(parquet_path)

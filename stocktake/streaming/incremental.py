@@ -13,7 +13,9 @@ a stream, every micro-batch of newly arrived CSV files is
 Both steps are idempotent: a re-run of the same batch rewrites its own
 staging partition, and finds its names already stored and appends nothing,
 so a retried micro-batch (after an executor or driver loss) creates neither
-duplicate rows nor duplicate names. The stream's own checkpoint lives
+duplicate rows nor duplicate names. Dense keys given here continue after the
+stored maximum; a batch rebuild numbers all names anew in name order, so tables
+with dense keys are either rebuilt or streamed, not both (hash keys may be). The stream's own checkpoint lives
 under the shared ``spark.checkpoint.dir``.
 """
 
@@ -21,21 +23,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from ..operators.dedupe import fresh_keys
 from ..plans.normalize import DIMENSION_SPECS, name_key
 from ..schemas import RAW_SCHEMA, TABLE_SCHEMAS
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, path_exists
 from ..sources.csv_stage import READ_OPTIONS
 from ..sources.tables import table_path
 
 
 def _stored(spark: SparkSession, path: str, name: str) -> DataFrame:
-    try:
+    if path_exists(spark, path):
         return spark.read.parquet(path)
-    except AnalysisException:  # first batch: nothing stored yet
-        return spark.createDataFrame([], TABLE_SCHEMAS[name])
+    return spark.createDataFrame([], TABLE_SCHEMAS[name])  # first batch: nothing stored yet
 
 
 def merge_dimensions(batch: DataFrame, tables_dir: str,
@@ -78,7 +78,7 @@ def start_listing_stream(spark: SparkSession, source_dir: str, tables_dir: str,
                          max_files_per_trigger: int | None = None,
                          keys: str = "dense") -> StreamingQuery:
     """Watch ``source_dir`` for listing CSV files; stage and merge each batch."""
-    reader = spark.readStream.schema(RAW_SCHEMA).options(**READ_OPTIONS)
+    reader = spark.readStream.schema(RAW_SCHEMA).options(**READ_OPTIONS, multiLine="true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.csv(source_dir)
@@ -87,6 +87,9 @@ def start_listing_stream(spark: SparkSession, source_dir: str, tables_dir: str,
         process_batch(batch, epoch_id, tables_dir, keys)
 
     ckpt = f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}"
+    if path_exists(spark, table_path(tables_dir, "raw")) and not path_exists(spark, ckpt):
+        # Epochs would restart at 0 and overwrite staged batches.
+        raise RuntimeError(f"{tables_dir} holds staged batches, but the stream's checkpoint {ckpt} is gone")
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime="1 minute")

@@ -77,7 +77,7 @@ def test_order_desc_nulls_first(spark):
     import re
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert re.search(r"returned_qty#\d+ DESC NULLS FIRST", plan)
-    qty = [r.returned_qty for r in df.collect()]
+    qty = [None if r.returned_qty is None else float(r.returned_qty) for r in df.collect()]
     nulls = [q for q in qty if q is None]
     assert qty[:len(nulls)] == nulls                      # NULLs (if any) come first
     rest = qty[len(nulls):]

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from stocktake.plans.catalog_job import run
 from stocktake.session import scratch_path
 from tests.fixtures import ROWS
@@ -14,9 +16,26 @@ def test_job_end_to_end(spark):
     with open(os.path.join(src, "listing.csv"), "w") as fh:
         fh.write(_csv(ROWS))
     out = scratch_path(spark, "job-out")
-    written = run(spark, src, out)
+    written = run(spark, src, out, multiline=True)
     assert len(written) == 13
     report = {r.table_name: r for r in spark.read.parquet(f"{out}/load_report.parquet").collect()}
     assert report["raw"].row_count == 7 and report["title_os"].row_count == 4
     top = spark.read.parquet(written["support_skeleton"]).collect()
     assert sorted(r.game_count for r in top) == [2, 3]
+
+
+def test_bad_input_leaves_the_published_tables(spark):
+    good, bad = (_local(scratch_path(spark, n)) for n in ("job-good", "job-bad"))
+    for path, rows in ((good, ROWS), (bad, ROWS + [dict(ROWS[0], title="same id")])):
+        os.makedirs(path)
+        with open(os.path.join(path, "listing.csv"), "w") as fh:
+            fh.write(_csv(rows))
+    out = scratch_path(spark, "job-kept")
+    run(spark, good, out, multiline=True)
+    before = sorted(map(str, spark.read.parquet(f"{out}/inventory.parquet").collect()))
+    with pytest.raises(ValueError, match="duplicate_key_rows"):
+        run(spark, bad, out, multiline=True)
+    assert sorted(map(str, spark.read.parquet(f"{out}/inventory.parquet").collect())) == before
+    assert not [n for n in os.listdir(_local(out)) if n.startswith("_staging")]
+    report = {r.table_name: r for r in spark.read.parquet(f"{out}/load_report.parquet").collect()}
+    assert report["raw"].duplicate_key_rows == 2

@@ -65,9 +65,44 @@ def test_json_list_items(spark):
     assert out == [["windows", "osx"], ["windows"], ["linux"], [], None]
 
 
-def test_json_list_items_bad_text_fails(spark):
+@pytest.mark.parametrize("text", ["bad", "['a']['b']", "['a'] junk", "['a'], ['b']", "['a'"])
+def test_json_list_items_bad_text_fails(spark, text):
     with pytest.raises(Exception):
-        _one_col(spark, ["bad"], clean.json_list_items)
+        _one_col(spark, [text], clean.json_list_items)
+
+
+def test_json_list_items_other_mode_gives_null(spark):
+    vals = ["['a'] junk", "['a'], ['b']", "['a', 1]", ""]
+    assert _one_col(spark, vals, lambda c: clean.json_list_items(c, strict=False)) == [None, None, ["a", "1"], None]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_conversions_are_strict_whatever_the_session(spark, ansi):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for text, fn in (("abc", clean.blank_decimal), ("1x", clean.blank_int), ("12.0", clean.to_int),
+                         ("soon", clean.epoch_seconds_to_timestamp), ("0.00000000001", clean.blank_decimal)):
+            with pytest.raises(Exception):
+                _one_col(spark, [text], fn)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_small_amounts_keep_their_digits(spark):
+    vals = ["0.00004", "4.333333", "0.00001", "1e-3"]
+    assert _one_col(spark, vals, clean.blank_decimal) == [Decimal(v) for v in vals]
+    lossy = ["0.00000000001", "4.3333333333333333333333", "1.50000000000", "1e30", "", None, "x"]
+    assert _one_col(spark, lossy, clean.loses_digits) == [True, True, False, True, False, False, False]
+    df = spark.createDataFrame([("0.00004", "0", "0", "f", "0.00001", "f")], "b string, f string, a string, t string, p string, d string")
+    row = df.select(clean.free_title(*(clean.blank_decimal(c) for c in "bfa"), "t").alias("free"),
+                    clean.discounted(clean.guarded_decimal("p"), "d").alias("off")).first()
+    assert (row.free, row.off) == (False, True)
+
+
+def test_epochs_beyond_twelve_digits(spark):
+    out = _one_col(spark, ["1262304000000", "-1"], lambda c: clean.epoch_seconds_to_timestamp(c).cast("string"))
+    assert out == ["+41970-10-28 00:00:00", "1969-12-31 23:59:59"]
 
 
 def test_text_list_items(spark):
