@@ -6,8 +6,8 @@ each would be many times the input. Instead:
 1. Equal texts are collapsed before the shuffle, with the number of their copies;
    texts are dealt by digest into chunks of about ``chunk_bytes``.
 2. Each chunk pre-aggregates its items and sends, per range of the hash space, one
-   row with the sorted distinct hashes (as differences, in byte planes, which
-   shuffle compression shrinks) and their counts.
+   row with the sorted distinct hashes (as differences, in compressed byte planes)
+   and their counts. Texts travel compressed too.
 3. A range adds up the counts of all chunks, and returns to each chunk the totals in
    the order they came.
 4. A chunk meets its totals again and computes the result of each text.
@@ -22,10 +22,11 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocktake.llm.common import arrow_text, row_blocks
+from stocktake.llm.common import row_blocks
 
 #: Items that one range of the hash space should hold.
 RANGE_ITEMS = 1_000_000
@@ -39,11 +40,19 @@ def text_digest(text: Column) -> Column:
 
 
 def planes(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    return squeeze(np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes())
 
 
 def from_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+    return np.ascontiguousarray(np.frombuffer(unsqueeze(data), np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
+def squeeze(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def unsqueeze(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
 
 
 def pack_sorted(values: np.ndarray) -> bytes:
@@ -79,32 +88,30 @@ def collapse(batches):
                 first.append(i)
             copies[d] = copies.get(d, 0) + 1
         kept = batch.take(pa.array(first, pa.int64()))
-        new = pa.array([digests[i] not in seen for i in first], pa.bool_())
-        texts = pa.compute.if_else(new, kept.column(2), pa.scalar(None, kept.column(2).type))
+        new = [digests[i] not in seen for i in first]
         seen.update(copies)
+        bodies = [squeeze(t.as_buffer()) if n else None for t, n in zip(kept.column(2), new)]
         yield pa.RecordBatch.from_arrays(
-            [kept.column(0), kept.column(1), texts, pa.array([copies[digests[i]] for i in first], pa.int64())],
-            names=["chunk", "digest", "text", "copies"])
+            [kept.column(0), kept.column(1), pa.array(bodies, pa.binary()),
+             pa.array([copies[digests[i]] for i in first], pa.int64())], names=["chunk", "digest", "body", "copies"])
 
 
-def unique_rows(rows: pa.Table) -> tuple[list[bytes], pa.Array, np.ndarray]:
+def unique_rows(rows: pa.Table) -> tuple[list[bytes], list[bytes], np.ndarray]:
     """Digest, text and number of copies of each text of a chunk."""
-    rows = rows.combine_chunks()
-    texts = rows.column("text").combine_chunks()
-    at: dict[bytes, int] = {}
+    bodies: dict[bytes, bytes] = {}
     copies: dict[bytes, int] = {}
-    missing = texts.is_null().to_pylist()
-    for i, (d, n) in enumerate(zip(rows.column("digest").to_pylist(), rows.column("copies").to_pylist())):
+    for d, body, n in zip(*(rows.column(c).to_pylist() for c in ("digest", "body", "copies"))):
         copies[d] = copies.get(d, 0) + n
-        if not missing[i]:
-            at.setdefault(d, i)
-    digests = sorted(at)
-    return digests, texts.take(pa.array([at[d] for d in digests], pa.int64())), np.array([copies[d] for d in digests], np.uint64)
+        if body is not None and d not in bodies:
+            bodies[d] = unsqueeze(body)
+    digests = sorted(bodies)
+    return digests, [bodies[d] for d in digests], np.array([copies[d] for d in digests], np.uint64)
 
 
-def chunk_items(texts: pa.Array, copies: np.ndarray, items: Items):
+def chunk_items(texts: list[bytes], copies: np.ndarray, items: Items):
     """All items of a chunk: bytes, offsets, keys, their number per text, weights."""
-    data, offsets = arrow_text(texts)
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for low, high in row_blocks(offsets):
         k, n = items(data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low])
@@ -167,7 +174,7 @@ def with_totals(docs: DataFrame, text_col: str, items: Items, per_text: Callable
 
     dealt = (docs.select(text_digest(F.col("text")).alias("digest"), "text")
              .select(F.pmod(F.xxhash64("digest"), F.lit(n_chunks)).alias("chunk"), "digest", "text")
-             .mapInArrow(collapse, "chunk long, digest binary, text string, copies long"))
+             .mapInArrow(collapse, "chunk long, digest binary, body binary, copies long"))
     sums = (dealt.groupBy("chunk").applyInArrow(send, "part long, chunk long, keys binary, counts binary")
             .groupBy("part").applyInArrow(total, "chunk long, part long, counts binary"))
     return (dealt.groupBy("chunk").cogroup(sums.groupBy("chunk"))
