@@ -124,3 +124,13 @@ def test_components_against_union_find(spark):
     got = components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r.node: r.component for r in got} == {x: root(x) for x in label}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_parities_never_rule_out_a_similar_pair():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        size = int(rng.integers(1, 4000))
+        x = np.unique(mix64(rng.integers(0, 2**60, size).astype(np.uint64)))
+        y = np.unique(np.concatenate([x[rng.random(len(x)) > 0.1], mix64(rng.integers(0, 2**60, size // 10 + 1).astype(np.uint64))]))
+        differ = sum(int(v).bit_count() for v in (minhash.parity_bits(x) ^ minhash.parity_bits(y)).view(np.uint64))
+        assert differ <= len(np.setxor1d(x, y))
