@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 NO_RANK = np.int32(np.iinfo(np.int32).max)
 #: Pieces of up to so many bytes are encoded in blocks.
 SHORT = 64
-MEMORY = 150_000
+MEMORY = 60_000
 #: Pieces of one text that are held at a time.
 RUN = 50_000
 

@@ -15,7 +15,7 @@ from stocktake.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 #: Text bytes that one numpy block works on; a longer document forms a block alone
 #: or, where an operator allows it, is cut at white space.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,11 +52,10 @@ def split_by_ids(rows: DataFrame, ids: DataFrame, id_col: str) -> tuple[DataFram
     bits = (ids.select(_filter_place(F.col(ids.columns[0])).alias("p"))
             .groupBy(F.shiftright("p", 6).alias("__word"))
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 AS int))")).alias("__mask")))
-    marked = (rows.withColumn("__word", F.shiftright(place, 6)).withColumn("__bit", (place % 64).cast("int"))
-              .join(F.broadcast(bits), "__word", "left")
-              .withColumn("__hit", F.coalesce(F.getbit("__mask", "__bit") == 1, F.lit(False))))
-    drop = ["__word", "__bit", "__mask", "__hit"]
-    return marked.where("__hit").drop(*drop), marked.where("NOT __hit").drop(*drop)
+    marked = rows.withColumn("__word", F.shiftright(place, 6)).withColumn("__bit", (place % 64).cast("int"))
+    bits = F.broadcast(bits.withColumnRenamed("__word", "__held"))
+    hit = (F.col("__word") == F.col("__held")) & (F.getbit("__mask", "__bit") == 1)
+    return tuple(marked.join(bits, hit, how).drop("__word", "__bit") for how in ("left_semi", "left_anti"))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
