@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktake.llm import bpe, minhash, mixing, quality, substring_dedup
-from stocktake.llm.common import cut_lineage, id_mod, split_by_ids, table
+from stocktake.llm.common import id_mod, table
 from stocktake.session import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -25,11 +25,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest id of each group of near copies, by five-word shingles at 0.8."""
-    docs = docs.select(*COLUMNS)
-    gone = cut_lineage(minhash.near_duplicates(docs, n=5, percent=80).where(~F.col("kept")).select("doc_id"))
-    maybe, kept = split_by_ids(docs, gone, "doc_id")
-    return kept.unionByName(maybe.join(gone, "doc_id", "left_anti").select(*COLUMNS))
+    """Keeps one row, of smallest id, of each group of near copies, by five-word shingles at 0.8."""
+    return minhash.survivors(docs.select(*COLUMNS), n=5, percent=80)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,8 +23,9 @@ probability of 6e-6, less above it.
 Defined results: text is lower-cased in A-Z only; a text with fewer words than a
 shingle is one shingle; a NULL or empty text, or one of white space, has an empty
 set and is linked with nothing. Rows that share an id are one document. A row
-without an id is in the group of the documents with its set, and kept if none of
-them has an id.
+without an id is in the group of the documents with its set. A group's document
+is that of smallest id, or if no row has an id, that of smallest row key (a hash
+of id and text). ``survivors`` leaves one row of each group.
 """
 
 from __future__ import annotations
@@ -46,6 +47,8 @@ BANDS, ROWS = 40, 6
 LEADERS = 256
 #: Words of 64 bits of the parities by which pairs are ruled out.
 PARITY_WORDS = 16
+#: The smallest of these names a group's document: ids go before rows without one.
+FIRST = "struct(doc_id IS NULL AS no_id, doc_id, key)"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> Iterator[np.ndarray]:
@@ -91,8 +94,8 @@ def fill_sketch(elements: np.ndarray, t: int) -> np.ndarray:
     return out
 
 
-_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()),
-                     ("bands", pa.list_(pa.int64())), ("parity", pa.list_(pa.int64()))])
+_SCHEMA = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()),
+                     ("k2", pa.int64()), ("bands", pa.list_(pa.int64())), ("parity", pa.list_(pa.int64()))])
 
 
 def parity_bits(elements: np.ndarray) -> np.ndarray:
@@ -102,13 +105,13 @@ def parity_bits(elements: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, n: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Set size, set digest, band hashes and parities of each row (columns doc_id, text)."""
+    """Set size, set digest, band hashes and parities of each row (columns doc_id, key, text)."""
     t = bands * rows
     salt = mix64(np.arange(1, t + 1, dtype=np.uint64))
 
     def run(batches):
         for batch in batches:
-            data, offsets = arrow_text(batch.column(1))
+            data, offsets = arrow_text(batch.column(2))
             size, k1, k2, found, parity = [], [], [], [], []
             for low, high in row_blocks(offsets):
                 own = offsets[low:high + 1] - offsets[low]
@@ -124,11 +127,11 @@ def sketches(docs: DataFrame, n: int, bands: int = BANDS, rows: int = ROWS) -> D
                     h = (fill_sketch(s, t) + salt) * (salt | np.uint64(1))
                     found.append(mix64(mix64(h).reshape(bands, rows).sum(axis=1)).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
-                 pa.array(found, pa.list_(pa.int64())), pa.array(parity, pa.list_(pa.int64()))], schema=_SCHEMA)
+                [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(k1, pa.int64()),
+                 pa.array(k2, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(parity, pa.list_(pa.int64()))], schema=_SCHEMA)
 
     return docs.mapInArrow(
-        run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, parity array<long>")
+        run, "doc_id long, key long, n_shingles long, k1 long, k2 long, bands array<long>, parity array<long>")
 
 
 def _can_link(percent: int) -> Column:
@@ -143,16 +146,25 @@ def _can_link(percent: int) -> Column:
             & (differ * (100 + percent) <= (F.col("n") + F.col("an")) * (100 - percent)))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity.
+def _key(id_col: str, text_col: str) -> Column:
+    """A number that rows share if they agree in id and text."""
+    return F.xxhash64(F.col(id_col).cast("bigint"), F.col(text_col))
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, repeated: DataFrame | None, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of row keys whose full sets reach the similarity.
 
     Texts travel rather than sets, being smaller; a task keeps the sets of the
-    texts that it met last.
+    texts that it met last. ``repeated`` are the keys of several rows.
     """
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    maybe, _ = split_by_ids(docs, wanted, "doc_id")
+    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    maybe, _ = split_by_ids(docs, wanted, "key")
+    texts = maybe.join(wanted, "key", "left_semi").select("key", "text")
+    if repeated is not None:
+        texts = (texts.join(repeated, "key", "left_anti")
+                 .unionByName(texts.join(repeated, "key", "left_semi").groupBy("key").agg(F.min("text").alias("text"))))
     # Under a new name, so that Spark shuffles the texts once for both joins.
-    texts = maybe.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
+    texts = texts.select(F.col("key").alias("id"), F.col("text").alias("body"))
     both = (pairs.join(texts.select(F.col("id").alias("a"), F.col("body").alias("at")), "a")
             .join(texts.select(F.col("id").alias("b"), F.col("body").alias("bt")), "b").select("a", "b", "at", "bt"))
 
@@ -178,16 +190,20 @@ def confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFr
     return both.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row."""
-    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    drawn = cut_lineage(sketches(docs, n, bands, rows))
+def _grouped(docs: DataFrame, n: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """doc_id, key, n_shingles and component of every row of ``docs`` (columns doc_id, key, text).
+
+    The component, NULL for an empty set, is by similarity alone, whatever the ids.
+    """
+    drawn = cut_lineage(sketches(docs.select("doc_id", "key", "text"), n, bands, rows))
+    repeated = cut_lineage(drawn.where("n_shingles > 0").groupBy("key").agg(F.count("*").alias("c"))
+                           .where("c > 1").select("key"))
+    repeated = None if repeated.isEmpty() else repeated
     classes = (drawn.where("n_shingles > 0").groupBy("k1", "k2")
-               .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"),
+               .agg(F.min(F.expr(FIRST)).alias("first"), F.first("n_shingles").alias("n"),
                     F.first("bands").alias("bands"), F.first("parity").alias("parity"))
-               .where("node IS NOT NULL"))
-    spread = (classes.select("node", "k1", F.posexplode("bands"))
+               .withColumn("node", F.col("first.key")))
+    spread = (classes.where("NOT first.no_id").select("node", "k1", F.posexplode("bands"))
               .select("node", "k1", F.xxhash64("pos", "col").alias("bucket")))
     shared = (spread.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket"))
     live = cut_lineage(spread.join(shared, "bucket").join(classes.select("node", "k1", "n", "parity"), ["node", "k1"])
@@ -202,7 +218,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
         if found is not None:
             pairs = pairs.where("c <> ac")
         pairs = cut_lineage(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
-        new = cut_lineage(confirmed(pairs, docs, n, percent))
+        new = cut_lineage(confirmed(pairs, docs, repeated, n, percent))
         if links is None or not new.isEmpty():
             links = new if links is None else links.unionByName(new)
             found = components(links)
@@ -222,7 +238,57 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
                 .where(F.col("k") <= LEADERS).drop("k"))
     groups = (classes.select("k1", "k2", "node").join(found, "node", "left")
               .select("k1", "k2", F.coalesce("component", "node").alias("component")))
-    component = F.coalesce("component", "doc_id")
-    return (drawn.join(groups, ["k1", "k2"], "left")
+    return cut_lineage(drawn.join(groups, ["k1", "k2"], "left").select("doc_id", "key", "n_shingles", "component"))
+
+
+def _firsts(grouped: DataFrame) -> DataFrame:
+    """component and first, the row that stands for it, of every group of several rows."""
+    return cut_lineage(grouped.where("component IS NOT NULL").groupBy("component")
+                       .agg(F.min(F.expr(FIRST)).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"))
+
+
+def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row."""
+    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"),
+                       _key(id_col, text_col).alias("key"))
+    grouped = _grouped(docs, n, percent, bands, rows)
+    # An id with texts in several groups makes them one.
+    named = grouped.where("doc_id IS NOT NULL AND component IS NOT NULL")
+    several = (named.groupBy("doc_id").agg(F.min("component").alias("a"), F.max("component").alias("z"))
+               .where("a <> z").select("doc_id", "a"))
+    links = cut_lineage(named.select("doc_id", F.col("component").alias("b")).join(several, "doc_id")
+                        .select("a", "b").distinct())
+    if not links.isEmpty():
+        merged = components(links).select(F.col("node").alias("component"), F.col("component").alias("into"))
+        grouped = (grouped.join(merged, "component", "left")
+                   .withColumn("component", F.coalesce("into", "component")).drop("into"))
+    component = F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
+    alone = F.col("first").isNull() | (F.col("first.no_id") & (F.col("first.key") == F.col("key")))
+    return (grouped.join(_firsts(grouped), "component", "left")
             .select("doc_id", "n_shingles", component.alias("component_id"),
-                    F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept")))
+                    F.coalesce(F.col("doc_id") == component, alone).alias("kept")))
+
+
+def survivors(docs: DataFrame, n: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
+              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near copies; rows with an empty set all stay.
+
+    Groups are by similarity alone: unlike texts under one id both stay, like ones
+    do not. Of rows that agree in id and text the smallest stays.
+    """
+    keyed = docs.withColumn("__key", _key(id_col, text_col))
+    grouped = _grouped(keyed.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"),
+                                    F.col("__key").alias("key")), n, percent, bands, rows)
+    members = (grouped.join(_firsts(grouped), "component")
+               .groupBy(F.col("key").alias("__key")).agg(F.first(F.col("first.key") == F.col("key")).alias("stays"),
+                                                         F.count("*").alias("c")))
+    decided = cut_lineage(members.where("NOT stays OR c > 1").select("__key", "stays"))
+    gone, repeated = (decided.where(x).select("__key") for x in ("NOT stays", "stays"))
+    maybe, kept = split_by_ids(keyed, decided.select("__key"), "__key")
+    left = maybe.join(gone, "__key", "left_anti")
+    if not repeated.isEmpty():
+        once = left.join(repeated, "__key", "left_semi").groupBy("__key").agg(F.min(F.struct(*docs.columns)).alias("row"))
+        kept = kept.unionByName(left.join(repeated, "__key", "left_anti"))
+        left = once.select("__key", "row.*")
+    return kept.unionByName(left).select(*docs.columns)

@@ -9,7 +9,7 @@ import tiktoken
 
 import corpus_pipeline
 from stocktake.llm import bpe
-from tests.llm.fixtures import prose, words
+from tests.llm.fixtures import frame, prose, words
 from tests.llm.test_minhash import brute_force as groups
 from tests.llm.test_substring_dedup import brute_force as passages
 
@@ -77,3 +77,31 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], COLUMNS).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_repeated_rows_and_rows_without_id_leave_one_text(spark, tmp_path):
+    """One row of each group reaches the next stage, so no clean text is erased there as its own copy."""
+    lone, other = prose(950, 60), prose(951, 60)
+    more = [(None, lone, "en", "a", len(lone)), (None, lone, "en", "a", len(lone)),
+            (30, other, "en", "a", len(other)), (30, other + " more", "en", "a", len(other) + 5),
+            (31, prose(952, 60), "en", "a", 0), (31, prose(953, 60), "en", "a", 0),
+            (32, prose(954, 60), "en", "b", 1), (32, prose(954, 60), "en", "a", 2), (29, prose(952, 60) + " x", "en", "a", 0)]
+    docs = frame(spark, more, clash=False)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = corpus_pipeline.near_duplicate_stage(spark, docs, "unused").collect()
+    base = prose(1, 120)
+    assert [r.doc_id for r in got if r.text in (base, base.replace(" ", "  "))] == [1]
+    assert [r.doc_id for r in got if r.text == lone] == [None]
+    assert len([r for r in got if r.doc_id == 16]) == 1
+    assert len([r for r in got if r.doc_id == 30]) == 1
+    # Of two unlike texts under one id, only the one with a copy of smaller id goes.
+    assert [r.text for r in got if r.doc_id == 31] == [prose(953, 60)]
+    assert [(r.source, r.n_chars) for r in got if r.doc_id == 32] == [("a", 2)]
+    assert {r.doc_id for r in got} >= {1, 7, 8, 9, 10, 29}
+    kept = {(r.doc_id, r.text) for r in got}
+    for r in corpus_pipeline.substring_stage(spark, spark.createDataFrame(got, docs.schema), "unused").collect():
+        if r.doc_id in (None, 1, 16, 30, 32):
+            assert (r.doc_id, r.text) in kept
+    through = {r.doc_id: r.n_tokens for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert all(n > 0 for i, n in through.items() if i in (1, 16, 30, 32))
