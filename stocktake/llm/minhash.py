@@ -23,7 +23,7 @@ probability of 6e-6, less above it.
 Defined results: text is lower-cased in A-Z only; a text with fewer words than a
 shingle is one shingle; a NULL or empty text, or one of white space, has an empty
 set and is linked with nothing. Rows that share an id are one document. A row
-without an id is in the group of the documents with its set. A group's document
+without an id is linked by its set like any other. A group's document
 is that of smallest id, or if no row has an id, that of smallest row key (a hash
 of id and text). ``survivors`` leaves one row of each group.
 """
@@ -203,7 +203,7 @@ def _grouped(docs: DataFrame, n: int, percent: int, bands: int, rows: int) -> Da
                .agg(F.min(F.expr(FIRST)).alias("first"), F.first("n_shingles").alias("n"),
                     F.first("bands").alias("bands"), F.first("parity").alias("parity"))
                .withColumn("node", F.col("first.key")))
-    spread = (classes.where("NOT first.no_id").select("node", "k1", F.posexplode("bands"))
+    spread = (classes.select("node", "k1", F.posexplode("bands"))
               .select("node", "k1", F.xxhash64("pos", "col").alias("bucket")))
     shared = (spread.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket"))
     live = cut_lineage(spread.join(shared, "bucket").join(classes.select("node", "k1", "n", "parity"), ["node", "k1"])

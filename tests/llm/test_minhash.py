@@ -82,6 +82,22 @@ def test_few_leaders_need_more_rounds_but_lose_nothing(spark):
     assert sorted(map(tuple, got), key=str) == brute_force(data, 2, 80)
 
 
+def test_rows_without_id_are_linked_by_similarity(spark):
+    """Near copies without an id form a group, join a document's, and bridge two documents."""
+    base = prose(70, 100).split()
+    far = lambda a, b: " ".join(f"v{i}" if a <= i < b else w for i, w in enumerate(base))
+    lone = prose(71, 100)
+    data = [(5, far(0, 8)), (None, far(0, 0)), (4, far(90, 98)), (None, lone), (None, lone + " more"), (None, lone)]
+    assert len(shingles(data[0][1], 2) & shingles(data[2][1], 2)) * 100 < 80 * len(shingles(data[0][1], 2) | shingles(data[2][1], 2))
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = minhash.near_duplicates(df, n=2).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in got if r.component_id} == {(5, 4, False), (4, 4, True), (None, 4, False)}
+    alone = {(r.n_shingles, r.kept) for r in got if r.component_id is None}
+    assert len(alone) == 2 and sum(kept for _, kept in alone) == 1
+    left = minhash.survivors(df, n=2).collect()
+    assert sorted(r.doc_id or 0 for r in left) == [0, 4]
+
+
 def test_empty_table(spark):
     assert minhash.near_duplicates(empty(spark)).collect() == []
 
