@@ -8,23 +8,30 @@ the threshold t. Two bounds prune without loss: |A| must lie between
 |B| t / (2 - t) and |B| (2 - t) / t, and A must have at least |B| t / (2 - t) bigrams that B
 has too, so passages with few bigrams of any template are never looked at.
 
+Windows find what stands inside a longer passage: runs of at most
+|B| (2 - t) / t bigrams of a text that begin and end with a bigram of B. They are
+asked for notices only where no passage matches, and for whole licences, whose first
+paragraph may match another's, only where no passage matches a whole licence.
+
 The templates are a fixed list of some kilobytes that travels with the tasks;
 documents are scanned in place, without a shuffle.
 
-Defined results: the best match of a document counts, ties by the order of the
-templates, then line, paragraph, text. A NULL text, or one without a match, has
+Defined results: a whole licence goes before notices; then the best match of a
+document counts, ties by the order of the templates, then line, paragraph, text, window. A NULL text, or one without a match, has
 licence NULL and Dice 0.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from stocktake.llm.common import LOWER, arrow_text, hash_spans, mix64, row_blocks, word_bounds
 
-SCOPES = ("line", "paragraph", "text")
+SCOPES = ("line", "paragraph", "text", "window")
 
 # Licence identifiers with their customary notices or terms.
 TEMPLATES: list[tuple[str, str]] = [
@@ -64,6 +71,40 @@ TEMPLATES: list[tuple[str, str]] = [
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
 ]
 
+# Notices beside those above, which the SQL twin holds.
+_GNU = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} General Public License "
+        "as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version.")
+NOTICES: list[tuple[str, str]] = [
+    ("AGPL-3.0", _GNU.format("Affero", "3")),
+    ("LGPL-3.0", _GNU.format("Lesser", "3")),
+    ("LGPL-2.1", _GNU.format("Lesser", "2.1").replace("This program", "This library")),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+]
+_AS_IS = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+          "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+          "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+          "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+          "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+          "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+          "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution. ")
+#: Licences held whole.
+WHOLE: list[tuple[str, str]] = [
+    ("MIT", TEMPLATES[4][1] + " The above copyright notice and this permission notice shall be included in all copies or "
+            "substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR "
+            "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+            "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+            "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+            "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("BSD-2-Clause", _BSD + _AS_IS),
+    ("BSD-3-Clause", _BSD + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+                     "promote products derived from this software without specific prior written permission. " + _AS_IS),
+]
+
 #: Bytes outside words: ASCII other than letters and digits.
 GAP = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
@@ -76,8 +117,9 @@ def _bigrams(words: np.ndarray) -> np.ndarray:
 class Templates:
     """Bigrams of all templates, and which template has which."""
 
-    def __init__(self, templates: list[tuple[str, str]], threshold: float):
+    def __init__(self, templates: list[tuple[str, str]], threshold: float, n_whole: int = 0):
         self.names, self.threshold = [name for name, _ in templates], threshold
+        self.whole = np.arange(len(templates)) >= len(templates) - n_whole
         sets = []
         for _, text in templates:
             data = LOWER[np.frombuffer(text.encode(), np.uint8)]
@@ -102,10 +144,39 @@ class Templates:
         t = self.threshold
         fits = (size >= self.sizes * t / (2 - t) - 1e-9) & (size <= self.sizes * (2 - t) / t + 1e-9)
         dice = np.where(fits, 2.0 * common / (size + self.sizes), 0.0)
-        top = int(dice.argmax())
+        top = int(np.where((dice >= t) & self.whole, dice + 1, dice).argmax())
         return (float(dice[top]), top) if dice[top] >= t else None
 
 
+    def windows(self, bigrams: np.ndarray, known: np.ndarray, text: np.ndarray, skip) -> Iterator[tuple[int, float, int]]:
+        """Text, Dice and template of windows that match; ``text`` is -1 for bigrams of no text."""
+        t = self.threshold
+        hits = np.flatnonzero((known >= 0) & (text >= 0))
+        for k, size in enumerate(self.sizes.tolist()):
+            need, most = int(np.ceil(size * t / (2 - t) - 1e-9)), int(np.floor(size * (2 - t) / t + 1e-9))
+            at = hits[self.has[known[hits], k] > 0]
+            if len(at) < need:
+                continue
+            first, last = at[:len(at) - need + 1], at[need - 1:]
+            top: dict[int, float] = {}
+            for j in np.flatnonzero((last - first < most) & (text[first] == text[last])):
+                p, i = int(first[j]), int(text[first[j]])
+                if top.get(i) == 1.0 or skip(i, k):
+                    continue
+                seen, shared, mine = set(), 0, set(at[j:np.searchsorted(at, p + most)].tolist())
+                for q in range(p, max(mine) + 1):
+                    if text[q] != i:
+                        break
+                    g = int(bigrams[q])
+                    if g not in seen:
+                        seen.add(g)
+                        shared += q in mine
+                    dice = 2.0 * shared / (len(seen) + size)
+                    if dice >= t and dice > top.get(i, 0.0):
+                        top[i] = dice
+            yield from ((i, dice, k) for i, dice in top.items())
+
+
 def scan_block(data: np.ndarray, offsets: np.ndarray, templates: Templates) -> list[tuple[str | None, float, str | None]]:
     """Licence, Dice and scope of each text."""
     low_case = LOWER[data]
@@ -124,7 +195,7 @@ def scan_block(data: np.ndarray, offsets: np.ndarray, templates: Templates) -> l
     same = text[1:] == text[:-1]
     joined = {"line": same & (step == 0), "paragraph": same & (step <= 1), "text": same}
     best: dict[int, tuple] = {}
-    for order, scope in enumerate(SCOPES):
+    for order, scope in enumerate(SCOPES[:3]):
         inside = joined[scope]
         first = np.flatnonzero(inside & ~np.append(False, inside[:-1]))
         last = np.flatnonzero(inside & ~np.append(inside[1:], False)) + 1
@@ -132,10 +203,16 @@ def scan_block(data: np.ndarray, offsets: np.ndarray, templates: Templates) -> l
         for a, b in zip(*(x[hits[last] - hits[first] >= templates.need] for x in (first, last))):
             found = templates.best(bigrams[a:b], known[a:b])
             if found:
-                rank = (-found[0], found[1], order)
+                rank = (not templates.whole[found[1]], -found[0], found[1], order)
                 i = int(text[a])
                 best[i] = min(best.get(i, rank), rank)
-    for i, (dice, template, order) in best.items():
+    # What passages gave decides which windows are asked.
+    settled = {i: rank[0] for i, rank in best.items()}
+    asked = lambda i, k: i in settled and not (settled[i] and templates.whole[k])
+    for i, dice, template in templates.windows(bigrams, known, np.where(same, text[1:], -1), asked):
+        rank = (not templates.whole[template], -dice, template, len(SCOPES) - 1)
+        best[i] = min(best.get(i, rank), rank)
+    for i, (_, dice, template, order) in best.items():
         out[i] = (templates.names[template], -dice, SCOPES[order])
     return out
 
@@ -143,7 +220,8 @@ def scan_block(data: np.ndarray, offsets: np.ndarray, templates: Templates) -> l
 def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = 0.8,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, license_id, dice, scope) of every row."""
-    wanted = Templates(TEMPLATES if templates is None else templates, threshold)
+    wanted = (Templates(TEMPLATES + NOTICES + WHOLE, threshold, len(WHOLE)) if templates is None
+              else Templates(templates, threshold))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):

@@ -1,6 +1,6 @@
 """Licence scans: planted notices, thresholds, and passages of several lines."""
 
-from stocktake.llm.licenses import TEMPLATES, scan_licenses
+from stocktake.llm.licenses import NOTICES, TEMPLATES, WHOLE, scan_licenses
 from tests.llm.fixtures import empty, frame, prose
 
 MIT = next(t for name, t in TEMPLATES if name == "MIT" and t.startswith("Permission"))
@@ -40,3 +40,20 @@ def test_edge_cases_and_empty_table(spark):
     got = scan_licenses(frame(spark)).collect()
     assert len(got) == frame(spark).count() and all(r.license_id is None and r.dice == 0 for r in got)
     assert scan_licenses(empty(spark)).collect() == []
+
+
+def test_whole_licences_notices_inside_lines_and_their_relatives(spark):
+    mit, bsd2, bsd3 = (text for _, text in WHOLE)
+    gpl = next(t for name, t in TEMPLATES if name == "GPL-3.0" and t.startswith("This work"))
+    apart = bsd3.replace(": 1.", ":\n\n1.").replace(". 2.", ".\n\n2.").replace(". 3.", ".\n\n3.").replace(". THIS", ".\n\nTHIS")
+    got = scan(spark, [
+        "Copyright 2020 A\n\n" + mit, prose(20, 300) + " " + mit + " " + prose(21, 300),
+        "The text ends here and goes on. Released under the MIT License.",
+        "One two three four. " + gpl + " Five six seven eight.",
+        *(text for _, text in NOTICES), apart, prose(22, 400) + "\n\n" + apart, bsd2,
+    ])
+    assert got[0] == ("MIT", 1.0, "line") and got[1] == ("MIT", 1.0, "window")
+    assert got[2] == ("MIT", 1.0, "window") and got[3] == ("GPL-3.0", 1.0, "window")
+    assert [got[4 + i][:2] for i in range(4)] == [(name, 1.0) for name, _ in NOTICES]
+    assert got[8][:2] == ("BSD-3-Clause", 1.0) and got[9] == ("BSD-3-Clause", 1.0, "window")
+    assert got[10][:2] == ("BSD-2-Clause", 1.0)
