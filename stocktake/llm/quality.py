@@ -4,8 +4,9 @@ Features of a text are its words, the byte 3- and 4-grams of its words (with
 their edges) and pairs of neighbouring words; a pair of equal words is one feature whatever the word.
 Each is hashed into ``2**BITS`` learned vectors. A document is the average of its
 features' vectors; a softmax layer gives the probability of label 1. Vectors and
-layer are trained together by stochastic gradient descent in numpy, on a sample
-of at most about ``sample_rows`` labelled rows drawn by a hash of the id.
+layer are trained together by stochastic gradient descent in numpy, in one task,
+on a sample of about ``sample_rows`` labelled documents drawn by a hash of the
+id. Training takes them by that hash until their features have ``sample_bytes``.
 
 As average and layer are linear up to the softmax, scoring needs one number per
 feature, its vector's projection; so a score is the logistic of an average of
@@ -13,8 +14,9 @@ table look-ups, computed over whole texts in blocks.
 
 Defined results: a NULL text counts as empty; a text without words gets the bias
 alone; with no labels every score is 1/2, and with one class all follow its
-share. Labels that are NULL or have no id teach nothing; a document labelled
-several times teaches each label.
+share. Labels that are NULL or have no id teach nothing. A document teaches each
+of its labels once, however often labelled; of rows that share an id the
+smallest text teaches.
 """
 
 from __future__ import annotations
@@ -25,11 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stocktake.llm.common import SPACE, arrow_text, mix64, row_blocks, word_hashes
+from stocktake.llm.common import SPACE, arrow_text, mix64, row_blocks, split_by_ids, word_hashes
 
 BITS = 17
 DIM = 10
 SAMPLE_ROWS = 4000
+#: Bytes of the sample's features (eight a distinct feature of a text) that training holds.
+SAMPLE_BYTES = 1 << 27
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
@@ -73,16 +77,17 @@ def histogram(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return buckets, (counts / max(1, counts.sum())).astype(np.float32)
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray, int]], rate: float = 4.0, seed: int = 0) -> tuple[np.ndarray, float]:
-    """Projected table and bias from (buckets, shares, label) rows."""
+def train_parts(rows: list[tuple[np.ndarray, np.ndarray, int]], rate: float = 4.0,
+                seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors, softmax layer and its bias from (buckets, shares, label) rows."""
     ones = sum(label for _, _, label in rows)
     prior = float(np.log((ones + 1) / (len(rows) - ones + 1)))
-    if ones in (0, len(rows)):
-        return np.zeros(1 << BITS, np.float32), prior
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (1 << BITS, DIM)).astype(np.float32)
     layer = np.zeros((DIM, 2), np.float32)
     bias = np.array([0.0, prior], np.float32)
+    if ones in (0, len(rows)):
+        return vectors, layer, bias
     epochs = max(5, min(40, 24_000 // len(rows)))
     steps, done = epochs * len(rows), 0
     for _ in range(epochs):
@@ -99,31 +104,56 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], rate: float = 4.0, see
             layer -= lr * np.outer(mean, p)
             bias -= 0.02 * lr * p
             vectors[buckets] -= (lr * shares)[:, None] * back[None, :]
+    return vectors, layer, bias
+
+
+def train(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> tuple[np.ndarray, float]:
+    """Projected table and bias: each vector's part in the difference of the two classes."""
+    vectors, layer, bias = train_parts(rows)
     return vectors @ (layer[:, 1] - layer[:, 0]), float(bias[1] - bias[0])
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str, learn_from: Column, sample_rows: int = SAMPLE_ROWS,
-        id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, float]:
-    """Train on labelled rows that ``learn_from`` (over the id) admits."""
-    known = (labels.select(F.col(id_col), F.col(label_col).cast("int").alias("label"))
-             .where(F.col("label").isNotNull() & F.col(id_col).isNotNull() & learn_from))
-    n = known.count()
-    rate = min(1.0, sample_rows / n) if n else 0.0
-    drawn = known.where(F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1 << 30)) < int(rate * (1 << 30)))
-    # The sample has sample_rows rows, give or take a few hundredths, whatever the input.
-    texts = (docs.select(F.col(id_col), F.col(text_col).alias("text")).join(F.broadcast(drawn), id_col)
-             .select(F.col(id_col).cast("string").alias("id"), "label", F.coalesce("text", F.lit("")).alias("text")))
+        sample_bytes: int = SAMPLE_BYTES, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, float]:
+    """Train on labelled rows that ``learn_from`` (over the id) admits.
 
-    def run(batches):
+    One task of an executor trains; the driver gets the projected table alone.
+    """
+    known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
+             .where(F.col("label").isNotNull() & F.col("id").isNotNull() & learn_from).distinct())
+    n = known.count()
+    if not n:
+        return train([])
+    draw = F.pmod(F.xxhash64(F.col("id"), F.lit("sample")), F.lit(1 << 30))
+    drawn = known.withColumn("draw", draw).where(F.col("draw") < int(min(1.0, sample_rows / n) * (1 << 30)))
+    wanted = drawn.select("id").distinct()
+    maybe, _ = split_by_ids(docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")), wanted, "id")
+    texts = maybe.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    rows = texts.join(drawn, "id").select("draw", F.col("id").cast("string").alias("id"), "label", "text")
+
+    def shares(batches):
         for batch in batches:
-            pairs = [histogram(t.as_buffer().to_pybytes() if t.is_valid else b"") for t in batch.column(2).cast(pa.binary())]
+            pairs = [histogram(t.as_buffer().to_pybytes()) for t in batch.column(3).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([b.tobytes() for b, _ in pairs], pa.binary()),
-                 pa.array([s.tobytes() for _, s in pairs], pa.binary())], names=["id", "label", "buckets", "shares"])
+                [*batch.columns[:3], pa.array([b.tobytes() for b, _ in pairs], pa.binary()),
+                 pa.array([s.tobytes() for _, s in pairs], pa.binary())], names=["draw", "id", "label", "buckets", "shares"])
 
-    got = texts.mapInArrow(run, "id string, label int, buckets binary, shares binary").collect()
-    rows = sorted((r.id, r.label, bytes(r.buckets), bytes(r.shares)) for r in got)
-    return train([(np.frombuffer(b, np.int32), np.frombuffer(s, np.float32), int(label == 1)) for _, label, b, s in rows])
+    def learn(batches):
+        sample, size = [], 0
+        for batch in batches:
+            for label, b, s in zip(*(batch.column(k) for k in (2, 3, 4))):
+                size += 2 * len(b.as_buffer())
+                if size > sample_bytes and sample:
+                    break
+                sample.append((np.frombuffer(b.as_py(), np.int32), np.frombuffer(s.as_py(), np.float32), int(label.as_py() == 1)))
+        table, bias = train(sample)
+        yield pa.RecordBatch.from_arrays([pa.array([table.astype(np.float32).tobytes()], pa.binary()), pa.array([bias])],
+                                         names=["weights", "bias"])
+
+    model = (rows.mapInArrow(shares, "draw long, id string, label int, buckets binary, shares binary")
+             .repartition(1).sortWithinPartitions("draw", "id", "label")
+             .mapInArrow(learn, "weights binary, bias double").collect())
+    return (np.frombuffer(bytes(model[0].weights), np.float32), model[0].bias) if model else train([])
 
 
 def with_score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text") -> DataFrame:

@@ -53,3 +53,26 @@ def test_features_do_not_depend_on_the_block():
         alone = quality.features(np.frombuffer(t, np.uint8), np.array([0, len(t)]))
         for (b, at), (c, _) in zip(together, alone):
             assert b[at[i]:at[i + 1]].tolist() == c.tolist()
+
+
+def test_scores_are_the_average_and_softmax(spark):
+    docs, labels = labelled(spark)
+    known = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None}
+    rows_ = [(*quality.histogram(r.text.encode()), known[r.doc_id]) for r in docs.orderBy("doc_id").collect()]
+    vectors, layer, bias = quality.train_parts(rows_)
+    table = vectors @ (layer[:, 1] - layer[:, 0])
+    for r in quality.with_score(frame(spark), (table, float(bias[1] - bias[0]))).collect():
+        buckets, shares = quality.histogram((r.text or "").encode())
+        z = (shares.astype(float) @ vectors[buckets].astype(float)) @ layer + bias
+        p = np.exp(z - z.max())
+        assert abs(r.score - p[1] / p.sum()) < 1e-4
+
+
+def test_sample_is_bounded_whatever_repeats(spark):
+    docs, labels = labelled(spark)
+    hot_docs = docs.unionByName(spark.range(500).selectExpr("1L AS doc_id", "concat('copy ', id) AS text"))
+    hot_labels = labels.unionByName(spark.range(500).selectExpr("1L AS doc_id", "1 AS quality"))
+    model = quality.fit(hot_docs, hot_labels, "quality", F.lit(True))
+    assert {round(r.score) for r in quality.with_score(docs, model).where("doc_id > 1").collect()} == {0, 1}
+    few = quality.fit(docs, labels, "quality", F.lit(True), sample_bytes=1)  # one document is left: one class
+    assert len({r.score for r in quality.with_score(docs, few).collect()}) == 1
