@@ -58,6 +58,29 @@ def split_by_ids(rows: DataFrame, ids: DataFrame, id_col: str) -> tuple[DataFram
     return tuple(marked.join(bits, hit, how).drop("__word", "__bit") for how in ("left_semi", "left_anti"))
 
 
+#: Keys that fewer rows share than this need no care in a join.
+UNEVEN_ROWS = 10_000
+#: A key with more than one in so many rows is joined by broadcast: there are fewer such keys than this.
+UNEVEN_SHARE = 2000
+
+
+def join_uneven(rows: DataFrame, keyed: DataFrame, keys: list[str], weight: str) -> DataFrame:
+    """``rows`` left-joined to ``keyed``, unique by ``keys``, of whose keys some may have very many rows.
+
+    ``weight`` is a column of ``keyed`` that is no less than a key's rows and is
+    left out. Keys with more than a ``UNEVEN_SHARE``-th of its sum, fewer than
+    ``UNEVEN_SHARE`` of them, are joined where the rows are.
+    """
+    total, most = keyed.agg(F.sum(weight), F.max(weight)).first()
+    limit = max(UNEVEN_ROWS, (total or 0) // UNEVEN_SHARE)
+    if (most or 0) <= limit:
+        return rows.join(keyed.drop(weight), keys, "left")
+    heavy = F.broadcast(keyed.where(F.col(weight) > limit).drop(weight))
+    light = keyed.where(F.col(weight) <= limit).drop(weight)
+    return (rows.join(heavy, keys).unionByName(
+        rows.join(heavy.select(*keys), keys, "left_anti").join(light, keys, "left")))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once per row, also inside lambdas."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -258,3 +258,55 @@ LEFT JOIN (VALUES """ + quoted + """) v(place, name, text) ON v.place = b.templa
 
 
 ORACLE_SQL["op8_license_scan"] = _license_sql()
+
+
+@register
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stocktake.llm.prefix_trie import rebuilt, symbols, trie
+    conv = F.col("conv_id")
+    turns = symbols(table(spark, sf_dir, "conversations"))
+    return trie(rebuilt(turns, conv - conv % 100, id_mod(conv, 6)))
+
+
+#: The CRC-32 table, by its polynomial, and the CRC of a list of bytes.
+CRC_TABLE = """SELECT [list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)
+          FOR i IN range(256)] AS t"""
+
+
+def _crc(data: str) -> str:
+    return f"xor(list_reduce({data}, lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT), 4294967295)"
+
+
+ORACLE_SQL["op12_prefix_trie"] = f"""
+WITH tab AS ({CRC_TABLE}),
+own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+         {_crc("[ascii(x)::BIGINT FOR x IN string_split(conv_id::VARCHAR, '')]")} % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM own), tab),
+""" + r"""
+turns AS (
+  SELECT i.conv_id, o.place, o.role, o.text FROM ids i JOIN own o ON o.conv_id = i.base AND o.place <= h
+  UNION ALL SELECT o.conv_id, o.place, o.role, o.text FROM own o JOIN ids USING (conv_id) WHERE o.place > h),
+seqs AS (
+  SELECT i.conv_id, coalesce(list({'role': role, 'text': text} ORDER BY place) FILTER (place IS NOT NULL), []) AS s
+  FROM ids i LEFT JOIN turns t ON t.conv_id = i.conv_id GROUP BY i.conv_id),
+steps AS (SELECT conv_id, s, unnest(range(len(s) + 1)) AS depth FROM seqs),
+nodes AS (
+  SELECT depth, s[1:depth] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(s) = depth), '')) AS ends_sha256
+  FROM steps GROUP BY depth, s[1:depth]),
+children AS (SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (
+  SELECT n.*, coalesce(c.n, 0) AS n_children, CASE WHEN n.depth > 0 THEN len(n.path[n.depth].text) ELSE 0 END AS chars
+  FROM nodes n LEFT JOIN children c ON c.path = n.path),
+subtrees AS (
+  SELECT v.path[1:u.depth] AS path, sum((v.n_convs - 1) * v.chars) AS saved_tokens, count(*) FILTER (v.n_children = 0) AS n_leaves
+  FROM counted v JOIN (SELECT DISTINCT depth FROM nodes) u ON u.depth <= v.depth GROUP BY 1)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, t.n_leaves,
+       t.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM counted n JOIN subtrees t ON t.path = n.path LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
+"""
