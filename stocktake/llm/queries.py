@@ -6,6 +6,7 @@ and derives the columns of its contract.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -310,3 +311,59 @@ SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
        t.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
 FROM counted n JOIN subtrees t ON t.path = n.path LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
 """
+
+
+def _one_deleted(doc_id: str) -> Callable[[str], str]:
+    """Deletes a letter of a run where the CRC of id and run says so."""
+    begun = zlib.crc32(f"{doc_id}:".encode())
+
+    def spoiled(run: str) -> str:
+        h = zlib.crc32(run.encode(), begun)
+        if h % 199:
+            return run
+        at = h % len(run)
+        return run[:at] + run[at + 1:]
+
+    return spoiled
+
+
+@register
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stocktake.llm.spelling import spelling_variants, word_counts
+    words = word_counts(table(spark, sf_dir, "documents"), min_letters=6, min_count=5, spoil=_one_deleted)
+    return spelling_variants(words, ratio=5)
+
+
+ORACLE_SQL["op13_spelling_variants"] = f"""
+WITH RECURSIVE tab AS ({CRC_TABLE}),
+""" + r"""
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+grouped AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE len(run) >= 6 GROUP BY ALL),
+hashed AS (
+  SELECT run, n, """ + _crc("flatten([CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195, unicode(x)::BIGINT - 64] END "
+                            "FOR x IN string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, '')])") + r""" AS h
+  FROM grouped, tab),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN run[:h % len(run)] || run[h % len(run) + 2:] ELSE run END AS word, n FROM hashed)
+  WHERE len(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+less AS (SELECT word, i, word[:i - 1] || word[i + 1:] AS rest FROM (SELECT word, unnest(range(1, len(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other FROM less a JOIN less b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT word, rest FROM less WHERE rest IN (SELECT word FROM words)
+  UNION SELECT rest, word FROM less WHERE rest IN (SELECT word FROM words)),
+best AS (
+  SELECT near.word, count(*) AS n_near, min({'n': -o.n, 'other': other}) AS best
+  FROM near JOIN words o ON o.word = other GROUP BY near.word),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.n >= 5 * w.n THEN best.other END AS form,
+         CASE WHEN -best.n >= 5 * w.n THEN -best.n END AS form_n
+  FROM words w LEFT JOIN best ON best.word = w.word),
+chain AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN chain c ON c.word = f.word JOIN formed e ON e.word = c.at AND e.form IS NULL
+"""
