@@ -367,3 +367,26 @@ chain AS (
 SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n
 FROM formed f JOIN chain c ON c.word = f.word JOIN formed e ON e.word = c.at AND e.form IS NULL
 """
+
+
+@register
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stocktake.llm.embedding_dedup import near_vectors
+    return near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
+ORACLE_SQL["op11_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS vec, sqrt(list_sum([x::DOUBLE * x::DOUBLE FOR x IN embedding])) AS norm
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_sum([z[1] * z[2] FOR z IN list_zip(a.vec, b.vec)]) >= 0.95::DOUBLE * a.norm * b.norm),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.a = e.vec_id) AS n_links, r.component_id, e.vec_id = r.component_id AS kept
+FROM embeddings e JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = e.vec_id
+"""
