@@ -10,11 +10,13 @@ to. Nothing is lost thereby: pairs are compared in the home of the one that is
 visited, and if both visit, in the cell of smaller number.
 
 Nodes within half the angle of a centroid, a cell's core, are all linked with each
-other, so a dense group costs no products among them. Otherwise the rows of a cell
-come in parts of at most ``PART_BYTES``; a task holds one part and multiplies it with
-the parts that meet it, one after the other. It passes on a count per node and a
-spanning forest of the links, not the pairs. Products are in single precision, and
-again in double precision where they come near the threshold.
+other, so a dense group costs no products among them. Neighbouring cells share a
+room as long as their rows have at most ``PART_BYTES``, so a row is sent to a room
+once for all the cells it visits there; a larger cell has a room to itself, in
+parts of that size. A task holds a room or a part and multiplies its cells with the
+rows that visit them, some at a time. It passes on a count per node and a spanning
+forest of the links, not the pairs. Products are in single precision, and again in
+double precision where they come near the threshold.
 
 Defined results: a vector that is NULL, zero, or holds a NULL, NaN or infinity is
 linked with nothing, nor is one that is empty; a shorter vector counts as padded
@@ -37,7 +39,7 @@ from stocktake.llm.common import cut_lineage, join_uneven
 from stocktake.llm.components import components
 
 #: Bound of the sample that centroids are fitted on.
-SAMPLE_ROWS, SAMPLE_BYTES = 16_384, 1 << 25
+SAMPLE_ROWS, SAMPLE_BYTES = 1 << 16, 1 << 25
 #: Sample rows per centroid, at least.
 ROWS_PER_CENTROID = 32
 ROUNDS = 8
@@ -71,29 +73,27 @@ def spherical_kmeans(rows: np.ndarray, k: int, rounds: int = ROUNDS, seed: int =
     centroids = rows[rng.choice(len(rows), min(k, len(rows)), replace=False)]
     for _ in range(rounds):
         nearest = np.concatenate([np.argmax(rows[i:i + TILE] @ centroids.T, axis=1) for i in range(0, len(rows), TILE)])
-        sums = np.zeros_like(centroids)
-        np.add.at(sums, nearest, rows)
+        order = np.argsort(nearest, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(nearest[order]) > 0))
+        sums = np.add.reduceat(rows[order], first, axis=0)
         norms = np.sqrt((sums * sums).sum(axis=1))
-        good = norms > 1e-9
-        centroids = sums[good] / norms[good, None]
-    return np.unique(centroids, axis=0)
+        centroids = sums[norms > 1e-4] / norms[norms > 1e-4, None]
+    return np.unique(centroids, axis=0).astype(np.float64)
 
 
 def fit(nodes: DataFrame, width: int) -> np.ndarray:
-    """Centroids from a bounded sample of ``nodes`` (node, vec), as many as the square root of their number, if it is large enough."""
+    """Centroids, as many as the square root of the nodes' number if the sample is large enough for them."""
     n = nodes.count()
-    size = max(1, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * width)))
+    size = max(1, min(SAMPLE_ROWS, SAMPLE_BYTES // (4 * width)))
     draw = F.pmod(F.xxhash64("node", F.lit("sample")), F.lit(1 << 30))
-    part = nodes.where(draw < int(min(1.0, 1.2 * size / n) * (1 << 30))).orderBy(draw, "node").limit(size).select("vec")
-    got = part.collect()
-    rows = directions(pa.array([r.vec for r in got], pa.list_(pa.float64())), width)
-    return spherical_kmeans(rows, max(1, min(math.isqrt(n), len(rows) // ROWS_PER_CENTROID)))
+    part = nodes.where(draw < int(min(1.0, 1.2 * size / n) * (1 << 30))).orderBy(draw, "node").limit(size)
+    sample = directions(part.select("vec").toArrow().column(0).combine_chunks(), width).astype(np.float32)
+    return spherical_kmeans(sample, max(1, min(math.isqrt(n), len(sample) // ROWS_PER_CENTROID)))
 
 
 def housed(nodes: DataFrame, centroids: np.ndarray, width: int, cosine: float) -> DataFrame:
     """node, weight, vec, cell, core and visits (the other cells that the vector is near) of every node."""
     half = math.acos(cosine) / 2
-    gap = np.sqrt(np.maximum(2 - 2 * centroids @ centroids.T, 0))  # distances of the centroids
     slack = 1e-9
 
     def run(batches):
@@ -103,8 +103,10 @@ def housed(nodes: DataFrame, centroids: np.ndarray, width: int, cosine: float) -
                 near = directions(part.column(2), width) @ centroids.T
                 cell = near.argmax(axis=1)
                 best = near[np.arange(len(cell)), cell]
+                met, which = np.unique(cell, return_inverse=True)
+                gap = np.sqrt(np.maximum(2 - 2 * centroids[met] @ centroids.T, 0))  # distances of the centroids
                 # The sine of the angle to the plane between two centroids is the difference of cosines by their distance.
-                visits = best[:, None] - near <= math.sin(half) * gap[cell] + slack
+                visits = best[:, None] - near <= math.sin(half) * gap[which] + slack
                 visits[np.arange(len(cell)), cell] = False
                 row, to = np.nonzero(visits)
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(cell)))]).astype(np.int32)
@@ -118,16 +120,56 @@ def housed(nodes: DataFrame, centroids: np.ndarray, width: int, cosine: float) -
             .mapInArrow(run, f"node string, weight long, vec {kind}, cell int, core boolean, visits array<int>"))
 
 
+def rooms(sizes: dict[int, int], centroids: np.ndarray, most: int) -> tuple[list[int], list[int]]:
+    """Room of each cell, and parts of each room: cells that are near each other, of ``most`` rows together or one alone."""
+    left, order = np.ones(len(centroids), bool), [0]
+    left[0] = False
+    while left.any():  # from each cell to the nearest one left
+        near = np.where(left, centroids @ centroids[order[-1]], -2)
+        order.append(int(near.argmax()))
+        left[order[-1]] = False
+    room, parts, held = [0] * len(centroids), [], most + 1
+    for cell in order:
+        n = sizes.get(cell, 0)
+        if held + n > most:
+            parts.append(max(1, -(-n // most)))
+            held = 0
+        held += n
+        room[cell] = len(parts) - 1
+    return room, parts
+
+
 class Part:
-    """Rows of a cell: unit vectors in two precisions, and what is known of them."""
+    """Rows of a room, by cell: unit vectors in two precisions, and what is known of them."""
 
     def __init__(self, rows: list[pa.RecordBatch], width: int):
-        column = lambda name: pa.concat_arrays([r.column(name) for r in rows])
+        whole = pa.Table.from_batches(rows).combine_chunks()
+        order = np.argsort(whole.column("cell").to_numpy(), kind="stable")
+        whole = whole.take(order).combine_chunks()
+        column = lambda name: pa.concat_arrays(whole.column(name).chunks)
         self.nodes, self.weight = column("node").to_pylist(), column("weight").to_numpy()
         self.fine = directions(column("vec"), width)
         self.rough = self.fine.astype(np.float32)
-        self.cell, self.core = column("home").to_numpy(), column("core").to_numpy(zero_copy_only=False)
-        self.visits = [frozenset(v) for v in column("visits").to_pylist()]
+        self.cell, self.core = column("cell").to_numpy().astype(np.int64), column("core").to_numpy(zero_copy_only=False)
+        visits = column("visits")
+        n = np.diff(visits.offsets.to_numpy())
+        row, to = np.repeat(np.arange(len(n)), n), visits.flatten().to_numpy().astype(np.int64)
+        self.visit_keys = np.sort(row << 32 | to)
+        by_cell = np.argsort(to, kind="stable")
+        self.visitors, self.visited = row[by_cell], to[by_cell]
+
+    def meets(self, cell: int) -> np.ndarray:
+        """Rows that live in or visit a cell."""
+        low, high = np.searchsorted(self.cell, [cell, cell + 1])
+        a, b = np.searchsorted(self.visited, [cell, cell + 1])
+        return np.concatenate([np.arange(low, high), self.visitors[a:b]])
+
+    def visit(self, row: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        """Whether row[i] visits cell[i]."""
+        if not len(self.visit_keys):
+            return np.zeros(len(row), bool)
+        key = row << 32 | cell
+        return self.visit_keys[np.minimum(np.searchsorted(self.visit_keys, key), len(self.visit_keys) - 1)] == key
 
 
 class Links:
@@ -158,31 +200,35 @@ class Links:
                 self.parent = up
             x, y = self.parent[x], self.parent[y]
 
-    def meet(self, a: Part, b: Part, cosine: float, cell: int, same: bool) -> None:
-        """Compare rows of ``a``, which live in ``cell``, with those of ``b``; with ``same`` they are one part."""
+    def meet(self, a: Part, b: Part, cosine: float) -> None:
+        """Compare the cells of ``a`` with the rows of ``b`` that live in or visit them; b may be a."""
         at_a, at_b = self.enter(a), self.enter(b)
         margin = 1e-6 * max(1.0, a.fine.shape[1] ** 0.5)
-        for i in range(0, len(at_a), TILE):
-            for j in range(i if same else 0, len(at_b), TILE):
-                near = a.rough[i:i + TILE] @ b.rough[j:j + TILE].T
-                hit = near >= cosine - margin
-                guest = b.cell[j:j + TILE] != cell
-                # Pairs of a core are linked without products, see certain().
-                hit &= ~(a.core[i:i + TILE, None] & (b.core[j:j + TILE] & ~guest)[None, :])
-                if same and i == j:
-                    hit &= np.triu(np.ones_like(hit), 1)
-                x, y = np.nonzero(hit)
-                close = near[x, y] < cosine + margin
-                good = ~close
-                good[close] = np.einsum("ij,ij->i", a.fine[i + x[close]], b.fine[j + y[close]]) >= cosine
-                # Of two that visit each other's cell the pair counts in the smaller one.
-                if guest.any():
-                    good &= np.array([not guest[q] or cell < b.cell[j + q] or int(b.cell[j + q]) not in a.visits[i + p]
-                                      for p, q in zip(x.tolist(), y.tolist())], bool)
-                x, y = x[good] + i, y[good] + j
-                np.add.at(self.counts, at_a[x], b.weight[y])
-                np.add.at(self.counts, at_b[y], a.weight[x])
-                self.join(at_a[x], at_b[y])
+        for cell in np.unique(a.cell).tolist():
+            low, high = np.searchsorted(a.cell, [cell, cell + 1])
+            others = b.meets(cell)
+            for i in range(low, high, TILE):
+                mine = np.arange(i, min(i + TILE, high))
+                for j in range(0, len(others), TILE):
+                    theirs = others[j:j + TILE]
+                    near = a.rough[mine] @ b.rough[theirs].T
+                    hit = near >= cosine - margin
+                    guest = b.cell[theirs] != cell
+                    # Pairs of a core are linked without products, see certain().
+                    hit &= ~(a.core[mine][:, None] & (b.core[theirs] & ~guest)[None, :])
+                    if a is b:
+                        hit &= guest[None, :] | (mine[:, None] < theirs[None, :])
+                    x, y = np.nonzero(hit)
+                    close = near[x, y] < cosine + margin
+                    x, y, guest = mine[x], theirs[y], guest[y]
+                    good = ~close
+                    good[close] = np.einsum("ij,ij->i", a.fine[x[close]], b.fine[y[close]]) >= cosine
+                    # Of two that visit each other's cell the pair counts in the smaller one.
+                    good &= ~guest | (cell < b.cell[y]) | ~a.visit(x, b.cell[y])
+                    x, y = x[good], y[good]
+                    np.add.at(self.counts, at_a[x], b.weight[y])
+                    np.add.at(self.counts, at_b[y], a.weight[x])
+                    self.join(at_a[x], at_b[y])
 
     def rows(self) -> pa.RecordBatch:
         """node, root and count of all rows with a link."""
@@ -192,44 +238,46 @@ class Links:
              pa.array(self.counts[some])], names=["node", "root", "linked"])
 
 
-def compared(rows: DataFrame, width: int, cosine: float) -> DataFrame:
+def compared(rows: DataFrame, centroids: np.ndarray, width: int, cosine: float) -> DataFrame:
     """node, root, linked: partial counts and links by products within cells."""
     part_rows = max(TILE, PART_BYTES // (8 * width))
-    sizes = rows.groupBy("cell").agg(F.count("*").alias("rows"))
-    parts = sizes.select("cell", F.ceil(F.col("rows") / part_rows).cast("int").alias("parts"))
-    # A row of its cell meets the parts up to its own; a visitor meets all.
-    part = F.pmod(F.xxhash64("node", F.lit("part")), F.col("parts")).cast("int")
-    fields = ["node", "weight", "vec", "home", "core", "visits"]
-    known = F.broadcast(parts)  # a row per centroid
-    lives = (rows.withColumn("home", F.col("cell")).join(known, "cell").withColumn("part", part)
-             .select("cell", F.explode(F.sequence(F.lit(0), "part")).alias("host"), "part", *fields)
+    sizes = {r.cell: r.n for r in rows.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # a row per centroid
+    room_of, parts_of = rooms(sizes, centroids, part_rows)
+    look = lambda values, at: F.element_at(F.lit(values), at + 1)
+    rows = rows.withColumn("room", look(room_of, F.col("cell")))
+    parts = look(parts_of, F.col("room"))
+    fields = ["node", "weight", "vec", "cell", "core", "visits"]
+    # A row that lives in a room meets the parts up to its own; a visitor meets all.
+    lives = (rows.withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), parts).cast("int"))
+             .select("room", F.explode(F.sequence(F.lit(0), "part")).alias("host"), "part", *fields)
              .withColumn("side", F.when(F.col("host") == F.col("part"), 0).otherwise(1)).drop("part"))
-    guests = (rows.withColumnRenamed("cell", "home").withColumn("cell", F.explode("visits")).join(known, "cell")
-              .select("cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("host"), *fields, F.lit(1).alias("side")))
+    elsewhere = F.array_except(F.array_distinct(F.transform("visits", lambda c: look(room_of, c))), F.array("room"))
+    guests = (rows.withColumn("room", F.explode(elsewhere))
+              .select("room", F.explode(F.sequence(F.lit(0), parts - 1)).alias("host"), *fields, F.lit(1).alias("side")))
 
     def run(batches):
         task, home, links, held, count = None, None, None, [], 0
 
         def settle():
-            """Compare the rows held: the part at home, or those that meet it."""
+            """Compare the rows held: those at home with each other, or those that meet them."""
             nonlocal home, held, count
             if held:
                 now = Part(held, width)
                 if home is None:
                     home = now
-                links.meet(home, now, cosine, task[0], now is home)
+                links.meet(home, now, cosine)
             held, count = [], 0
 
         for batch in batches:
-            key = np.stack([batch.column(c).to_numpy() for c in ("cell", "host", "side")], axis=1)
+            key = np.stack([batch.column(c).to_numpy() for c in ("room", "host", "side")], axis=1)
             cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(key)]
             for low, high in zip(cuts[:-1], cuts[1:]):
-                cell, host, side = key[low].tolist()
-                if task != (cell, host):
+                room, host, side = key[low].tolist()
+                if task != (room, host):
                     if task is not None:
                         settle()
                         yield links.rows()
-                    task, home, links = (cell, host), None, Links()
+                    task, home, links = (room, host), None, Links()
                 elif side == 1 and home is None:
                     settle()
                 while low < high:
@@ -242,7 +290,7 @@ def compared(rows: DataFrame, width: int, cosine: float) -> DataFrame:
             settle()
             yield links.rows()
 
-    return (lives.unionByName(guests).repartition("cell", "host").sortWithinPartitions("cell", "host", "side")
+    return (lives.unionByName(guests).repartition("room", "host").sortWithinPartitions("room", "host", "side")
             .mapInArrow(run, "node string, root string, linked long"))
 
 
@@ -266,8 +314,9 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id
     width = nodes.agg(F.max(F.size("vec"))).first()[0]
     if width is None:
         return rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    cells = cut_lineage(housed(nodes, fit(nodes, width), width, cosine))
-    links = cut_lineage(compared(cells, width, cosine).unionByName(certain(cells)))
+    centroids = fit(nodes, width)
+    cells = cut_lineage(housed(nodes, centroids, width, cosine))
+    links = cut_lineage(compared(cells, centroids, width, cosine).unionByName(certain(cells)))
     counts = links.groupBy("node").agg(F.sum("linked").alias("linked"))
     groups = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     named = cut_lineage(nodes.drop("vec").join(counts, "node", "left").join(groups, "node", "left")
