@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas
 from ..functions import clean
-from .joins import exclude
+from .joins import restrict_to, sift
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -27,9 +27,35 @@ def null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.agg(*[F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(c) for c in cols])
 
 
+def orphan_keys(child: DataFrame, refs: list[tuple[str, DataFrame, str]]) -> DataFrame:
+    """ref (position in ``refs``), key and occurrences of references without a parent.
+
+    ``refs`` holds (child column, parent, parent column). All columns are counted
+    in one pass over the child, before any join, so that the shuffle moves one row
+    per task and key, however often a key occurs; NULL references, which are
+    allowed, never move. What is joined are keys, each once.
+    """
+    kinds = [child.schema[fk].dataType for fk, _, _ in refs]
+    integral = all(k.simpleString() in ("tinyint", "smallint", "int", "bigint") for k in kinds)
+    kind = "bigint" if integral else "string"
+    pairs = [F.struct(F.lit(i).alias("ref"), F.col(fk).cast(kind).alias("key")) for i, (fk, _, _) in enumerate(refs)]
+    stacked = child.select(F.explode(F.array(*pairs)).alias("r")).select("r.*") if len(pairs) > 1 else child.select(
+        F.lit(0).alias("ref"), F.col(refs[0][0]).cast(kind).alias("key"))
+    counted = stacked.where(F.col("key").isNotNull()).groupBy("ref", "key").agg(F.count(F.lit(1)).alias("occurrences"))
+    known = reduce(DataFrame.unionByName, [
+        parent.select(F.lit(i).alias("ref"), F.col(pk).cast(kind).alias("key")).distinct()
+        for i, (_, parent, pk) in enumerate(refs)])
+    return counted.join(known, ["ref", "key"], "left_anti")
+
+
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Child rows whose non-NULL ``fk`` has no parent (NULL references are allowed)."""
-    return exclude(child.where(F.col(fk).isNotNull()), parent, fk, pk)
+    """Child rows whose non-NULL ``fk`` has no parent (NULL references are allowed).
+
+    The keys without a parent are found first; a bitmap of them sorts out the
+    other rows in place, so only rows of missing keys are shuffled.
+    """
+    missing = orphan_keys(child, [(fk, parent, pk)]).select(F.col("key").cast(child.schema[fk].dataType).alias("key"))
+    return restrict_to(sift(child, fk, missing, "key"), missing, fk, "key")
 
 
 def _key_metrics(name: str, df: DataFrame, keys: list[str], required: list[str], rows: bool) -> DataFrame:
@@ -47,14 +73,9 @@ def _key_metrics(name: str, df: DataFrame, keys: list[str], required: list[str],
 
 def _reference_metrics(name: str, df: DataFrame, refs: list, tables: dict[str, DataFrame]) -> DataFrame:
     """One pass over a child: rows whose non-NULL references lack their parent."""
-    rows = df.select(*dict.fromkeys(fk for _, fk, _, _ in refs))
-    missing = F.lit(0)
-    for i, (_, fk, parent, pk) in enumerate(refs):
-        known = tables[parent].select(F.col(pk).alias(f"_p{i}")).distinct()
-        rows = rows.join(known, F.col(fk) == F.col(f"_p{i}"), "left")
-        missing = missing + F.when(F.col(fk).isNotNull() & F.col(f"_p{i}").isNull(), 1).otherwise(0)
-    return rows.agg(F.lit(0).alias("row_count"), F.lit(0).alias("duplicate_key_rows"), F.lit(0).alias("null_violations"),
-                    F.sum(missing).alias("orphan_rows")).select(F.lit(name).alias("table_name"), "*")
+    missing = orphan_keys(df, [(fk, tables[parent], pk) for _, fk, parent, pk in refs])
+    return missing.agg(F.lit(0).alias("row_count"), F.lit(0).alias("duplicate_key_rows"), F.lit(0).alias("null_violations"),
+                       F.sum("occurrences").alias("orphan_rows")).select(F.lit(name).alias("table_name"), "*")
 
 
 def _table_metrics(name: str, df: DataFrame, tables: dict[str, DataFrame],
