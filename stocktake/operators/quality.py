@@ -7,9 +7,10 @@ DataFrame (never the checked table itself).
 
 from __future__ import annotations
 
+import os
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from .. import schemas
 from ..functions import clean
@@ -107,27 +108,58 @@ def load_report(tables: dict[str, DataFrame], primary: dict | None = None,
         for m in ("row_count", "duplicate_key_rows", "null_violations", "orphan_rows")])
 
 
-def conversion_report(df: DataFrame, amounts: list[str] = (), lists: list[str] = ()) -> DataFrame:
-    """One row per text column: amounts that lose digits, text that is rejected
-    (NULL in the non-strict mode), and NULL items that list columns drop.
+CONVERSION_METRICS = ("lost_digits", "rejected", "null_items")
 
-    One pass over ``df``.
-    """
-    parts = []
-    for c in amounts:
-        text = clean.blank_to_null(c)
-        parts.append((c, F.count(F.when(clean.loses_digits(c), 1)),
-                      F.count(F.when(text.isNotNull() & text.try_cast("double").isNull(), 1)), F.lit(0)))
-    for c in lists:
+
+def conversion_counts(text, kind: str, only: Column | None = None) -> dict[str, Column]:
+    """Aggregates over text that is converted: amounts whose digits exceed the decimal (they are kept
+    as text), text that is rejected, and NULL items that a list drops."""
+    c = F.col(text) if isinstance(text, str) else text
+    c = c if only is None else F.when(only, c)
+    dropped = F.lit(None).cast("int")
+    if kind == "list":
         items = clean.json_list_items(c, strict=False)
-        parts.append((c, F.lit(0), F.count(F.when(clean.non_blank(c) & items.isNull(), 1)),
-                      F.coalesce(F.sum(F.size(F.filter(items, lambda x: x.isNull()))), F.lit(0))))
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), lost.cast("long").alias("lost_digits"),
-                              bad.cast("long").alias("rejected"), nulls.cast("long").alias("null_items"))
-                     for c, lost, bad, nulls in parts])
+        dropped = F.size(items) - F.size(F.array_compact(items))
+    return {"lost_digits": F.count(F.when(clean.loses_digits(c), 1)) if kind == "amount" else F.count(F.lit(None)),
+            "rejected": F.count(F.when(clean.rejected(c, kind), 1)),
+            "null_items": F.coalesce(F.sum(F.when(dropped > 0, dropped)), F.lit(0)).cast("long")}
+
+
+def conversion_report(df: DataFrame, amounts: list[str] = (), lists: list[str] = ()) -> DataFrame:
+    """One row per text column with its :func:`conversion_counts`, in one pass over ``df``."""
+    kinds = {**dict.fromkeys(amounts, "amount"), **dict.fromkeys(lists, "list")}
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), *(v.cast("long").alias(n) for n, v in conversion_counts(c, kind).items()))
+                     for c, kind in kinds.items()])
     return df.agg(rows.alias("r")).select(F.inline("r"))
 
 
+class ObservedConversions:
+    """The counts of :func:`conversion_report`, taken while some other job reads or writes the rows.
+
+    ``columns`` gives the kind of each text column, ``text`` the text that its
+    conversion meets; rows outside ``only`` do not count.
+    """
+
+    def __init__(self, columns: dict[str, str], text=F.col, only: Column | None = None):
+        self.columns = list(columns)
+        self._observed = Observation(f"conversions-{os.urandom(4).hex()}")
+        self._counts = [v.alias(f"{c}|{n}") for c, kind in columns.items()
+                        for n, v in conversion_counts(text(c), kind, only).items()]
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        """``df``, whose next job counts."""
+        return df.observe(self._observed, *self._counts)
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """One row per column, once that job is done."""
+        got = self._observed.get
+        return spark.createDataFrame([(c, *(got[f"{c}|{n}"] for n in CONVERSION_METRICS)) for c in self.columns],
+                                     "column_name string, " + ", ".join(f"{n} long" for n in CONVERSION_METRICS))
+
+    def total(self, metric: str) -> int:
+        return sum(v for k, v in self._observed.get.items() if k.endswith(f"|{metric}"))
+
+
 def assert_clean(report: DataFrame) -> None:
     """Fail the job when any table has a key, NULL or reference violation."""
     bad = report.where((F.col("duplicate_key_rows") > 0) | (F.col("null_violations") > 0)

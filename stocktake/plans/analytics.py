@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import tiers
+from ..functions import clean, tiers
 from ..operators.aggregates import at_least, count_histogram, grouped_percentile, mean
 from ..operators.joins import with_required_categories
 
@@ -27,8 +27,12 @@ def _desc(*cols: str):
 
 
 def _sum_decimal(col: str):
-    # The addends are widened, so a sum keeps ten fractional digits and has room for 28 others.
-    return F.sum(F.col(col).cast("decimal(38,10)"))
+    # An amount beyond the type, of which the decimal is only the limit, must not pass for a price.
+    return F.sum(clean.in_range(col))
+
+
+def _mean_decimal(col: str):
+    return mean(clean.in_range(col))
 
 
 def _sum_long(col: str):
@@ -61,8 +65,8 @@ def era_quality(t: Tables) -> DataFrame:
         .withColumn("game_era", tiers.cutoff_two_way("release_date"))
     return rows.groupBy("game_era").agg(
         F.count("title_id").alias("titles_in_group"),
-        mean("overall_avg_rating").alias("avg_quality_rating"),
-        mean("base_amount").alias("avg_base_price"),
+        _mean_decimal("overall_avg_rating").alias("avg_quality_rating"),
+        _mean_decimal("base_amount").alias("avg_base_price"),
     ).orderBy(*_desc("avg_quality_rating"))
 
 
@@ -125,7 +129,7 @@ def free_vs_paid(t: Tables) -> DataFrame:
         .withColumn("revenue_model", tiers.bool_label("is_free"))
     return rows.groupBy("revenue_model").agg(
         F.count("title_id").alias("title_count"),
-        mean("overall_avg_rating").alias("avg_user_rating"),
+        _mean_decimal("overall_avg_rating").alias("avg_user_rating"),
         _sum_long("reviews_count").alias("total_reviews_sum"),
     ).orderBy(*_desc("total_reviews_sum"))
 
@@ -139,8 +143,8 @@ def release_price(t: Tables) -> DataFrame:
         .withColumn("release_category", tiers.cutoff_three_way("release_date"))
     return rows.groupBy("release_category").agg(
         F.count("title_id").alias("title_count"),
-        mean("base_amount").alias("avg_base_price"),
-        mean("final_amount").alias("avg_final_price"),
+        _mean_decimal("base_amount").alias("avg_base_price"),
+        _mean_decimal("final_amount").alias("avg_final_price"),
     ).orderBy(*_desc("avg_base_price"))
 
 
@@ -149,8 +153,8 @@ def currency_price(t: Tables) -> DataFrame:
     price = t["pricing"].where(F.col("base_amount").isNotNull() & (F.col("base_amount") > 0))
     return price.groupBy("currency").agg(
         F.count("title_id").alias("title_count"),
-        mean("base_amount").alias("avg_base_price_msrp"),
-        mean("final_amount").alias("avg_final_price_current"),
+        _mean_decimal("base_amount").alias("avg_base_price_msrp"),
+        _mean_decimal("final_amount").alias("avg_final_price_current"),
     ).orderBy(*_desc("title_count"))
 
 
@@ -160,7 +164,7 @@ def promo_effect(t: Tables, min_titles: int = 10) -> DataFrame:
     rows = t["discount_status"].join(rated, "title_id")
     out = at_least(rows.groupBy("promo_id").agg(
         F.count("title_id").alias("titles_in_promotion"),
-        mean("discount_percentage").alias("avg_discount_depth"),
+        _mean_decimal("discount_percentage").alias("avg_discount_depth"),
         _sum_long("reviews_count").alias("total_reviews_driven")), "titles_in_promotion", min_titles)
     return (out.join(t["promotion"], "promo_id")
             .select("promo_name", "titles_in_promotion", "avg_discount_depth", "total_reviews_driven")
@@ -180,8 +184,8 @@ def platform_breadth(t: Tables) -> DataFrame:
             .where(F.col("base_amount").isNotNull() & F.col("overall_avg_rating").isNotNull()))
     return rows.groupBy("num_platforms").agg(
         F.count("title_id").alias("game_count"),
-        mean("base_amount").alias("avg_base_price"),
-        mean("overall_avg_rating").alias("avg_quality_rating"),
+        _mean_decimal("base_amount").alias("avg_base_price"),
+        _mean_decimal("overall_avg_rating").alias("avg_quality_rating"),
     ).orderBy(*_desc("num_platforms"))
 
 
@@ -193,7 +197,7 @@ def support_skeleton(t: Tables) -> DataFrame:
         .withColumn("status", tiers.support_status("support_url"))
     agg = rows.groupBy("status").agg(
         F.count("title_id").alias("game_count"),
-        mean("overall_avg_rating").alias("avg_customer_rating"),
+        _mean_decimal("overall_avg_rating").alias("avg_customer_rating"),
         _sum_long("reviews_count").alias("total_reviews_sum"))
     spark = rows.sparkSession
     out = with_required_categories(

@@ -36,11 +36,56 @@ from ..functions import clean
 from ..operators.dedupe import entity_from_columns
 from ..operators.joins import lookup_key, restrict_to
 from ..operators.keys import dense_keys, hash_keys
-from ..schemas import TABLE_SCHEMAS
+from ..schemas import EXACT_SUFFIX, TABLE_SCHEMAS
 from ..session import checkpoint_dir
 from ..sources.static import product_type
 
 
+# --- text that no conversion takes ---------------------------------------------------
+
+#: fail: the first such text ends the load. null: the value is NULL, and
+#: :func:`rejected_values` lists the text.
+ERROR_MODES = ("fail", "null")
+
+#: Staging columns whose text is converted, by kind of conversion.
+CONVERSIONS = {
+    "globalreleasedate": "epoch", "agelimit": "integer", "reviewscount": "integer", "reviewpages": "integer",
+    "baseamount": "amount", "finalamount": "amount", "amount": "amount", "overallavgrating": "amount",
+    "filteredavgrating": "amount", "discountpercentage": "amount", "discountdifference": "amount",
+    "supportedoperatingsystems": "list",
+}
+#: Of these, the columns that may hold boolean words.
+GUARDED = ("discountpercentage", "discountdifference")
+#: Converted only for titles with a promotion, as the tables hold no others.
+PROMOTED_ONLY = ("discountpercentage", "discountdifference")
+
+
+def _strict(on_error: str) -> bool:
+    if on_error not in ERROR_MODES:
+        raise ValueError(f"on_error must be one of {ERROR_MODES}")
+    return on_error == "fail"
+
+
+def conversion_text(column: str) -> Column:
+    """The text that a conversion of the staging column meets; NULL where there is none."""
+    text = clean.guarded_text(column) if column in GUARDED else F.col(column)
+    if column in PROMOTED_ONLY:
+        text = F.when(clean.non_blank("promoid"), text)
+    return text
+
+
+def rejected_values(raw: DataFrame) -> DataFrame:
+    """id, column_name, text and reason of every value that ``on_error="null"`` makes NULL.
+
+    One pass over the converted columns; only rows with such a value are expanded.
+    """
+    found = F.array_compact(F.array(*[
+        F.when(clean.rejected(conversion_text(c), kind), F.struct(
+            F.lit(c).alias("column_name"), F.col(c).alias("text"), F.lit(clean.REASONS[kind]).alias("reason")))
+        for c, kind in CONVERSIONS.items()]))
+    return raw.where(F.col("id").isNotNull()).select("id", F.explode(found).alias("r")).select("id", "r.*")
+
+
 # --- dimensions ---------------------------------------------------------------
 # Each dimension is "distinct names" + dense keys; the name extraction is kept
 # separate so the incremental (streaming) load can reuse it per micro-batch.
@@ -50,7 +95,7 @@ def party_names(raw: DataFrame) -> DataFrame:
     return entity_from_columns(raw, ["developer", "publisher"], "name")
 
 
-def os_names(raw: DataFrame) -> DataFrame:
+def os_names(raw: DataFrame, on_error: str = "fail") -> DataFrame:
     """Distinct items of the JSON-ish OS lists, case and spacing kept.
 
     Rows whose list is NULL, blank or ``[]`` are skipped; NULL items are
@@ -58,7 +103,7 @@ def os_names(raw: DataFrame) -> DataFrame:
     """
     src = F.col("supportedoperatingsystems")
     lists = raw.select(src).where(src.isNotNull() & (F.trim(src) != "[]") & (F.trim(src) != ""))
-    items = lists.select(F.explode(clean.json_list_items(src)).alias("os_name"))
+    items = lists.select(F.explode(clean.json_list_items(src, _strict(on_error))).alias("os_name"))
     return items.where(F.col("os_name").isNotNull()).distinct()
 
 
@@ -89,17 +134,18 @@ DIMENSION_SPECS = {
 KEY_MODES = ("dense", "hash")
 
 
-def build_dimension(raw: DataFrame, name: str, keys: str = "dense") -> DataFrame:
+def build_dimension(raw: DataFrame, name: str, keys: str = "dense", on_error: str = "fail") -> DataFrame:
     """Distinct names with keys: ``dense`` (1..N in name order, looked up by
     the fact builders) or ``hash`` (``xxhash64(name)``, computed in place by
     the fact builders, so they need no join; the quality job's key check
     catches a collision)."""
-    names, name_col, key_col = DIMENSION_SPECS[name]
+    extract, name_col, key_col = DIMENSION_SPECS[name]
+    names = extract(raw, on_error) if extract is os_names else extract(raw)
     if keys == "hash":
-        return hash_keys(names(raw), name_col, key_col)
+        return hash_keys(names, name_col, key_col)
     if keys != "dense":
         raise ValueError(f"keys must be one of {KEY_MODES}")
-    return dense_keys(names(raw), name_col, key_col)
+    return dense_keys(names, name_col, key_col)
 
 
 def name_key(name) -> Column:
@@ -112,8 +158,8 @@ def build_party(raw: DataFrame, keys: str = "dense") -> DataFrame:
     return build_dimension(raw, "party", keys)
 
 
-def build_os_platform(raw: DataFrame, keys: str = "dense") -> DataFrame:
-    return build_dimension(raw, "os_platform", keys)
+def build_os_platform(raw: DataFrame, keys: str = "dense", on_error: str = "fail") -> DataFrame:
+    return build_dimension(raw, "os_platform", keys, on_error)
 
 
 def build_genre(raw: DataFrame, keys: str = "dense") -> DataFrame:
@@ -126,7 +172,7 @@ def build_promotion(raw: DataFrame, keys: str = "dense") -> DataFrame:
 
 # --- core entity --------------------------------------------------------------
 
-def build_inventory(raw: DataFrame, party: DataFrame | None, keys: str = "dense") -> DataFrame:
+def build_inventory(raw: DataFrame, party: DataFrame | None, keys: str = "dense", on_error: str = "fail") -> DataFrame:
     """Typed titles with publisher and developer looked up in ``party``.
 
     One row in, one row out: ``party.name`` is unique, and a name without a
@@ -134,12 +180,13 @@ def build_inventory(raw: DataFrame, party: DataFrame | None, keys: str = "dense"
     computed from the names in place (every non-NULL name is a party by
     construction), so no join is needed and ``party`` may be None.
     """
+    strict = _strict(on_error)
     typed = raw.where(F.col("id").isNotNull()).select(
         F.col("id").cast("long").alias("title_id"),
         F.col("title"),
         F.col("slug"),
-        clean.epoch_seconds_to_timestamp("globalreleasedate").alias("release_date"),
-        clean.to_int("agelimit").alias("age_limit"),
+        clean.epoch_seconds_to_timestamp("globalreleasedate", strict).alias("release_date"),
+        clean.to_int("agelimit", strict).alias("age_limit"),
         clean.text_flag("isgame").alias("is_game"),
         clean.text_flag("ismovie").alias("is_movie"),
         clean.text_flag("buyable").alias("buyable"),
@@ -176,44 +223,45 @@ def _restrict_to_inventory(rows: DataFrame, inventory: DataFrame | None) -> Data
     return restrict_to(rows, inventory, "title_id", "title_id")
 
 
-def build_pricing(raw: DataFrame, inventory: DataFrame | None = None) -> DataFrame:
+def _amounts(names: dict[str, str], strict: bool) -> tuple[dict[str, Column], list[Column]]:
+    """Decimals by table column (of staging columns), and the columns of those and of their exact digits."""
+    text = {name: conversion_text(source) for name, source in names.items()}
+    values = {name: clean.blank_decimal(t, strict=strict) for name, t in text.items()}
+    return values, [v.alias(n) for n, v in values.items()] + [
+        clean.exact_digits(t).alias(n + EXACT_SUFFIX) for n, t in text.items()]
+
+
+def build_pricing(raw: DataFrame, inventory: DataFrame | None = None, on_error: str = "fail") -> DataFrame:
     """Prices as decimals; free when all three amounts are 0, else the raw flag."""
-    base = clean.blank_decimal("baseamount")
-    final = clean.blank_decimal("finalamount")
-    amount = clean.blank_decimal("amount")
-    is_free = clean.free_title(base, final, amount, "isfree")
-    rows = raw.select(F.col("id").cast("long").alias("title_id"), base.alias("base_amount"),
-                      final.alias("final_amount"), amount.alias("amount"),
-                      F.col("currency"), is_free.alias("is_free"))
+    values, columns = _amounts({"base_amount": "baseamount", "final_amount": "finalamount", "amount": "amount"}, _strict(on_error))
+    rows = raw.select(F.col("id").cast("long").alias("title_id"), *columns, F.col("currency"),
+                      clean.free_title(*values.values(), "isfree").alias("is_free"))
     return _restrict_to_inventory(rows, inventory)
 
 
-def build_rating(raw: DataFrame, inventory: DataFrame | None = None) -> DataFrame:
+def build_rating(raw: DataFrame, inventory: DataFrame | None = None, on_error: str = "fail") -> DataFrame:
+    strict = _strict(on_error)
+    _, columns = _amounts({"overall_avg_rating": "overallavgrating", "filtered_avg_rating": "filteredavgrating"}, strict)
     rows = raw.select(
-        F.col("id").cast("long").alias("title_id"),
-        clean.blank_decimal("overallavgrating").alias("overall_avg_rating"),
-        clean.blank_decimal("filteredavgrating").alias("filtered_avg_rating"),
-        clean.blank_int("reviewscount").alias("reviews_count"),
+        F.col("id").cast("long").alias("title_id"), *columns,
+        clean.blank_int("reviewscount", strict).alias("reviews_count"),
         clean.text_flag("isreviewable").alias("is_reviewable"),
-        clean.blank_int("reviewpages").alias("review_pages"))
+        clean.blank_int("reviewpages", strict).alias("review_pages"))
     return _restrict_to_inventory(rows, inventory)
 
 
 def build_discount_status(raw: DataFrame, promotion: DataFrame | None,
-                          inventory: DataFrame | None = None, keys: str = "dense") -> DataFrame:
+                          inventory: DataFrame | None = None, keys: str = "dense", on_error: str = "fail") -> DataFrame:
     """Discount rows for titles whose trimmed promo id names a promotion.
 
     ``is_discounted``: a positive percentage, else the trimmed raw flag, else
     false. The percentage used by the rule is the guarded one, so boolean
     words in the column fall through to the flag instead of failing the cast.
     """
-    pct = clean.guarded_decimal("discountpercentage")
-    diff = clean.guarded_decimal("discountdifference")
-    is_discounted = clean.discounted(pct, "isdiscounted")
-    rows = raw.select(F.col("id").cast("long").alias("title_id"),
-                      F.trim(F.col("promoid")).alias("_promo"),
-                      pct.alias("discount_percentage"), diff.alias("discount_difference"),
-                      is_discounted.alias("is_discounted"))
+    values, columns = _amounts({"discount_percentage": "discountpercentage", "discount_difference": "discountdifference"},
+                               _strict(on_error))
+    rows = raw.select(F.col("id").cast("long").alias("title_id"), F.trim(F.col("promoid")).alias("_promo"), *columns,
+                      clean.discounted(values["discount_percentage"], "isdiscounted").alias("is_discounted"))
     if keys == "hash":
         # The inner join keeps exactly the rows whose trimmed id is a promotion
         # name, i.e. non-blank ones.
@@ -222,9 +270,7 @@ def build_discount_status(raw: DataFrame, promotion: DataFrame | None,
     else:
         rows = lookup_key(rows, promotion, "_promo", "promo_name", "promo_id", "promo_id",
                           how="inner")
-    rows = _restrict_to_inventory(rows, inventory)
-    return rows.select("title_id", "promo_id", "discount_percentage", "discount_difference",
-                       "is_discounted")
+    return _restrict_to_inventory(rows, inventory).drop("_promo")
 
 
 # --- bridges ------------------------------------------------------------------
@@ -253,11 +299,11 @@ def build_title_genre(raw: DataFrame, genre: DataFrame | None,
 
 def build_title_os(raw: DataFrame, os_platform: DataFrame | None,
                    inventory: DataFrame | None = None, ids_unique: bool = False,
-                   keys: str = "dense") -> DataFrame:
+                   keys: str = "dense", on_error: str = "fail") -> DataFrame:
     """(title, os) pairs from the JSON-ish OS lists; blank lists are skipped."""
     src = F.col("supportedoperatingsystems")
     lists = raw.where(src.isNotNull() & (F.trim(src) != ""))
-    items = F.array_distinct(clean.json_list_items(src))
+    items = F.array_distinct(clean.json_list_items(src, _strict(on_error)))
     rows = lists.select(F.col("id").cast("long").alias("title_id"),
                         F.explode(items).alias("_name"))
     if keys == "hash":
@@ -287,31 +333,34 @@ class Catalog:
     _BUILD = {
         "party": lambda c: build_party(c.raw, c.keys),
         "product_type": lambda c: product_type(c.raw.sparkSession),
-        "inventory": lambda c: build_inventory(c.raw, c._dim("party"), c.keys),
-        "os_platform": lambda c: build_os_platform(c.raw, c.keys),
+        "inventory": lambda c: build_inventory(c.raw, c._dim("party"), c.keys, c.on_error),
+        "os_platform": lambda c: build_os_platform(c.raw, c.keys, c.on_error),
         "genre": lambda c: build_genre(c.raw, c.keys),
         "promotion": lambda c: build_promotion(c.raw, c.keys),
         # Status tables and bridges restrict to the inventory built from the
         # same staging frame (inventory=None, see _restrict_to_inventory).
-        "pricing": lambda c: build_pricing(c.raw),
-        "rating": lambda c: build_rating(c.raw),
+        "pricing": lambda c: build_pricing(c.raw, on_error=c.on_error),
+        "rating": lambda c: build_rating(c.raw, on_error=c.on_error),
         "discount_status": lambda c: build_discount_status(c.raw, c._dim("promotion"), None,
-                                                           c.keys),
+                                                           c.keys, c.on_error),
         "title_genre": lambda c: build_title_genre(c.raw, c._dim("genre"), None, c.ids_unique,
                                                    c.keys),
         "title_os": lambda c: build_title_os(c.raw, c._dim("os_platform"), None, c.ids_unique,
-                                             c.keys),
+                                             c.keys, c.on_error),
     }
     names = tuple(_BUILD)
 
-    def __init__(self, raw: DataFrame, ids_unique: bool = False, keys: str = "dense"):
+    def __init__(self, raw: DataFrame, ids_unique: bool = False, keys: str = "dense", on_error: str = "fail"):
         """``keys``: ``dense`` surrogate keys (looked up by joins) or ``hash``
-        keys (computed in place: the fact tables need no dimension join)."""
+        keys (computed in place: the fact tables need no dimension join).
+        ``on_error``: see ``ERROR_MODES``."""
+        _strict(on_error)
         if keys not in KEY_MODES:
             raise ValueError(f"keys must be one of {KEY_MODES}")
         self.raw = raw
         self.ids_unique = ids_unique
         self.keys = keys
+        self.on_error = on_error
         self._built: dict[str, DataFrame] = {}
 
     def _dim(self, name: str) -> DataFrame | None:
@@ -334,7 +383,7 @@ DIMENSIONS = ("party", "os_platform", "genre", "promotion")
 
 
 def normalize(raw: DataFrame, ids_unique: bool = False, parallelism: int = 4,
-              keys: str = "dense") -> dict[str, DataFrame]:
+              keys: str = "dense", on_error: str = "fail") -> dict[str, DataFrame]:
     """Build all eleven typed tables from the staging frame.
 
     The staging frame should be Parquet-backed (see
@@ -343,7 +392,7 @@ def normalize(raw: DataFrame, ids_unique: bool = False, parallelism: int = 4,
     are independent, so their (eager, checkpointed) key jobs are submitted
     concurrently and share the cluster.
     """
-    cat = Catalog(raw, ids_unique, keys)
+    cat = Catalog(raw, ids_unique, keys, on_error)
     checkpoint_dir(raw.sparkSession)  # resolve once, before any concurrent job
     if parallelism > 1:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:

@@ -45,12 +45,16 @@ USED_RAW_COLUMNS = [
     "overallavgrating", "reviewscount", "isreviewable", "reviewpages",
 ]
 
-# Ten fractional digits: the source's NUMERIC has no bound, and loading refuses what would not fit.
-MONEY = T.DecimalType(28, 10)
+# The source's NUMERIC has no bound: the decimal is for arithmetic, and where it cannot hold an
+# amount exactly, the column <name>_exact holds its digits (see ``functions.clean``).
+MONEY = T.DecimalType(38, 18)
+EXACT_SUFFIX = "_exact"
 
 
 def _struct(*fields):
-    return T.StructType([T.StructField(n, t, nullable) for n, t, nullable in fields])
+    """Amounts come first with their own column, then, at the end, with that of their digits."""
+    exact = [(n + EXACT_SUFFIX, T.StringType(), True) for n, t, _ in fields if t is MONEY]
+    return T.StructType([T.StructField(n, t, nullable) for n, t, nullable in [*fields, *exact]])
 
 
 TABLE_SCHEMAS = {

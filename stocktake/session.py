@@ -83,17 +83,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/stocktake-{name}-{token}"
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path, as Hadoop has them."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, at = _hadoop_path(spark, path)
+    files, at = hadoop_path(spark, path)
     return files.exists(at)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a staged folder of ours."""
-    files, at = _hadoop_path(spark, path)
+    files, at = hadoop_path(spark, path)
     files.delete(at, True)

@@ -10,6 +10,8 @@ Convert to Parquet right away: later reads then prune to the few columns they us
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -62,7 +64,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def stage_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str,
-                     schema: T.StructType = RAW_SCHEMA, *, multiline: bool) -> DataFrame:
-    """Bronze step: CSV -> Parquet once; returns the Parquet-backed frame."""
-    read_csv(spark, csv_path, schema, multiline=multiline).write.mode("overwrite").parquet(parquet_path)
+                     schema: T.StructType = RAW_SCHEMA, *, multiline: bool,
+                     watch: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Bronze step: CSV -> Parquet once; returns the Parquet-backed frame.
+
+    ``watch`` may attach counters to the rows, taken by this one pass.
+    """
+    rows = read_csv(spark, csv_path, schema, multiline=multiline)
+    (watch(rows) if watch else rows).write.mode("overwrite").parquet(parquet_path)
     return spark.read.parquet(parquet_path)

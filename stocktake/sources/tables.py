@@ -57,9 +57,9 @@ TITLE_BUCKETED = ("inventory", "pricing", "rating", "discount_status", "title_ge
 
 def save_tables(tables: dict[str, DataFrame], database: str, num_buckets: int,
                 bucket_key: str = "title_id", bucketed=TITLE_BUCKETED,
-                parallelism: int = 4) -> None:
-    """Save tables to the session catalog (``database.name``); the title-keyed
-    ones bucketed and sorted on ``bucket_key``.
+                parallelism: int = 4, suffix: str = "") -> None:
+    """Save tables to the session catalog (``database.name`` and the suffix); the
+    title-keyed ones bucketed and sorted on ``bucket_key``.
 
     Size ``num_buckets`` so that one bucket of the largest table is a few
     hundred MB; every title-keyed table must use the same count.
@@ -72,11 +72,11 @@ def save_tables(tables: dict[str, DataFrame], database: str, num_buckets: int,
         writer = df.write.mode("overwrite").format("parquet")
         if name in bucketed:
             writer = writer.bucketBy(num_buckets, bucket_key).sortBy(bucket_key)
-        writer.saveAsTable(f"{database}.{name}")
+        writer.saveAsTable(f"{database}.{name}{suffix}")
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         list(pool.map(save, tables.items()))
 
 
-def load_saved_tables(spark: SparkSession, database: str, names) -> dict[str, DataFrame]:
-    return {n: spark.table(f"{database}.{n}") for n in names}
+def load_saved_tables(spark: SparkSession, database: str, names, suffix: str = "") -> dict[str, DataFrame]:
+    return {n: spark.table(f"{database}.{n}{suffix}") for n in names}

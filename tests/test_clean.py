@@ -1,7 +1,7 @@
 """Column helpers on the edge rows the source listing produces."""
 
 import datetime as dt
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,9 +82,12 @@ def test_conversions_are_strict_whatever_the_session(spark, ansi):
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
         for text, fn in (("abc", clean.blank_decimal), ("1x", clean.blank_int), ("12.0", clean.to_int),
-                         ("soon", clean.epoch_seconds_to_timestamp), ("0.00000000001", clean.blank_decimal)):
+                         ("soon", clean.epoch_seconds_to_timestamp), ("9" * 15, clean.epoch_seconds_to_timestamp),
+                         ("1e", clean.blank_decimal), (".", clean.blank_decimal), ("1.2.3", clean.blank_decimal)):
             with pytest.raises(Exception):
                 _one_col(spark, [text], fn)
+            assert _one_col(spark, [text, "", None], lambda c: fn(c, strict=False) if fn is not clean.to_int else fn(
+                clean.blank_to_null(c), strict=False)) == [None] * 3
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
 
@@ -92,7 +95,7 @@ def test_conversions_are_strict_whatever_the_session(spark, ansi):
 def test_small_amounts_keep_their_digits(spark):
     vals = ["0.00004", "4.333333", "0.00001", "1e-3"]
     assert _one_col(spark, vals, clean.blank_decimal) == [Decimal(v) for v in vals]
-    lossy = ["0.00000000001", "4.3333333333333333333333", "1.50000000000", "1e30", "", None, "x"]
+    lossy = ["0." + "0" * 18 + "1", "4.3333333333333333333333", "1.50000000000000000000", "1e30", "", None, "x"]
     assert _one_col(spark, lossy, clean.loses_digits) == [True, True, False, True, False, False, False]
     df = spark.createDataFrame([("0.00004", "0", "0", "f", "0.00001", "f")], "b string, f string, a string, t string, p string, d string")
     row = df.select(clean.free_title(*(clean.blank_decimal(c) for c in "bfa"), "t").alias("free"),
@@ -100,6 +103,45 @@ def test_small_amounts_keep_their_digits(spark):
     assert (row.free, row.off) == (False, True)
 
 
+NUMBERS = ["1e-20", "4.333333333333333", "123456789012345678901234567890", "-1e-20", "-5e40", "+007.500", " 12 ", "-0.0", "0e9", ".5", "5.",
+           "-.25E2", "1E+3", "99999999999999999999.9999999999999999999", "99999999999999999999.999999999999999999", "0.1234567890123456785",
+           "0.0000000000000000005", "0.00000000000000000049", "1e-00300", "12345.678e-3"]
+
+
+def test_no_number_is_refused_or_loses_digits(spark):
+    """Every number: canonical digits as Python's decimals have them, and the nearest stored value that keeps the sign."""
+    with localcontext() as exact:
+        exact.prec = 500
+        want = [Decimal(t.strip()) for t in NUMBERS]
+        got = _one_col(spark, NUMBERS, clean.canonical_number)
+        for text, value in zip(got, want):
+            assert Decimal(text) == value and not set(text) & set("+eE ") and text != "-0"
+            assert text == "0" or text.strip("-")[0] != "0" or text.strip("-").startswith("0.")
+            assert "." not in text or text[-1] not in "0."
+        stored = _one_col(spark, NUMBERS, clean.blank_decimal)
+        beside = _one_col(spark, NUMBERS, clean.exact_digits)
+        top, tiny = Decimal(10 ** 38 - 1).scaleb(-18), Decimal(1).scaleb(-18)
+        for value, near, digits, text in zip(want, stored, beside, got):
+            nearest = min(max(value.quantize(tiny, ROUND_HALF_UP), -top), top)
+            assert near == (nearest or (tiny if value > 0 else -tiny if value < 0 else 0))
+            assert digits == (None if near == value else text)
+
+
+def test_amounts_beyond_the_type_compare_but_do_not_sum(spark):
+    df = spark.createDataFrame([("1e30",), ("-1e30",), ("1e-30",), ("0",)], "t string").select(clean.blank_decimal("t").alias("a"))
+    assert [r[0] for r in df.select(F.signum("a")).collect()] == [1, -1, 1, 0]
+    assert df.where("a < 1 AND a > -1").agg(F.sum(clean.in_range("a"))).first()[0] == Decimal("1e-18")
+    with pytest.raises(Exception, match="beyond 20 digits"):
+        df.agg(F.sum(clean.in_range("a"))).collect()
+
+
+def test_rejected_text(spark):
+    assert _one_col(spark, ["1", "1.0", "", None, "x", " 7 "], lambda c: clean.rejected(c, "integer")) == [False, True, False, False, True, False]
+    assert _one_col(spark, ["1e400", "1e", "TRUE", "", None], lambda c: clean.rejected(c, "amount")) == [False, True, True, False, False]
+    assert _one_col(spark, ["1", "9" * 14, "x"], lambda c: clean.rejected(c, "epoch")) == [False, True, True]
+    assert _one_col(spark, ["['a']", "['a'] x", " ", "[]"], lambda c: clean.rejected(c, "list")) == [False, True, False, False]
+
+
 def test_epochs_beyond_twelve_digits(spark):
     out = _one_col(spark, ["1262304000000", "-1"], lambda c: clean.epoch_seconds_to_timestamp(c).cast("string"))
     assert out == ["+41970-10-28 00:00:00", "1969-12-31 23:59:59"]
