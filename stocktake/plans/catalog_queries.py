@@ -9,14 +9,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import analytics
+from . import analytics, sql_rules
 from .listing import listing, listing_sql
 from .normalize import Catalog
 from .registry import register
 
+def _numbers(text: str, name: str) -> str:
+    return f"{sql_rules.stored(text)} AS {name}, {sql_rules.exact_digits(text)} AS {name}_exact"
+
+
 # The twin needs none of the tables: a title is one listing row, so every table
-# and report follows from one typed view of the listing. Amounts have a type of
-# their own, wider than the tables'.
+# and report follows from one typed view of the listing.
 CATALOG_CTES = rf"""WITH listing AS (
 {listing_sql()}
 ),
@@ -24,16 +27,16 @@ typed AS (
   SELECT id AS title_id, * EXCLUDE (id),
     epoch_ms(1000 * TRY_CAST(globalreleasedate AS BIGINT)) AS released,
     agelimit::INTEGER AS age, coalesce(ismovie, '') = 't' AS movie,
-    CAST(nullif(baseamount, '') AS DECIMAL(38,12)) AS base,
-    CAST(nullif(finalamount, '') AS DECIMAL(38,12)) AS final,
-    CAST(nullif(amount, '') AS DECIMAL(38,12)) AS paid,
-    CAST(nullif(overallavgrating, '') AS DECIMAL(38,12)) AS stars,
-    CAST(nullif(filteredavgrating, '') AS DECIMAL(38,12)) AS filtered_stars,
+    {_numbers("baseamount", "base")},
+    {_numbers("finalamount", "final")},
+    {_numbers("amount", "paid")},
+    {_numbers("overallavgrating", "stars")},
+    {_numbers("filteredavgrating", "filtered_stars")},
     nullif(reviewscount, '')::INTEGER AS reviews,
-    CAST(nullif(regexp_replace(discountpercentage, '^(true|false)$', '', 'i'), '') AS DECIMAL(38,12)) AS off,
-    CAST(nullif(regexp_replace(discountdifference, '^(true|false)$', '', 'i'), '') AS DECIMAL(38,12)) AS off_by,
+    {_numbers(sql_rules.unworded("discountpercentage"), "off")},
+    {_numbers(sql_rules.unworded("discountdifference"), "off_by")},
     nullif(trim(promoid), '') AS promo,
-    coalesce(ltrim(rtrim(supporturl)), '') IN ('', 'N/A', 'none', 'TBD') AS unsupported,
+    {sql_rules.missing("supporturl")} AS unsupported,
     [x FOR x IN list_distinct([trim(lower(y)) FOR y IN regexp_split_to_array(
        translate(trim(genres), '[]''', ''), ',\s*')]) IF x <> ''] AS tags,
     [x FOR x IN list_distinct([trim(y, ' "''') FOR y IN string_split(
@@ -75,15 +78,18 @@ FROM (SELECT unnest(tags) AS genre_name FROM typed)""",
     "l6_promotion": """SELECT DISTINCT dense_rank() OVER (ORDER BY promo) AS promo_id, promo AS promo_name
 FROM typed WHERE promo IS NOT NULL""",
     "l7_pricing": """SELECT title_id, base AS base_amount, final AS final_amount, paid AS amount, currency,
-  coalesce(greatest(abs(base), abs(final), abs(paid)) = 0 AND base + final + paid IS NOT NULL, false)
+  base_exact AS base_amount_exact, final_exact AS final_amount_exact, paid_exact AS amount_exact,
+  coalesce(base = 0 AND final = 0 AND paid = 0, false)
     OR coalesce(isfree, '') = 't' AS is_free
 FROM typed""",
     "l8_rating": """SELECT title_id, stars AS overall_avg_rating, filtered_stars AS filtered_avg_rating,
+  stars_exact AS overall_avg_rating_exact, filtered_stars_exact AS filtered_avg_rating_exact,
   reviews AS reviews_count, coalesce(isreviewable, '') = 't' AS is_reviewable,
   nullif(reviewpages, '')::INTEGER AS review_pages
 FROM typed""",
     "l9_discount_status": """SELECT title_id, dense_rank() OVER (ORDER BY promo) AS promo_id,
   off AS discount_percentage, off_by AS discount_difference,
+  off_exact AS discount_percentage_exact, off_by_exact AS discount_difference_exact,
   coalesce(off, 0) > 0 OR coalesce(trim(isdiscounted), '') = 't' AS is_discounted
 FROM typed WHERE promo IS NOT NULL""",
     "l10_title_genre": """SELECT title_id, dense_rank() OVER (ORDER BY name) AS genre_id
@@ -109,12 +115,13 @@ def _report_query(report):
 
 
 def _mean(expr: str) -> str:
-    return f"sum({expr})::DOUBLE / nullif(count({expr}), 0)"
+    # Through text: a decimal of 38 digits is rounded once on its way to a double.
+    return f"sum({expr})::VARCHAR::DOUBLE / nullif(count({expr}), 0)"
 
 
 def _median_sql(role: str) -> str:
-    return f"""SELECT {role} AS {role}_name, count(*) AS catalog_presence, median(stars::DOUBLE) AS median_rating
-FROM typed WHERE stars IS NOT NULL AND {role} IS NOT NULL GROUP BY ALL HAVING count(*) > 4"""
+    return f"""SELECT {role} AS {role}_name, count(*) AS catalog_presence, median(stars::VARCHAR::DOUBLE) AS median_rating
+FROM typed WHERE stars IS NOT NULL AND {role} IS NOT NULL GROUP BY ALL HAVING count(*) >= 5"""
 
 
 M_SQL = {
@@ -124,7 +131,7 @@ M_SQL = {
   count(*) AS titles_in_group, {_mean('stars')} AS avg_quality_rating, {_mean('base')} AS avg_base_price
 FROM typed WHERE stars IS NOT NULL GROUP BY ALL""",
     "m4_age_by_genre": f"""SELECT genre_name, count(*) AS title_count, {_mean('age')} AS avg_age_limit
-FROM (SELECT age, unnest(tags) AS genre_name FROM typed WHERE age > 0) GROUP BY ALL HAVING count(*) > 4""",
+FROM (SELECT age, unnest(tags) AS genre_name FROM typed WHERE age > 0) GROUP BY ALL HAVING count(*) >= 5""",
     "m5_reviews_by_age_tier": """SELECT label AS age_restriction_group, count(*) AS game_count,
   sum(reviews)::BIGINT AS total_reviews_sum
 FROM typed JOIN (VALUES (-1000, -1, '1-12 (Child/Pre-Teen)'), (0, 0, '0 (No Restriction/Unknown)'),
@@ -149,7 +156,7 @@ FROM typed WHERE base > 0 GROUP BY ALL""",
 FROM typed WHERE base > 0 GROUP BY ALL""",
     "m11_promo_effect": f"""SELECT promo AS promo_name, count(*) AS titles_in_promotion, {_mean('off')} AS avg_discount_depth,
   sum(reviews)::BIGINT AS total_reviews_driven
-FROM typed WHERE promo IS NOT NULL AND reviews IS NOT NULL GROUP BY ALL HAVING count(*) > 9""",
+FROM typed WHERE promo IS NOT NULL AND reviews IS NOT NULL GROUP BY ALL HAVING count(*) >= 10""",
     "m12_platform_breadth": f"""SELECT len(systems) AS num_platforms, count(*) AS game_count, {_mean('base')} AS avg_base_price,
   {_mean('stars')} AS avg_quality_rating
 FROM typed WHERE len(systems) > 0 AND base IS NOT NULL AND stars IS NOT NULL GROUP BY ALL""",
@@ -217,7 +224,7 @@ def l3_inventory_hash(spark, base_dir):
 
 
 @register("l9_discount_status_hash", CATALOG_CTES + f"""SELECT title_id, promo AS promo_name,
-  discount_percentage::DOUBLE AS discount_percentage, is_discounted
+  discount_percentage::VARCHAR::DOUBLE AS discount_percentage, is_discounted
 FROM typed JOIN ({L_SQL['l9_discount_status']}) USING (title_id)""")
 def l9_discount_status_hash(spark, base_dir):
     cat = _hash_catalog(spark, base_dir)

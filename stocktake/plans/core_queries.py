@@ -23,6 +23,7 @@ from ..operators.keys import dense_keys
 from ..session import scratch_path
 from ..sources import csv_stage
 from ..sources.tables import read_table, read_tables, write_tables
+from . import sql_rules
 from .catalog_queries import TABLE_CTES, catalog
 from .listing import LISTING_COLUMNS, listing, listing_sql
 from .registry import register
@@ -240,8 +241,7 @@ _URL_CATEGORIES = ["Secure (https)", "Plain (http)", "FTP (ftp)", "Missing"]
 @register("c6_skeleton", f"""WITH cats AS (
   SELECT * FROM (VALUES ('Secure (https)'), ('Plain (http)'), ('FTP (ftp)'), ('Missing')) v(category)
 ), pages_c AS (
-  SELECT CASE WHEN u IS NULL OR trim(u) = '' OR lower(trim(u)) IN ('n/a', 'none', 'tbd')
-              THEN 'Missing'
+  SELECT CASE WHEN {sql_rules.missing('u')} THEN 'Missing'
               WHEN u LIKE 'https://%' THEN 'Secure (https)'
               WHEN u LIKE 'http://%' THEN 'Plain (http)'
               WHEN u LIKE 'ftp://%' THEN 'FTP (ftp)' ELSE 'Other' END AS cat,
@@ -277,13 +277,9 @@ def c7_semi(spark, base):
 
 _WORD_LIST = ("'[''' || split_part(p_name, ' ', 1) || ''', ''' || split_part(p_name, ' ', 2) "
               "|| ''']'")
-_TEXT_ITEMS_SQL = (r"regexp_split_to_array(replace(replace(replace(trim({c}), '[', ''), ']', ''), "
-                   r"'''', ''), ',\s*')")
-
-
 @register("c8_lateral_unnest", f"""SELECT DISTINCT p.p_partkey, w.word
 FROM (SELECT p_partkey, {_WORD_LIST} AS words FROM part) p
-CROSS JOIN LATERAL (SELECT unnest({_TEXT_ITEMS_SQL.format(c='p.words')}) AS word) w""")
+CROSS JOIN LATERAL (SELECT unnest({sql_rules.text_items('p.words')}) AS word) w""")
 def c8_lateral_unnest(spark, base):
     p = _t(spark, base, "part").select("p_partkey", F.expr(_WORD_LIST).alias("words"))
     rows = p.select("p_partkey", F.explode(clean.text_list_items("words")).alias("word"))
@@ -327,7 +323,7 @@ _FLAG_LIST = "'[' || l_returnflag || ', ' || l_linestatus || ']'"
 
 
 @register("d3_unnested_distinct", f"""SELECT DISTINCT flag FROM (
-  SELECT unnest({_TEXT_ITEMS_SQL.format(c=_FLAG_LIST)}) AS flag FROM lineitem) x""")
+  SELECT unnest({sql_rules.text_items(_FLAG_LIST)}) AS flag FROM lineitem) x""")
 def d3_unnested_distinct(spark, base):
     li = _t(spark, base, "lineitem")
     return distinct_items(li, clean.text_list_items(F.expr(_FLAG_LIST)), "flag")
@@ -614,7 +610,7 @@ def k5_faulty_report(spark, base):
                                not_null={"titles": ["title"]}, refs=[("titles", "kind", "kinds", "kind_id")])
 
 
-_AMOUNT_TEXT = """CASE p_partkey % 9 WHEN 0 THEN '0.123456789012' WHEN 1 THEN 'free' WHEN 2 THEN '' WHEN 3 THEN NULL
+_AMOUNT_TEXT = """CASE p_partkey % 9 WHEN 0 THEN '0.1234567890123456789' WHEN 1 THEN 'free' WHEN 2 THEN '' WHEN 3 THEN NULL
   ELSE p_size || '.5' END"""
 _LIST_TEXT = "CASE p_partkey % 5 WHEN 0 THEN '[''a'', null]' WHEN 1 THEN '[''a''] tail' ELSE '[''a'', ''b'']' END"
 

@@ -61,18 +61,19 @@ LISTING_COLUMNS: dict[str, str] = {
     "agelimit": "CASE WHEN p_partkey % 23 = 0 THEN NULL ELSE CAST(p_size % 20 - 1 AS STRING) END",
     "currency": """CASE p_partkey % 6 WHEN 0 THEN 'EUR' WHEN 1 THEN 'GBP'
         WHEN 2 THEN NULL ELSE 'USD' END""",
-    "amount": """CASE p_partkey % 8 WHEN 0 THEN '0' WHEN 1 THEN '' WHEN 3 THEN '0.00002'
-        ELSE CAST(p_size AS STRING) || '.' || lpad(CAST(p_partkey % 37 AS STRING), 2, '0') END""",
+    "amount": """CASE WHEN p_partkey % 41 = 7 THEN '1e-20' WHEN p_partkey % 43 = 5 THEN '123456789012345678901234567890'
+        ELSE CASE p_partkey % 8 WHEN 0 THEN '0' WHEN 1 THEN '' WHEN 3 THEN '0.00002'
+        ELSE CAST(p_size AS STRING) || '.' || lpad(CAST(p_partkey % 37 AS STRING), 2, '0') END END""",
     "baseamount": """CASE p_partkey % 8 WHEN 0 THEN '0' WHEN 1 THEN '0' WHEN 2 THEN '' WHEN 3 THEN '0.00004'
         ELSE CAST(p_size AS STRING) || '.' || lpad(CAST(p_partkey % 100 AS STRING), 2, '0') END""",
-    "finalamount": """CASE p_partkey % 8 WHEN 0 THEN '0' WHEN 1 THEN '0' WHEN 2 THEN '' WHEN 3 THEN '0.00001'
-        ELSE CAST(p_size AS STRING) || '.' || lpad(CAST(p_partkey % 37 AS STRING), 2, '0') END""",
+    "finalamount": """CASE WHEN p_partkey % 47 = 11 THEN '1e-20' ELSE CASE p_partkey % 8 WHEN 0 THEN '0' WHEN 1 THEN '0' WHEN 2 THEN '' WHEN 3 THEN '0.00001'
+        ELSE CAST(p_size AS STRING) || '.' || lpad(CAST(p_partkey % 37 AS STRING), 2, '0') END END""",
     "isdiscounted": "CASE p_partkey % 5 WHEN 0 THEN ' t ' WHEN 1 THEN 't' ELSE 'f' END",
     "discountpercentage": """CASE p_partkey % 12 WHEN 0 THEN 'FALSE' WHEN 1 THEN 'true'
         WHEN 2 THEN '' WHEN 3 THEN NULL WHEN 4 THEN '0' WHEN 5 THEN '0.00001'
-        ELSE CAST(p_size % 30 AS STRING) END""",
+        WHEN 7 THEN '1e-20' ELSE CAST(p_size % 30 AS STRING) END""",
     "discountdifference": """CASE p_partkey % 12 WHEN 0 THEN 'TRUE' WHEN 2 THEN ''
-        ELSE CAST(p_size AS STRING) || '.5' END""",
+        WHEN 5 THEN '-123456789012345678901234567890' ELSE CAST(p_size AS STRING) || '.5' END""",
     "isfree": "CASE WHEN p_partkey % 16 IN (1, 5) THEN 't' ELSE 'f' END",
     "promoid": """CASE p_partkey % 6
         WHEN 0 THEN ' ' || p_brand || '-' || CAST(p_size % 4 AS STRING) || ' '
@@ -80,7 +81,7 @@ LISTING_COLUMNS: dict[str, str] = {
         ELSE p_brand || '-' || CAST(p_size % 4 AS STRING) END""",
     "filteredavgrating": """CASE WHEN p_partkey % 9 = 4 THEN ''
         ELSE CAST(p_size % 5 AS STRING) || '.5' END""",
-    "overallavgrating": """CASE p_partkey % 10 WHEN 3 THEN NULL WHEN 7 THEN '' WHEN 5 THEN '4.333333'
+    "overallavgrating": """CASE p_partkey % 10 WHEN 3 THEN NULL WHEN 7 THEN '' WHEN 5 THEN '4.333333333333333'
         ELSE CAST(p_size % 5 AS STRING) || CASE p_partkey % 4 WHEN 0 THEN '.00'
             WHEN 1 THEN '.25' WHEN 2 THEN '.50' ELSE '.75' END END""",
     "reviewscount": "CASE WHEN p_partkey % 14 = 0 THEN '' ELSE CAST(n_lines AS STRING) END",

@@ -16,19 +16,19 @@ ORACLE_SQL: dict[str, str] = {}
 # Check outputs with decimal columns, by scale. Both sides give them as text with
 # all their digits, so neither rounding nor a declared scale can hide behind a float.
 DECIMAL_SCALES = {
-    "l7_pricing": {"base_amount": 10, "final_amount": 10, "amount": 10},
-    "l8_rating": {"overall_avg_rating": 10, "filtered_avg_rating": 10},
-    "l9_discount_status": {"discount_percentage": 10, "discount_difference": 10},
-    "m6_type_contribution": {"total_base_amount_proxy": 10},
-    "m7_content_groups": {"total_base_amount_value": 10},
+    "l7_pricing": {"base_amount": 18, "final_amount": 18, "amount": 18},
+    "l8_rating": {"overall_avg_rating": 18, "filtered_avg_rating": 18},
+    "l9_discount_status": {"discount_percentage": 18, "discount_difference": 18},
+    "m6_type_contribution": {"total_base_amount_proxy": 18},
+    "m7_content_groups": {"total_base_amount_value": 18},
     "c1_inner_star": {"quantity_sum": 2},
     "c5_left_enrich": {"returned_qty": 2},
     "c9_outer_to_inner": {"big_order_value": 2},
     "e3_sum_decimal": {"price_sum": 2},
     "e10_multi_agg": {"total_sum": 2},
     "f_order_nulls_first": {"returned_qty": 2},
-    "h8_decimal_cast": {"price": 10},
-    "h12_guarded_cast": {"discount_pct": 10},
+    "h8_decimal_cast": {"price": 18},
+    "h12_guarded_cast": {"discount_pct": 18},
 }
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import clean, tiers
 from ..operators.aggregates import mean
 from ..sources.tables import read_table
+from . import sql_rules
 from .registry import register
 
 
@@ -29,11 +30,6 @@ def _with(df: DataFrame, **exprs: str) -> DataFrame:
 
 _JSON_ITEMS_SQL = ("from_json(replace(replace(trim({c}), '''', '\"'), '\"\"', '\"'), "
                    "'[\"VARCHAR\"]')")
-_TEXT_ITEMS_SQL = (r"regexp_split_to_array(replace(replace(replace(trim({c}), '[', ''), ']', ''), "
-                   r"'''', ''), ',\s*')")
-_MISSING_SQL = "({c} IS NULL OR trim({c}) = '' OR lower(trim({c})) IN ('n/a', 'none', 'tbd'))"
-
-
 # --- H1-H8: CASE, NULLIF, COALESCE, TRIM, case folding, REPLACE, casts ---------
 
 _BALANCE_BAND_SQL = """CASE WHEN c_acctbal < 0 THEN 'negative' WHEN c_acctbal < 1000 THEN 'low'
@@ -108,15 +104,19 @@ def h7_int_cast(spark, base):
     return p.select("p_partkey", clean.to_int("txt").alias("size_int"))
 
 
-_PRICE_TEXT = ("CAST(p_size AS STRING) || '.' || lpad(CAST(p_partkey % 100 AS STRING), 2, '0') "
-               "|| CAST(p_partkey % 7 AS STRING) || CASE WHEN p_partkey % 5 = 0 THEN '00001' ELSE '' END")
+_PRICE_TEXT = ("CASE p_partkey % 31 WHEN 3 THEN '1e-20' WHEN 5 THEN '4.333333333333333' WHEN 7 THEN '123456789012345678901234567890' "
+               "WHEN 9 THEN '0.12345678901234567891' ELSE "
+               "CAST(p_size AS STRING) || '.' || lpad(CAST(p_partkey % 100 AS STRING), 2, '0') "
+               "|| CAST(p_partkey % 7 AS STRING) || CASE WHEN p_partkey % 5 = 0 THEN '00001' ELSE '' END END")
 
 
-@register("h8_decimal_cast", f"""SELECT p_partkey, CAST({_PRICE_TEXT} AS DECIMAL(38,12)) AS price
-FROM part""")
+@register("h8_decimal_cast", f"""SELECT p_partkey, {sql_rules.stored('t')} AS price, {sql_rules.exact_digits('t')} AS price_exact,
+  coalesce({sql_rules.exact_digits('t')}, rtrim(rtrim(CAST(t::DECIMAL(38,18) AS VARCHAR), '0'), '.')) AS digits
+FROM (SELECT p_partkey, {_PRICE_TEXT} AS t FROM part) x""")
 def h8_decimal_cast(spark, base):
-    p = _with(_t(spark, base, "part"), txt=_PRICE_TEXT)
-    return p.select("p_partkey", clean.blank_decimal("txt").alias("price"))
+    p = _with(_t(spark, base, "part"), t=_PRICE_TEXT)
+    return p.select("p_partkey", clean.blank_decimal("t").alias("price"), clean.exact_digits("t").alias("price_exact"),
+                    clean.canonical_number("t").alias("digits"))
 
 
 # --- H9-H15: epochs, flags, guarded casts, rule chains, missing text -----------
@@ -162,16 +162,17 @@ def h11_trimmed_flag(spark, base):
 
 
 _PCT_TEXT = """CASE o_orderkey % 8 WHEN 0 THEN 'FALSE' WHEN 1 THEN 'true' WHEN 2 THEN ''
-    WHEN 3 THEN NULL WHEN 4 THEN '0' WHEN 5 THEN '0.00001' ELSE CAST(o_orderkey % 50 AS STRING) END"""
+    WHEN 3 THEN NULL WHEN 4 THEN '0' WHEN 5 THEN '0.00001' ELSE
+    CASE o_orderkey % 29 WHEN 1 THEN '1e-20' WHEN 2 THEN '-123456789012345678901234567890'
+    ELSE CAST(o_orderkey % 50 AS STRING) END END"""
 
 
-@register("h12_guarded_cast", f"""SELECT o_orderkey,
-  CASE WHEN upper(t) IN ('TRUE', 'FALSE') THEN NULL
-       ELSE CAST(NULLIF(t, '') AS DECIMAL(38,12)) END AS discount_pct
-FROM (SELECT o_orderkey, {_PCT_TEXT} AS t FROM orders) x""")
+@register("h12_guarded_cast", f"""SELECT o_orderkey, {sql_rules.stored('n')} AS discount_pct, {sql_rules.exact_digits('n')} AS discount_pct_exact
+FROM (SELECT o_orderkey, {sql_rules.unworded('t')} AS n FROM (SELECT o_orderkey, {_PCT_TEXT} AS t FROM orders) x) y""")
 def h12_guarded_cast(spark, base):
     o = _with(_t(spark, base, "orders"), t=_PCT_TEXT)
-    return o.select("o_orderkey", clean.guarded_decimal("t").alias("discount_pct"))
+    return o.select("o_orderkey", clean.guarded_decimal("t").alias("discount_pct"),
+                    clean.exact_digits(clean.guarded_text("t")).alias("discount_pct_exact"))
 
 
 _AMOUNTS = {
@@ -179,19 +180,18 @@ _AMOUNTS = {
               "ELSE CAST(p_size AS STRING) || '.99' END",
     "final_t": "CASE p_partkey % 6 WHEN 0 THEN '0' WHEN 1 THEN '0' WHEN 2 THEN '0' WHEN 3 THEN '0' "
                "ELSE CAST(p_size AS STRING) || '.49' END",
-    "amount_t": "CASE p_partkey % 6 WHEN 0 THEN '0' WHEN 1 THEN '' WHEN 3 THEN '0' ELSE '1.00' END",
+    "amount_t": "CASE p_partkey % 6 WHEN 0 THEN CASE WHEN p_partkey % 5 = 0 THEN '1e-20' ELSE '0' END WHEN 1 THEN '' WHEN 3 THEN '0' "
+                "ELSE '1.00' END",
     "free_t": "CASE WHEN p_partkey % 4 = 1 THEN 't' ELSE 'f' END",
 }
 
 
-def _dec_sql(c: str) -> str:
-    return f"CAST(NULLIF({c}, '') AS DECIMAL(38,12))"
-
-
-@register("h13_rules", f"""SELECT p_partkey,
-  CASE WHEN {_dec_sql('base_t')} = 0 AND {_dec_sql('final_t')} = 0 AND {_dec_sql('amount_t')} = 0
-       THEN TRUE WHEN free_t = 't' THEN TRUE ELSE FALSE END AS is_free
-FROM (SELECT p_partkey, {', '.join(f'{e} AS {n}' for n, e in _AMOUNTS.items())} FROM part) x""")
+# None of the amounts is negative: they are all zero where the three that there are sum to it.
+@register("h13_rules", f"""SELECT p_partkey, free_t = 't' OR (count(n) = 3 AND sum(n) = 0) AS is_free
+FROM (SELECT p_partkey, free_t, {sql_rules.stored('t')} AS n
+      FROM (SELECT p_partkey, free_t, unnest([base_t, final_t, amount_t]) AS t
+            FROM (SELECT p_partkey, {', '.join(f'{e} AS {n}' for n, e in _AMOUNTS.items())} FROM part) x) y) z
+GROUP BY p_partkey, free_t""")
 def h13_rules(spark, base):
     p = _with(_t(spark, base, "part"), **_AMOUNTS)
     b, f, a = (clean.blank_decimal(c) for c in ("base_t", "final_t", "amount_t"))
@@ -200,16 +200,15 @@ def h13_rules(spark, base):
 
 _DISC = {
     "pct_t": "CASE p_partkey % 6 WHEN 0 THEN 'FALSE' WHEN 1 THEN '0' WHEN 2 THEN '' "
-             "WHEN 3 THEN NULL WHEN 4 THEN '0.00001' ELSE CAST(p_size % 20 AS STRING) END",
+             "WHEN 3 THEN NULL WHEN 4 THEN '0.00001' ELSE CASE p_size % 20 WHEN 0 THEN '1e-20' WHEN 1 THEN '-1e-20' "
+             "ELSE CAST(p_size % 20 - 2 AS STRING) END END",
     "flag_t": "CASE p_partkey % 4 WHEN 0 THEN ' t ' WHEN 1 THEN 't' WHEN 2 THEN NULL ELSE 'f' END",
 }
-_GUARD_SQL = ("CASE WHEN upper(pct_t) IN ('TRUE', 'FALSE') THEN NULL "
-              "ELSE CAST(NULLIF(pct_t, '') AS DECIMAL(38,12)) END")
 
 
-@register("h14_rules", f"""SELECT p_partkey,
-  CASE WHEN ({_GUARD_SQL}) > 0 THEN TRUE WHEN trim(flag_t) = 't' THEN TRUE
-       ELSE FALSE END AS is_discounted
+# A text names a positive number if it has a digit other than 0 and no minus sign in front.
+@register("h14_rules", f"""SELECT p_partkey, regexp_full_match(coalesce(flag_t, ''), ' *t *')
+  OR regexp_matches(split_part(coalesce(pct_t, ''), 'e', 1), '^[0-9.]*[1-9]') AS is_discounted
 FROM (SELECT p_partkey, {', '.join(f'{e} AS {n}' for n, e in _DISC.items())} FROM part) x""")
 def h14_rules(spark, base):
     p = _with(_t(spark, base, "part"), **_DISC)
@@ -220,7 +219,7 @@ _URL_TEXT = """CASE page_id % 9 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  '
     WHEN 3 THEN 'N/A' WHEN 4 THEN ' none ' WHEN 5 THEN 'TBD' ELSE url END"""
 
 
-@register("h15_missing_text", f"""SELECT page_id, {_MISSING_SQL.format(c='u')} AS url_missing
+@register("h15_missing_text", f"""SELECT page_id, {sql_rules.missing('u')} AS url_missing
 FROM (SELECT page_id, {_URL_TEXT} AS u FROM pages) x""")
 def h15_missing_text(spark, base):
     p = _with(_t(spark, base, "pages"), u=_URL_TEXT)
@@ -316,7 +315,7 @@ _WORDS_WITH_BLANK = """CASE WHEN p_partkey % 4 = 0
 
 
 @register("i3_text_list", f"""SELECT word, COUNT(*) AS part_count FROM (
-  SELECT unnest({_TEXT_ITEMS_SQL.format(c=_WORDS_WITH_BLANK)}) AS word FROM part) x
+  SELECT unnest({sql_rules.text_items(_WORDS_WITH_BLANK)}) AS word FROM part) x
 WHERE word IS NOT NULL AND trim(word) <> ''
 GROUP BY word""")
 def i3_text_list(spark, base):

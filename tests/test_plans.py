@@ -25,8 +25,8 @@ def written(spark):
 def test_filters_and_columns_reach_the_scan(written):
     plan = _plan(analytics.currency_price(written))
     assert "PushedFilters: [IsNotNull(base_amount), GreaterThan(base_amount,0" in plan
-    assert "ReadSchema: struct<title_id:bigint,base_amount:decimal(28,10)," \
-           "final_amount:decimal(28,10),currency:string>" in plan
+    assert "ReadSchema: struct<title_id:bigint,base_amount:decimal(38,18)," \
+           "final_amount:decimal(38,18),currency:string>" in plan
 
 
 def test_bridge_needs_no_join_to_inventory(spark):
