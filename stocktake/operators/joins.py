@@ -26,6 +26,56 @@ def lookup_key(df: DataFrame, dim: DataFrame, on: "str | Column", dim_name: str,
     return df.join(right, probe == F.col(tag), how).drop(tag)
 
 
+#: A value that more than one in so many rows have is frequent; there are fewer frequent values than this.
+FREQUENT_SHARE = 1000
+#: Values that the sketch tracks: it misjudges a count by less than a fifth of a frequent value's.
+TRACKED_VALUES = 8192
+
+
+def frequent_values(df: DataFrame, col: "str | Column", share: int = FREQUENT_SHARE) -> list:
+    """Non-NULL values that more than a ``share``-th of the rows with one have.
+
+    One pass with a frequent-items sketch, built per task and merged, so the work
+    and the result (at most ``share`` values) are bounded whatever the data. None
+    is missed; a value a little below the share may be among them.
+    """
+    value = F.col(col) if isinstance(col, str) else col
+    found = df.select(value.alias("v")).where(F.col("v").isNotNull()).agg(
+        F.expr(f"approx_top_k(v, {share}, {TRACKED_VALUES})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return [r["item"] for r in found["top"] or [] if r["count"] * share > found["n"]]
+
+
+#: A dimension of at most so many rows, which is counted first, is broadcast whole.
+SMALL_DIMENSION = 10_000
+
+
+def spread_lookup(df: DataFrame, dim: DataFrame, on: "str | Column", dim_name: str, dim_key: str, alias: str,
+                  how: str = "left", look_in: DataFrame | None = None) -> DataFrame:
+    """:func:`lookup_key` for facts of which a third may share a name, or have none.
+
+    A small dimension is joined in place. Beside a larger one, rows without a name
+    and rows of the few frequent names get their key where they are, and only the
+    others are shuffled to the dimension, whose names are unique. So no task meets
+    more than its share of rows, without relying on skew being noticed at run time.
+
+    Starts a job that counts up to ``SMALL_DIMENSION`` rows, and if there are more,
+    one that finds the frequent names in ``look_in`` (by default ``df``; give what is
+    cheaper to read and has the same names).
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("how must be left or inner")
+    if dim.limit(SMALL_DIMENSION + 1).count() <= SMALL_DIMENSION:
+        return lookup_key(df, F.broadcast(dim), on, dim_name, dim_key, alias, how)
+    probe = F.col(on) if isinstance(on, str) else on
+    names = frequent_values(df if look_in is None else look_in, probe)
+    here = probe.isin(names) if names else F.lit(False)
+    few = F.broadcast(dim.where(F.col(dim_name).isin(names)) if names else dim.limit(0))  # names are unique
+    bypass = df.where(probe.isNull() | here) if how == "left" else df.where(here)
+    rest = df.where(probe.isNotNull() & ~here)
+    return (lookup_key(bypass, few, on, dim_name, dim_key, alias, how)
+            .unionByName(lookup_key(rest, dim, on, dim_name, dim_key, alias, how)))
+
+
 def restrict_to(df: DataFrame, keys: DataFrame, df_col: str, key_col: str) -> DataFrame:
     """``WHERE df_col IN (SELECT key_col FROM keys)`` as a left-semi join."""
     right = keys.select(F.col(key_col).alias("_rk"))

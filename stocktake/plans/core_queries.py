@@ -18,7 +18,8 @@ from ..operators import aggregates as agg
 from ..operators import quality
 from ..operators.dedupe import (distinct_items, distinct_pairs, distinct_values,
                                 entity_from_columns, insert_if_absent)
-from ..operators.joins import lookup_key, restrict_to, static_table, with_required_categories
+from ..operators.joins import (lookup_key, restrict_to, spread_lookup, static_table,
+                               with_required_categories)
 from ..operators.keys import dense_keys
 from ..session import scratch_path
 from ..sources import csv_stage
@@ -202,8 +203,8 @@ def c3_role_lookup(spark, base):
             .join(c, F.col("o_custkey") == F.col("c_custkey"))
             .join(s, F.col("l_suppkey") == F.col("s_suppkey"), "left"))
     # The same dimension in two roles: the buyer's nation and the seller's nation.
-    rows = lookup_key(rows, nation, "c_nk", "n_nationkey", "n_name", "customer_nation")
-    rows = lookup_key(rows, nation, "s_nationkey", "n_nationkey", "n_name", "supplier_nation")
+    rows = spread_lookup(rows, nation, "c_nk", "n_nationkey", "n_name", "customer_nation", look_in=c)
+    rows = spread_lookup(rows, nation, "s_nationkey", "n_nationkey", "n_name", "supplier_nation", look_in=s)
     return rows.groupBy("customer_nation", "supplier_nation").agg(
         F.count(F.lit(1)).alias("line_count"))
 

@@ -15,8 +15,8 @@ staging table is scanned column-pruned. Dimensions are checkpointed by
 Two key modes (``Catalog(raw, keys=...)``):
 
 * ``dense`` (default): keys 1..N in name order; the fact builders look them
-  up with joins (broadcast when the measured dimension is small, otherwise
-  sort-merge with AQE skew splitting).
+  up: in place in a dimension that is counted and small; else rows without a
+  name and rows of frequent names get their keys in place, the others by joins.
 * ``hash``: ``xxhash64(name)``; the fact builders compute keys in place, so
   inventory, discount status and the bridges need no join and no shuffle.
 
@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from ..functions import clean
 from ..operators.dedupe import entity_from_columns
-from ..operators.joins import lookup_key, restrict_to
+from ..operators.joins import restrict_to, spread_lookup
 from ..operators.keys import dense_keys, hash_keys
 from ..schemas import EXACT_SUFFIX, TABLE_SCHEMAS
 from ..session import checkpoint_dir
@@ -199,8 +199,8 @@ def build_inventory(raw: DataFrame, party: DataFrame | None, keys: str = "dense"
         typed = typed.withColumn("publisher_id", name_key("publisher")) \
                      .withColumn("developer_id", name_key("developer"))
     else:
-        typed = lookup_key(typed, party, "publisher", "name", "party_id", "publisher_id")
-        typed = lookup_key(typed, party, "developer", "name", "party_id", "developer_id")
+        for role in ("publisher", "developer"):
+            typed = spread_lookup(typed, party, role, "name", "party_id", f"{role}_id", look_in=raw)
     return typed.select("title_id", "title", "slug", "release_date", "age_limit", "is_game",
                         "is_movie", "buyable", "support_url", "publisher_id", "developer_id",
                         "type_id")
@@ -268,8 +268,8 @@ def build_discount_status(raw: DataFrame, promotion: DataFrame | None,
         rows = rows.where(F.col("_promo").isNotNull() & (F.col("_promo") != "")) \
                    .withColumn("promo_id", name_key("_promo"))
     else:
-        rows = lookup_key(rows, promotion, "_promo", "promo_name", "promo_id", "promo_id",
-                          how="inner")
+        rows = spread_lookup(rows, promotion, "_promo", "promo_name", "promo_id", "promo_id", how="inner",
+                             look_in=raw.select(F.trim(F.col("promoid")).alias("_promo")))
     return _restrict_to_inventory(rows, inventory).drop("_promo")
 
 
@@ -291,8 +291,7 @@ def build_title_genre(raw: DataFrame, genre: DataFrame | None,
         # Every non-blank folded item is a genre name by construction.
         rows = rows.where(F.col("_name") != "").withColumn("genre_id", name_key("_name"))
     else:
-        rows = lookup_key(rows, genre, "_name", "genre_name", "genre_id", "genre_id",
-                          how="inner")
+        rows = spread_lookup(rows, genre, "_name", "genre_name", "genre_id", "genre_id", how="inner")
     rows = _restrict_to_inventory(rows, inventory).select("title_id", "genre_id")
     return rows if ids_unique else rows.dropDuplicates(["title_id", "genre_id"])
 
@@ -310,7 +309,7 @@ def build_title_os(raw: DataFrame, os_platform: DataFrame | None,
         # Every non-NULL item of a non-blank list is a platform name.
         rows = rows.where(F.col("_name").isNotNull()).withColumn("os_id", name_key("_name"))
     else:
-        rows = lookup_key(rows, os_platform, "_name", "os_name", "os_id", "os_id", how="inner")
+        rows = spread_lookup(rows, os_platform, "_name", "os_name", "os_id", "os_id", how="inner")
     rows = _restrict_to_inventory(rows, inventory).select("title_id", "os_id")
     return rows if ids_unique else rows.dropDuplicates(["title_id", "os_id"])
 
