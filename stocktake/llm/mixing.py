@@ -12,12 +12,17 @@ order until the source's words are spent.
 Shape of the plan: words are counted once and kept as a narrow table. The
 running sum over a source, which may hold a third of all rows, is never one
 window: ranks fall into ``BUCKETS`` ranges whose sums come from a grouped
-aggregate, and only rows of the range where the target lies are sorted.
+aggregate, and only the range where the target lies is sorted, with rows that tie
+counted first. Random numbers are drawn by id and text, and rows that tie in these
+are ordered by a hash of the whole row; so what still ties at the cut are rows that
+are equal in every column, however many, and as many of them are taken as the
+target allows.
 
 Defined results: a NULL or empty text has size 0, takes 0 words and stays in the
 report; NULL is a source of its own, last in order; a NULL id draws like an
-empty one; rows of a source that agree in id and size are taken alike. An empty
-table gives no rows.
+empty one; repeated rows count as rows of their own. A text counts whole, however
+long, in its row. Columns named like those of the result are not mistaken for
+them. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,10 +36,14 @@ from stocktake.llm.common import WORD, cut_lineage
 BUCKETS = 4096
 
 
-def uniform(id_col: Column, seed: int) -> Column:
-    """A number in (0, 1) fixed by the id: the first 52 bits of an MD5."""
-    digits = F.substring(F.md5(F.concat(F.coalesce(id_col.cast("string"), F.lit("")),
-                                        F.lit(f":{seed}")).cast("binary")), 1, 13)
+#: Rows that one task makes of a row that is repeated.
+REPEATED_ROWS = 1024
+
+
+def uniform(id_col: Column, text: Column, seed: int) -> Column:
+    """A number in (0, 1) fixed by id and text: the first 52 bits of an MD5."""
+    drawn = F.concat(F.coalesce(id_col.cast("string"), F.lit("")), F.lit(":"), F.md5(text.cast("binary")), F.lit(f":{seed}"))
+    digits = F.substring(F.md5(drawn.cast("binary")), 1, 13)
     return (F.conv(digits, 16, 10).cast("bigint").cast("double") + 0.5) / float(1 << 52)
 
 
@@ -65,11 +74,11 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, max
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
-    """``docs`` with its id, source, size and random number under names of this module."""
+    """``docs`` with its id, source, size, random number and hash under names of this module."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     return (docs.withColumn("__id", F.col(id_col)).withColumn("__source", F.col(source_col))
             .withColumn("__size", F.regexp_count(text, F.lit(WORD)).cast("bigint"))
-            .withColumn("__u", uniform(F.col(id_col), seed)))
+            .withColumn("__u", uniform(F.col(id_col), text, seed)).withColumn("__row", F.xxhash64(*docs.columns)))
 
 
 def _ranked(rows: DataFrame, plan: DataFrame) -> DataFrame:
@@ -85,13 +94,14 @@ def _ranked(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return (rows.join(plan, F.col("__source").eqNullSafe(F.col("s")))
             .withColumn("__key", u / (u + odds * (1 - u)))
             .withColumn("__bucket", F.least(F.floor(F.col("__key") * BUCKETS), F.lit(BUCKETS - 1)).cast("int"))
-            .withColumn("__order", F.struct("__key", "__id", "__size")))
+            .withColumn("__order", F.struct("__key", "__id", "__size", "__row")))
 
 
 def mix_plan(rows: DataFrame, weights: tuple[int, ...], share: float, max_repeats: int) -> DataFrame:
     """One row per source: its targets and where its order is cut.
 
-    ``rows`` is a narrow table of __id, __source, __size and __u.
+    ``rows`` is a narrow table of __id, __source, __size, __u and __row. Of the
+    ``tied`` rows at the cut the first ``within`` are taken.
     """
     size = F.nullif(F.col("source_size"), F.lit(0))
     src = cut_lineage(
@@ -107,26 +117,47 @@ def mix_plan(rows: DataFrame, weights: tuple[int, ...], share: float, max_repeat
             .withColumn("upto", upto).where(F.col("upto") >= F.col("rest"))
             .groupBy("__source").agg(F.min(F.struct("__bucket", (F.col("upto") - F.col("words")).alias("before"))).alias("e"))
             .select(F.col("__source").alias("edge_s"), F.col("e.__bucket").alias("edge"), F.col("e.before").alias("before")))
-    # Only the range where the target lies is sorted.
-    in_edge = ranked.join(edge, F.col("__source").eqNullSafe(F.col("edge_s")) & (F.col("__bucket") == F.col("edge")))
-    ahead = (F.col("before") - F.col("__size")
-             + F.sum("__size").over(W.partitionBy("__source").orderBy("__order").rowsBetween(W.unboundedPreceding, W.currentRow)))
-    cut = (in_edge.withColumn("ahead", ahead).where(F.col("ahead") + F.col("__size") / 2 <= F.col("rest"))
-           .groupBy("__source").agg(F.max("__order").alias("cut")).withColumnRenamed("__source", "cut_s"))
+    # Only the range where the target lies is sorted, a row for all that tie.
+    in_edge = (ranked.join(edge, F.col("__source").eqNullSafe(F.col("edge_s")) & (F.col("__bucket") == F.col("edge")))
+               .groupBy("__source", "__order").agg(F.count("*").alias("tied"), F.first("__size").alias("__size"),
+                                                   F.first("before").alias("before"), F.first("rest").alias("rest")))
+    words = F.col("tied") * F.col("__size")
+    ahead = (F.col("before") - words
+             + F.sum(words).over(W.partitionBy("__source").orderBy("__order").rowsBetween(W.unboundedPreceding, W.currentRow)))
+    # The j-th of them is taken if no more than half of it lies beyond the target.
+    room = F.floor((F.col("rest") - F.col("ahead")) / F.nullif(F.col("__size"), F.lit(0)) + 0.5)
+    within = F.when(F.col("__size") > 0, F.least(F.greatest(room, F.lit(0)), F.col("tied"))).when(
+        F.col("ahead") <= F.col("rest"), F.col("tied")).otherwise(0)
+    cut = (in_edge.withColumn("ahead", ahead).withColumn("within", within).where("within > 0")
+           .groupBy("__source").agg(F.max(F.struct("__order", "within", "tied")).alias("c"))
+           .select(F.col("__source").alias("cut_s"), F.col("c.__order").alias("cut"), "c.within", "c.tied"))
     return cut_lineage(src.join(edge, F.col("s").eqNullSafe(F.col("edge_s")), "left")
                        .join(cut, F.col("s").eqNullSafe(F.col("cut_s")), "left")
-                       .select("s", "source_size", "target", "certain", "rest", "part", "mean_size", "edge", "cut"))
+                       .select("s", "source_size", "target", "certain", "rest", "part", "mean_size", "edge", "cut", "within", "tied"))
 
 
 def _with_copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows`` with their source's row of ``plan`` and __copies, how often the mix takes them."""
+    ranked = _ranked(rows, plan)
     sampled = ((F.col("rest") > 0)
                & (F.col("edge").isNull() | (F.col("__bucket") < F.col("edge"))
                   | ((F.col("__bucket") == F.col("edge")) & F.coalesce(F.col("__order") <= F.col("cut"), F.lit(False)))))
-    return _ranked(rows, plan).withColumn("__copies", F.col("certain") + sampled.cast("bigint"))
+    with_copies = lambda df, also: df.withColumn("__copies", F.col("certain") + (sampled & also).cast("bigint"))
+    if plan.where("within < tied").isEmpty():
+        return with_copies(ranked, F.lit(True))
+    # Rows that are equal throughout, of which the cut takes a part: counted, and made again with numbers.
+    split = F.coalesce((F.col("__order") == F.col("cut")) & (F.col("within") < F.col("tied")), F.lit(False))
+    equal = ranked.where(split).groupBy(*ranked.columns).agg(F.count("*").alias("__n"))
+    chunk = F.explode(F.sequence(F.lit(0), F.floor((F.col("__n") - 1) / REPEATED_ROWS))).alias("__chunk")
+    last = F.least(F.col("__n"), (F.col("__chunk") + 1) * REPEATED_ROWS)
+    numbered = (equal.select("*", chunk).repartition("__chunk")
+                .select("*", F.explode(F.sequence(F.col("__chunk") * REPEATED_ROWS + 1, last)).alias("__k")))
+    return (with_copies(ranked.where(~split), F.lit(True))
+            .unionByName(with_copies(numbered, F.col("__k") <= F.col("within")).drop("__n", "__chunk", "__k")))
 
 
 def _narrow(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
-    return cut_lineage(_sized(docs, id_col, text_col, source_col, seed).select("__id", "__source", "__size", "__u"))
+    return cut_lineage(_sized(docs, id_col, text_col, source_col, seed).select("__id", "__source", "__size", "__u", "__row"))
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, max_repeats: int = 2,
@@ -146,6 +177,6 @@ def mixed_rows(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: flo
     plan = mix_plan(_narrow(docs, id_col, text_col, source_col, seed), weights, share, max_repeats)
     # The row travels as one struct, so its columns clash with none of the plan.
     sized = (_sized(docs, id_col, text_col, source_col, seed)
-             .select(F.struct(*docs.columns).alias("__row"), "__id", "__source", "__size", "__u"))
+             .select(F.struct(*docs.columns).alias("__whole"), "__id", "__source", "__size", "__u", "__row"))
     return (_with_copies(sized, plan).where("__copies > 0")
-            .select("__row", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select("__row.*"))
+            .select("__whole", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select("__whole.*"))

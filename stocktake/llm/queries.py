@@ -32,7 +32,7 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL["op5_source_mix"] = r"""
 WITH docs AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':0'), 1, 13))::BIGINT::DOUBLE + 0.5)
+         (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) || ':0'), 1, 13))::BIGINT::DOUBLE + 0.5)
            / 4503599627370496.0 AS u
   FROM documents),
 src AS (

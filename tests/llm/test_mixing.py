@@ -74,3 +74,41 @@ def test_empty_tables_and_empty_sources(spark):
     assert mixing.mixed_rows(empty(spark)).collect() == []
     df = spark.createDataFrame([(1, "", "a"), (2, None, "b")], "doc_id long, text string, source string")
     assert sorted((r.doc_id, r.target, r.taken) for r in mixing.mix_sources(df).collect()) == [(1, 0.0, 0), (2, 0.0, 0)]
+
+
+def test_rows_that_tie_are_split_at_the_target(spark):
+    """A thousand equal rows without id, in a source that is to give 3,333.3 of its 4,000 words."""
+    tied = [(None, "one two three four", "a")] * 1000
+    rest = [(i, "one two three four", s) for s in "bc" for i in range(1000)]
+    df = spark.createDataFrame(tied + rest, "doc_id long, text string, source string").repartition(5)
+    got = mixing.mix_sources(df, weights=(5, 10, 12), share=0.75, max_repeats=1).collect()
+    by_source = {s: [r for r in got if r.source == s] for s in "abc"}
+    for s, rows_ in by_source.items():
+        assert len(rows_) == 1000 and abs(sum(r.taken for r in rows_) - rows_[0].target) <= 2
+        assert {r.copies for r in rows_} <= {0, 1}
+    assert 1000 < by_source["a"][0].target < 2000
+    mixed = mixing.mixed_rows(df, weights=(5, 10, 12), share=0.75, max_repeats=1)
+    assert mixed.where("source = 'a'").count() == sum(r.copies for r in by_source["a"])
+    again = mixing.mix_sources(df.repartition(3), weights=(5, 10, 12), share=0.75, max_repeats=1).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+
+
+def test_repeated_rows_that_differ_elsewhere_are_told_apart(spark):
+    data = [(7, "w " * 10, "a", i) for i in range(300)] + [(i, "w " * 10, "b", 0) for i in range(300)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string, size int")
+    kept = mixing.mixed_rows(df, weights=(1, 1), share=0.5, max_repeats=1)
+    assert abs(kept.where("source = 'a'").count() - 150) <= 1 and kept.where("source = 'a'").distinct().count() == kept.where("source = 'a'").count()
+
+
+def test_sql_agrees_on_rows_without_id(spark, tmp_path):
+    import duckdb
+
+    from stocktake.llm.queries import ORACLE_SQL, QUERIES
+    df = frame(spark, [(None, "same words here", "en", "a", 15)] * 40 + [(None, f"other {i}", "en", "b", 7) for i in range(40)], clash=False)
+    df.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    found = con.execute(ORACLE_SQL["op5_source_mix"])
+    names = [d[0] for d in found.description]
+    got = QUERIES["op5_source_mix"](spark, str(tmp_path))
+    assert sorted(map(str, map(tuple, got.select(*names).collect()))) == sorted(map(str, found.fetchall()))
