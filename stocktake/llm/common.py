@@ -59,7 +59,7 @@ def split_by_ids(rows: DataFrame, ids: DataFrame, id_col: str) -> tuple[DataFram
 
 
 #: Keys that fewer rows share than this need no care in a join.
-UNEVEN_ROWS = 10_000
+UNEVEN_ROWS = 256
 #: A key with more than one in so many rows is joined by broadcast: there are fewer such keys than this.
 UNEVEN_SHARE = 2000
 
