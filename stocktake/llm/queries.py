@@ -220,46 +220,6 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
-def _license_sql() -> str:
-    from stocktake.llm.licenses import TEMPLATES
-    quoted = ", ".join("({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(TEMPLATES))
-    return r"""
-WITH texts AS (
-  SELECT 'd' AS kind, doc_id AS id, coalesce(text, '') AS text FROM documents
-  UNION ALL SELECT 't', place, text FROM (VALUES """ + quoted + r""") v(place, name, text)),
-lines AS (
-  SELECT kind, id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS ln FROM texts),
-cut AS (
-  SELECT kind, id, ln, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[a-z0-9\x{80}-\x{10FFFF}]+') AS ws FROM lines),
-words AS (SELECT kind, id, ln, unnest(ws) AS w, generate_subscripts(ws, 1) AS k FROM cut),
-pairs AS (
-  SELECT kind, id, ln, k, w || ' ' || lead(w) OVER o AS b, lead(ln) OVER o - ln AS step, ln - lag(ln) OVER o > 1 AS opens
-  FROM words WINDOW o AS (PARTITION BY kind, id ORDER BY ln, k)),
-placed AS (
-  SELECT *, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY kind, id ORDER BY ln, k) AS para FROM pairs),
-passages AS (
-  SELECT id, 0 AS scope, ln AS unit, b FROM placed WHERE kind = 'd' AND step = 0
-  UNION ALL SELECT id, 1, para, b FROM placed WHERE kind = 'd' AND step <= 1
-  UNION ALL SELECT id, 2, 0, b FROM placed WHERE kind = 'd' AND step IS NOT NULL),
-a AS (SELECT DISTINCT id, scope, unit, b FROM passages),
-t AS (SELECT DISTINCT id, b FROM placed WHERE kind = 't' AND step IS NOT NULL),
-a_size AS (SELECT id, scope, unit, count(*) AS n FROM a GROUP BY ALL),
-t_size AS (SELECT id, count(*) AS n FROM t GROUP BY ALL),
-common AS (SELECT a.id, scope, unit, t.id AS template, count(*) AS n FROM a JOIN t USING (b) GROUP BY ALL),
-dice AS (
-  SELECT c.id, c.scope, c.template, 2.0::DOUBLE * c.n / (a_size.n + t_size.n) AS dice
-  FROM common c JOIN a_size USING (id, scope, unit) JOIN t_size ON t_size.id = c.template),
-best AS (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY dice DESC, template, scope) AS k FROM dice WHERE dice >= 0.8)
-SELECT d.doc_id, v.name AS license_id, coalesce(b.dice, 0.0::DOUBLE) AS dice, ['line', 'paragraph', 'text'][b.scope + 1] AS scope
-FROM documents d LEFT JOIN best b ON b.id = d.doc_id AND b.k = 1
-LEFT JOIN (VALUES """ + quoted + """) v(place, name, text) ON v.place = b.template
-"""
-
-
-ORACLE_SQL["op8_license_scan"] = _license_sql()
-
 
 @register
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
