@@ -134,7 +134,7 @@ def test_every_passage_and_window_against_brute_force(spark, monkeypatch, thresh
     whole = [("w", "one two three one two four five six seven eight one two"), ("v", "Permission is hereby granted, free of charge, to any person")]
     wanted = licenses.Templates(templates + whole, threshold, len(whole))
     rng = random.Random(5)
-    texts = [mixture(rng, templates + whole) for _ in range(250)] + ["", "one", "a b a b c a b a b c", "two words"]
+    texts = [mixture(rng, templates + whole) for _ in range(250)] + ["", "one", "a b a b c a b a b c", "two words", "one two three one two\n\nfour five six seven eight one two"]
     data = [x.encode() for x in texts]
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in data])])
     got = licenses.scan_block(np.frombuffer(b"".join(data), np.uint8), offsets, wanted)
