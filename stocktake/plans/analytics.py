@@ -206,6 +206,85 @@ def support_skeleton(t: Tables) -> DataFrame:
     return out.orderBy(*_desc("support_status"))
 
 
+# --- seven reports from one pass -------------------------------------------------
+
+#: Reports that group titles by one label of their own.
+BY_TITLE = ("era_quality", "reviews_by_age_tier", "type_contribution", "content_groups", "free_vs_paid",
+            "release_price", "support_skeleton")
+
+
+def title_labels(t: Tables) -> DataFrame:
+    """One row per title: what the reports measure, and its label in each of ``BY_TITLE``.
+
+    A label is NULL where the report leaves the title out. Each title table is
+    read once; bucketed ones are joined without a shuffle. Titles must be unique
+    in them, as the load report checks.
+    """
+    rows = (t["inventory"].select("title_id", "release_date", "age_limit", "type_id", "is_movie", "support_url")
+            .join(t["rating"].select("title_id", "overall_avg_rating", "reviews_count"), "title_id", "left")
+            .join(t["pricing"].select("title_id", "base_amount", "final_amount", "is_free", F.lit(True).alias("priced")), "title_id", "left")
+            .join(t["product_type"], "type_id", "left"))
+    rated = F.col("overall_avg_rating").isNotNull()
+    labels = {
+        "era_quality": F.when(rated, tiers.cutoff_two_way("release_date")),
+        "reviews_by_age_tier": F.when(F.col("age_limit").isNotNull() & F.col("reviews_count").isNotNull(), tiers.age_tier("age_limit")),
+        "type_contribution": F.col("type_name"),
+        "content_groups": F.when(F.col("type_name").isNotNull(), tiers.content_group("is_movie", "type_name")),
+        "free_vs_paid": F.when(F.col("priced") & rated, tiers.bool_label("is_free")),
+        "release_price": F.when(F.col("base_amount") > 0, tiers.cutoff_three_way("release_date")),
+        "support_skeleton": F.when(rated, tiers.support_status("support_url")),
+    }
+    return rows.select("overall_avg_rating", "reviews_count", "base_amount", "final_amount",
+                       *[labels[name].alias(name) for name in BY_TITLE])
+
+
+def title_groups(t: Tables) -> DataFrame:
+    """report, label and all measures of the groups of the seven reports: a few dozen rows, by grouping sets."""
+    groups = title_labels(t).groupingSets([[name] for name in BY_TITLE], *BY_TITLE)
+    sums = [("rating", "overall_avg_rating"), ("base", "base_amount"), ("final", "final_amount")]
+    low, high = clean.amount_limits()
+    kept = lambda c: F.when((F.col(c) > low) & (F.col(c) < high), F.col(c))
+    return groups.agg(
+        F.coalesce(*[F.when(F.grouping(name) == 0, F.lit(name)) for name in BY_TITLE]).alias("report"),
+        F.coalesce(*BY_TITLE).alias("label"), F.count(F.lit(1)).alias("titles"), _sum_long("reviews_count").alias("reviews"),
+        *[F.sum(kept(c)).alias(n) for n, c in sums], *[F.count(c).alias(f"{n}_count") for n, c in sums],
+        *[F.count(F.when((F.col(c) <= low) | (F.col(c) >= high), 1)).alias(f"{n}_beyond") for n, c in sums],
+    ).where(F.col("label").isNotNull()).drop(*BY_TITLE)
+
+
+def reports_by_title(groups: DataFrame) -> dict[str, DataFrame]:
+    """The reports of ``BY_TITLE`` from :func:`title_groups`, as the single functions give them."""
+    spark = groups.sparkSession
+    beyond = lambda n: F.when(F.col(f"{n}_beyond") > 0, F.raise_error(F.lit(f"an amount beyond 20 digits: {n}")))
+    total = lambda n: beyond(n).otherwise(F.col(n))
+    average = lambda n: F.try_divide(total(n).cast("double"), F.col(f"{n}_count").cast("double"))
+    # Per report: the name of its label, its measures in order, and what it is sorted by.
+    shapes = {
+        "era_quality": ("game_era", {"titles_in_group": F.col("titles"), "avg_quality_rating": average("rating"),
+                                     "avg_base_price": average("base")}, "avg_quality_rating"),
+        "reviews_by_age_tier": ("age_restriction_group", {"game_count": F.col("titles"), "total_reviews_sum": F.col("reviews")},
+                                "total_reviews_sum"),
+        "type_contribution": ("product_category", {"catalog_count": F.col("titles"), "total_reviews_proxy": F.col("reviews"),
+                                                   "total_base_amount_proxy": total("base")}, "total_reviews_proxy"),
+        "content_groups": ("content_type_group", {"titles_in_group": F.col("titles"), "total_base_amount_value": total("base")},
+                           "titles_in_group"),
+        "free_vs_paid": ("revenue_model", {"title_count": F.col("titles"), "avg_user_rating": average("rating"),
+                                           "total_reviews_sum": F.col("reviews")}, "total_reviews_sum"),
+        "release_price": ("release_category", {"title_count": F.col("titles"), "avg_base_price": average("base"),
+                                               "avg_final_price": average("final")}, "avg_base_price"),
+        "support_skeleton": ("status", {"game_count": F.col("titles"), "avg_customer_rating": average("rating"),
+                                        "total_reviews_sum": F.col("reviews")}, "support_status"),
+    }
+    out = {}
+    for name, (label, measures, order) in shapes.items():
+        rows = groups.where(F.col("report") == name).select(F.col("label").alias(label), *[c.alias(n) for n, c in measures.items()])
+        if name == "support_skeleton":
+            rows = with_required_categories(spark, [tiers.SUPPORT_PRESENT_LABEL, tiers.SUPPORT_MISSING_LABEL], order,
+                                            rows, label, zero_fill=["game_count"])
+        out[name] = rows.orderBy(*_desc(order))
+    return out
+
+
 REPORTS = {
     "top_developers": lambda t: median_by_party(t, "developer"),
     "top_publishers": lambda t: median_by_party(t, "publisher"),

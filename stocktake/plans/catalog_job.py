@@ -68,8 +68,7 @@ def run(spark: SparkSession, csv_path: str, out_dir: str, strict: bool = True,
         if strict:
             quality.assert_clean(spark.read.parquet(report))
         written = {name: f"{folder}/reports/{name}.parquet" for name in analytics.REPORTS}
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            list(pool.map(lambda name: analytics.REPORTS[name](stored).write.parquet(written[name]), written))
+        write_reports(stored, written, strict, parallelism)
         paths = {n: at(n) for n in ("raw", "conversion_report", *(["quarantine"] if on_error == "null" else []),
                                     *([] if database else Catalog.names))}
         versions.publish(spark, out_dir, folder, {**paths, **{f"reports/{n}": p for n, p in written.items()}}, saved)
@@ -85,6 +84,27 @@ def run(spark: SparkSession, csv_path: str, out_dir: str, strict: bool = True,
     return written
 
 
+def write_reports(stored: dict, paths: dict[str, str], checked: bool, parallelism: int = 4) -> None:
+    """Write all reports, several at once. Of ``checked`` tables, whose titles are unique,
+    seven come from one pass over the titles."""
+    builders = {name: lambda report=report: report(stored) for name, report in analytics.REPORTS.items()}
+
+    def write(names):
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            list(pool.map(lambda name: builders[name]().write.parquet(paths[name]), names))
+
+    if not checked:
+        write(paths)
+        return
+    spark = stored["inventory"].sparkSession
+    kept = f"{os.path.dirname(paths['era_quality'])}/title_groups.parquet"
+    builders["title_groups"], paths = lambda: analytics.title_groups(stored), {**paths, "title_groups": kept}
+    write(["title_groups", *[n for n in builders if n not in analytics.BY_TITLE and n != "title_groups"]])
+    shared = analytics.reports_by_title(spark.read.parquet(kept))
+    builders |= {name: lambda report=report: report.coalesce(1) for name, report in shared.items()}
+    write(analytics.BY_TITLE)
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--csv", required=True, help="CSV file or folder of listing files")

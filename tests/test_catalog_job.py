@@ -54,41 +54,38 @@ class Killed(BaseException):
     """Ends a run as a lost driver does: nothing is tidied up."""
 
 
-@pytest.mark.parametrize("where", ["between two tables", "in a report", "before the manifest"])
-def test_a_run_killed_midway_leaves_readers_on_the_old_set(spark, monkeypatch, where):
-    out = scratch_path(spark, "job-killed")
+def test_a_run_killed_midway_leaves_readers_on_the_old_set(spark, monkeypatch):
+    out, src = scratch_path(spark, "job-killed"), _listing(spark, "job-second", ROWS)
     run(spark, _listing(spark, "job-first", ROWS[:4]), out, multiline=True)
     before = {n: _seen(spark, out, n) for n in catalog_job.Catalog.names}
-    with monkeypatch.context() as m:
-        m.setattr(catalog_job, "remove_path", lambda *a: None)
-
-        def some(built, folder, **kw):
-            tables_ = dict(list(built.items())[:3])
-            real(tables_, folder)
-            raise Killed
-
-        def die(*a, **kw):
-            raise Killed
-
-        real = tables.write_tables
-        if where == "between two tables":
-            m.setattr(tables, "write_tables", some)
-        elif where == "in a report":
-            m.setitem(analytics.REPORTS, "era_quality", die)
-        else:
-            m.setattr(versions, "publish", die)
-        with pytest.raises(Killed):
-            run(spark, _listing(spark, "job-second", ROWS), out, multiline=True)
-    assert len(os.listdir(f"{_local(out)}/_versions")) == 2  # what the killed run left
-    assert {n: _seen(spark, out, n) for n in before} == before
-    run(spark, _listing(spark, "job-third", ROWS), out, multiline=True)
+    real = tables.write_tables
+
+    def some(built, folder, **kw):
+        real(dict(list(built.items())[:3]), folder)
+        raise Killed
+
+    def die(*a, **kw):
+        raise Killed
+
+    for module, name, instead in ((tables, "write_tables", some), (analytics, "title_groups", die), (versions, "publish", die)):
+        with monkeypatch.context() as m:
+            m.setattr(catalog_job, "remove_path", lambda *a: None)
+            m.setattr(module, name, instead)
+            with pytest.raises(Killed):
+                run(spark, src, out, multiline=True)
+        assert {n: _seen(spark, out, n) for n in before} == before
+    assert len(os.listdir(f"{_local(out)}/_versions")) == 4  # what the killed runs left
+    run(spark, src, out, multiline=True)
     assert len(_seen(spark, out)) == 7 and versions.versions(spark, out) == [1, 2]
 
 
 def test_versions_stay_readable_until_they_expire(spark):
     out = scratch_path(spark, "job-versions")
     for n in (2, 3, 4):
-        run(spark, _listing(spark, f"job-v{n}", ROWS[:n]), out, multiline=True, keep=2)
+        folder = versions.new_version(out)
+        spark.range(n).write.parquet(f"{folder}/raw.parquet")
+        versions.publish(spark, out, folder, {"raw": f"{folder}/raw.parquet"})
+        versions.expire(spark, out, keep=2)
     assert versions.versions(spark, out) == [2, 3]
     sizes = [versions.read_published(spark, out, ["raw"], v)["raw"].count() for v in (2, 3)]
     assert sizes == [3, 4] and len(os.listdir(f"{_local(out)}/_versions")) == 2
