@@ -29,7 +29,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession, functions as F
 
-from ..operators import quality
+from ..operators import profile, quality
 from ..session import build_session, remove_path
 from ..sources import csv_stage, tables, versions
 from . import analytics
@@ -38,7 +38,7 @@ from .normalize import CONVERSIONS, Catalog, conversion_text, normalize, rejecte
 
 def run(spark: SparkSession, csv_path: str, out_dir: str, strict: bool = True,
         database: str | None = None, num_buckets: int = 0, *, multiline: bool,
-        keys: str = "hash", on_error: str = "fail", keep: int = 2, parallelism: int = 4) -> dict:
+        keys: str = "hash", on_error: str = "fail", keep: int = 2, profiled: bool = False, parallelism: int = 4) -> dict:
     """Returns the paths of the reports by name."""
     out_dir = out_dir.rstrip("/")
     folder = versions.new_version(out_dir)
@@ -48,6 +48,8 @@ def run(spark: SparkSession, csv_path: str, out_dir: str, strict: bool = True,
         counted = quality.ObservedConversions(CONVERSIONS, conversion_text, only=F.col("id").isNotNull())
         raw = csv_stage.stage_to_parquet(spark, csv_path, at("raw"), multiline=multiline, watch=counted.watch)
         counted.report(spark).coalesce(1).write.parquet(at("conversion_report"))
+        if profiled:
+            profile.column_profile(raw).coalesce(1).write.parquet(at("load_profile"))
         refused = rejected_values(raw) if counted.total("rejected") else rejected_values(raw.limit(0))
         if on_error == "null":
             refused.write.parquet(at("quarantine"))
@@ -70,6 +72,7 @@ def run(spark: SparkSession, csv_path: str, out_dir: str, strict: bool = True,
         written = {name: f"{folder}/reports/{name}.parquet" for name in analytics.REPORTS}
         write_reports(stored, written, strict, parallelism)
         paths = {n: at(n) for n in ("raw", "conversion_report", *(["quarantine"] if on_error == "null" else []),
+                                    *(["load_profile"] if profiled else []),
                                     *([] if database else Catalog.names))}
         versions.publish(spark, out_dir, folder, {**paths, **{f"reports/{n}": p for n, p in written.items()}}, saved)
         published = True
@@ -116,13 +119,14 @@ def main(argv: list[str] | None = None) -> None:
                     help="hash keys (no dimension joins; collisions fail the report) or dense surrogate keys")
     ap.add_argument("--on-error", choices=["fail", "null"], default="fail",
                     help="text that cannot be converted ends the job, or becomes NULL and is listed in quarantine")
+    ap.add_argument("--profile", action="store_true", help="publish a profile of the staged columns too")
     ap.add_argument("--keep", type=int, default=2, help="published versions that stay readable")
     ap.add_argument("--single-line", action="store_true",
                     help="no field holds a newline: files are split across tasks")
     args = ap.parse_args(argv)
     spark = build_session()
     run(spark, args.csv, args.out, strict=not args.no_strict, database=args.database,
-        num_buckets=args.buckets, multiline=not args.single_line, keys=args.keys, on_error=args.on_error, keep=args.keep)
+        num_buckets=args.buckets, multiline=not args.single_line, keys=args.keys, on_error=args.on_error, keep=args.keep, profiled=args.profile)
 
 
 if __name__ == "__main__":

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import schemas
 from ..functions import clean
 from ..operators import aggregates as agg
-from ..operators import quality
+from ..operators import profile, quality
 from ..operators.dedupe import (distinct_items, distinct_pairs, distinct_values,
                                 entity_from_columns, insert_if_absent)
 from ..operators.joins import (lookup_key, restrict_to, spread_lookup, static_table,
@@ -96,6 +96,20 @@ def a6_scan(spark, base):
     return _t(spark, base, "nation")
 
 
+def _profile_sql() -> str:
+    number = r"^[ ]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[ ]*$"
+    return f"WITH listing AS (\n{listing_sql()}\n)\n" + "\nUNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls,
+  count(*) FILTER (WHERE trim({c}::VARCHAR) = '') AS blanks, min(length({c}::VARCHAR)) AS min_length,
+  max(length({c}::VARCHAR)) AS max_length, min({c}::VARCHAR) AS smallest, max({c}::VARCHAR) AS largest,
+  count(*) FILTER (WHERE regexp_matches({c}::VARCHAR, '{number}')) AS numbers FROM listing""" for c in LISTING_COLUMNS)
+
+
+@register("a6_load_profile", _profile_sql())
+def a6_load_profile(spark, base):
+    return profile.column_profile(listing(spark, base)).select("column_name", *profile.EXACT)
+
+
 # --- B: projections and predicates ------------------------------------------
 
 _MAYBE_BRAND = "CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE p_brand END"
