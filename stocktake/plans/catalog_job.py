@@ -38,7 +38,8 @@ from .normalize import CONVERSIONS, Catalog, conversion_text, normalize, rejecte
 
 def run(spark: SparkSession, csv_path: str, out_dir: str, strict: bool = True,
         database: str | None = None, num_buckets: int = 0, *, multiline: bool,
-        keys: str = "hash", on_error: str = "fail", keep: int = 2, profiled: bool = False, parallelism: int = 4) -> dict:
+        keys: str = "hash", on_error: str = "fail", keep: int = 2, profiled: bool = False,
+        key_maps: str | None = None, parallelism: int = 4) -> dict:
     """Returns the paths of the reports by name."""
     out_dir = out_dir.rstrip("/")
     folder = versions.new_version(out_dir)
@@ -57,7 +58,7 @@ def run(spark: SparkSession, csv_path: str, out_dir: str, strict: bool = True,
             raise ValueError(f"{counted.total('rejected')} values cannot be converted, as {refused.first()}; "
                              "on_error='null' lists them and goes on")
         repeated = not quality.duplicate_keys(raw, ["id"]).isEmpty()
-        built = normalize(raw, ids_unique=not repeated, keys=keys, on_error=on_error)
+        built = normalize(raw, ids_unique=not repeated, keys=keys, on_error=on_error, key_maps=key_maps)
         if database:
             saved = {n: f"{database}.{n}{suffix}" for n in Catalog.names}
             tables.save_tables(built, database, num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), suffix=suffix)
@@ -119,6 +120,7 @@ def main(argv: list[str] | None = None) -> None:
                     help="hash keys (no dimension joins; collisions fail the report) or dense surrogate keys")
     ap.add_argument("--on-error", choices=["fail", "null"], default="fail",
                     help="text that cannot be converted ends the job, or becomes NULL and is listed in quarantine")
+    ap.add_argument("--key-maps", help="folder that keeps dense keys from run to run")
     ap.add_argument("--profile", action="store_true", help="publish a profile of the staged columns too")
     ap.add_argument("--keep", type=int, default=2, help="published versions that stay readable")
     ap.add_argument("--single-line", action="store_true",
@@ -126,7 +128,7 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
     spark = build_session()
     run(spark, args.csv, args.out, strict=not args.no_strict, database=args.database,
-        num_buckets=args.buckets, multiline=not args.single_line, keys=args.keys, on_error=args.on_error, keep=args.keep, profiled=args.profile)
+        num_buckets=args.buckets, multiline=not args.single_line, keys=args.keys, on_error=args.on_error, keep=args.keep, profiled=args.profile, key_maps=args.key_maps)
 
 
 if __name__ == "__main__":

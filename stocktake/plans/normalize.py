@@ -29,16 +29,18 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..functions import clean
 from ..operators.dedupe import entity_from_columns
 from ..operators.joins import restrict_to, spread_lookup
+from ..operators.keymap import KeyMap
 from ..operators.keys import dense_keys, hash_keys
 from ..schemas import EXACT_SUFFIX, TABLE_SCHEMAS
 from ..session import checkpoint_dir
 from ..sources.static import product_type
+from ..sources.tables import table_path
 
 
 # --- text that no conversion takes ---------------------------------------------------
@@ -134,17 +136,27 @@ DIMENSION_SPECS = {
 KEY_MODES = ("dense", "hash")
 
 
-def build_dimension(raw: DataFrame, name: str, keys: str = "dense", on_error: str = "fail") -> DataFrame:
+def key_map(spark: SparkSession, folder: str, name: str) -> KeyMap:
+    """The stored keys of a dimension."""
+    _, name_col, key_col = DIMENSION_SPECS[name]
+    return KeyMap(spark, table_path(folder, name), name_col, key_col)
+
+
+def build_dimension(raw: DataFrame, name: str, keys: str = "dense", on_error: str = "fail",
+                    key_maps: str | None = None) -> DataFrame:
     """Distinct names with keys: ``dense`` (1..N in name order, looked up by
     the fact builders) or ``hash`` (``xxhash64(name)``, computed in place by
     the fact builders, so they need no join; the quality job's key check
-    catches a collision)."""
+    catches a collision). With ``key_maps``, a folder, dense keys are kept
+    there: names that have one keep it, new ones follow."""
     extract, name_col, key_col = DIMENSION_SPECS[name]
     names = extract(raw, on_error) if extract is os_names else extract(raw)
     if keys == "hash":
         return hash_keys(names, name_col, key_col)
     if keys != "dense":
         raise ValueError(f"keys must be one of {KEY_MODES}")
+    if key_maps is not None:
+        return key_map(raw.sparkSession, key_maps, name).keyed(names)
     return dense_keys(names, name_col, key_col)
 
 
@@ -330,12 +342,12 @@ class Catalog:
     """
 
     _BUILD = {
-        "party": lambda c: build_party(c.raw, c.keys),
+        "party": lambda c: build_dimension(c.raw, "party", c.keys, c.on_error, c.key_maps),
         "product_type": lambda c: product_type(c.raw.sparkSession),
         "inventory": lambda c: build_inventory(c.raw, c._dim("party"), c.keys, c.on_error),
-        "os_platform": lambda c: build_os_platform(c.raw, c.keys, c.on_error),
-        "genre": lambda c: build_genre(c.raw, c.keys),
-        "promotion": lambda c: build_promotion(c.raw, c.keys),
+        "os_platform": lambda c: build_dimension(c.raw, "os_platform", c.keys, c.on_error, c.key_maps),
+        "genre": lambda c: build_dimension(c.raw, "genre", c.keys, c.on_error, c.key_maps),
+        "promotion": lambda c: build_dimension(c.raw, "promotion", c.keys, c.on_error, c.key_maps),
         # Status tables and bridges restrict to the inventory built from the
         # same staging frame (inventory=None, see _restrict_to_inventory).
         "pricing": lambda c: build_pricing(c.raw, on_error=c.on_error),
@@ -349,10 +361,12 @@ class Catalog:
     }
     names = tuple(_BUILD)
 
-    def __init__(self, raw: DataFrame, ids_unique: bool = False, keys: str = "dense", on_error: str = "fail"):
+    def __init__(self, raw: DataFrame, ids_unique: bool = False, keys: str = "dense", on_error: str = "fail",
+                 key_maps: str | None = None):
         """``keys``: ``dense`` surrogate keys (looked up by joins) or ``hash``
         keys (computed in place: the fact tables need no dimension join).
-        ``on_error``: see ``ERROR_MODES``."""
+        ``on_error``: see ``ERROR_MODES``. ``key_maps``: folder in which dense
+        keys are kept, so that they outlive a rebuild."""
         _strict(on_error)
         if keys not in KEY_MODES:
             raise ValueError(f"keys must be one of {KEY_MODES}")
@@ -360,6 +374,7 @@ class Catalog:
         self.ids_unique = ids_unique
         self.keys = keys
         self.on_error = on_error
+        self.key_maps = key_maps
         self._built: dict[str, DataFrame] = {}
 
     def _dim(self, name: str) -> DataFrame | None:
@@ -382,7 +397,7 @@ DIMENSIONS = ("party", "os_platform", "genre", "promotion")
 
 
 def normalize(raw: DataFrame, ids_unique: bool = False, parallelism: int = 4,
-              keys: str = "dense", on_error: str = "fail") -> dict[str, DataFrame]:
+              keys: str = "dense", on_error: str = "fail", key_maps: str | None = None) -> dict[str, DataFrame]:
     """Build all eleven typed tables from the staging frame.
 
     The staging frame should be Parquet-backed (see
@@ -391,7 +406,7 @@ def normalize(raw: DataFrame, ids_unique: bool = False, parallelism: int = 4,
     are independent, so their (eager, checkpointed) key jobs are submitted
     concurrently and share the cluster.
     """
-    cat = Catalog(raw, ids_unique, keys, on_error)
+    cat = Catalog(raw, ids_unique, keys, on_error, key_maps)
     checkpoint_dir(raw.sparkSession)  # resolve once, before any concurrent job
     if parallelism > 1:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
