@@ -291,8 +291,8 @@ def is_missing_text(col, words: tuple[str, ...] = MISSING_TEXT_WORDS) -> Column:
 
 # --- text that a conversion refuses ---------------------------------------------
 
-#: What each kind of conversion expects, for messages.
-REASONS = {"integer": "not an integer", "epoch": "not an epoch in seconds", "amount": "not a number", "list": "not one list"}
+#: What each kind of conversion expects, for messages. Empty text is no value, but for a filled integer.
+REASONS = {"integer": "not an integer", "filled integer": "not an integer", "epoch": "not an epoch in seconds", "amount": "not a number", "list": "not one list"}
 
 
 def rejected(col, kind: str) -> Column:
@@ -300,7 +300,7 @@ def rejected(col, kind: str) -> Column:
     c = _c(col)
     if kind == "list":
         return F.coalesce(non_blank(c) & json_list_items(c, strict=False).isNull(), F.lit(False))
-    text = blank_to_null(c)
-    good = {"integer": lambda: text.try_cast("int").isNotNull(), "epoch": lambda: epoch_seconds(c).isNotNull(),
+    text = c if kind == "filled integer" else blank_to_null(c)
+    good = {"integer": lambda: text.try_cast("int").isNotNull(), "filled integer": lambda: text.try_cast("int").isNotNull(), "epoch": lambda: epoch_seconds(c).isNotNull(),
             "amount": lambda: is_number(text)}[kind]()
     return F.coalesce(text.isNotNull() & ~good, F.lit(False))

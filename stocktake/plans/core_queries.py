@@ -20,6 +20,7 @@ from ..operators.dedupe import (distinct_items, distinct_pairs, distinct_values,
                                 entity_from_columns, insert_if_absent)
 from ..operators.joins import (lookup_key, restrict_to, spread_lookup, static_table,
                                with_required_categories)
+from ..operators.keymap import KeyMap
 from ..operators.keys import dense_keys
 from ..session import scratch_path
 from ..sources import csv_stage
@@ -27,6 +28,7 @@ from ..sources.tables import read_table, read_tables, write_tables
 from . import sql_rules
 from .catalog_queries import TABLE_CTES, catalog
 from .listing import LISTING_COLUMNS, listing, listing_sql
+from .normalize import rejected_values
 from .registry import register
 
 
@@ -541,6 +543,19 @@ def k1_surrogate_key(spark, base):
     return dense_keys(_t(spark, base, "customer"), "c_name", "customer_key")
 
 
+@register("k1_key_map", """WITH early AS (
+  SELECT c_name, row_number() OVER (ORDER BY c_name) AS k FROM (SELECT DISTINCT c_name FROM customer WHERE c_custkey % 3 = 0))
+SELECT c_name, k AS customer_key FROM early
+UNION ALL SELECT c_name, (SELECT count(*) FROM early) + row_number() OVER (ORDER BY c_name)
+FROM (SELECT DISTINCT c_name FROM customer WHERE c_name IS NOT NULL AND c_name NOT IN (SELECT c_name FROM early))""")
+def k1_key_map(spark, base):
+    # A third of the names come first; the later load, of all, leaves them their keys.
+    customers = _t(spark, base, "customer").select("c_custkey", "c_name")
+    keys = KeyMap(spark, scratch_path(spark, "key-map"), "c_name", "customer_key")
+    keys.extend(customers.where("c_custkey % 3 = 0"))
+    return keys.keyed(customers).select("c_name", "customer_key")
+
+
 @register("k2_duplicates", """SELECT l_orderkey, l_linenumber, COUNT(*) AS occurrences
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""")
 def k2_duplicates(spark, base):
@@ -625,6 +640,30 @@ def k5_faulty_report(spark, base):
                                not_null={"titles": ["title"]}, refs=[("titles", "kind", "kinds", "kind_id")])
 
 
+# Staging columns with text that no conversion takes, for the quarantine.
+_BAD_TEXT = {
+    "agelimit": "CASE WHEN id % 7 = 1 THEN 'twelve' WHEN id % 7 = 2 THEN ' 12 ' WHEN id % 7 = 3 THEN '' END",
+    "baseamount": "CASE WHEN id % 11 = 3 THEN 'free' WHEN id % 11 = 4 THEN '1e-20' ELSE '1' END",
+    "globalreleasedate": "CASE WHEN id % 13 = 5 THEN '2020-01-01' ELSE '0' END",
+    "discountpercentage": "CASE WHEN id % 5 = 2 THEN 'much' WHEN id % 5 = 3 THEN 'False' ELSE '5' END",
+    "supportedoperatingsystems": "CASE WHEN id % 17 = 6 THEN '[''a''] and more' ELSE '[''a'']' END",
+}
+
+
+@register("k5_quarantine", f"""WITH listing AS (
+{listing_sql()}
+), bad AS (SELECT id, promoid, {', '.join(f'{e} AS {c}' for c, e in _BAD_TEXT.items())} FROM listing)
+SELECT id, 'agelimit' AS column_name, agelimit AS text, 'not an integer' AS reason FROM bad WHERE agelimit IN ('twelve', '')
+UNION ALL SELECT id, 'baseamount', baseamount, 'not a number' FROM bad WHERE baseamount = 'free'
+UNION ALL SELECT id, 'globalreleasedate', globalreleasedate, 'not an epoch in seconds' FROM bad WHERE globalreleasedate LIKE '%-%'
+UNION ALL SELECT id, 'discountpercentage', discountpercentage, 'not a number' FROM bad WHERE discountpercentage = 'much' AND trim(promoid) <> ''
+UNION ALL SELECT id, 'supportedoperatingsystems', supportedoperatingsystems, 'not one list' FROM bad WHERE supportedoperatingsystems LIKE '%more'
+""")
+def k5_quarantine(spark, base):
+    rows = listing(spark, base).withColumns({c: F.expr(e) for c, e in _BAD_TEXT.items()})
+    return rejected_values(rows)
+
+
 _AMOUNT_TEXT = """CASE p_partkey % 9 WHEN 0 THEN '0.1234567890123456789' WHEN 1 THEN 'free' WHEN 2 THEN '' WHEN 3 THEN NULL
   ELSE p_size || '.5' END"""
 _LIST_TEXT = "CASE p_partkey % 5 WHEN 0 THEN '[''a'', null]' WHEN 1 THEN '[''a''] tail' ELSE '[''a'', ''b'']' END"

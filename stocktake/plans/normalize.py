@@ -51,7 +51,7 @@ ERROR_MODES = ("fail", "null")
 
 #: Staging columns whose text is converted, by kind of conversion.
 CONVERSIONS = {
-    "globalreleasedate": "epoch", "agelimit": "integer", "reviewscount": "integer", "reviewpages": "integer",
+    "globalreleasedate": "epoch", "agelimit": "filled integer", "reviewscount": "integer", "reviewpages": "integer",
     "baseamount": "amount", "finalamount": "amount", "amount": "amount", "overallavgrating": "amount",
     "filteredavgrating": "amount", "discountpercentage": "amount", "discountdifference": "amount",
     "supportedoperatingsystems": "list",

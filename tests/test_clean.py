@@ -137,6 +137,7 @@ def test_amounts_beyond_the_type_compare_but_do_not_sum(spark):
 
 def test_rejected_text(spark):
     assert _one_col(spark, ["1", "1.0", "", None, "x", " 7 "], lambda c: clean.rejected(c, "integer")) == [False, True, False, False, True, False]
+    assert _one_col(spark, ["1", "", None, "x"], lambda c: clean.rejected(c, "filled integer")) == [False, True, False, True]
     assert _one_col(spark, ["1e400", "1e", "TRUE", "", None], lambda c: clean.rejected(c, "amount")) == [False, True, True, False, False]
     assert _one_col(spark, ["1", "9" * 14, "x"], lambda c: clean.rejected(c, "epoch")) == [False, True, True]
     assert _one_col(spark, ["['a']", "['a'] x", " ", "[]"], lambda c: clean.rejected(c, "list")) == [False, True, False, False]
