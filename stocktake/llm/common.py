@@ -13,8 +13,7 @@ from stocktake.session import scratch_path
 
 #: A word of the contracts: a run without space, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Text bytes that one numpy block works on; a longer document forms a block alone
-#: or, where an operator allows it, is cut at white space.
+#: Text bytes that one numpy block works on; a longer document forms a block alone.
 BLOCK_BYTES = 1 << 19
 
 

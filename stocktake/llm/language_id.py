@@ -192,8 +192,11 @@ def fit(docs: DataFrame, learn_from: Column, sample_rows: int = SAMPLE_ROWS, id_
             "candidates": letters >= MIN_SHARE * np.maximum(letters.sum(axis=0), 1)}
 
 
-def label_block(data: np.ndarray, offsets: np.ndarray, model: dict):
-    """Per text: language, score, spans (language, first and last + 1 code point)."""
+def label_block(data: np.ndarray, offsets: np.ndarray, model: dict, shortcut: bool = True):
+    """Per text: language, score, spans (language, first and last + 1 code point).
+
+    With the ``shortcut`` only texts that may have several spans are searched for a path.
+    """
     langs = model["langs"]
     n = len(offsets) - 1
     script, start, end, text, first, pairs, triples, point_at = words_and_grams(data, offsets, model["tables"])
@@ -213,7 +216,9 @@ def label_block(data: np.ndarray, offsets: np.ndarray, model: dict):
     best = total.argmax(axis=1)
     words_in = np.diff(at)[used]
     simple = np.ones(len(used), bool)
-    if len(langs) > 1:
+    if not shortcut:
+        simple[:] = False
+    elif len(langs) > 1:
         # The largest gain of any run of words by leaving the best single language; texts
         # follow each other with a drop between them that no gain makes up for.
         mine = np.repeat(best, words_in)

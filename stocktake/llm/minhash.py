@@ -14,7 +14,8 @@ members on full sets and links are contracted into components. Only buckets that
 still hold several components go on, led by their members outside the largest
 one, until none is left: no pair of a bucket with members in different
 components stays undecided, and members that already belong together are not
-compared. Before texts are fetched, sizes and parities of the sets rule out pairs
+compared. A bucket's members are dealt to a task per ``SALT_ROWS`` of them, and its
+leaders sent to each. Before texts are fetched, sizes and parities of the sets rule out pairs
 that cannot be similar, without loss.
 
 With 40 bands of 6 rows a pair at the threshold of 0.8 shares no bucket with a
@@ -25,7 +26,9 @@ shingle is one shingle; a NULL or empty text, or one of white space, has an empt
 set and is linked with nothing. Rows that share an id are one document. A row
 without an id is linked by its set like any other. A group's document
 is that of smallest id, or if no row has an id, that of smallest row key (a hash
-of id and text). ``survivors`` leaves one row of each group.
+of id and text; its 64 bits make some 270 pairs of 1e11 rows meet). ``survivors``
+leaves one row of each group. A text is one block in memory, of some 50 times its
+bytes; other columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stocktake.llm.common import (LOWER, arrow_text, cut_lineage, mix64, rolling, row_blocks, split_by_ids,
+from stocktake.llm.common import (LOWER, arrow_text, cut_lineage, join_uneven, mix64, rolling, row_blocks, split_by_ids,
                                   window_hashes, word_hashes)
 from stocktake.llm.components import components
 
@@ -47,6 +50,10 @@ BANDS, ROWS = 40, 6
 LEADERS = 256
 #: Words of 64 bits of the parities by which pairs are ruled out.
 PARITY_WORDS = 16
+#: Members of a bucket that one task compares with its leaders.
+SALT_ROWS = 1000
+#: Bytes of texts whose sets a task keeps while it verifies pairs.
+KNOWN_BYTES = 1 << 22
 #: The smallest of these names a group's document: ids go before rows without one.
 FIRST = "struct(doc_id IS NULL AS no_id, doc_id, key)"
 
@@ -170,12 +177,16 @@ def confirmed(pairs: DataFrame, docs: DataFrame, repeated: DataFrame | None, n:
 
     def run(batches):
         known: dict[str, np.ndarray] = {}
+        held = 0
 
         def elements(text: str) -> np.ndarray:
+            nonlocal held
             if text not in known:
-                if len(known) >= 64:
-                    known.clear()
                 data = np.frombuffer(text.encode(), np.uint8)
+                if held + len(data) > KNOWN_BYTES:
+                    known.clear()
+                    held = 0
+                held += len(data)
                 known[text] = next(shingle_sets(data, np.array([0, len(data)]), n))
             return known[text]
 
@@ -205,16 +216,20 @@ def _grouped(docs: DataFrame, n: int, percent: int, bands: int, rows: int) -> Da
                .withColumn("node", F.col("first.key")))
     spread = (classes.select("node", "k1", F.posexplode("bands"))
               .select("node", "k1", F.xxhash64("pos", "col").alias("bucket")))
-    shared = (spread.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket"))
-    live = cut_lineage(spread.join(shared, "bucket").join(classes.select("node", "k1", "n", "parity"), ["node", "k1"])
-                       .select("bucket", "node", "n", "parity"))
+    shared = (spread.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+              .withColumn("salts", F.ceil(F.col("members") / SALT_ROWS).cast("int")))
+    salt = F.pmod(F.xxhash64("node", F.lit("salt")), F.col("salts")).cast("int")
+    live = cut_lineage(join_uneven(spread, shared, ["bucket"], "members").where("salts IS NOT NULL")
+                       .join(classes.select("node", "k1", "n", "parity"), ["node", "k1"])
+                       .select("bucket", "salts", salt.alias("salt"), "node", "n", "parity"))
+    to_all = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
     first = live.groupBy("bucket").agg(F.min("node").alias("node"))
     lead = live.join(first, ["bucket", "node"])
     links, found = None, None
     while True:
-        asked = lead.select("bucket", F.col("node").alias("a"), F.col("n").alias("an"), F.col("parity").alias("aparity"),
+        asked = lead.select("bucket", to_all, F.col("node").alias("a"), F.col("n").alias("an"), F.col("parity").alias("aparity"),
                             *([] if found is None else [F.col("c").alias("ac")]))
-        pairs = live.join(asked, "bucket").where((F.col("a") != F.col("node")) & _can_link(percent))
+        pairs = live.join(asked, ["bucket", "salt"]).where((F.col("a") != F.col("node")) & _can_link(percent))
         if found is not None:
             pairs = pairs.where("c <> ac")
         pairs = cut_lineage(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
@@ -224,12 +239,12 @@ def _grouped(docs: DataFrame, n: int, percent: int, bands: int, rows: int) -> Da
             found = components(links)
         # A bucket whose members are all in one component is settled; its leaders have met all members.
         rest = (live.join(lead.select("bucket", "node"), ["bucket", "node"], "left_anti")
-                .select("bucket", "node", "n", "parity").join(found, "node", "left")
+                .select("bucket", "salts", "salt", "node", "n", "parity").join(found, "node", "left")
                 .withColumn("c", F.coalesce("component", "node")).drop("component"))
-        main = (rest.groupBy("bucket", "c").agg(F.count("*").alias("k"))
-                .groupBy("bucket").agg(F.max(F.struct("k", "c")).alias("main"), F.count("*").alias("parts"))
-                .where("parts > 1").select("bucket", F.col("main.c").alias("main")))
-        live = cut_lineage(rest.join(main, "bucket"))
+        main = (rest.groupBy("bucket", "salts", "c").agg(F.count("*").alias("k"))
+                .groupBy("bucket", "salts").agg(F.max(F.struct("k", "c")).alias("main"), F.count("*").alias("parts"))
+                .where("parts > 1").select("bucket", to_all, F.col("main.c").alias("main")))
+        live = cut_lineage(rest.join(main, ["bucket", "salt"]))
         if live.isEmpty():
             break
         # Members outside a bucket's largest component lead next: the others need no comparison with each other.

@@ -60,8 +60,7 @@ def test_edge_cases_and_empty_tables(spark):
     assert language_id.identify(spark.createDataFrame([(1, "text")], "doc_id long, text string"), nothing).first()[1:3] == ("und", 0.0)
 
 
-def test_shortcut_agrees_with_the_full_search():
-    """Texts without a path search are those whose best path has one language."""
+def test_best_path_against_all_paths():
     rng = np.random.default_rng(0)
     for _ in range(200):
         n, width = int(rng.integers(1, 8)), 3
@@ -80,3 +79,28 @@ def test_blocks_do_not_change_labels(spark):
     together = language_id.label_block(np.frombuffer(b"".join(data), np.uint8), offsets, model)
     alone = [language_id.label_block(np.frombuffer(d, np.uint8), np.array([0, len(d)]), model)[0] for d in data]
     assert [(lang, spans) for lang, _, spans in together] == [(lang, spans) for lang, _, spans in alone]
+
+
+def test_shortcut_agrees_with_the_path_search(spark):
+    """Every text labelled by the path search, whether or not the shortcut would spare it."""
+    rng = random.Random(8)
+    model = model_for(spark, rng)
+    langs = list(VOCABULARY)
+    texts = [" ".join(text_of(rng.choice(langs), rng.choice([0, 1, 3, 12]), rng) for _ in range(rng.randint(1, 4))) for _ in range(400)]
+    data = [t.encode() for t in [*texts, "", "12 34", "a"]]
+    offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])])
+    block = np.frombuffer(b"".join(data), np.uint8)
+    fast, searched = (language_id.label_block(block, offsets, model, shortcut=s) for s in (True, False))
+    assert sum(len(spans) > 1 for _, _, spans in fast) > 20 and sum(len(spans) == 1 for _, _, spans in fast) > 20
+    for a, b in zip(fast, searched):
+        assert a[0] == b[0] and a[2] == b[2] and abs(a[1] - b[1]) < 1e-9
+
+
+def test_long_text(spark):
+    """One text of some megabytes is labelled whole, and as its parts are."""
+    rng = random.Random(9)
+    model = model_for(spark, rng)
+    part = {lang: text_of(lang, 4000, rng) for lang in list(VOCABULARY)[:2]}
+    text = " ".join(part[lang] for lang in [*part] * 25)
+    lang, score, spans = language_id.label_block(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]), model)[0]
+    assert len(text) > 900_000 and [s[0] for s in spans] == [*part] * 25 and spans[-1][2] >= len(text) - 1

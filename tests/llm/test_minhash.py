@@ -17,7 +17,7 @@ def shingles(text, n):
 
 
 def brute_force(data, n, percent):
-    """Sorted (id, size, component, kept) by comparing all pairs."""
+    """Sorted (id, size, component, kept) by comparing all pairs; in a group without ids one set is kept."""
     sets = [(i, shingles(t, n)) for i, t in data]
     label = list(range(len(sets)))
 
@@ -30,8 +30,7 @@ def brute_force(data, n, percent):
         for y in range(x):
             a, b = sets[x][1], sets[y][1]
             same_id = sets[x][0] is not None and sets[x][0] == sets[y][0]
-            known = sets[x][0] is not None and sets[y][0] is not None or a == b
-            if a and b and known and (same_id or 100 * len(a & b) >= percent * len(a | b)):
+            if a and b and (same_id or 100 * len(a & b) >= percent * len(a | b)):
                 label[root(x)] = root(y)
     out = []
     for x, (i, s) in enumerate(sets):
@@ -43,8 +42,29 @@ def brute_force(data, n, percent):
 
 @pytest.mark.parametrize("n", [2, 5])
 def test_edge_cases_against_brute_force(spark, n):
-    got = minhash.near_duplicates(frame(spark), n=n).collect()
-    assert sorted(map(tuple, got), key=str) == brute_force([(i, t) for i, t, *_ in rows()], n, 80)
+    near = " ".join(w if k != 30 else "swapped" for k, w in enumerate(prose(1, 120).split()))
+    extra = [(None, near, "en", "a", 0), (None, near + " end", "en", "a", 0)]  # near copies without an id
+    got = minhash.near_duplicates(frame(spark, extra), n=n).collect()
+    want = brute_force([(r[0], r[1]) for r in [*rows(), *extra]], n, 80)
+    assert sorted(map(tuple, got), key=str) == want
+    assert sum(r[0] is None and r[2] == 1 for r in want) == 3
+
+
+def test_hot_buckets_are_dealt_to_several_tasks(spark, monkeypatch):
+    """Near copies by the hundred share their buckets; no pair is lost if several tasks share a bucket."""
+    monkeypatch.setattr(minhash, "SALT_ROWS", 20)
+    monkeypatch.setattr(minhash, "KNOWN_BYTES", 2000)
+    rng = random.Random(21)
+    base = prose(80, 60).split()
+    data = []
+    for i in range(150):
+        copy = list(base)
+        for at in rng.sample(range(60), rng.randint(0, 7)):
+            copy[at] = f"u{rng.random()}"
+        data.append((i, " ".join(copy)))
+    data += [(200 + i, prose(81, 40) + f" tail{i}") for i in range(100)]
+    got = minhash.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), n=2).collect()
+    assert sorted(map(tuple, got), key=str) == brute_force(data, 2, 80)
 
 
 def test_chains_and_large_groups_against_brute_force(spark):
