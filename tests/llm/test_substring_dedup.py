@@ -3,6 +3,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from stocktake.llm import chunks, substring_dedup
@@ -59,3 +60,28 @@ def test_packed_numbers_come_back():
     assert (chunks.unpack_sorted(chunks.pack_sorted(keys)) == keys).all()
     assert (chunks.from_planes(chunks.planes(keys)) == keys).all()
     assert len(chunks.unpack_sorted(chunks.pack_sorted(keys[:0]))) == 0
+
+
+def test_items_that_share_a_hash_are_told_apart(spark):
+    """a and b have one key but unlike second hashes, so no text believes their total; c's is believed."""
+    def items(data, offsets):
+        first = data[offsets[:-1]]
+        keys = np.where(first == ord("c"), np.uint64(7 << 60), np.uint64(3 << 60))
+        return keys, np.ones(len(first), np.int64), first.astype(np.uint64)
+
+    def per_text(data, offsets, copies, counts, totals):
+        for i, t in enumerate(totals.tolist()):
+            yield chr(data[offsets[i]]), int(t)
+
+    docs = spark.createDataFrame([(w + str(i) * 3000,) for i, w in enumerate("aabcc")] + [("c" + "4" * 3000,)], "text string")
+    got = chunks.with_totals(docs, "text", items, per_text, "word string, total long", items_per_byte=0.001, chunk_bytes=1)
+    assert sorted((r.word, r.total) for r in got.collect()) == [("a", 1), ("a", 1), ("b", 1), ("c", 3), ("c", 3)]
+
+
+def test_second_hashes_are_of_the_words():
+    from stocktake.llm.common import mix64, window_hashes
+    words_ = np.arange(1, 200, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    at = np.array([0, 120, 199])
+    first, second = (window_hashes(w, at, 35)[0] for w in (words_, mix64(words_ + np.uint64(35))))
+    assert len(np.unique(first & chunks.LOW)) == len(np.unique(second & chunks.LOW)) == len(first)
+    assert abs(np.corrcoef((first & chunks.LOW).astype(float), (second & chunks.LOW).astype(float))[0, 1]) < 0.3
