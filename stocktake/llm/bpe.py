@@ -18,7 +18,8 @@ A text is read in runs of pieces, so a very long one needs memory for itself and
 its ids, not for a list of its pieces.
 
 Defined results: a NULL text counts as empty, with no ids; decoding joins the
-tokens' bytes and, as text, replaces bytes that are no UTF-8.
+tokens' bytes and, as text, replaces bytes that are no UTF-8. Repeated rows each get
+their result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -14,11 +14,16 @@ by rank. The threshold is always the score of k real rows, so no result is lost.
 Defined results: vectors that are NULL or hold a NULL, NaN or infinite component
 take no part, nor do rows without an id; a shorter vector lacks the later terms;
 rows with the query's own id are no candidates; several query rows of one id
-count once, by their smallest vector. Equal scores go to the smaller id.
+count once, by their smallest vector, while repeated candidate rows are candidates
+each. Equal scores go to the smaller id. A vector with a component so large that
+scores of its width need not fit 64 bits (beyond some 2**23 / sqrt(width)) takes no
+part. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -33,7 +38,7 @@ SEED_TERMS, SEED_HEADS = 6, 12
 
 def quantized(vec: Column, scale: int = 256) -> Column:
     """floor(scale * x) per component; NULL for a vector that takes no part."""
-    bad = F.exists(vec, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
+    bad = F.exists(vec, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) >= 2.0 ** 40))
     return F.when(vec.isNotNull() & ~bad, F.transform(vec, lambda x: F.floor(x.cast("double") * scale)))
 
 
@@ -122,6 +127,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     rows = (vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), quantized(F.col(vec_col)).alias("vec"),
                            F.coalesce(is_query, F.lit(False)).alias("q"))
             .where("vec IS NOT NULL AND vec_id IS NOT NULL"))
+    width = rows.agg(F.max(F.size("vec"))).first()[0] or 1
+    most = math.isqrt((1 << 62) // max(1, width)) - 1
+    rows = rows.where(F.forall("vec", lambda x: F.abs(x) <= most))
     n, n_queries = rows.agg(F.count("*"), F.count(F.when(F.col("q"), 1))).first()
     shards, blocks = max(1, -(-n // SHARD_ROWS)), max(1, -(-n_queries // QUERY_ROWS))
     # Each side is copied once per part of the other.

@@ -55,3 +55,11 @@ def test_sparse_postings_prune_and_stay_exact():
         full = rows @ rows[own]
         want = [i for i in np.lexsort((np.arange(500), -full)) if i != own][:5]
         assert ids.tolist() == want and scores.tolist() == full[want].tolist()
+
+
+def test_components_too_large_for_a_score_take_no_part(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1e30, 0.0]), (2, [float(1 << 22), 1.0]), (3, [3.0, 1.0]), (50, [-1e300, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = maxscore.top_k(df, F.col("vec_id") % 50 == 0, k=5).collect()
+    assert [(r.query_id, r.rank, r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank)] == [
+        (0, 1, 2, (1 << 30) * 256 + 256 * 512), (0, 2, 3, 256 * 256 * 5)]
