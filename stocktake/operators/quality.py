@@ -34,7 +34,7 @@ def orphan_keys(child: DataFrame, refs: list[tuple[str, DataFrame, str]]) -> Dat
     ``refs`` holds (child column, parent, parent column). All columns are counted
     in one pass over the child, before any join, so that the shuffle moves one row
     per task and key, however often a key occurs; NULL references, which are
-    allowed, never move. What is joined are keys, each once.
+    allowed, never move. What is joined are the parents' keys.
     """
     kinds = [child.schema[fk].dataType for fk, _, _ in refs]
     integral = all(k.simpleString() in ("tinyint", "smallint", "int", "bigint") for k in kinds)
@@ -44,7 +44,7 @@ def orphan_keys(child: DataFrame, refs: list[tuple[str, DataFrame, str]]) -> Dat
         F.lit(0).alias("ref"), F.col(refs[0][0]).cast(kind).alias("key"))
     counted = stacked.where(F.col("key").isNotNull()).groupBy("ref", "key").agg(F.count(F.lit(1)).alias("occurrences"))
     known = reduce(DataFrame.unionByName, [
-        parent.select(F.lit(i).alias("ref"), F.col(pk).cast(kind).alias("key")).distinct()
+        parent.select(F.lit(i).alias("ref"), F.col(pk).cast(kind).alias("key"))
         for i, (_, parent, pk) in enumerate(refs)])
     return counted.join(known, ["ref", "key"], "left_anti")
 

@@ -39,6 +39,11 @@ def _sum_long(col: str):
     return F.sum(F.col(col)).cast("long")
 
 
+def _types(t: Tables) -> DataFrame:
+    """The product types: three literal rows, however they are stored. Their few keys must not be shuffled on."""
+    return F.broadcast(t["product_type"])
+
+
 def median_by_party(t: Tables, role: str = "developer", min_titles: int = 5) -> DataFrame:
     """Parties with at least ``min_titles`` rated titles: title count and median
     overall rating (role = ``developer`` or ``publisher``)."""
@@ -98,7 +103,7 @@ def type_contribution(t: Tables) -> DataFrame:
     """Per product type: titles, review total and base-price total (titles
     without a known type are left out)."""
     inv = t["inventory"].select("title_id", "type_id")
-    rows = (inv.join(t["product_type"], "type_id")
+    rows = (inv.join(_types(t), "type_id")
             .join(t["rating"].select("title_id", "reviews_count"), "title_id", "left")
             .join(t["pricing"].select("title_id", "base_amount"), "title_id", "left"))
     return rows.groupBy(F.col("type_name").alias("product_category")).agg(
@@ -111,7 +116,7 @@ def type_contribution(t: Tables) -> DataFrame:
 def content_groups(t: Tables) -> DataFrame:
     """Movies first, then bundle / DLC / game: titles and base-price total."""
     inv = t["inventory"].select("title_id", "type_id", "is_movie")
-    rows = (inv.join(t["product_type"], "type_id")
+    rows = (inv.join(_types(t), "type_id")
             .join(t["pricing"].select("title_id", "base_amount"), "title_id", "left")
             .withColumn("content_type_group", tiers.content_group("is_movie", "type_name")))
     return rows.groupBy("content_type_group").agg(
@@ -223,7 +228,7 @@ def title_labels(t: Tables) -> DataFrame:
     rows = (t["inventory"].select("title_id", "release_date", "age_limit", "type_id", "is_movie", "support_url")
             .join(t["rating"].select("title_id", "overall_avg_rating", "reviews_count"), "title_id", "left")
             .join(t["pricing"].select("title_id", "base_amount", "final_amount", "is_free", F.lit(True).alias("priced")), "title_id", "left")
-            .join(t["product_type"], "type_id", "left"))
+            .join(_types(t), "type_id", "left"))
     rated = F.col("overall_avg_rating").isNotNull()
     labels = {
         "era_quality": F.when(rated, tiers.cutoff_two_way("release_date")),
