@@ -253,6 +253,7 @@ def compared(rows: DataFrame, centroids: np.ndarray, width: int, cosine: float)
              .withColumn("side", F.when(F.col("host") == F.col("part"), 0).otherwise(1)).drop("part"))
     elsewhere = F.array_except(F.array_distinct(F.transform("visits", lambda c: look(room_of, c))), F.array("room"))
     guests = (rows.withColumn("room", F.explode(elsewhere))
+              .withColumn("visits", F.filter("visits", lambda c: look(room_of, c) == F.col("room")))  # the others are not asked there
               .select("room", F.explode(F.sequence(F.lit(0), parts - 1)).alias("host"), *fields, F.lit(1).alias("side")))
 
     def run(batches):
