@@ -15,7 +15,7 @@ each would be many times the input. Instead:
 An item that holds any share of all rows reaches its range once per chunk only, a
 text once per task. Chunks and ranges grow in number with the input.
 
-Items may come with a second hash of 32 bits. Its sums travel with the counts, and a
+Items may come with a second hash of 16 bits. Its sums travel with the counts, and a
 total is believed only if all occurrences of the key had the same second hash; else
 the chunk's own count stands in.
 
@@ -40,7 +40,8 @@ from stocktake.llm.common import row_blocks
 RANGE_ITEMS = 1_000_000
 
 Items = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, ...]]
-LOW = np.uint64(0xFFFFFFFF)
+#: Bits of second hashes.
+LOW = np.uint64(0xFFFF)
 
 
 def text_digest(text: Column) -> Column:
@@ -132,7 +133,7 @@ def chunk_items(texts: list[bytes], copies: np.ndarray, items: Items):
 
 
 def check_sums(place: np.ndarray, n: int, values: np.ndarray) -> np.ndarray:
-    """Sums of values by place, modulo 2**32."""
+    """Sums of values by place, in the bits of second hashes."""
     sums = np.zeros(n, np.uint64)
     np.add.at(sums, place, values)
     return sums & LOW

@@ -6,7 +6,7 @@ The hashes are counted over all documents, copies of whole texts included, by
 their words are removed. Windows are judged on the input.
 
 Hashes have 64 bits; among w windows about w * w / 2**65 pairs collide, 0.7 for 5e9.
-A second hash of 32 bits tells them apart: windows of several chunks are
+A second hash of 16 bits tells them apart: windows of several chunks are
 repeated only if all that share the first hash share the second.
 
 Defined results: a NULL text has no words and stays NULL; a text with fewer words than a window
