@@ -187,10 +187,24 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return hash_spans(data, starts, ends), at
 
 
+#: Text bytes that are hashed at once: their values have eight bytes each.
+HASH_BYTES = 1 << 22
+
+
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes of each span."""
-    h = rolling(BYTE_VALUE[data], starts, ends)
-    return mix64(h + (ends - starts).astype(np.uint64))
+    """64-bit hash of the bytes of each span; spans follow each other.
+
+    A very long text is hashed some megabytes at a time.
+    """
+    out = np.empty(len(starts), np.uint64)
+    low = 0
+    while low < len(starts):
+        high = max(low + 1, int(np.searchsorted(ends, starts[low] + HASH_BYTES, side="right")))
+        base = starts[low]
+        values = BYTE_VALUE[data[base:ends[high - 1]]]
+        out[low:high] = rolling(values, starts[low:high] - base, ends[low:high] - base)
+        low = high
+    return mix64(out + (ends - starts).astype(np.uint64))
 
 
 def window_hashes(words: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -17,11 +17,13 @@ alone; with no labels every score is 1/2, and with one class all follow its
 share. Labels that are NULL or have no id teach nothing. A document teaches each
 of its labels once, however often labelled; of rows that share an id the
 smallest text teaches. Repeated rows each get their score; a column named score is
-replaced. A text is one block in memory, of some 50 times its bytes.
+replaced. A long text is read in slices, cut at white space.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,6 +35,8 @@ from stocktake.llm.common import SPACE, arrow_text, mix64, row_blocks, split_by_
 BITS = 17
 DIM = 10
 SAMPLE_ROWS = 4000
+#: Bytes of a long text that are taken at once.
+SLICE_BYTES = 1 << 22
 #: Bytes of the sample's features (eight a distinct feature of a text) that training holds.
 SAMPLE_BYTES = 1 << 27
 
@@ -41,6 +45,10 @@ def _bucket(h: np.ndarray) -> np.ndarray:
     return (mix64(h) >> np.uint64(64 - BITS)).astype(np.int32)
 
 
+def _pairs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return np.where(left == right, np.uint64(1), left * np.uint64(3) + right)
+
+
 def features(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each kind of feature: buckets, and the n + 1 offsets by text."""
     words, at = word_hashes(data, offsets)
@@ -49,9 +57,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np
     inner = np.ones(len(words), bool)
     inner[at[:-1][np.diff(at) > 0]] = False
     second = np.flatnonzero(inner)
-    left, right = words[second - 1], words[second]
-    pair = np.where(left == right, np.uint64(1), left * np.uint64(3) + right)
-    out.append((_bucket(pair), np.searchsorted(second, at)))
+    out.append((_bucket(_pairs(words[second - 1], words[second])), np.searchsorted(second, at)))
     # White space separates words; one more in front of each text and at the end.
     n = len(offsets) - 1
     lengths = np.diff(offsets)
@@ -71,11 +77,52 @@ def features(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np
     return out
 
 
+def slices(data: np.ndarray) -> Iterator[np.ndarray]:
+    """Parts of one text of about ``SLICE_BYTES``, cut at white space."""
+    low = 0
+    while low < len(data):
+        high = min(len(data), low + SLICE_BYTES)
+        if high < len(data):
+            gap = np.flatnonzero(SPACE[data[high:high + SLICE_BYTES]])
+            while not len(gap) and high + SLICE_BYTES < len(data):  # a word longer than a slice
+                high += SLICE_BYTES
+                gap = np.flatnonzero(SPACE[data[high:high + SLICE_BYTES]])
+            high = high + int(gap[0]) if len(gap) else len(data)
+        yield data[low:high]
+        low = high
+
+
+def long_text_total(data: np.ndarray, table: np.ndarray) -> tuple[float, int]:
+    """Sum of the features' weights of one long text, and their number, slice by slice."""
+    total, count, last = 0.0, 0, None
+    for part in slices(data):
+        ends = np.array([0, len(part)])
+        words, _ = word_hashes(part, ends)
+        for buckets, _ in features(part, ends):
+            total += float(table[buckets].sum(dtype=np.float64))
+            count += len(buckets)
+        if len(words):
+            if last is not None:  # the pair that the cut parts
+                total += float(table[_bucket(_pairs(last, words[:1]))][0])
+                count += 1
+            last = words[-1:]
+    return total, count
+
+
 def histogram(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of one text and their share of all its features."""
-    found = features(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
-    buckets, counts = np.unique(np.concatenate([b for b, _ in found]), return_counts=True)
-    return buckets, (counts / max(1, counts.sum())).astype(np.float32)
+    counts, last = np.zeros(1 << BITS, np.int64), None
+    for part in slices(np.frombuffer(text, np.uint8)):
+        ends = np.array([0, len(part)])
+        words, _ = word_hashes(part, ends)
+        for found, _ in features(part, ends):
+            counts += np.bincount(found, minlength=1 << BITS)
+        if len(words):
+            if last is not None:
+                counts[_bucket(_pairs(last, words[:1]))] += 1
+            last = words[-1:]
+    buckets = np.flatnonzero(counts).astype(np.int32)
+    return buckets, (counts[buckets] / max(1, counts.sum())).astype(np.float32)
 
 
 def train_parts(rows: list[tuple[np.ndarray, np.ndarray, int]], rate: float = 4.0,
@@ -169,6 +216,10 @@ def with_score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str =
             data, offsets = arrow_text(batch.column(at_text))
             out = np.zeros(batch.num_rows)
             for low, high in row_blocks(offsets):
+                if offsets[high] - offsets[low] > SLICE_BYTES:  # one long text
+                    total, n = long_text_total(data[offsets[low]:offsets[high]], table)
+                    out[low] = total / max(n, 1)
+                    continue
                 total, count = np.zeros(high - low), np.zeros(high - low)
                 for buckets, at in features(data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low]):
                     sums = np.concatenate([[0.0], np.cumsum(table[buckets], dtype=np.float64)])

@@ -76,3 +76,22 @@ def test_sample_is_bounded_whatever_repeats(spark):
     assert {round(r.score) for r in quality.with_score(docs, model).where("doc_id > 1").collect()} == {0, 1}
     few = quality.fit(docs, labels, "quality", F.lit(True), sample_bytes=1)  # one document is left: one class
     assert len({r.score for r in quality.with_score(docs, few).collect()}) == 1
+
+
+def test_long_texts_are_scored_in_slices(spark, monkeypatch):
+    """Slices give what the whole text gives, cut anywhere, also within very long words."""
+    rng = np.random.default_rng(0)
+    table = rng.normal(size=1 << quality.BITS).astype(np.float32)
+    words_ = ["a", "bb", "é" * 9, "x" * 700, "long" * 40, "w"]
+    for n in (0, 1, 400, 3000):
+        text = "".join(rng.choice(words_) + rng.choice([" ", "  ", "\n", "\t "]) for _ in range(n)).encode()
+        data, ends = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+        whole = [b for b, _ in quality.features(data, ends)]
+        want = sum(float(table[b].sum(dtype=np.float64)) for b in whole), sum(map(len, whole))
+        counts = np.bincount(np.concatenate(whole), minlength=1 << quality.BITS)
+        for size in (64, 1000, 1 << 22):
+            monkeypatch.setattr(quality, "SLICE_BYTES", size)
+            got = quality.long_text_total(data, table)
+            assert got[1] == want[1] and abs(got[0] - want[0]) < 1e-2
+            buckets, shares = quality.histogram(text)
+            assert (buckets == np.flatnonzero(counts)).all() and np.allclose(shares, counts[buckets] / max(1, counts.sum()))
