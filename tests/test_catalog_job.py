@@ -157,3 +157,11 @@ def test_database_tables_are_written_once_per_version(spark):
     assert spark.table("stock_job.inventory").count() == 7 == versions.read_published(spark, out, ["inventory"])["inventory"].count()
     names = [r.tableName for r in spark.sql("SHOW TABLES IN stock_job").collect()]
     assert len(names) == 2 * len(catalog_job.Catalog.names)  # the tables of one version and their views
+
+
+def test_empty_listing(spark):
+    out = scratch_path(spark, "job-empty")
+    run(spark, _listing(spark, "job-none", []), out, multiline=True, profiled=True, on_error="null", keys="dense", key_maps=f"{out}/keys")
+    got = versions.read_published(spark, out)
+    assert got["inventory"].count() == got["quarantine"].count() == 0 and got["reports/support_skeleton"].count() == 2
+    assert {(r.lost_digits, r.rejected, r.null_items) for r in got["conversion_report"].collect()} == {(0, 0, 0)}
