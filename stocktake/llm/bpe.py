@@ -33,6 +33,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from stocktake.llm.common import tidied
+
 NO_RANK = np.int32(np.iinfo(np.int32).max)
 #: Pieces of up to so many bytes are encoded in blocks.
 SHORT = 64
@@ -290,7 +292,7 @@ def tokenize(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str
                     columns.append(pa.array([x.astype(np.int32) for x in numbers], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, names=names[:len(columns)])
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(tidied(run), schema)
 
 
 def detokenize(rows: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

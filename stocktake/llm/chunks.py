@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocktake.llm.common import row_blocks
+from stocktake.llm.common import row_blocks, tidied
 
 #: Items that one range of the hash space should hold.
 RANGE_ITEMS = 1_000_000
@@ -202,8 +202,8 @@ def with_totals(docs: DataFrame, text_col: str, items: Items, per_text: Callable
 
     dealt = (docs.select(text_digest(F.col("text")).alias("digest"), "text")
              .select(F.pmod(F.xxhash64("digest"), F.lit(n_chunks)).alias("chunk"), "digest", "text")
-             .mapInArrow(collapse, "chunk long, digest binary, body binary, copies long"))
-    sums = (dealt.groupBy("chunk").applyInArrow(send, "part long, chunk long, keys binary, counts binary, checks binary")
-            .groupBy("part").applyInArrow(total, "chunk long, part long, counts binary, checks binary"))
+             .mapInArrow(tidied(collapse), "chunk long, digest binary, body binary, copies long"))
+    sums = (dealt.groupBy("chunk").applyInArrow(tidied(send), "part long, chunk long, keys binary, counts binary, checks binary")
+            .groupBy("part").applyInArrow(tidied(total), "chunk long, part long, counts binary, checks binary"))
     return (dealt.groupBy("chunk").cogroup(sums.groupBy("chunk"))
-            .applyInArrow(finish, f"digest binary, {schema}"))
+            .applyInArrow(tidied(finish), f"digest binary, {schema}"))

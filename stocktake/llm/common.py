@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import inspect
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -90,6 +92,39 @@ def id_mod(id_col: Column, n: int) -> Column:
     return F.pmod(F.crc32(id_col.cast("string")), F.lit(n))
 
 
+def tidied(fn: Callable) -> Callable:
+    """``fn`` for Python workers, whose memory is given back between tasks.
+
+    A worker lives on from task to task, and every task brings its functions anew,
+    with the tables that they fill. The old ones refer to each other, so nothing
+    drops them but a collection, one per task; Arrow's pool keeps what is freed
+    until it is told.
+    """
+    fresh = [True]
+
+    def begin() -> None:
+        if fresh:
+            fresh.clear()
+            gc.collect()
+        pa.default_memory_pool().release_unused()
+
+    def stream(batches):
+        begin()
+        for out in fn(batches):
+            yield out
+            pa.default_memory_pool().release_unused()
+
+    def group(rows):
+        begin()
+        return fn(rows)
+
+    def two_groups(left, right):
+        begin()
+        return fn(left, right)
+
+    return stream if inspect.isgeneratorfunction(fn) else two_groups if len(inspect.signature(fn).parameters) == 2 else group
+
+
 # --- text as byte arrays -----------------------------------------------------
 
 def arrow_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -42,7 +42,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stocktake.llm.common import (LOWER, arrow_text, cut_lineage, join_uneven, mix64, rolling, row_blocks, split_by_ids,
-                                  window_hashes, word_hashes)
+                                  tidied, window_hashes, word_hashes)
 from stocktake.llm.components import components
 
 BANDS, ROWS = 40, 6
@@ -138,7 +138,7 @@ def sketches(docs: DataFrame, n: int, bands: int = BANDS, rows: int = ROWS) -> D
                  pa.array(k2, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(parity, pa.list_(pa.int64()))], schema=_SCHEMA)
 
     return docs.mapInArrow(
-        run, "doc_id long, key long, n_shingles long, k1 long, k2 long, bands array<long>, parity array<long>")
+        tidied(run), "doc_id long, key long, n_shingles long, k1 long, k2 long, bands array<long>, parity array<long>")
 
 
 def _can_link(percent: int) -> Column:
@@ -198,7 +198,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, repeated: DataFrame | None, n:
                 linked.append(common * 100 >= (len(x) + len(y) - common) * percent)
             yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(tidied(run), "a long, b long")
 
 
 def _grouped(docs: DataFrame, n: int, percent: int, bands: int, rows: int) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stocktake.llm.common import SPACE, arrow_text, mix64, row_blocks, split_by_ids, word_hashes
+from stocktake.llm.common import SPACE, arrow_text, mix64, row_blocks, split_by_ids, tidied, word_hashes
 
 BITS = 17
 DIM = 10
@@ -198,9 +198,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, learn_from: Column,
         yield pa.RecordBatch.from_arrays([pa.array([table.astype(np.float32).tobytes()], pa.binary()), pa.array([bias])],
                                          names=["weights", "bias"])
 
-    model = (rows.mapInArrow(shares, "draw long, id string, label int, buckets binary, shares binary")
+    model = (rows.mapInArrow(tidied(shares), "draw long, id string, label int, buckets binary, shares binary")
              .repartition(1).sortWithinPartitions("draw", "id", "label")
-             .mapInArrow(learn, "weights binary, bias double").collect())
+             .mapInArrow(tidied(learn), "weights binary, bias double").collect())
     return (np.frombuffer(bytes(model[0].weights), np.float32), model[0].bias) if model else train([])
 
 
@@ -229,4 +229,4 @@ def with_score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str =
             score = pa.array(1 / (1 + np.exp(-np.clip(out + bias, -60, 60))))
             yield pa.RecordBatch.from_arrays([*batch.columns, score], names=names)
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(tidied(run), T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
