@@ -11,8 +11,8 @@ of the corpus predicts it: with c the counts of the other documents,
     0.16 c(w) / N         if c(w) > 0, else 0.064 / N,
 
 with N the words of all documents. Text is lower-cased in A-Z. Logarithms are
-summed in whole millionths, so the sum does not depend on order. Hashes keep 60 bits
-(all 64 would take 4.1 times the input on disk): of 1e10 distinct n-grams some 40 pairs meet.
+summed in whole millionths, so the sum does not depend on order. Hashes keep 56 bits
+(60 take 4.0 and 64 take 4.1 times the input on disk): of 1e10 distinct n-grams some 700 pairs meet.
 
 Defined results: a NULL text, or one without words, has 0 words, a log of 0 and a NULL mean;
 copies of a text, also in rows that repeat wholly, count as other documents (so a text
@@ -45,7 +45,7 @@ def ngram_items(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     base = np.cumsum(counts) - counts
     for g, size in zip(grams, sizes):
         shift = base - (np.cumsum(size) - size)
-        out[np.arange(len(g)) + np.repeat(shift, size)] = g & ~np.uint64(15)
+        out[np.arange(len(g)) + np.repeat(shift, size)] = g & ~np.uint64(255)
         base = base + size
     return out, counts
 
