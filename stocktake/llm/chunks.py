@@ -136,7 +136,8 @@ def chunk_items(texts: list[bytes], copies: np.ndarray, items: Items):
 def check_sums(place: np.ndarray, n: int, values: np.ndarray) -> np.ndarray:
     """Sums of values by place, in the bits of second hashes."""
     sums = np.zeros(n, np.uint64)
-    np.add.at(sums, place, values)
+    if values.any():  # there are second hashes
+        np.add.at(sums, place, values)
     return sums & LOW
 
 
