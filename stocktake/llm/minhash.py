@@ -41,8 +41,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stocktake.llm.common import (LOWER, arrow_text, cut_lineage, join_uneven, mix64, rolling, row_blocks, split_by_ids,
-                                  tidied, window_hashes, word_hashes)
+from stocktake.llm.common import (LOWER, arrow_text, cut_lineage, in_tasks, join_uneven, mix64, rolling, row_blocks,
+                                  split_by_ids, tidied, window_hashes, word_hashes)
 from stocktake.llm.components import components
 
 BANDS, ROWS = 40, 6
@@ -52,6 +52,8 @@ LEADERS = 256
 PARITY_WORDS = 16
 #: Members of a bucket that one task compares with its leaders.
 SALT_ROWS = 1000
+#: Pairs that one task verifies.
+TASK_PAIRS = 1000
 #: Bytes of texts whose sets a task keeps while it verifies pairs.
 KNOWN_BYTES = 1 << 22
 #: The smallest of these names a group's document: ids go before rows without one.
@@ -162,8 +164,10 @@ def confirmed(pairs: DataFrame, docs: DataFrame, repeated: DataFrame | None, n:
     """The pairs (a, b) of row keys whose full sets reach the similarity.
 
     Texts travel rather than sets, being smaller; a task keeps the sets of the
-    texts that it met last. ``repeated`` are the keys of several rows.
+    texts that it met last. ``repeated`` are the keys of several rows. ``pairs`` is
+    a table of known size.
     """
+    n_pairs = pairs.count()
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     maybe, _ = split_by_ids(docs, wanted, "key")
     texts = maybe.join(wanted, "key", "left_semi").select("key", "text")
@@ -198,7 +202,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, repeated: DataFrame | None, n:
                 linked.append(common * 100 >= (len(x) + len(y) - common) * percent)
             yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
 
-    return both.mapInArrow(tidied(run), "a long, b long")
+    return in_tasks(both, n_pairs, TASK_PAIRS).mapInArrow(tidied(run), "a long, b long")
 
 
 def _grouped(docs: DataFrame, n: int, percent: int, bands: int, rows: int) -> DataFrame:
@@ -207,8 +211,9 @@ def _grouped(docs: DataFrame, n: int, percent: int, bands: int, rows: int) -> Da
     The component, NULL for an empty set, is by similarity alone, whatever the ids.
     """
     drawn = cut_lineage(sketches(docs.select("doc_id", "key", "text"), n, bands, rows))
+    n_rows = drawn.count()
     repeated = cut_lineage(drawn.where("n_shingles > 0").groupBy("key").agg(F.count("*").alias("c"))
-                           .where("c > 1").select("key"))
+                           .where("c > 1").select("key"), n_rows)
     repeated = None if repeated.isEmpty() else repeated
     classes = (drawn.where("n_shingles > 0").groupBy("k1", "k2")
                .agg(F.min(F.expr(FIRST)).alias("first"), F.first("n_shingles").alias("n"),
@@ -221,7 +226,8 @@ def _grouped(docs: DataFrame, n: int, percent: int, bands: int, rows: int) -> Da
     salt = F.pmod(F.xxhash64("node", F.lit("salt")), F.col("salts")).cast("int")
     live = cut_lineage(join_uneven(spread, shared, ["bucket"], "members").where("salts IS NOT NULL")
                        .join(classes.select("node", "k1", "n", "parity"), ["node", "k1"])
-                       .select("bucket", "salts", salt.alias("salt"), "node", "n", "parity"))
+                       .select("bucket", "salts", salt.alias("salt"), "node", "n", "parity"), bands * n_rows)
+    n_live = live.count()
     to_all = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
     first = live.groupBy("bucket").agg(F.min("node").alias("node"))
     lead = live.join(first, ["bucket", "node"])
@@ -232,7 +238,8 @@ def _grouped(docs: DataFrame, n: int, percent: int, bands: int, rows: int) -> Da
         pairs = live.join(asked, ["bucket", "salt"]).where((F.col("a") != F.col("node")) & _can_link(percent))
         if found is not None:
             pairs = pairs.where("c <> ac")
-        pairs = cut_lineage(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
+        pairs = cut_lineage(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(),
+                            n_live if found is None else n_live * LEADERS)
         new = cut_lineage(confirmed(pairs, docs, repeated, n, percent))
         if links is None or not new.isEmpty():
             links = new if links is None else links.unionByName(new)
@@ -244,8 +251,9 @@ def _grouped(docs: DataFrame, n: int, percent: int, bands: int, rows: int) -> Da
         main = (rest.groupBy("bucket", "salts", "c").agg(F.count("*").alias("k"))
                 .groupBy("bucket", "salts").agg(F.max(F.struct("k", "c")).alias("main"), F.count("*").alias("parts"))
                 .where("parts > 1").select("bucket", to_all, F.col("main.c").alias("main")))
-        live = cut_lineage(rest.join(main, ["bucket", "salt"]))
-        if live.isEmpty():
+        live = cut_lineage(rest.join(main, ["bucket", "salt"]), n_live)
+        n_live = live.count()
+        if not n_live:
             break
         # Members outside a bucket's largest component lead next: the others need no comparison with each other.
         by_bucket = W.partitionBy("bucket").orderBy("node")
@@ -253,13 +261,13 @@ def _grouped(docs: DataFrame, n: int, percent: int, bands: int, rows: int) -> Da
                 .where(F.col("k") <= LEADERS).drop("k"))
     groups = (classes.select("k1", "k2", "node").join(found, "node", "left")
               .select("k1", "k2", F.coalesce("component", "node").alias("component")))
-    return cut_lineage(drawn.join(groups, ["k1", "k2"], "left").select("doc_id", "key", "n_shingles", "component"))
+    return cut_lineage(drawn.join(groups, ["k1", "k2"], "left").select("doc_id", "key", "n_shingles", "component"), n_rows)
 
 
 def _firsts(grouped: DataFrame) -> DataFrame:
     """component and first, the row that stands for it, of every group of several rows."""
     return cut_lineage(grouped.where("component IS NOT NULL").groupBy("component")
-                       .agg(F.min(F.expr(FIRST)).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"))
+                       .agg(F.min(F.expr(FIRST)).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), grouped.count())
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
@@ -273,7 +281,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, bands: int =
     several = (named.groupBy("doc_id").agg(F.min("component").alias("a"), F.max("component").alias("z"))
                .where("a <> z").select("doc_id", "a"))
     links = cut_lineage(named.select("doc_id", F.col("component").alias("b")).join(several, "doc_id")
-                        .select("a", "b").distinct())
+                        .select("a", "b").distinct(), grouped.count())
     if not links.isEmpty():
         merged = components(links).select(F.col("node").alias("component"), F.col("component").alias("into"))
         grouped = (grouped.join(merged, "component", "left")
@@ -298,7 +306,7 @@ def survivors(docs: DataFrame, n: int = 5, percent: int = 80, bands: int = BANDS
     members = (grouped.join(_firsts(grouped), "component")
                .groupBy(F.col("key").alias("__key")).agg(F.first(F.col("first.key") == F.col("key")).alias("stays"),
                                                          F.count("*").alias("c")))
-    decided = cut_lineage(members.where("NOT stays OR c > 1").select("__key", "stays"))
+    decided = cut_lineage(members.where("NOT stays OR c > 1").select("__key", "stays"), grouped.count())
     gone, repeated = (decided.where(x).select("__key") for x in ("NOT stays", "stays"))
     maybe, kept = split_by_ids(keyed, decided.select("__key"), "__key")
     left = maybe.join(gone, "__key", "left_anti")
