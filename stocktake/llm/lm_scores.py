@@ -13,6 +13,7 @@ of the corpus predicts it: with c the counts of the other documents,
 with N the words of all documents. Text is lower-cased in A-Z. Logarithms are
 summed in whole millionths, so the sum does not depend on order. Hashes keep 56 bits
 (60 take 4.0 and 64 take 4.1 times the input on disk): of 1e10 distinct n-grams some 700 pairs meet.
+Such totals are too high; none is taken for more than those of the n-gram's parts, so what it is divided by is never 0.
 
 Defined results: a NULL text, or one without words, has 0 words, a log of 0 and a NULL mean;
 copies of a text, also in rows that repeat wholly, count as other documents (so a text
@@ -53,6 +54,9 @@ def ngram_items(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 def log_score(words: int, totals: np.ndarray, n_all: int) -> int:
     """Sum of log scores of one text, in millionths, from the others' counts of its items."""
     one, two, three = np.split(totals, [words, 2 * words - 1])
+    # No n-gram occurs more often than its parts: a total above theirs holds another n-gram's of the same hash.
+    two = np.minimum(two, np.minimum(one[:-1], one[1:]))
+    three = np.minimum(three, np.minimum(two[:-1], two[1:]))
     with np.errstate(divide="ignore", invalid="ignore"):
         score = np.where(one > 0, BACKOFF[1] * one / n_all, BACKOFF[2] / n_all)
         if words > 1:

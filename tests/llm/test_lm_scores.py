@@ -3,6 +3,8 @@
 import math
 from collections import Counter
 
+import numpy as np
+
 from stocktake.llm import chunks, lm_scores
 from tests.llm.fixtures import empty, frame, prose, rows, words
 
@@ -43,3 +45,35 @@ def test_many_chunks_and_ranges(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert lm_scores.backoff_scores(empty(spark)).collect() == []
+
+
+def test_ngrams_of_the_same_hash(spark, monkeypatch):
+    """A 3-gram and a 2-gram whose parts no other text has meet the hashes of a common word and 3-gram."""
+    items = lm_scores.ngram_items
+    data = [(1, "only here seen"), (2, "the cat sat on the mat"), (3, "the cat sat by the door"), (4, "just twice")]
+    key = {g: items(np.frombuffer(g.encode(), np.uint8), np.array([0, len(g)]))[0][-1]
+           for g in ("only here seen", "the", "just twice", "the cat sat")}
+
+    def met(texts, offsets):
+        keys, counts = items(texts, offsets)
+        keys[keys == key["only here seen"]] = key["the"]
+        keys[keys == key["just twice"]] = key["the cat sat"]
+        return keys, counts
+
+    monkeypatch.setattr(lm_scores, "ngram_items", met)
+    got = lm_scores.backoff_scores(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    want = brute_force(data)
+    assert [tuple(r) for r in sorted(got) if r.doc_id in (1, 4)] == [w for w in want if w[0] in (1, 4)]
+    assert [r.n_words for r in sorted(got)] == [w[1] for w in want]
+
+
+def test_scores_of_totals_above_those_of_the_parts():
+    n = 100
+    floor = round(math.log(0.064 / n) * 1e6)
+    assert lm_scores.log_score(2, np.array([0, 0, 1]), n) == 2 * floor
+    assert lm_scores.log_score(3, np.array([0, 0, 0, 0, 0, 1]), n) == 3 * floor
+    # Known words, a 3-gram whose 2-grams nothing else has.
+    assert lm_scores.log_score(3, np.array([4, 4, 4, 0, 0, 1]), n) == 3 * round(math.log(0.16 * 4 / n) * 1e6)
+    # Totals that fit are taken as they are.
+    right = [math.log(0.16 * 4 / n), math.log(0.4 * 3 / 4), math.log(2 / 3)]
+    assert lm_scores.log_score(3, np.array([4, 5, 6, 3, 2, 2]), n) == sum(round(x * 1e6) for x in right)
